@@ -181,5 +181,148 @@ def _m14(spark, d):
     return graph(spark, d).benchmarks_short
 
 
+# -------------------------------------------------------------- worklists ---
+from evwin.operators import worklist as W  # noqa: E402
+
+_P = DEFAULT_PARAMS
+_WL = dict(as_of=_P.as_of, recent_days=_P.worklist_recent_days)
+_RECENT_SQL = f"{O._d(_P.as_of - __import__('datetime').timedelta(days=_P.worklist_recent_days))}"
+
+
+def _raw(spark, d):
+    return graph(spark, d).raw
+
+
+@register("recent_equity_symbols", "SELECT symbol FROM w_recent")
+def _w01(spark, d):
+    return W.recent_equity_symbols(_raw(spark, d).ipo_events, **_WL)
+
+
+@register("symbols_missing_profile", f"""SELECT s.symbol FROM w_recent s
+LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, '')) AS sa FROM raw_profiles
+           WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
+WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
+ORDER BY s.symbol LIMIT {_P.profile_limits['finnhub']}""")
+def _w02(spark, d):
+    r = _raw(spark, d)
+    return W.symbols_missing_profile(r.ipo_events, r.company_profiles, limit=_P.profile_limits["finnhub"], **_WL)
+
+
+def _unres_sql(v, n):
+    return f"""(SELECT '{v}' AS vendor, symbol FROM w_recent s
+  WHERE NOT EXISTS (SELECT 1 FROM raw_map m WHERE m.vendor = '{v}' AND m.ipo_symbol = s.symbol)
+  ORDER BY symbol LIMIT {n})"""
+
+
+@register("unresolved_symbols", "SELECT * FROM " + _unres_sql("alphavantage", _P.resolve_limits["alphavantage"])
+          + " UNION ALL SELECT * FROM " + _unres_sql("yahoo", _P.resolve_limits["yahoo"]))
+def _w03(spark, d):
+    r = _raw(spark, d)
+    out = None
+    for v in ("alphavantage", "yahoo"):
+        x = W.unresolved_symbols(r.ipo_events, r.symbol_map, vendor=v, limit=_P.resolve_limits[v], **_WL) \
+            .select(F.lit(v).alias("vendor"), "symbol")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+def _pairs_sql(v, n):
+    return f"(SELECT '{v}' AS vendor, * FROM w_pairs_{v} ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol LIMIT {n})"
+
+
+@register("priceable_pairs", "SELECT * FROM " + _pairs_sql("yahoo", _P.price_pair_limit)
+          + " UNION ALL SELECT * FROM " + _pairs_sql("alphavantage", _P.price_pair_limit))
+def _w04(spark, d):
+    r = _raw(spark, d)
+    out = None
+    for v in ("yahoo", "alphavantage"):
+        x = W.priceable_pairs(r.ipo_events, r.symbol_map, vendor=v, limit=_P.price_pair_limit, **_WL) \
+            .select(F.lit(v).alias("vendor"), "*")
+        out = x if out is None else out.unionByName(x)
+    return out
+
+
+@register("symbols_with_profile", f"""SELECT DISTINCT upper(e.symbol) AS symbol FROM raw_events e
+JOIN raw_profiles p ON p.symbol = upper(e.symbol)
+WHERE e.ipo_date >= {_RECENT_SQL} AND {O._EQ.format(s='e.symbol')} AND p.source IN ('finnhub', 'yahoo')""")
+def _w05(spark, d):
+    r = _raw(spark, d)
+    return W.symbols_with_profile(r.ipo_events, r.company_profiles, **_WL)
+
+
+_BACKFILL_SQL = f"""SELECT event_id, ipo_symbol, price_symbol, price_vendor, ipo_date, coverage_status,
+  coalesce(distinct_price_days, 0) AS distinct_price_days FROM m_coverage
+WHERE coverage_status IN ('mapped_but_no_prices', 'very_low_coverage', 'partial_coverage')
+  AND ipo_date <= {O._d(_P.as_of)} AND ipo_date >= {_RECENT_SQL} AND price_symbol IS NOT NULL
+ORDER BY CASE coverage_status WHEN 'mapped_but_no_prices' THEN 1 WHEN 'very_low_coverage' THEN 2
+  WHEN 'partial_coverage' THEN 3 ELSE 99 END, ipo_date DESC, ipo_symbol, event_id LIMIT {_P.backfill_limit}"""
+
+
+@register("backfill_candidates", _BACKFILL_SQL)
+def _w06(spark, d):
+    return W.backfill_candidates(graph(spark, d).coverage, limit=_P.backfill_limit, **_WL)
+
+
+@register("alternate_symbol", f"""SELECT b.*, m.vendor_symbol AS alt_symbol FROM ({_BACKFILL_SQL}) b
+LEFT JOIN raw_map m ON m.vendor = 'alphavantage' AND m.is_priceable AND m.ipo_symbol = b.ipo_symbol""")
+def _w07(spark, d):
+    return W.alternate_symbol(_w06(spark, d), _raw(spark, d).symbol_map)
+
+
+def _existing(spark, d):
+    return _raw(spark, d).daily_prices.filter(F.col("price_date") <= F.lit(O.LOAD_CUTOFF))
+
+
+def _yahoo_pairs_all(spark, d):
+    r = _raw(spark, d)
+    return W.priceable_pairs(r.ipo_events, r.symbol_map, vendor="yahoo", limit=None, **_WL)
+
+
+_LW_COLS = "ipo_symbol, vendor_symbol, ipo_date, load_to, hwm, load_from, load_status, source"
+
+
+@register("load_windows", f"SELECT {_LW_COLS} FROM w_load_all")
+def _w08(spark, d):
+    return W.load_windows(_yahoo_pairs_all(spark, d), _existing(spark, d), source="yahoo", as_of=_P.as_of,
+                          window_days=_P.long_window)
+
+
+@register("incremental_prices", f"""SELECT s.source, s.symbol, s.price_date, {dbl('s.open')}, {dbl('s.high')},
+  {dbl('s.low')}, {dbl('s.close')}, s.volume FROM raw_prices s
+WHERE EXISTS (SELECT 1 FROM w_load_all w WHERE w.load_status = 'load' AND w.source = s.source
+  AND w.vendor_symbol = s.symbol AND s.price_date >= w.load_from AND s.price_date <= w.load_to)""")
+def _w09(spark, d):
+    return W.incremental_prices(_w08(spark, d), _raw(spark, d).daily_prices).select(
+        "source", "symbol", "price_date", "open", "high", "low", "close", "volume")
+
+
+def _fallback_parts(spark, d):
+    r = _raw(spark, d)
+    wl = W.first_pair_per_symbol(_yahoo_pairs_all(spark, d))
+    pw, sw = W.fallback_windows(wl, _existing(spark, d), r.symbol_map, as_of=_P.as_of,
+                                window_days=_P.long_window)
+    loaded = W.primary_with_fallback(pw, sw, r.daily_prices, use_fallback=True)
+    return pw, sw, loaded
+
+
+@register("primary_with_fallback", f"""SELECT ipo_symbol, source, symbol, price_date, {dbl('open')}, {dbl('high')},
+  {dbl('low')}, {dbl('close')}, volume FROM w_loaded""")
+def _w10(spark, d):
+    return _fallback_parts(spark, d)[2]
+
+
+@register("price_run_summary", """SELECT count(*) AS attempted, CAST(coalesce(sum(coalesce(r.n, 0)), 0) AS BIGINT) AS rows,
+  count(*) FILTER (WHERE coalesce(r.n, 0) > 0) AS with_data, count(*) FILTER (WHERE coalesce(r.n, 0) = 0) AS no_data,
+  CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE w.load_status <> 'not_listed_yet') AS yahoo_used,
+  count(*) FILTER (WHERE w.load_status <> 'not_listed_yet' AND coalesce(r.np, 0) = 0 AND s.ipo_symbol IS NOT NULL) AS alpha_used
+FROM w_pw w
+LEFT JOIN (SELECT ipo_symbol, count(*) AS n, count(*) FILTER (WHERE source = 'yahoo') AS np FROM w_loaded GROUP BY 1) r
+  ON r.ipo_symbol = w.ipo_symbol
+LEFT JOIN (SELECT DISTINCT ipo_symbol FROM w_sw) s ON s.ipo_symbol = w.ipo_symbol""")
+def _w11(spark, d):
+    pw, sw, loaded = _fallback_parts(spark, d)
+    return W.price_run_summary(pw, loaded, secondary_windows=sw)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)

@@ -237,5 +237,67 @@ m_bench_30 AS (
   GROUP BY coalesce(industry, 'Unknown'))"""
 
 
+# Incremental-load scenario: the store already holds bars up to this date;
+# the vendor feed ("staged") is the whole derived price table.
+LOAD_CUTOFF = dt.date(2001, 4, 15)
+
+_EQ = "regexp_full_match(upper({s}), '[A-Z0-9]{{1,5}}') AND NOT regexp_matches(upper({s}), '[UWR]$')"
+
+
+def worklist_ctes(p: Params = DEFAULT_PARAMS) -> str:
+    a = p.as_of
+    lo = a - dt.timedelta(days=p.worklist_recent_days)
+    N = p.long_window
+
+    def pairs(v):
+        return f"""
+w_pairs_{v} AS (
+  SELECT upper(e.symbol) AS ipo_symbol, m.vendor_symbol, e.ipo_date
+  FROM raw_events e JOIN raw_map m ON m.vendor = '{v}' AND m.ipo_symbol = upper(e.symbol)
+  WHERE m.is_priceable AND m.vendor_symbol IS NOT NULL AND e.ipo_date IS NOT NULL AND e.ipo_date <= {_d(a)}
+    AND {_EQ.format(s='e.symbol')} AND e.ipo_date >= {_d(lo)}
+  GROUP BY 1, 2, 3)"""
+
+    def windows(name, src, wl):
+        return f"""
+{name} AS (
+  SELECT *, CASE WHEN ipo_date > load_to THEN 'not_listed_yet' WHEN load_from > load_to THEN 'up_to_date'
+                 ELSE 'load' END AS load_status
+  FROM (SELECT w.*, least(w.ipo_date + {N}, {_d(a)}) AS load_to, h.hwm,
+               greatest(h.hwm + 1, w.ipo_date) AS load_from, '{src}' AS source
+        FROM {wl} w LEFT JOIN w_hwm h ON h.source = '{src}' AND h.symbol = w.vendor_symbol))"""
+
+    def bars(name, win):
+        return f"""
+{name} AS (
+  SELECT w.ipo_symbol, s.source, s.symbol, s.price_date, s.open, s.high, s.low, s.close, s.volume
+  FROM {win} w JOIN raw_prices s ON s.source = w.source AND s.symbol = w.vendor_symbol
+   AND s.price_date >= w.load_from AND s.price_date <= w.load_to
+  WHERE w.load_status = 'load')"""
+
+    return f"""
+w_recent AS (
+  SELECT DISTINCT upper(symbol) AS symbol FROM raw_events
+  WHERE symbol IS NOT NULL AND symbol <> '' AND {_EQ.format(s='symbol')} AND ipo_date >= {_d(lo)}),""" + \
+        pairs("yahoo") + "," + pairs("alphavantage") + f""",
+w_existing AS (SELECT * FROM raw_prices WHERE price_date <= {_d(LOAD_CUTOFF)}),
+w_hwm AS (SELECT source, symbol, max(price_date) AS hwm FROM w_existing GROUP BY source, symbol),
+w_wl AS (
+  SELECT ipo_symbol, vendor_symbol, ipo_date FROM (
+    SELECT *, row_number() OVER (PARTITION BY ipo_symbol ORDER BY ipo_date DESC, vendor_symbol) AS rn
+    FROM w_pairs_yahoo) WHERE rn = 1),
+w_alt AS (
+  SELECT wl.ipo_symbol, wl.ipo_date, m.vendor_symbol FROM w_wl wl
+  JOIN raw_map m ON m.vendor = 'alphavantage' AND m.is_priceable AND m.ipo_symbol = wl.ipo_symbol),""" + \
+        windows("w_load_all", "yahoo", "w_pairs_yahoo") + "," + windows("w_pw", "yahoo", "w_wl") + "," + \
+        windows("w_sw", "alphavantage", "w_alt") + "," + bars("w_prim", "w_pw") + "," + f"""
+w_sw2 AS (
+  SELECT * FROM w_sw
+  WHERE ipo_symbol IN (SELECT ipo_symbol FROM w_pw WHERE load_status <> 'not_listed_yet')
+    AND ipo_symbol NOT IN (SELECT ipo_symbol FROM w_prim)),""" + bars("w_sec", "w_sw2") + """,
+w_loaded AS (SELECT * FROM w_prim UNION ALL SELECT * FROM w_sec)"""
+
+
 def with_ctes(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
-    return "WITH " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + "\n" + final_select
+    return ("WITH " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + ",\n"
+            + worklist_ctes(p).strip() + "\n" + final_select)
