@@ -324,5 +324,227 @@ def _w11(spark, d):
     return W.price_run_summary(pw, loaded, secondary_windows=sw)
 
 
+# ---------------------------------------------------------------- serving ---
+from evwin.plans import serving as D  # noqa: E402
+
+_FEED = ("event_id, ipo_date, ipo_symbol, price_symbol, industry, sector, price_days, first_price_date, "
+         "last_price_date, CAST(first_close_30d AS DOUBLE) AS first_close_30d, "
+         "CAST(last_close_30d AS DOUBLE) AS last_close_30d, avg_close_30d, "
+         "CAST(min_close_30d AS DOUBLE) AS min_close_30d, CAST(max_close_30d AS DOUBLE) AS max_close_30d, "
+         "return_30d_pct, coverage_status_30d")
+_ENR = _FEED + ", coverage_band, price_range_pct_30d"
+
+
+def _filtered(spark, d):
+    g = graph(spark, d)
+    return g._get("filtered", lambda: D.metrics_filtered(D.metrics_enriched(g.metrics_short)))
+
+
+@register("metrics_feed", f"SELECT {_FEED} FROM m_metrics_30")
+def _d01(spark, d):
+    return D.metrics_feed(graph(spark, d).metrics_short)
+
+
+@register("coverage_feed", "SELECT * FROM m_cov_summary_30")
+def _d02(spark, d):
+    return D.coverage_feed(graph(spark, d).coverage_summary_short)
+
+
+@register("benchmark_feed", "SELECT * FROM m_bench_30")
+def _d03(spark, d):
+    return D.benchmark_feed(graph(spark, d).benchmarks_short)
+
+
+@register("dates_coerced", f"SELECT {_FEED} FROM m_metrics_30")
+def _d04(spark, d):
+    # the feed as the dashboard receives it: date columns as text
+    feed = D.metrics_feed(graph(spark, d).metrics_short)
+    for c in ("ipo_date", "first_price_date", "last_price_date"):
+        feed = feed.withColumn(c, F.col(c).cast("string"))
+    return D.dates_coerced(feed)
+
+
+@register("metrics_enriched", f"SELECT {_ENR} FROM d_enriched")
+def _d05(spark, d):
+    return D.metrics_enriched(graph(spark, d).metrics_short)
+
+
+@register("filter_domains", """SELECT DISTINCT 'industry' AS domain, industry AS value, false AS is_all FROM d_enriched
+UNION ALL SELECT DISTINCT 'sector', sector, false FROM d_enriched
+UNION ALL SELECT 'industry', 'All', true UNION ALL SELECT 'sector', 'All', true""")
+def _d06(spark, d):
+    return D.filter_domains(D.metrics_enriched(graph(spark, d).metrics_short))
+
+
+@register("metrics_filtered", f"SELECT {_ENR} FROM d_filtered")
+def _d07(spark, d):
+    return _filtered(spark, d)
+
+
+@register("kpis", f"""SELECT count(*) AS ipos, count(*) FILTER (WHERE price_days >= 1) AS with_any_prices,
+  count(*) FILTER (WHERE price_days >= 15) AS good_coverage,
+  CASE WHEN count(*) > 0 THEN {O.rdiv('CAST(sum(price_days) AS HUGEINT)', 'count(price_days)', 2)} END AS avg_price_days,
+  CASE WHEN count(ret_cents) FILTER (WHERE price_days >= 15) > 0 THEN
+    {O.rdiv('CAST(sum(ret_cents) FILTER (WHERE price_days >= 15) AS HUGEINT)', 'count(ret_cents) FILTER (WHERE price_days >= 15) * 100', 2)} END AS avg_return_30d_pct,
+  coalesce({O.dec2(O.rdiv('CAST(sum(price_days) AS HUGEINT)', 'count(price_days)', 2))}, 'n/a') AS avg_price_days_text,
+  CASE WHEN count(ret_cents) FILTER (WHERE price_days >= 15) > 0 THEN
+    {O.dec2(O.rdiv('CAST(sum(ret_cents) FILTER (WHERE price_days >= 15) AS HUGEINT)', 'count(ret_cents) FILTER (WHERE price_days >= 15) * 100', 2))} || '%'
+    ELSE 'n/a' END AS avg_return_text
+FROM d_filtered""")
+def _d08(spark, d):
+    return D.kpis(_filtered(spark, d))
+
+
+def _summary_sql():
+    avg = "avg_return_30d_pct"
+    perf = (f"CASE WHEN {avg} IS NULL THEN '{D.PERF_NONE}' WHEN {avg} >= 0 THEN {O.sql_fmt(D.PERF_POS, avg=O.dec2(avg))} "
+            f"ELSE {O.sql_fmt(D.PERF_NEG, avg=O.dec2(avg))} END")
+    pct = lambda c: f"regexp_replace({O.dec2(c)}, '0$', '')"
+    text = O.sql_fmt(D.SUMMARY_TEXT, total="total", with_any="with_any", pct_any=pct("pct_any"), good="good",
+                     pct_good=pct("pct_good"), partial="partial", weak="weak", none="no_prices", perf=perf)
+    return f"""SELECT *, CASE WHEN total = 0 THEN '{D.NO_ROWS_TEXT}' ELSE {text} END AS summary FROM (
+  SELECT *, CASE WHEN total > 0 THEN {O.rdiv('CAST(with_any AS HUGEINT) * 100', 'total', 2)} END AS pct_any,
+         CASE WHEN total > 0 THEN {O.rdiv('CAST(good AS HUGEINT) * 100', 'total', 2)} END AS pct_good FROM (
+    SELECT count(*) AS total, count(*) FILTER (WHERE price_days >= 1) AS with_any,
+      count(*) FILTER (WHERE price_days >= 15) AS good,
+      count(*) FILTER (WHERE price_days >= 7 AND price_days < 15) AS partial,
+      count(*) FILTER (WHERE price_days >= 1 AND price_days < 7) AS weak,
+      count(*) FILTER (WHERE price_days = 0) AS no_prices,
+      CASE WHEN count(ret_cents) FILTER (WHERE price_days >= 15) > 0 THEN
+        {O.rdiv('CAST(sum(ret_cents) FILTER (WHERE price_days >= 15) AS HUGEINT)', 'count(ret_cents) FILTER (WHERE price_days >= 15) * 100', 2)} END AS avg_return_30d_pct
+    FROM d_filtered))"""
+
+
+@register("executive_summary", _summary_sql())
+def _d09(spark, d):
+    return D.executive_summary(_filtered(spark, d))
+
+
+def _best_worst_sql():
+    g = "(SELECT industry, count(*) AS ipo_count, CAST(sum(ret_cents) AS HUGEINT) AS s, count(ret_cents) AS n FROM d_strong GROUP BY industry)"
+    msg = O.sql_fmt(D.INDUSTRY_TEXT, top="top_industry", top_avg=O.dec2("top_avg_return_30d_pct"), top_n="top_ipo_count",
+                    bottom="bottom_industry", bottom_avg=O.dec2("bottom_avg_return_30d_pct"), bottom_n="bottom_ipo_count")
+    return f"""SELECT *, CASE WHEN top_industry IS NULL THEN '{D.INDUSTRY_NONE}' ELSE {msg} END AS message FROM (
+  SELECT t.industry AS top_industry, {O.rdiv('t.s', 't.n * 100', 2)} AS top_avg_return_30d_pct, t.ipo_count AS top_ipo_count,
+         b.industry AS bottom_industry, {O.rdiv('b.s', 'b.n * 100', 2)} AS bottom_avg_return_30d_pct, b.ipo_count AS bottom_ipo_count
+  FROM (SELECT 1 AS one) o
+  LEFT JOIN (SELECT * FROM {g} ORDER BY CAST(s AS DOUBLE) / n DESC, ipo_count DESC, industry LIMIT 1) t ON true
+  LEFT JOIN (SELECT * FROM {g} ORDER BY CAST(s AS DOUBLE) / n ASC, ipo_count ASC, industry DESC LIMIT 1) b ON true)"""
+
+
+@register("best_worst_industry", _best_worst_sql())
+def _d10(spark, d):
+    return D.best_worst_industry(_filtered(spark, d))
+
+
+@register("band_distribution", "SELECT coverage_band, count(*) AS ipo_count FROM d_filtered GROUP BY coverage_band")
+def _d11(spark, d):
+    return D.band_distribution(_filtered(spark, d))
+
+
+@register("price_days_histogram", """SELECT CAST(price_days // 2 * 2 AS BIGINT) AS bin_start, count(*) AS ipo_count,
+  CAST(price_days // 2 * 2 + 1 AS BIGINT) AS bin_end FROM d_filtered GROUP BY 1, 3""")
+def _d12(spark, d):
+    return D.price_days_histogram(_filtered(spark, d))
+
+
+@register("top_sectors", """SELECT sector, count(*) AS ipo_count FROM d_filtered WHERE sector IS NOT NULL
+GROUP BY sector ORDER BY ipo_count DESC, sector LIMIT 15""")
+def _d13(spark, d):
+    return D.top_sectors(_filtered(spark, d))
+
+
+_RANK = "ipo_symbol, industry, sector, price_days, return_30d_pct, price_range_pct_30d"
+
+
+@register("top_returns", f"SELECT {_RANK} FROM d_strong ORDER BY return_30d_pct DESC, ipo_symbol, event_id LIMIT 10")
+def _d14(spark, d):
+    return D.top_returns(_filtered(spark, d))
+
+
+@register("bottom_returns", f"SELECT {_RANK} FROM d_strong ORDER BY return_30d_pct ASC, ipo_symbol, event_id LIMIT 10")
+def _d15(spark, d):
+    return D.bottom_returns(_filtered(spark, d))
+
+
+@register("return_ranking", "SELECT ipo_symbol, return_30d_pct, industry, sector, price_days FROM d_filtered WHERE price_days >= 15")
+def _d16(spark, d):
+    return D.return_ranking(_filtered(spark, d))
+
+
+@register("return_vs_coverage", "SELECT price_days, return_30d_pct, industry, ipo_symbol, sector FROM d_strong")
+def _d17(spark, d):
+    return D.return_vs_coverage(_filtered(spark, d))
+
+
+@register("top_ranges", """SELECT ipo_symbol, price_range_pct_30d, industry, sector, return_30d_pct FROM d_filtered
+WHERE price_days >= 15 AND price_range_pct_30d IS NOT NULL ORDER BY price_range_pct_30d DESC, ipo_symbol, event_id LIMIT 15""")
+def _d18(spark, d):
+    return D.top_ranges(_filtered(spark, d))
+
+
+@register("benchmarks_by_return", "SELECT * FROM m_bench_30")
+def _d19(spark, d):
+    return D.benchmarks_by_return(graph(spark, d).benchmarks_short)
+
+
+@register("industry_scale", "SELECT ipo_count, avg_return_30d_pct, avg_price_days, industry FROM m_bench_30")
+def _d20(spark, d):
+    return D.industry_scale(graph(spark, d).benchmarks_short)
+
+
+@register("sector_scan", """SELECT industry, sector, count(*) AS ipo_count,
+  CAST(sum(ret_cents) AS DOUBLE) / 100 / count(*) AS avg_return_30d_pct,
+  CAST(quantile_disc(CAST(ret_cents AS BIGINT), 0.5) - quantile_disc(-CAST(ret_cents AS BIGINT), 0.5) AS DOUBLE) / 200 AS median_return_30d_pct,
+  CAST(sum(price_days) AS DOUBLE) / count(price_days) AS avg_price_days
+FROM d_strong GROUP BY industry, sector""")
+def _d21(spark, d):
+    return D.sector_scan(_filtered(spark, d))
+
+
+def _detail_sql():
+    parts = []
+    for i, (label, c) in enumerate(D.DETAIL_FIELDS):
+        if c in ("avg_close_30d", "price_range_pct_30d"):
+            v = f"CAST(CAST(round({c}, 6) AS DECIMAL(38,6)) AS VARCHAR)"
+        else:
+            v = f"CAST({c} AS VARCHAR)"
+        parts.append(f"SELECT ipo_symbol, {i} AS pos, '{label}' AS field, {v} AS value FROM d_newest")
+    return ("SELECT * FROM (WITH d_newest AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY ipo_symbol "
+            "ORDER BY ipo_date DESC, event_id) AS rn FROM d_filtered) WHERE rn = 1)\n"
+            + "\nUNION ALL ".join(parts) + ")")
+
+
+@register("listing_detail", _detail_sql())
+def _d22(spark, d):
+    return D.listing_detail(_filtered(spark, d))
+
+
+def _verdict_sql():
+    r, dd, s = "return_30d_pct", "price_days", "ipo_symbol"
+    strong = f"({dd} >= 15 AND {r} IS NOT NULL)"
+    return f"""SELECT event_id, ipo_symbol,
+  CASE WHEN {strong} AND {r} > 0 THEN 'positive' WHEN {strong} THEN 'negative' WHEN {dd} >= 7 THEN 'partial'
+       WHEN {dd} >= 1 THEN 'minimal' ELSE 'none' END AS verdict,
+  CASE WHEN {strong} AND {r} > 0 THEN {O.sql_fmt(D.VERDICT_POS, sym=s, ret=O.dec2(r))}
+       WHEN {strong} THEN {O.sql_fmt(D.VERDICT_NEG, sym=s, ret=O.dec2(r))}
+       WHEN {dd} >= 7 THEN {O.sql_fmt(D.VERDICT_PARTIAL, sym=s, days=dd)}
+       WHEN {dd} >= 1 THEN {O.sql_fmt(D.VERDICT_MINIMAL, sym=s, days=dd)}
+       ELSE {O.sql_fmt(D.VERDICT_NONE, sym=s)} END AS message
+FROM d_filtered"""
+
+
+@register("listing_verdict", _verdict_sql())
+def _d23(spark, d):
+    return D.listing_verdict(_filtered(spark, d))
+
+
+@register("listing_table", """SELECT ipo_date, ipo_symbol, price_symbol, industry, sector, price_days, coverage_band,
+  CAST(first_close_30d AS DOUBLE) AS first_close_30d, CAST(last_close_30d AS DOUBLE) AS last_close_30d,
+  return_30d_pct, price_range_pct_30d FROM d_filtered""")
+def _d24(spark, d):
+    return D.listing_table(_filtered(spark, d))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)

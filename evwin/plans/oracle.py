@@ -298,6 +298,42 @@ w_sw2 AS (
 w_loaded AS (SELECT * FROM w_prim UNION ALL SELECT * FROM w_sec)"""
 
 
+def sql_fmt(template: str, **parts: str) -> str:
+    """Fill a fixed text template with SQL string expressions."""
+    import re
+    out, pos = [], 0
+    for m in re.finditer(r"\{(\w+)\}", template):
+        out.append("'" + template[pos:m.start()].replace("'", "''") + "'")
+        out.append(f"CAST(({parts[m.group(1)]}) AS VARCHAR)")
+        pos = m.end()
+    out.append("'" + template[pos:].replace("'", "''") + "'")
+    return "(" + " || ".join(out) + ")"
+
+
+def dec2(x: str) -> str:
+    return f"CAST(CAST(({x}) AS DECIMAL(38,2)) AS VARCHAR)"
+
+
+def serving_ctes(p: Params = DEFAULT_PARAMS) -> str:
+    g, pa, lo = p.short_limits
+    return f"""
+d_enriched AS (
+  SELECT event_id, ipo_date, ipo_symbol, price_symbol, coalesce(industry, 'Unknown') AS industry,
+         coalesce(sector, 'Unknown') AS sector, price_days, first_price_date, last_price_date,
+         first_close_30d, last_close_30d, avg_close_30d, min_close_30d, max_close_30d, return_30d_pct,
+         ret_cents, coverage_status_30d,
+         CASE WHEN price_days >= {g} THEN 'good_coverage' WHEN price_days >= {pa} THEN 'partial_coverage'
+              WHEN price_days >= {lo} THEN 'very_low_coverage' ELSE 'no_prices' END AS coverage_band,
+         CASE WHEN first_close_30d IS NULL OR first_close_30d = 0 THEN NULL
+              ELSE (CAST(max_close_30d AS DOUBLE) - CAST(min_close_30d AS DOUBLE)) / CAST(first_close_30d AS DOUBLE) * 100.0
+         END AS price_range_pct_30d
+  FROM m_metrics_30),
+d_filtered AS (
+  SELECT * FROM d_enriched
+  WHERE return_30d_pct IS NULL OR (return_30d_pct >= -100 AND return_30d_pct <= 300)),
+d_strong AS (SELECT * FROM d_filtered WHERE price_days >= {g} AND ret_cents IS NOT NULL)"""
+
+
 def with_ctes(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
     return ("WITH " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + ",\n"
-            + worklist_ctes(p).strip() + "\n" + final_select)
+            + worklist_ctes(p).strip() + ",\n" + serving_ctes(p).strip() + "\n" + final_select)
