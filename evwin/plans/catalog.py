@@ -546,5 +546,95 @@ def _d24(spark, d):
     return D.listing_table(_filtered(spark, d))
 
 
+# ---------------------------------------------------------------- quality ---
+from evwin.plans import quality as Q  # noqa: E402
+from evwin.sources.schemas import KEYS  # noqa: E402
+
+_MODEL_SRC = {"listings_recent": "m_listings", "window_prices_30d": "m_win_short", "metrics_30d": "m_metrics_30",
+              "coverage_summary_30d": "m_cov_summary_30", "benchmarks_30d": "m_bench_30"}
+
+
+def _status_sql(inner: str) -> str:
+    return (f"SELECT *, CASE WHEN failures = 0 THEN 'pass' WHEN severity = 'warn' THEN 'warn' ELSE 'fail' END "
+            f"AS status FROM ({inner})")
+
+
+def _not_null_sql() -> str:
+    parts = []
+    for m, tests in Q.NOT_NULL_TESTS.items():
+        for c, sev in tests:
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column, 'not_null' AS test, "
+                         f"CAST(count(*) FILTER (WHERE {c} IS NULL) AS BIGINT) AS failures, '{sev}' AS severity "
+                         f"FROM {_MODEL_SRC[m]}")
+    return _status_sql(" UNION ALL ".join(parts))
+
+
+def _unique_sql() -> str:
+    parts = []
+    for m, cols in Q.UNIQUE_TESTS.items():
+        for c in cols:
+            parts.append(f"SELECT '{m}' AS model, '{c}' AS column, 'unique' AS test, CAST(count(*) AS BIGINT) AS failures, "
+                         f"'error' AS severity FROM (SELECT {c} FROM {_MODEL_SRC[m]} WHERE {c} IS NOT NULL "
+                         f"GROUP BY {c} HAVING count(*) > 1)")
+    return _status_sql(" UNION ALL ".join(parts))
+
+
+def _models(spark, d):
+    g = graph(spark, d)
+    return {"listings_recent": g.listings, "window_prices_30d": g.window_short, "metrics_30d": g.metrics_short,
+            "coverage_summary_30d": g.coverage_summary_short, "benchmarks_30d": g.benchmarks_short}
+
+
+@register("dq_not_null", _not_null_sql())
+def _q01(spark, d):
+    m = _models(spark, d)
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b),
+                  [Q.not_null_checks(m[k], k, t) for k, t in Q.NOT_NULL_TESTS.items()])
+
+
+@register("dq_unique", _unique_sql())
+def _q02(spark, d):
+    m = _models(spark, d)
+    from functools import reduce
+    return reduce(lambda a, b: a.unionByName(b),
+                  [Q.unique_check(m[k], k, c) for k, cols in Q.UNIQUE_TESTS.items() for c in cols])
+
+
+@register("dq_severity", f"""SELECT count(*) AS tests, count(*) FILTER (WHERE status = 'pass') AS passed,
+  count(*) FILTER (WHERE status = 'warn') AS warned, count(*) FILTER (WHERE status = 'fail') AS failed,
+  CASE WHEN count(*) FILTER (WHERE status = 'fail') > 0 THEN 'fail'
+       WHEN count(*) FILTER (WHERE status = 'warn') > 0 THEN 'warn' ELSE 'pass' END AS verdict
+FROM ({_not_null_sql()} UNION ALL {_unique_sql()})""")
+def _q03(spark, d):
+    return Q.verdict(Q.model_checks(_models(spark, d)))
+
+
+_RAW_SRC = {"ipo_events": "raw_events", "daily_prices": "raw_prices", "symbol_map": "raw_map",
+            "company_profiles": "raw_profiles"}
+
+
+def _keys_sql() -> str:
+    parts = []
+    for t, src in _RAW_SRC.items():
+        keys = KEYS[t]
+        kt = ",".join(keys)
+        anyn = " OR ".join(f"{k} IS NULL" for k in keys)
+        parts.append(f"SELECT '{t}' AS model, '{kt}' AS column, 'not_null' AS test, "
+                     f"CAST(count(*) FILTER (WHERE {anyn}) AS BIGINT) AS failures, 'error' AS severity FROM {src}")
+        parts.append(f"SELECT '{t}', '{kt}', 'unique', CAST(count(*) AS BIGINT), 'error' FROM "
+                     f"(SELECT {kt} FROM {src} GROUP BY {kt} HAVING count(*) > 1)")
+    return _status_sql(" UNION ALL ".join(parts))
+
+
+@register("dq_keys", _keys_sql())
+def _q04(spark, d):
+    r = _raw(spark, d)
+    return Q.key_checks({"ipo_events": (r.ipo_events, KEYS["ipo_events"]),
+                         "daily_prices": (r.daily_prices, KEYS["daily_prices"]),
+                         "symbol_map": (r.symbol_map, KEYS["symbol_map"]),
+                         "company_profiles": (r.company_profiles, KEYS["company_profiles"])})
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)
