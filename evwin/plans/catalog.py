@@ -311,14 +311,17 @@ def _w10(spark, d):
     return _fallback_parts(spark, d)[2]
 
 
-@register("price_run_summary", """SELECT count(*) AS attempted, CAST(coalesce(sum(coalesce(r.n, 0)), 0) AS BIGINT) AS rows,
+_W11_SQL = """SELECT count(*) AS attempted, CAST(coalesce(sum(coalesce(r.n, 0)), 0) AS BIGINT) AS rows,
   count(*) FILTER (WHERE coalesce(r.n, 0) > 0) AS with_data, count(*) FILTER (WHERE coalesce(r.n, 0) = 0) AS no_data,
   CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE w.load_status <> 'not_listed_yet') AS yahoo_used,
   count(*) FILTER (WHERE w.load_status <> 'not_listed_yet' AND coalesce(r.np, 0) = 0 AND s.ipo_symbol IS NOT NULL) AS alpha_used
 FROM w_pw w
 LEFT JOIN (SELECT ipo_symbol, count(*) AS n, count(*) FILTER (WHERE source = 'yahoo') AS np FROM w_loaded GROUP BY 1) r
   ON r.ipo_symbol = w.ipo_symbol
-LEFT JOIN (SELECT DISTINCT ipo_symbol FROM w_sw) s ON s.ipo_symbol = w.ipo_symbol""")
+LEFT JOIN (SELECT DISTINCT ipo_symbol FROM w_sw) s ON s.ipo_symbol = w.ipo_symbol"""
+
+
+@register("price_run_summary", _W11_SQL)
 def _w11(spark, d):
     pw, sw, loaded = _fallback_parts(spark, d)
     return W.price_run_summary(pw, loaded, secondary_windows=sw)
@@ -636,5 +639,238 @@ def _q04(spark, d):
                          "company_profiles": (r.company_profiles, KEYS["company_profiles"])})
 
 
+# ----------------------------------------------------------------- ingest ---
+import datetime as _dt  # noqa: E402
+
+from evwin.operators import ingest as I  # noqa: E402
+from evwin.operators.upsert import upsert  # noqa: E402
+from evwin.sources import payloads as PL  # noqa: E402
+
+_BT = PL.BATCH_TS
+_BT_SQL = f"'{_BT:%Y-%m-%d %H:%M:%S}'"
+_CAL_LO = _P.as_of - _dt.timedelta(days=365)
+_CAL_HI = _P.as_of + _dt.timedelta(days=14)
+_EVENT_CUT = _P.as_of - _dt.timedelta(days=60)   # the store holds listings loaded before this date
+_CAL_SRC = f"(SELECT * FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_CAL_HI)})"
+_OTC_OLD, _OTC_NEW = PL.REPLAY_EXCHANGE
+
+
+def _cal_rows(spark, d):
+    return I.calendar_parse(PL.calendar_payloads(_raw(spark, d).ipo_events, as_of=_P.as_of))
+
+
+@register("calendar_parse", f"""SELECT CAST(ipo_date AS VARCHAR) AS date, company_name AS name, symbol, exchange,
+  {dbl('price_range_low')}, {dbl('price_range_high')}, shares FROM {_CAL_SRC}
+WHERE (ipo_date - DATE '1970-01-01') % 4 <> 3
+UNION ALL SELECT CAST(ipo_date AS VARCHAR), company_name, symbol, '{_OTC_NEW}', {dbl('price_range_low')},
+  {dbl('price_range_high')}, shares FROM {_CAL_SRC} WHERE exchange = '{_OTC_OLD}'""")
+def _i01(spark, d):
+    return _cal_rows(spark, d).select("date", "name", "symbol", "exchange", "price_range_low",
+                                      "price_range_high", "shares")
+
+
+@register("calendar_windows", f"""SELECT {O._d(_CAL_LO)} AS window_from, {O._d(_CAL_HI)} AS window_to,
+  count(*) AS events FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_CAL_HI)}""")
+def _i02(spark, d):
+    return I.calendar_windows(spark, _raw(spark, d).ipo_events, as_of=_P.as_of)
+
+
+_EV_COLS = ("event_id, source, ipo_date, symbol, company_name, exchange, "
+            "CAST(price_range_low AS DOUBLE) AS price_range_low, CAST(price_range_high AS DOUBLE) AS price_range_high, "
+            "shares")
+_DEDUPE_SQL = f"""SELECT {_EV_COLS}, {_BT_SQL} AS ingested_at FROM (
+  SELECT * REPLACE (CASE WHEN exchange = '{_OTC_OLD}' THEN '{_OTC_NEW}' ELSE exchange END AS exchange)
+  FROM {_CAL_SRC} WHERE (ipo_date - DATE '1970-01-01') % 4 <> 3 OR exchange = '{_OTC_OLD}')"""
+
+
+def _dedupe(spark, d):
+    return I.event_key_dedupe(_cal_rows(spark, d), batch_ts=_BT)
+
+
+_EV_OUT = ["event_id", "source", "ipo_date", "symbol", "company_name", "exchange", "price_range_low",
+           "price_range_high", "shares", "ingested_at"]
+
+
+@register("event_key_dedupe", _DEDUPE_SQL)
+def _i03(spark, d):
+    return _dedupe(spark, d).select(*_EV_OUT)
+
+
+@register("upsert_events", f"""SELECT {_EV_COLS}, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
+FROM raw_events WHERE ipo_date < {O._d(_EVENT_CUT)} AND event_id NOT IN (SELECT event_id FROM ({_DEDUPE_SQL}))
+UNION ALL {_DEDUPE_SQL}""")
+def _i04(spark, d):
+    target = _raw(spark, d).ipo_events.filter(F.col("ipo_date") < F.lit(_EVENT_CUT))
+    return upsert(target, _dedupe(spark, d), ["event_id"]).select(*_EV_OUT)
+
+
+_OHLCV_SQL = f"source, symbol, price_date, {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, volume"
+_PX_OUT = ["source", "symbol", "price_date", "open", "high", "low", "close", "volume"]
+_FLAT_SQL = (f"SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'alphavantage' "
+             f"AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}")
+
+
+def _flat(spark, d):
+    pl = PL.series_payloads(_raw(spark, d).daily_prices).select(
+        "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
+    return I.daily_series_flatten(pl)
+
+
+@register("daily_series_flatten", _FLAT_SQL)
+def _i05(spark, d):
+    return _flat(spark, d)
+
+
+@register("bars_normalise", f"""SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'yahoo'
+  AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
+def _i06(spark, d):
+    bars = PL.bar_frames(_raw(spark, d).daily_prices, as_of=_P.as_of)
+    return I.bars_normalise(bars, symbol_col="symbol", date_col="Date")
+
+
+@register("payload_triage", """SELECT 'ok' AS status, count(*) AS payloads FROM (
+  SELECT DISTINCT symbol, date_trunc('month', price_date) FROM raw_prices WHERE source = 'alphavantage')
+UNION ALL SELECT s, n FROM (SELECT count(DISTINCT symbol) AS n FROM raw_prices WHERE source = 'alphavantage')
+  CROSS JOIN (VALUES ('rate_limited'), ('error'), ('info'), ('unexpected')) v(s)""")
+def _i07(spark, d):
+    t = I.payload_triage(PL.triage_payloads(_raw(spark, d).daily_prices))
+    return t.groupBy("status").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+def _fh_records(spark, d):
+    r = _raw(spark, d)
+    return I.profiles_finnhub(PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map))
+
+
+def _yh_records(spark, d):
+    return I.profiles_yahoo(PL.yahoo_profile_payloads(_raw(spark, d).company_profiles))
+
+
+@register("profiles_finnhub", """SELECT 'upserted' AS outcome, count(*) AS payloads FROM raw_profiles WHERE source = 'finnhub'
+UNION ALL SELECT 'empty', count(*) FROM (SELECT DISTINCT ipo_symbol FROM raw_map
+  WHERE ipo_symbol NOT IN (SELECT symbol FROM raw_profiles WHERE source = 'finnhub'))""")
+def _i08(spark, d):
+    return _fh_records(spark, d).groupBy("outcome").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+@register("profiles_yahoo", """SELECT symbol, name, exchange, country, industry, nullif(sector, '') AS sector, market_cap,
+  currency, weburl, 'upserted' AS outcome FROM raw_profiles WHERE source = 'yahoo'""")
+def _i09(spark, d):
+    y = _yh_records(spark, d)
+    return y.select(F.col("symbol").cast("string"), *[F.col(c).cast("string") for c in
+                    ("name", "exchange", "country", "industry", "sector")],
+                    F.col("market_cap").cast("double"), F.col("currency").cast("string"),
+                    F.col("weburl").cast("string"), "outcome")
+
+
+_PROF_OUT = ["source", "symbol", "name", "exchange", "country", "ipo", "currency", "market_cap", "industry",
+             "sector", "weburl", "logo", "ingested_at"]
+
+
+@register("profiles_upsert", f"""SELECT source, symbol, name, exchange, country, ipo, currency,
+  CASE WHEN source = 'yahoo' AND market_cap = 0 THEN NULL ELSE market_cap END AS market_cap,
+  nullif(trim(industry), '') AS industry, nullif(trim(sector), '') AS sector, weburl, CAST(NULL AS VARCHAR) AS logo,
+  {_BT_SQL} AS ingested_at FROM raw_profiles""")
+def _i10(spark, d):
+    r = _raw(spark, d)
+    cols = r.company_profiles.columns
+    fh = I.profiles_conform(_fh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
+    yh = I.profiles_conform(_yh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
+    return upsert(r.company_profiles, fh.unionByName(yh), ["source", "symbol"]).select(*_PROF_OUT)
+
+
+def _alpha_resolved(spark, d):
+    return I.resolve_first_or_exact(PL.alpha_search_payloads(_raw(spark, d).symbol_map))
+
+
+_ALPHA_SQL = f"""SELECT ipo_symbol,
+  CASE WHEN vendor_symbol LIKE 'X%' OR is_priceable OR vendor_symbol LIKE 'N%' THEN ipo_symbol ELSE vendor_symbol END AS vendor_symbol,
+  CASE WHEN vendor_symbol LIKE 'X%' THEN false WHEN is_priceable THEN true WHEN vendor_symbol LIKE 'N%' THEN false ELSE true END AS is_priceable,
+  CASE WHEN vendor_symbol LIKE 'X%' THEN 'resolve_error: {I.RATE_LIMIT_PREFIX}{PL.NOTE_TEXT}'
+       WHEN is_priceable THEN 'match=' || ipo_symbol || ' name=exact region=None'
+       WHEN vendor_symbol LIKE 'N%' THEN '{I.NO_MATCH_NOTE}'
+       ELSE 'match=' || vendor_symbol || ' name=only region=United States' END AS notes
+FROM raw_map WHERE vendor = 'alphavantage'"""
+
+
+@register("resolve_first_or_exact", _ALPHA_SQL)
+def _i13(spark, d):
+    return _alpha_resolved(spark, d)
+
+
+@register("symbol_map_upsert", f"""SELECT vendor, ipo_symbol, vendor_symbol, is_priceable, notes,
+  strftime(last_checked_at, '%Y-%m-%d %H:%M:%S') AS last_checked_at FROM raw_map WHERE vendor <> 'alphavantage'
+UNION ALL SELECT 'alphavantage', ipo_symbol, vendor_symbol, is_priceable, notes, {_BT_SQL} FROM ({_ALPHA_SQL})""")
+def _i11(spark, d):
+    batch = I.symbol_map_rows(_alpha_resolved(spark, d), vendor="alphavantage", batch_ts=_BT)
+    return upsert(_raw(spark, d).symbol_map, batch, ["vendor", "ipo_symbol"])
+
+
+@register("prices_upsert", f"""SELECT {_OHLCV_SQL}, '2001-06-30 08:00:00' AS ingested_at FROM raw_prices
+WHERE price_date <= {O._d(O.LOAD_CUTOFF)} AND (source, symbol, price_date) NOT IN
+  (SELECT (source, symbol, price_date) FROM raw_prices WHERE source = 'alphavantage'
+   AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)})
+UNION ALL SELECT *, {_BT_SQL} FROM ({_FLAT_SQL})""")
+def _i12(spark, d):
+    batch = I.price_rows(_flat(spark, d), batch_ts=_BT)
+    return upsert(_existing(spark, d), batch, ["source", "symbol", "price_date"]).select(*_PX_OUT, "ingested_at")
+
+
+_YREQ = "(SELECT DISTINCT vendor_symbol AS v FROM raw_map WHERE vendor = 'yahoo')"
+_SHAPE = "(regexp_full_match(v, '[A-Za-z0-9]{1,5}') AND NOT (length(v) >= 2 AND (v LIKE '%W' OR v LIKE '%R')))"
+_RESOLVED = f"""SELECT v AS ipo_symbol, CASE WHEN {_SHAPE} AND (v LIKE 'X%' OR (v LIKE 'S%' AND v NOT LIKE '%7'))
+  THEN v END AS resolved FROM {_YREQ}"""
+_HIST = f"""SELECT r.*, EXISTS (SELECT 1 FROM raw_prices p WHERE p.source = 'yahoo' AND p.symbol = r.resolved
+  AND p.price_date BETWEEN {O._d(_P.as_of - _dt.timedelta(days=30))} AND {O._d(_P.as_of)}
+  AND coalesce(p.open, p.high, p.low, p.close) IS NOT NULL) AS has_history FROM ({_RESOLVED}) r"""
+
+
+def _yreq(spark, d):
+    return PL.yahoo_search_requests(_raw(spark, d).symbol_map)
+
+
+def _yhist(spark, d):
+    return I.history_check(I.resolve_ranked_exact(_yreq(spark, d)), _raw(spark, d).daily_prices, as_of=_P.as_of)
+
+
+@register("resolve_ranked_exact", _RESOLVED)
+def _i14(spark, d):
+    return I.resolve_ranked_exact(_yreq(spark, d))
+
+
+@register("history_check", _HIST)
+def _i15(spark, d):
+    return _yhist(spark, d)
+
+
+@register("symbol_map_rows", f"""SELECT ipo_symbol, ipo_symbol AS vendor_symbol,
+  coalesce(NOT err AND resolved IS NOT NULL AND has_history, false) AS is_priceable,
+  CASE WHEN err THEN '{I.YAHOO_NOTES['error']}{PL.ERROR_TEXT}' WHEN resolved IS NULL THEN '{I.YAHOO_NOTES['no_match']}'
+       WHEN has_history THEN '{I.YAHOO_NOTES['match']}' ELSE '{I.YAHOO_NOTES['no_history']}' END AS notes
+FROM (SELECT *, ipo_symbol LIKE 'S%7' AS err FROM ({_HIST}))""")
+def _i16(spark, d):
+    return I.yahoo_map_rows(_yreq(spark, d), _yhist(spark, d))
+
+
+_AUDIT_KEYS = ["attempted", "rows", "with_data", "no_data", "failed", "yahoo_used", "alpha_used"]
+
+
+@register("run_audit", "SELECT 'backfill-2001-06-30' AS run_id, 'ipo_price_backfill' AS source, "
+          f"{_BT_SQL} AS started_at, '2001-06-30 09:05:00' AS finished_at, 'success' AS status, "
+          + "concat_ws(', ', " + ", ".join(f"'{k}=' || CAST({k} AS VARCHAR)" for k in _AUDIT_KEYS)
+          + ") AS notes FROM (" + _W11_SQL + ")")
+def _i17(spark, d):
+    counters = _w11(spark, d)
+    return I.run_audit(counters, run_id="backfill-2001-06-30", source="ipo_price_backfill", started_at=_BT,
+                       finished_at=_BT + _dt.timedelta(minutes=5), order=_AUDIT_KEYS)
+
+
+@register("profile_source_default", """SELECT source, symbol, name, industry, sector FROM raw_profiles""")
+def _i18(spark, d):
+    legacy = _raw(spark, d).company_profiles.withColumn(
+        "source", F.when(F.col("source") == "finnhub", F.lit(None).cast("string")).otherwise(F.col("source")))
+    return I.profile_source_default(legacy).select("source", "symbol", "name", "industry", "sector")
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)
