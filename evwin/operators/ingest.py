@@ -351,7 +351,8 @@ def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataF
                          (("open", "decimal(18,6)"), ("high", "decimal(18,6)"), ("low", "decimal(18,6)"),
                           ("close", "decimal(18,6)"), ("volume", "bigint"))],
                        F.to_json(F.struct(*cols)).alias("raw_row"),
-                       F.lit(batch_ts).cast("timestamp").alias("ingested_at"))
+                       F.lit(batch_ts).cast("timestamp").alias("ingested_at"),
+                       F.date_format("price_date", "yyyy-MM").alias("price_month"))
 
 
 # ---- I13-I16 symbol resolution -----------------------------------------------

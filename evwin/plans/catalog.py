@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from evwin.config import DEFAULT_PARAMS
 from evwin.plans import models as M
 from evwin.plans import oracle as O
-from evwin.sources.testdata import raw_tables
+from evwin.sources.raw import stored_raw_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -47,11 +47,12 @@ _GRAPHS: dict = {}
 
 
 def graph(spark: SparkSession, sf_dir: str) -> M.ModelGraph:
-    """One lazy model graph per (session, folder): queries share DataFrame
-    objects, so Spark's exchange reuse applies within a plan."""
+    """One model graph per (session, folder) over the stored raw tables
+    (derived from the test tables once, see ``sources.raw``); queries share
+    DataFrame objects, so Spark's exchange reuse applies within a plan."""
     key = (id(spark), sf_dir)
     if key not in _GRAPHS:
-        _GRAPHS[key] = M.ModelGraph(raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of), DEFAULT_PARAMS)
+        _GRAPHS[key] = M.ModelGraph(stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of), DEFAULT_PARAMS)
     return _GRAPHS[key]
 
 

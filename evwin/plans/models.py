@@ -100,6 +100,8 @@ def preferred_prices(prices: DataFrame, *, min_date: dt.date | None = None,
     p = prices
     if min_date is not None:
         p = p.filter(F.col("price_date") >= lit_date(min_date))
+        if "price_month" in prices.columns:   # stored layout: prune whole partitions
+            p = p.filter(F.col("price_month") >= F.lit(min_date.strftime("%Y-%m")))
     if symbols is not None:
         p = p.join(symbols.select(F.col(symbols.columns[0]).alias("_psym")).distinct(),
                    F.col("symbol") == F.col("_psym"), "left_semi")
