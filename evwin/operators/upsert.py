@@ -35,8 +35,13 @@ def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, k
                        partition_col: str) -> None:
     """Merge ``batch`` into the parquet table at ``table_path`` (partitioned
     by ``partition_col``), rewriting only the partitions the batch touches."""
+    from pyspark.errors import AnalysisException
+
     from evwin.session import materialize
-    target = spark.read.parquet(table_path)
+    try:
+        target = spark.read.parquet(table_path)
+    except AnalysisException:   # no table (or no files) yet: the batch is the table
+        target = spark.createDataFrame([], batch.schema)
     touched = batch.select(partition_col).distinct()
     tgt = target.join(touched, partition_col, "left_semi")
     merged = materialize(upsert(tgt, batch.select(*target.columns), keys), "upsert-stage")
