@@ -149,7 +149,8 @@ def _long_stats(window_rows: DataFrame) -> DataFrame:
     dated_close = F.when(c.isNotNull(), d)
     return window_rows.groupBy("event_id").agg(
         F.count(F.lit(1)).alias("price_rows"),
-        F.count_distinct(d).alias("distinct_price_days"),
+        # exact distinct count; the set holds at most window-length dates
+        F.size(F.collect_set(d)).cast("bigint").alias("distinct_price_days"),
         F.min(d).alias("first_price_date"),
         F.max(d).alias("last_price_date"),
         F.count(c).alias("_n_close"),
@@ -240,7 +241,7 @@ def benchmarks_long(metrics: DataFrame) -> DataFrame:
 def metrics_short(listings: DataFrame, window_rows: DataFrame, limits=(15, 7, 1)) -> DataFrame:
     c, d = F.col("close"), F.col("price_date")
     st = window_rows.groupBy(F.col("event_id").alias("_eid")).agg(
-        F.count_distinct(d).alias("price_days"),
+        F.size(F.collect_set(d)).cast("bigint").alias("price_days"),
         F.min(d).alias("first_price_date"),
         F.max(d).alias("last_price_date"),
         F.min_by(c, d).alias("first_close_30d"),   # NULL close on the first day stays NULL
@@ -292,19 +293,33 @@ class ModelGraph:
     window) to the checkpoint folder once, as the reference materialises its
     marts, so later models do not recompute the window join."""
 
-    def __init__(self, raw, params: Params = DEFAULT_PARAMS, materialize: bool = False):
-        self.raw, self.p, self._mat = raw, params, materialize
+    def __init__(self, raw, params: Params = DEFAULT_PARAMS, materialize: tuple = ()):
+        self.raw, self.p, self._mat = raw, params, tuple(materialize)
         self._cache: dict[str, DataFrame] = {}
 
     def _get(self, name, build):
         if name not in self._cache:
             df = build()
-            if self._mat and name in ("listings", "window_long"):
-                from evwin.session import materialize
-                df = materialize(df, name)
+            if name in self._mat:
+                df = self._store(name, df)
             self._cache[name] = df
         return self._cache[name]
 
+    def _store(self, name, df):
+        """Write a shared intermediate once (next to the raw store when there
+        is one, keyed by the parameters) and read it back."""
+        import hashlib
+        spark = df.sparkSession
+        root = getattr(self.raw, "root", None)
+        if root is None:
+            from evwin.session import materialize
+            return materialize(df, name)
+        from evwin.sources.raw import publish
+        key = hashlib.sha1(repr((name, self.p.as_of, self.p.model_recent_days, self.p.long_window,
+                                 self.p.short_window, self.p.long_limits, self.p.short_limits)).encode()).hexdigest()[:12]
+        path = publish(spark, f"{root}/models/{name}-{key}", lambda tmp: df.write.parquet(f"{tmp}/data"))
+        return spark.read.parquet(f"{path}/data")
+
     @property
     def listings(self):
         r, p = self.raw, self.p

@@ -334,6 +334,13 @@ d_filtered AS (
 d_strong AS (SELECT * FROM d_filtered WHERE price_days >= {g} AND ret_cents IS NOT NULL)"""
 
 
+def on_stored_tables(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
+    """The same statement over views ``raw_events raw_prices raw_map
+    raw_profiles`` (e.g. the stored raw tables) instead of re-deriving them."""
+    return ("WITH " + model_ctes(p).strip() + ",\n" + worklist_ctes(p).strip() + ",\n"
+            + serving_ctes(p).strip() + "\n" + final_select)
+
+
 def with_ctes(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
     return ("WITH " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + ",\n"
             + worklist_ctes(p).strip() + ",\n" + serving_ctes(p).strip() + "\n" + final_select)

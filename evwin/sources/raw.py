@@ -43,15 +43,32 @@ def write_prices(prices: DataFrame, path: str, mode: str = "errorifexists") -> N
      .write.mode(mode).partitionBy("price_month").parquet(path))
 
 
-def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> RawTables:
+def publish(spark: SparkSession, root: str, write) -> str:
+    """Write a folder once: ``write(tmp)`` fills a temporary folder which is
+    then renamed to ``root``; an existing complete ``root`` is reused."""
+    fs, rp, jvm = _fs(spark, root)
+    done = jvm.org.apache.hadoop.fs.Path(root + "/_COMPLETE")
+    if not fs.exists(done):
+        tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
+        write(tmp)
+        fs.create(jvm.org.apache.hadoop.fs.Path(tmp + "/_COMPLETE")).close()
+        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), rp) and not fs.exists(done):
+            raise RuntimeError(f"could not publish {root}")
+    return root
+
+
+def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    fs, src, jvm = _fs(spark, sf_dir)
+    fs, src, _ = _fs(spark, sf_dir)
     size = fs.getContentSummary(src).getLength()
     key = hashlib.sha1(f"{STORE_VERSION}|{src.toString()}|{size}|{as_of}".encode()).hexdigest()[:16]
-    root = f"{base}/evwin/store-{key}"
-    fs, rp, jvm = _fs(spark, root)
-    if not fs.exists(jvm.org.apache.hadoop.fs.Path(root + "/_COMPLETE")):
-        tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
+    return f"{base}/evwin/store-{key}"
+
+
+def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> RawTables:
+    root = store_root(spark, sf_dir, as_of)
+
+    def write(tmp):
         r = raw_tables(spark, sf_dir, as_of)
         for name in _TABLES:
             df = getattr(r, name)
@@ -59,8 +76,7 @@ def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE
                 write_prices(df, f"{tmp}/{name}")
             else:
                 df.write.parquet(f"{tmp}/{name}")
-        fs.create(jvm.org.apache.hadoop.fs.Path(tmp + "/_COMPLETE")).close()
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), rp) and \
-                not fs.exists(jvm.org.apache.hadoop.fs.Path(root + "/_COMPLETE")):
-            raise RuntimeError(f"could not publish raw store {root}")
-    return RawTables(**{name: spark.read.parquet(f"{root}/{name}") for name in _TABLES})
+    publish(spark, root, write)
+    tables = RawTables(**{name: spark.read.parquet(f"{root}/{name}") for name in _TABLES})
+    tables.root = root
+    return tables
