@@ -15,6 +15,9 @@ _LOCAL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # local runs: keep small shuffles spread over the cores instead of
+    # coalescing everything below 1 MB into one task
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     # Broadcast only what the runtime statistics prove small; beyond it the
     # planner keeps the shuffle (sort-merge) join.
     "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
