@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "lit_date", "py_strip", "clean_str", "clean_num", "first_present",
+    "lit_date", "ts_lit", "py_strip", "clean_str", "clean_num", "first_present",
     "equity_shape", "letters_shape", "is_us_listing", "rank_by",
     "guarded_ratio", "pct_return_2dp", "round_avg", "to_double",
     "coverage_class_short", "coverage_class_long", "label_or",
@@ -33,6 +33,14 @@ def lit_date(d: dt.date | str) -> Column:
     return F.lit(d if isinstance(d, dt.date) else dt.date.fromisoformat(d))
 
 
+def ts_lit(t: dt.datetime | None) -> Column:
+    """A timestamp literal read in the session time zone (so it prints back
+    as the same text whatever the Python process zone is); None -> NULL."""
+    if t is None:
+        return F.lit(None).cast("timestamp")
+    return F.to_timestamp(F.lit(t.strftime("%Y-%m-%d %H:%M:%S")))
+
+
 def py_strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP_RE, "")
 

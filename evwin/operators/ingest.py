@@ -14,7 +14,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evwin.functions.exprs import CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, py_strip
+from evwin.functions.exprs import CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, py_strip, ts_lit
 
 # --- fixed values ------------------------------------------------------------
 CALENDAR_KEYS = ("ipoCalendar", "ipoCalendarData", "data")
@@ -191,7 +191,7 @@ def event_key_dedupe(rows: DataFrame, *, source: str = "finnhub", batch_ts: dt.d
     return last.select(
         "event_id", F.lit(source).alias("source"), F.expr("try_to_date(date)").alias("ipo_date"), "symbol",
         F.col("name").alias("company_name"), "exchange", "price_range_low", "price_range_high", "shares",
-        "raw_json", F.lit(batch_ts).cast("timestamp").alias("ingested_at"))
+        "raw_json", ts_lit(batch_ts).alias("ingested_at"))
 
 
 # ---- I05 / I06 / I07 prices --------------------------------------------------
@@ -320,7 +320,7 @@ def profiles_conform(records: DataFrame, target_columns: list[str] | None = None
         "sector": clean_text(f["sector"]), "weburl": clean_text(f["weburl"]), "logo": clean_text(f["logo"]),
         "raw_json": F.to_json("_body")}
     keep = [k for k in PROFILE_COLUMNS if target_columns is None or k in target_columns]
-    out = p.select(*[rec[k].alias(k) for k in keep], F.lit(batch_ts).cast("timestamp").alias("ingested_at"))
+    out = p.select(*[rec[k].alias(k) for k in keep], ts_lit(batch_ts).alias("ingested_at"))
     return out.filter(F.col("source").isNotNull() & F.col("symbol").isNotNull())
 
 
@@ -337,7 +337,7 @@ def symbol_map_rows(rows: DataFrame, *, vendor: str, batch_ts: dt.datetime | Non
           else F.lit(True))
     notes = F.col("notes") if "notes" in rows.columns else F.lit(None).cast("string")
     return rows.select(F.lit(vendor).alias("vendor"), "ipo_symbol", "vendor_symbol", pr.alias("is_priceable"),
-                       notes.alias("notes"), F.lit(batch_ts).cast("timestamp").alias("last_checked_at"))
+                       notes.alias("notes"), ts_lit(batch_ts).alias("last_checked_at"))
 
 
 def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataFrame:
@@ -351,7 +351,7 @@ def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataF
                          (("open", "decimal(18,6)"), ("high", "decimal(18,6)"), ("low", "decimal(18,6)"),
                           ("close", "decimal(18,6)"), ("volume", "bigint"))],
                        F.to_json(F.struct(*cols)).alias("raw_row"),
-                       F.lit(batch_ts).cast("timestamp").alias("ingested_at"),
+                       ts_lit(batch_ts).alias("ingested_at"),
                        F.date_format("price_date", "yyyy-MM").alias("price_month"))
 
 
@@ -467,6 +467,6 @@ def run_audit(counters: DataFrame, *, run_id: str, source: str, started_at: dt.d
     keys = order or counters.columns
     notes = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
     return counters.select(F.lit(run_id).alias("run_id"), F.lit(source).alias("source"),
-                           F.lit(started_at).cast("timestamp").alias("started_at"),
-                           F.lit(finished_at).cast("timestamp").alias("finished_at"),
+                           ts_lit(started_at).alias("started_at"),
+                           ts_lit(finished_at).alias("finished_at"),
                            F.lit(status).alias("status"), notes.alias("notes"))

@@ -63,7 +63,8 @@ def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF)
     base = ensure_checkpoint_dir(spark).rstrip("/")
     fs, src, _ = _fs(spark, sf_dir)
     size = fs.getContentSummary(src).getLength()
-    key = hashlib.sha1(f"{STORE_VERSION}|{src.toString()}|{size}|{as_of}".encode()).hexdigest()[:16]
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    key = hashlib.sha1(f"{STORE_VERSION}|{src.toString()}|{size}|{as_of}|{tz}".encode()).hexdigest()[:16]
     return f"{base}/evwin/store-{key}"
 
 

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evwin.config import FIXTURE_AS_OF
+from evwin.functions.exprs import ts_lit
 
 # --- fixed values (derivation rules of the test inputs) --------------------
 EXCHANGES = ("NASDAQ Global", "NYSE", "nyse american", "OTC")  # by k % 4
@@ -76,7 +77,7 @@ def ipo_events(part: DataFrame, as_of: dt.date = FIXTURE_AS_OF) -> DataFrame:
             "symbol", "exchange", F.col("price_range_low").alias("priceRangeLow"),
             F.col("price_range_high").alias("priceRangeHigh"),
             F.col("shares").alias("numberOfShares"))).alias("raw_json"),
-        F.lit(INGESTED_AT).alias("ingested_at"),
+        ts_lit(INGESTED_AT).alias("ingested_at"),
     )
 
 
@@ -96,7 +97,7 @@ def symbol_map(part: DataFrame, supplier: DataFrame) -> DataFrame:
             F.lit(vendor).alias("vendor"), F.col("sym").alias("ipo_symbol"),
             _vendor_symbol(k, r, n_supp).alias("vendor_symbol"),
             priceable.alias("is_priceable"), F.lit(None).cast("string").alias("notes"),
-            F.lit(MAP_LAST_CHECKED[vendor]).alias("last_checked_at"))
+            ts_lit(MAP_LAST_CHECKED[vendor]).alias("last_checked_at"))
 
     return rows("alphavantage", k % 2 == 0, 0, k % 5 != 0).unionByName(
         rows("yahoo", k % 11 != 0, 1, k % 7 != 0))
@@ -115,7 +116,7 @@ def company_profiles(part: DataFrame, as_of: dt.date = FIXTURE_AS_OF) -> DataFra
             industry.alias("industry"), sector.alias("sector"),
             F.concat(F.lit("web/"), F.lower("sym")).alias("weburl"),
             F.lit(None).cast("string").alias("logo"), F.lit(None).cast("string").alias("raw_json"),
-            F.lit(INGESTED_AT).alias("ingested_at"))
+            ts_lit(INGESTED_AT).alias("ingested_at"))
 
     fh = rows("finnhub", k % 3 != 0,
               F.when(k % 8 == 0, F.lit(None).cast("string")).when(k % 10 == 0, F.lit(" "))
@@ -161,7 +162,7 @@ def daily_prices(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     return bars.select("source", "symbol", "price_date", "open", "high", "low",
                        close.alias("close"), "volume",
                        F.lit(None).cast("string").alias("raw_row"),
-                       F.lit(INGESTED_AT).alias("ingested_at"))
+                       ts_lit(INGESTED_AT).alias("ingested_at"))
 
 
 def raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> RawTables:
