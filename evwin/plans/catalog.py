@@ -267,7 +267,8 @@ ORDER BY CASE coverage_status WHEN 'mapped_but_no_prices' THEN 1 WHEN 'very_low_
 
 @register("backfill_candidates", _BACKFILL_SQL)
 def _w06(spark, d):
-    return W.backfill_candidates(graph(spark, d).coverage, limit=_P.backfill_limit, **_WL)
+    # the backfill reads the coverage mart (a table in the reference)
+    return W.backfill_candidates(_mart(spark, d, "coverage"), limit=_P.backfill_limit, **_WL)
 
 
 @register("alternate_symbol", f"""SELECT b.*, m.vendor_symbol AS alt_symbol FROM ({_BACKFILL_SQL}) b
@@ -345,30 +346,35 @@ _FEED = ("event_id, ipo_date, ipo_symbol, price_symbol, industry, sector, price_
 _ENR = _FEED + ", coverage_band, price_range_pct_30d"
 
 
+def _mart(spark, d, name):
+    """Serving queries read the written marts (as the dashboard reads tables)."""
+    return graph(spark, d).mart(name)
+
+
 def _filtered(spark, d):
     g = graph(spark, d)
-    return g._get("filtered", lambda: D.metrics_filtered(D.metrics_enriched(g.metrics_short)))
+    return g._get("filtered", lambda: D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short"))))
 
 
 @register("metrics_feed", f"SELECT {_FEED} FROM m_metrics_30")
 def _d01(spark, d):
-    return D.metrics_feed(graph(spark, d).metrics_short)
+    return D.metrics_feed(_mart(spark, d, "metrics_short"))
 
 
 @register("coverage_feed", "SELECT * FROM m_cov_summary_30")
 def _d02(spark, d):
-    return D.coverage_feed(graph(spark, d).coverage_summary_short)
+    return D.coverage_feed(_mart(spark, d, "coverage_summary_short"))
 
 
 @register("benchmark_feed", "SELECT * FROM m_bench_30")
 def _d03(spark, d):
-    return D.benchmark_feed(graph(spark, d).benchmarks_short)
+    return D.benchmark_feed(_mart(spark, d, "benchmarks_short"))
 
 
 @register("dates_coerced", f"SELECT {_FEED} FROM m_metrics_30")
 def _d04(spark, d):
     # the feed as the dashboard receives it: date columns as text
-    feed = D.metrics_feed(graph(spark, d).metrics_short)
+    feed = D.metrics_feed(_mart(spark, d, "metrics_short"))
     for c in ("ipo_date", "first_price_date", "last_price_date"):
         feed = feed.withColumn(c, F.col(c).cast("string"))
     return D.dates_coerced(feed)
@@ -376,14 +382,14 @@ def _d04(spark, d):
 
 @register("metrics_enriched", f"SELECT {_ENR} FROM d_enriched")
 def _d05(spark, d):
-    return D.metrics_enriched(graph(spark, d).metrics_short)
+    return D.metrics_enriched(_mart(spark, d, "metrics_short"))
 
 
 @register("filter_domains", """SELECT DISTINCT 'industry' AS domain, industry AS value, false AS is_all FROM d_enriched
 UNION ALL SELECT DISTINCT 'sector', sector, false FROM d_enriched
 UNION ALL SELECT 'industry', 'All', true UNION ALL SELECT 'sector', 'All', true""")
 def _d06(spark, d):
-    return D.filter_domains(D.metrics_enriched(graph(spark, d).metrics_short))
+    return D.filter_domains(D.metrics_enriched(_mart(spark, d, "metrics_short")))
 
 
 @register("metrics_filtered", f"SELECT {_ENR} FROM d_filtered")
@@ -495,12 +501,12 @@ def _d18(spark, d):
 
 @register("benchmarks_by_return", "SELECT * FROM m_bench_30")
 def _d19(spark, d):
-    return D.benchmarks_by_return(graph(spark, d).benchmarks_short)
+    return D.benchmarks_by_return(_mart(spark, d, "benchmarks_short"))
 
 
 @register("industry_scale", "SELECT ipo_count, avg_return_30d_pct, avg_price_days, industry FROM m_bench_30")
 def _d20(spark, d):
-    return D.industry_scale(graph(spark, d).benchmarks_short)
+    return D.industry_scale(_mart(spark, d, "benchmarks_short"))
 
 
 @register("sector_scan", """SELECT industry, sector, count(*) AS ipo_count,

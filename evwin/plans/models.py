@@ -305,6 +305,15 @@ class ModelGraph:
             self._cache[name] = df
         return self._cache[name]
 
+    def mart(self, name: str) -> DataFrame:
+        """The stored (materialized) version of a model, written once: what
+        downstream readers such as the dashboard queries read, as marts are
+        tables in the reference while staging models are views."""
+        key = f"mart:{name}"
+        if key not in self._cache:
+            self._cache[key] = self._store(name, getattr(self, name))
+        return self._cache[key]
+
     def _store(self, name, df):
         """Write a shared intermediate once (next to the raw store when there
         is one, keyed by the parameters) and read it back."""
