@@ -167,3 +167,23 @@ def test_fallback_and_summary(spark):
     assert sorted((r.ipo_symbol, r.source) for r in on.collect()) == [("A", "yahoo"), ("B", "alphavantage")]
     s = W.price_run_summary(pw, on, secondary_windows=sw).collect()[0]
     assert (s.attempted, s.rows, s.with_data, s.no_data, s.yahoo_used, s.alpha_used) == (3, 2, 2, 1, 2, 1)
+
+
+def test_calendar_windows_modes(spark):
+    ev = spark.createDataFrame([(dt.date(2000, 3, 1),), (dt.date(2001, 6, 1),), (dt.date(2001, 7, 20),)],
+                               "ipo_date date")
+    inc = I.calendar_windows(spark, ev, as_of=AS_OF).collect()[0]
+    assert (inc.window_from, inc.window_to, inc.events) == (dt.date(2000, 6, 30), dt.date(2001, 7, 14), 1)
+    full = {r.window_from.year: r.events for r in
+            I.calendar_windows(spark, ev, as_of=AS_OF, full=True, start_year=1999).collect()}
+    assert full == {1999: 0, 2000: 1, 2001: 2, 2002: 0}
+    assert I.calendar_windows(spark, ev, as_of=AS_OF, full=True).count() == 0   # 2014 > as_of year + 1
+
+
+def test_run_audit_and_source_default(spark):
+    c = spark.createDataFrame([(3, 10)], "attempted int, rows int")
+    r = I.run_audit(c, run_id="r1", source="ipo_price_backfill", started_at=dt.datetime(2001, 6, 30, 9),
+                    finished_at=None, status="failed").collect()[0]
+    assert r.notes == "attempted=3, rows=10" and r.status == "failed" and r.finished_at is None
+    p = spark.createDataFrame([(None, "A"), ("yahoo", "B")], "source string, symbol string")
+    assert sorted(tuple(x) for x in I.profile_source_default(p).collect()) == [("finnhub", "A"), ("yahoo", "B")]

@@ -82,3 +82,14 @@ def test_listing_detail_picks_newest(spark):
     rows = D.listing_detail(m).collect()
     assert len(rows) == 14
     assert {r.field: r.value for r in rows}["Industry"] == "J"     # newer ipo_date
+
+
+def test_filters_by_industry_sector_band(spark):
+    m = D.metrics_enriched(metrics(spark, [("A", "I", 20, "1", 1, 1, 1), ("B", "J", 20, "2", 1, 1, 1),
+                                           ("C", "I", 8, "3", 1, 1, 1), ("D", None, 0, None, None, None, None)]))
+    assert sorted(r.ipo_symbol for r in D.metrics_filtered(m, industry="I").collect()) == ["A", "C"]
+    assert [r.ipo_symbol for r in D.metrics_filtered(m, industry="I", band="good_coverage").collect()] == ["A"]
+    assert [r.ipo_symbol for r in D.metrics_filtered(m, sector="Unknown", industry="Unknown").collect()] == ["D"]
+    assert sorted(r.ipo_symbol for r in D.metrics_filtered(m, min_return=1.5, max_return=2.5).collect()) == ["B", "D"]
+    doms = [(r.domain, r.value) for r in D.filter_domains(m).collect()]
+    assert doms[0] == ("industry", "All") and ("industry", "Unknown") in doms and ("sector", "All") in doms
