@@ -70,19 +70,22 @@ def verdict(checks: DataFrame) -> DataFrame:
 
 
 def key_checks(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
-    """Q04: NOT NULL and uniqueness of each raw table's (composite) key."""
+    """Q04: NOT NULL and uniqueness of each raw table's (composite) key, both
+    from one grouped aggregate per table (partial aggregation map-side; NULL
+    keys group together, as in SQL GROUP BY)."""
     parts = []
     for name, (df, keys) in tables.items():
         key_txt = ",".join(keys)
         any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        nulls = df.agg(F.count_if(any_null).cast("bigint").alias("failures")).select(
-            F.lit(name).alias("model"), F.lit(key_txt).alias("column"), F.lit("not_null").alias("test"),
-            "failures", F.lit("error").alias("severity"))
-        dups = (df.groupBy(*keys).count().filter(F.col("count") > 1)
-                .agg(F.count(F.lit(1)).cast("bigint").alias("failures"))
-                .select(F.lit(name).alias("model"), F.lit(key_txt).alias("column"),
-                        F.lit("unique").alias("test"), "failures", F.lit("error").alias("severity")))
-        parts += [nulls, dups]
+        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(any_null.alias("_null"), "_n")
+        agg = g.agg(F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).cast("bigint").alias("nn"),
+                    F.count_if(F.col("_n") > 1).cast("bigint").alias("uq"))
+        rows = F.explode(F.array(
+            F.struct(F.lit("not_null").alias("test"), F.col("nn").alias("failures")),
+            F.struct(F.lit("unique").alias("test"), F.col("uq").alias("failures"))))
+        parts.append(agg.select(rows.alias("r")).select(
+            F.lit(name).alias("model"), F.lit(key_txt).alias("column"), "r.test", "r.failures",
+            F.lit("error").alias("severity")))
     return _status(reduce(DataFrame.unionByName, parts))
 
 
