@@ -4,7 +4,6 @@ headline queries over the same stored raw tables the Spark queries read
 
 usage: python tools/duckdb_baseline.py [sf_dir] [threads]"""
 
-import glob
 import json
 import os
 import statistics
