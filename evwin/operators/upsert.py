@@ -20,11 +20,19 @@ def last_wins(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFra
     return batch.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def upsert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Column] | None = None
+           ) -> DataFrame:
     """Replace target rows whose key is in the batch, insert the others.
     Batch columns absent from the target are dropped (projection to the
-    target schema); target columns absent from the batch become NULL."""
+    target schema); target columns absent from the batch become NULL.  The
+    batch is reduced to one row per key first: the last by ``order`` when
+    given, else a deterministic pick on the row values [design]."""
     cols = target.columns
+    if order is not None:
+        batch = last_wins(batch, keys, order)
+    else:
+        rest = [c for c, t in batch.dtypes if c not in keys and not t.startswith(("map", "variant"))]
+        batch = last_wins(batch, keys, [F.col(c) for c in rest] or [F.lit(0)])
     b = batch.select(*[F.col(c) if c in batch.columns else F.lit(None).cast(t).alias(c)
                        for c, t in target.dtypes])
     kept = target.join(b.select(*keys), keys, "left_anti")

@@ -187,3 +187,9 @@ def test_run_audit_and_source_default(spark):
     assert r.notes == "attempted=3, rows=10" and r.status == "failed" and r.finished_at is None
     p = spark.createDataFrame([(None, "A"), ("yahoo", "B")], "source string, symbol string")
     assert sorted(tuple(x) for x in I.profile_source_default(p).collect()) == [("finnhub", "A"), ("yahoo", "B")]
+
+
+def test_upsert_batch_duplicates_collapse(spark):
+    t = spark.createDataFrame([("a", 1)], "k string, v int")
+    b = spark.createDataFrame([("a", 5), ("a", 7), ("b", 2), ("b", 2)], "k string, v int")
+    assert sorted(upsert(t, b, ["k"]).collect()) == [("a", 7), ("b", 2)]
