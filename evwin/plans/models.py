@@ -323,9 +323,14 @@ class ModelGraph:
         if root is None:
             from evwin.session import materialize
             return materialize(df, name)
-        from evwin.sources.raw import publish
-        key = hashlib.sha1(repr((name, self.p.as_of, self.p.model_recent_days, self.p.long_window,
-                                 self.p.short_window, self.p.long_limits, self.p.short_limits)).encode()).hexdigest()[:12]
+        import sys
+        from evwin.functions import exprs
+        from evwin.operators import precedence, window_join
+        from evwin.sources.raw import code_version, publish
+        code = code_version(sys.modules[__name__], precedence, window_join, exprs)
+        key = hashlib.sha1(repr((name, code, self.p.as_of, self.p.model_recent_days, self.p.long_window,
+                                 self.p.short_window, self.p.long_limits, self.p.short_limits,
+                                 self.p.bucket_days)).encode()).hexdigest()[:12]
         path = publish(spark, f"{root}/models/{name}-{key}", lambda tmp: df.write.parquet(f"{tmp}/data"))
         return spark.read.parquet(f"{path}/data")
 

@@ -45,6 +45,16 @@ def write_prices(prices: DataFrame, path: str, mode: str = "errorifexists") -> N
      .write.mode(mode).partitionBy("price_month").parquet(path))
 
 
+def code_version(*modules) -> str:
+    """Hash of the source of the modules that produce a stored table, so a
+    code change never reuses data written by older code."""
+    import inspect
+    h = hashlib.sha1()
+    for m in modules:
+        h.update(inspect.getsource(m).encode())
+    return h.hexdigest()[:12]
+
+
 def publish(spark: SparkSession, root: str, write) -> str:
     """Write a folder once: ``write(tmp)`` fills a temporary folder which is
     then renamed to ``root``; an existing complete ``root`` is reused."""
@@ -64,7 +74,12 @@ def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF)
     fs, src, _ = _fs(spark, sf_dir)
     size = fs.getContentSummary(src).getLength()
     tz = spark.conf.get("spark.sql.session.timeZone")
-    key = hashlib.sha1(f"{STORE_VERSION}|{src.toString()}|{size}|{as_of}|{tz}".encode()).hexdigest()[:16]
+    import sys
+    from evwin.functions import exprs
+    from evwin.operators import ingest
+    from evwin.sources import testdata
+    code = code_version(testdata, sys.modules[__name__], exprs, ingest)
+    key = hashlib.sha1(f"{STORE_VERSION}|{code}|{src.toString()}|{size}|{as_of}|{tz}".encode()).hexdigest()[:16]
     return f"{base}/evwin/store-{key}"
 
 
