@@ -133,7 +133,10 @@ def load_windows(worklist: DataFrame, prices: DataFrame, *, source: str, as_of:
     to = F.least(F.date_add("ipo_date", window_days), lit_date(as_of))
     w = worklist.withColumn("load_to", to)
     if incremental:
-        h = high_water_marks(prices, source).select(F.col("symbol").alias("_hsym"), "hwm")
+        # only the worklist's series matter: prune before the grouped aggregate
+        syms = worklist.select(F.col(symbol_col).alias("_wsym")).distinct()
+        p = prices.join(syms, prices["symbol"] == syms["_wsym"], "left_semi")
+        h = high_water_marks(p, source).select(F.col("symbol").alias("_hsym"), "hwm")
         w = w.join(h, w[symbol_col] == h["_hsym"], "left").drop("_hsym")
         frm = F.greatest(F.date_add("hwm", 1), F.col("ipo_date"))  # greatest skips NULL
     else:
