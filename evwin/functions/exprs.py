@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "lit_date", "ts_lit", "py_strip", "clean_str", "clean_num", "first_present",
+    "lit_date", "ts_lit", "price_date_range", "py_strip", "clean_str", "clean_num", "first_present",
     "equity_shape", "letters_shape", "is_us_listing", "rank_by",
     "guarded_ratio", "pct_return_2dp", "round_avg", "to_double",
     "coverage_class_short", "coverage_class_long", "label_or",
@@ -41,6 +41,22 @@ def ts_lit(t: dt.datetime | None) -> Column:
     return F.to_timestamp(F.lit(t.strftime("%Y-%m-%d %H:%M:%S")))
 
 
+def price_date_range(prices, lo: dt.date | None = None, hi: dt.date | None = None):
+    """Filter a price table to [lo, hi] on ``price_date``; on the stored
+    layout also on ``price_month`` so whole month partitions are pruned."""
+    p = prices
+    has_month = "price_month" in prices.columns
+    if lo is not None:
+        p = p.filter(F.col("price_date") >= lit_date(lo))
+        if has_month:
+            p = p.filter(F.col("price_month") >= F.lit(lo.strftime("%Y-%m")))
+    if hi is not None:
+        p = p.filter(F.col("price_date") <= lit_date(hi))
+        if has_month:
+            p = p.filter(F.col("price_month") <= F.lit(hi.strftime("%Y-%m")))
+    return p
+
+
 def py_strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP_RE, "")
 

@@ -14,7 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evwin.functions.exprs import CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, py_strip, ts_lit
+from evwin.functions.exprs import (CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, price_date_range, py_strip,
+                                   ts_lit)
 
 # --- fixed values ------------------------------------------------------------
 CALENDAR_KEYS = ("ipoCalendar", "ipoCalendarData", "data")
@@ -419,9 +420,8 @@ def history_check(candidates: DataFrame, prices: DataFrame, *, as_of: dt.date, l
                   source: str = "yahoo", symbol_col: str = "resolved") -> DataFrame:
     """I15: ``has_history`` = the vendor has a bar for the symbol in the last
     ``lookback_days`` (set-based semi join, not one call per symbol)."""
-    recent = (prices.filter((F.col("source") == source)
-                            & (F.col("price_date") >= F.date_sub(lit_date(as_of), lookback_days))
-                            & (F.col("price_date") <= lit_date(as_of))
+    recent = (price_date_range(prices, as_of - dt.timedelta(days=lookback_days), as_of)
+              .filter((F.col("source") == source)
                             & F.coalesce("open", "high", "low", "close").isNotNull())
               .select(F.col("symbol").alias("_hs")).distinct().withColumn("has_history", F.lit(True)))
     out = candidates.join(recent, candidates[symbol_col] == recent["_hs"], "left").drop("_hs")

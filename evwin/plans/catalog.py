@@ -278,7 +278,8 @@ def _w07(spark, d):
 
 
 def _existing(spark, d):
-    return _raw(spark, d).daily_prices.filter(F.col("price_date") <= F.lit(O.LOAD_CUTOFF))
+    from evwin.functions.exprs import price_date_range
+    return price_date_range(_raw(spark, d).daily_prices, hi=O.LOAD_CUTOFF)
 
 
 def _yahoo_pairs_all(spark, d):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from evwin.config import DEFAULT_PARAMS, Params
 from evwin.functions.exprs import (coverage_class_long, coverage_class_short, guarded_ratio,
-                                   is_us_listing, label_or, letters_shape, lit_date,
+                                   is_us_listing, label_or, letters_shape, lit_date, price_date_range,
                                    pct_return_2dp, rank_by, round_avg)
 from evwin.operators.precedence import top1
 from evwin.operators.window_join import window_join
@@ -97,11 +97,7 @@ def preferred_prices(prices: DataFrame, *, min_date: dt.date | None = None,
     """``min_date`` and ``symbols`` prune before the precedence shuffle; both
     are safe because the dedupe key (symbol, price_date) contains the pruned
     columns.  ``min_date`` is a literal, so it reaches the parquet scan."""
-    p = prices
-    if min_date is not None:
-        p = p.filter(F.col("price_date") >= lit_date(min_date))
-        if "price_month" in prices.columns:   # stored layout: prune whole partitions
-            p = p.filter(F.col("price_month") >= F.lit(min_date.strftime("%Y-%m")))
+    p = price_date_range(prices, lo=min_date)
     if symbols is not None:
         p = p.join(symbols.select(F.col(symbols.columns[0]).alias("_psym")).distinct(),
                    F.col("symbol") == F.col("_psym"), "left_semi")
