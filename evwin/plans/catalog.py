@@ -886,5 +886,30 @@ def _i18(spark, d):
     return I.profile_source_default(legacy).select("source", "symbol", "name", "industry", "sector")
 
 
+# W02, second call: the yahoo budget, after the finnhub profiles of the first
+# list have been upserted (as the reference recomputes it after that step).
+_W02_FIRST = FINAL_SQL["symbols_missing_profile"]
+
+
+@register("symbols_missing_profile_second", f"""SELECT s.symbol FROM w_recent s
+LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, '')) AS sa FROM (
+    SELECT source, symbol,
+           CASE WHEN source = 'finnhub' AND symbol IN (SELECT symbol FROM ({_W02_FIRST}))
+                THEN nullif(trim(industry), '') ELSE industry END AS industry,
+           CASE WHEN source = 'finnhub' AND symbol IN (SELECT symbol FROM ({_W02_FIRST}))
+                THEN nullif(trim(sector), '') ELSE sector END AS sector
+    FROM raw_profiles) WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
+WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
+ORDER BY s.symbol LIMIT {_P.profile_limits['yahoo']}""")
+def _w02b(spark, d):
+    r = _raw(spark, d)
+    first = _w02(spark, d)
+    pl = PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map).join(first, "symbol", "left_semi")
+    rec = I.profiles_finnhub(pl).filter("outcome = 'upserted'")
+    profiles2 = upsert(r.company_profiles, I.profiles_conform(rec, r.company_profiles.columns, _BT),
+                       ["source", "symbol"])
+    return W.symbols_missing_profile(r.ipo_events, profiles2, limit=_P.profile_limits["yahoo"], **_WL)
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)
