@@ -7,10 +7,39 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from evwin.llm import licenses, lines, simhash
+from evwin.llm import benchmarks, langid, licenses, lines, neighbours, phrases, sentencepiece, simhash, suffixes, toxicity
 from evwin.llm.common import table
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.tokenize(table(spark, sf_dir, "documents"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmarks.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_passages", "contaminated", "item_ids", "score")
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
+def op5_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.dedup_words(table(spark, sf_dir, "documents"))
+
+
+def op6_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.search_table(table(spark, sf_dir, "embeddings"))
+
+
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
 def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = lines.dedup_lines(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines", "n_removed", F.md5("kept").alias("kept_md5"))
@@ -25,6 +54,13 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": op1_sentencepiece,
+    "op2_toxicity": op2_toxicity,
+    "op3_decontamination": op3_decontamination,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_phrase_dedup": op5_phrase_dedup,
+    "op6_nearest": op6_nearest,
+    "op7_language": op7_language,
     "op8_line_dedup": op8_line_dedup,
     "op9_license_scan": op9_license_scan,
     "op10_simhash": op10_simhash,
