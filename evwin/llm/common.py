@@ -86,7 +86,7 @@ LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 
 def mix(x: np.ndarray) -> np.ndarray:
     """The 64-bit finaliser of MurmurHash3."""
-    x = x.astype(np.uint64)
+    x = x.astype(np.uint64)  # a copy
     x ^= x >> np.uint64(33)
     x *= np.uint64(0xFF51AFD7ED558CCD)
     x ^= x >> np.uint64(33)
@@ -120,6 +120,11 @@ class RangeHash:
     def __call__(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.sums[end] - self.sums[start]) * self.inverse[start] + (end - start).astype(np.uint64) * self.seed)
 
+    def every(self, length: int) -> np.ndarray:
+        """Of all ranges of one length, at least one token."""
+        n = len(self.sums) - length
+        return mix((self.sums[length:] - self.sums[:n]) * self.inverse[:n] + np.uint64(length) * self.seed)
+
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
     return RangeHash(data, seed)(starts, ends)

@@ -39,10 +39,9 @@ def _signs(contexts: list[bytes]) -> list[str]:
     return out
 
 
-def repeated_windows(contexts: list[bytes], n: np.ndarray, keys: np.ndarray | None = None, window: int = WINDOW) -> list[np.ndarray]:
+def repeated_windows(contexts: list[bytes], n: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
     """For each context the ranges of words that lie in a window standing more than once,
-    where context i stands n[i] times.  Equal windows have equal keys, so each key has an
-    automaton's phrases of its own."""
+    where context i stands n[i] times."""
     texts = _signs(contexts)
     times: Counter[str] = Counter()
     for text, many in zip(texts, n.tolist()):

@@ -30,8 +30,9 @@ from pyspark.sql import functions as F
 from evwin.llm.common import NOT_SPACE, RangeHash, chunks, spans, word_hashes
 from evwin.session import materialize
 
-#: Contexts that a shard has about; and different contexts of one gram that are gathered at most.
-SHARD_CONTEXTS, HOT = 2000, 1000
+#: Contexts that a shard has about; and different contexts of one gram that are gathered
+#: at most (some 5 MB of text).
+SHARD_CONTEXTS, HOT = 2000, 16384
 _LOW = np.uint64(0xFFFFFFFF)
 
 
@@ -72,11 +73,12 @@ def anchors(kind: Tokens, tokens: np.ndarray, of: np.ndarray):
     n, none = len(tokens), np.zeros(0, np.int64)
     if n < kind.window:
         return none.astype(np.uint64), none, none, none, none.astype(np.uint64)
-    ranges, at = RangeHash(tokens, 0), np.arange(n - kind.gram + 1)
-    key = ranges(at, at + kind.gram)
-    least = _least(key & ~_LOW | at.astype(np.uint64), kind.window - kind.gram + 1)
-    size = np.diff(of)
-    inside = np.repeat(of[1:], size)[: len(least)] >= np.arange(len(least)) + kind.window
+    ranges = RangeHash(tokens, 0)
+    key = ranges.every(kind.gram)
+    least = _least(key & ~_LOW | np.arange(len(key), dtype=np.uint64), kind.window - kind.gram + 1)
+    inside = np.ones(len(least), bool)
+    for end in of[1:-1].tolist():  # windows that reach into the next text
+        inside[max(end - kind.window + 1, 0) : end] = False
     window = np.flatnonzero(inside)
     anchor = (least[window] & _LOW).astype(np.int64)
     if not len(window):
@@ -84,7 +86,7 @@ def anchors(kind: Tokens, tokens: np.ndarray, of: np.ndarray):
     new = np.flatnonzero(np.r_[True, (anchor[1:] != anchor[:-1]) | (window[1:] != window[:-1] + 1)])
     first, count = window[new], np.diff(np.r_[new, len(window)])
     text = np.searchsorted(of, first, "right") - 1
-    return key[anchor[new]], first, count, text, RangeHash(tokens, 1)(first, first + count - 1 + kind.window)
+    return key[anchor[new]], first, count, text, ranges(first, first + count - 1 + kind.window)
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -160,7 +162,7 @@ def _contexts(rows: DataFrame, wanted: DataFrame, kind: Tokens) -> DataFrame:
     return with_lists(rows, lists, "inner").mapInArrow(run, "key long, ctx long, n long, kinds long, payload binary")
 
 
-Solver = Callable[[list[bytes], np.ndarray, np.ndarray], list[np.ndarray]]
+Solver = Callable[[list[bytes], np.ndarray], list[np.ndarray]]
 
 
 def ranges_of(windows: np.ndarray, window: int) -> np.ndarray:
@@ -172,15 +174,22 @@ def ranges_of(windows: np.ndarray, window: int) -> np.ndarray:
     return np.column_stack([windows[new], windows[last] + window]).ravel().astype(np.int32)
 
 
-def _solved(contexts: DataFrame, solve: Solver) -> DataFrame:
-    """key, ctx and cover of contexts with repeated windows, compared shard by shard."""
+def _solved(contexts: DataFrame, solve: Solver, at_once: int) -> DataFrame:
+    """key, ctx and cover of contexts with repeated windows, compared shard by shard, and
+    in a shard some ``at_once`` contexts at a time, all of a gram together."""
     shards = max(1, -(-contexts.count() // SHARD_CONTEXTS))
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("key", "ascending"), ("ctx", "ascending")])
         names = np.column_stack([table.column(c).to_numpy() for c in ("key", "ctx")])
         table = table.filter(pa.array(np.r_[True, (names[1:] != names[:-1]).any(axis=1)]))
-        covers = solve(table.column("payload").to_pylist(), table.column("n").to_numpy(), table.column("key").to_numpy())
+        key = table.column("key").to_numpy()
+        begin = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        begin = begin[np.flatnonzero(np.diff(begin // at_once, prepend=-1))]
+        covers = []
+        for a, b in zip(begin.tolist(), [*begin[1:].tolist(), len(key)]):
+            part = table.slice(a, b - a)
+            covers += solve(part.column("payload").to_pylist(), part.column("n").to_numpy())
         out = pa.table([table.column("key"), table.column("ctx"), pa.array([c.tolist() for c in covers], pa.list_(pa.int32()))], names=["key", "ctx", "cover"])
         return out.filter(pa.array([len(c) > 0 for c in covers], pa.bool_()))
 
@@ -208,7 +217,7 @@ def _counted(contexts: DataFrame, kind: Tokens) -> DataFrame:
     return hit.select("key", "ctx", F.flatten(each).alias("cover"))
 
 
-def covered(docs: DataFrame, kind: Tokens, solve: Solver, compare_all: bool = False) -> DataFrame:
+def covered(docs: DataFrame, kind: Tokens, solve: Solver, at_once: int = SHARD_CONTEXTS, compare_all: bool = False) -> DataFrame:
     """doc_id, rk and l: list of (first, cover) of every document with repeated windows.
     ``compare_all``: contexts that are the only one of their gram go to ``solve`` too."""
     rows = _rows(docs)
@@ -219,7 +228,7 @@ def covered(docs: DataFrame, kind: Tokens, solve: Solver, compare_all: bool = Fa
     reps = reps.join(reps.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")), "key")
     alone = reps.filter("kinds = 1")
     contexts = materialize(_contexts(rows, reps if compare_all else reps.filter("kinds > 1"), kind), "payloads")
-    covers = _solved(contexts.filter(F.col("kinds") <= HOT), solve).unionByName(_counted(contexts.filter(F.col("kinds") > HOT), kind))
+    covers = _solved(contexts.filter(F.col("kinds") <= HOT), solve, at_once).unionByName(_counted(contexts.filter(F.col("kinds") > HOT), kind))
     if not compare_all:
         covers = covers.unionByName(alone.select("key", "ctx", F.array(F.lit(0), "size").alias("cover")))
     hits = alive.join(covers, ["key", "ctx"]).select("doc_id", "rk", F.struct("first", "cover").alias("c"))

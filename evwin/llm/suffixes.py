@@ -27,6 +27,8 @@ from evwin.llm.common import RangeHash
 from evwin.llm.repeats import Tokens, covered, marks, ranges_of, removed
 
 WINDOW, GRAM, BLOCK, PARTS = 200, 40, 50, 4
+#: Contexts merged at a time: their symbols mostly have 16-bit numbers, which sort fast.
+AT_ONCE = 250
 
 
 def transform(symbols: np.ndarray, size: np.ndarray, step: int, rounds: int):
@@ -65,7 +67,7 @@ def merge(transforms: list[np.ndarray], ends: list[int], rounds: int) -> tuple[n
     return part, interval
 
 
-def repeated_windows(contexts: list[bytes], n: np.ndarray, keys: np.ndarray | None = None, window: int = WINDOW, block: int = BLOCK, parts: int = PARTS) -> list[np.ndarray]:
+def repeated_windows(contexts: list[bytes], n: np.ndarray, window: int = WINDOW, block: int = BLOCK, parts: int = PARTS) -> list[np.ndarray]:
     """For each context the ranges of bytes that lie in a window standing more than once,
     where context i stands n[i] times."""
     rounds, size = window // block, np.array([len(c) for c in contexts], np.int64)
@@ -78,7 +80,7 @@ def repeated_windows(contexts: list[bytes], n: np.ndarray, keys: np.ndarray | No
     inner = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
     at = begin[owner] + inner
     _, symbol = np.unique(RangeHash(data, 0)(at, at + block), return_inverse=True)
-    symbol = (symbol + 1).astype(np.int32)
+    symbol = (symbol + 1).astype(np.uint16 if symbol.max(initial=0) < 2**16 - 2 else np.int32)
     cut = np.linspace(0, len(size), parts + 1).astype(int)
     edge = np.r_[0, np.cumsum(count)][cut]
     built = [transform(symbol[a:b], count[i:j], block, rounds) for a, b, i, j in zip(edge[:-1], edge[1:], cut[:-1], cut[1:])]
@@ -104,7 +106,7 @@ def _finish(kind: Tokens, data: np.ndarray, edges) -> tuple:
 
 def removed_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """doc_id, rk and l: where each document has repeated bytes (first, cover)."""
-    return covered(docs, Tokens(False, window, gram), repeated_windows)
+    return covered(docs, Tokens(False, window, gram), repeated_windows, AT_ONCE)
 
 
 def dedup_bytes(docs: DataFrame) -> DataFrame:
