@@ -221,7 +221,8 @@ def covered(docs: DataFrame, kind: Tokens, solve: Solver, at_once: int = SHARD_C
     """doc_id, rk and l: list of (first, cover) of every document with repeated windows.
     ``compare_all``: contexts that are the only one of their gram go to ``solve`` too."""
     rows = _rows(docs)
-    alive = materialize(_anchor_rows(rows, kind).join(_anchor_keys(rows, kind), "key", "left_semi"), "anchors")
+    keys = materialize(_anchor_keys(rows, kind), "keys")  # written, so that the join's skewed partitions can be split
+    alive = materialize(_anchor_rows(rows, kind).join(keys, "key", "left_semi"), "anchors")
     place = F.struct("doc_id", "rk", "first")
     reps = alive.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.min(place).alias("rep"))
     reps = materialize(reps, "contexts")
