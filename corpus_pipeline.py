@@ -5,7 +5,6 @@ what is left is encoded.  Each stage reads what the one before has written."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from evwin.llm import benchmarks, lines, sentencepiece, simhash, toxicity
 from evwin.llm.common import table
@@ -30,10 +29,7 @@ def drop_benchmark_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, lang, source, n_tokens, ids, round_trip."""
-    pieces = sentencepiece.load()
-    coded = sentencepiece.decode(sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), pieces), pieces)
-    n = F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long")
-    return coded.select("doc_id", "lang", "source", n.alias("n_tokens"), "ids", sentencepiece.same_text(F.col("text"), F.col("decoded")).alias("round_trip"))
+    return sentencepiece.encode(docs.select("doc_id", "lang", "source", "text"), sentencepiece.load())
 
 
 STAGES = [

@@ -21,15 +21,14 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from evwin.llm.common import RangeHash, chunks, mix
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = 0x2581
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 #: Answers about pairs of pieces that a worker keeps (a table of fixed size).
 PAIR_SLOTS = 1 << 21
 #: Units whose ids a worker keeps; beyond that it starts anew.
@@ -300,12 +299,16 @@ def _bisect(keys: list[np.ndarray], wanted: list[np.ndarray], after: bool) -> np
     return lo
 
 
-def decode_ids(pieces: Pieces, ids: np.ndarray, off: np.ndarray) -> list[str]:
+def decoded_bytes(pieces: Pieces, ids: np.ndarray, off: np.ndarray) -> list[bytes]:
+    """What each run of ids decodes to, without the dummy prefix."""
     size = np.diff(pieces.raw_start)[ids]
     flat = pieces.raw_bytes[np.repeat(pieces.raw_start[ids] - (np.cumsum(size) - size), size) + np.arange(size.sum())].tobytes()
     cut = np.r_[0, np.cumsum(size)][off].tolist()
-    parts = (flat[a:b] for a, b in zip(cut[:-1], cut[1:]))
-    return [(x[1:] if x[:1] == b" " else x).decode("utf-8", "replace") for x in parts]
+    return [flat[a + (flat[a : a + 1] == b" " and a < b) : b] for a, b in zip(cut[:-1], cut[1:])]
+
+
+def decode_ids(pieces: Pieces, ids: np.ndarray, off: np.ndarray) -> list[str]:
+    return [x.decode("utf-8", "replace") for x in decoded_bytes(pieces, ids, off)]
 
 
 def _lists(off: np.ndarray, ids: np.ndarray, null: np.ndarray) -> pa.Array:
@@ -313,18 +316,23 @@ def _lists(off: np.ndarray, ids: np.ndarray, null: np.ndarray) -> pa.Array:
 
 
 def encode(docs: DataFrame, pieces: Pieces, text: str = "text") -> DataFrame:
-    """``docs`` with its text and ``ids``."""
-    kept, shared = docs.columns, docs.sparkSession.sparkContext.broadcast(pieces)
+    """The other columns of ``docs``, n_tokens, ids, and round_trip: decoding gives the
+    text back (but for U+2581, which stands for a space)."""
+    kept, shared = [c for c in docs.columns if c != text], docs.sparkSession.sparkContext.broadcast(pieces)
 
     def run(batches):
-        encoder = Encoder(shared.value)
+        encoder, mark = Encoder(shared.value), chr(SPACE).encode()
         for batch in batches:
             for part, data, off in chunks(batch, text, STEP_BYTES):
                 ids, at = encoder(data, off)
                 null = part.column(text).is_null().to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], _lists(at, ids, null)], names=[*kept, "ids"])
+                raw, edge = data.tobytes(), off.tolist()
+                same = [raw[a:b].replace(mark, b" ") == x for a, b, x in zip(edge[:-1], edge[1:], decoded_bytes(shared.value, ids, at))]
+                cols = [pa.array(np.diff(at)), _lists(at, ids, null), pa.array(same, pa.bool_())]
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], *cols], names=[*kept, "n_tokens", "ids", "round_trip"])
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))]))
+    extra = T._parse_datatype_string("n_tokens long, ids array<int>, round_trip boolean").fields
+    return docs.mapInArrow(run, T.StructType([*[docs.schema[c] for c in kept], *extra]))
 
 
 def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids") -> DataFrame:
@@ -342,12 +350,6 @@ def decode(docs: DataFrame, pieces: Pieces, ids: str = "ids") -> DataFrame:
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("decoded", T.StringType())]))
 
 
-def same_text(text: Column, decoded: Column) -> Column:
-    return F.replace(text, F.lit(chr(SPACE)), F.lit(" ")).eqNullSafe(decoded)
-
-
 def tokenize(docs: DataFrame, path: str = MODEL) -> DataFrame:
-    """doc_id, n_tokens, ids and round_trip (decoding gives the text back)."""
-    pieces = load(path)
-    coded = decode(encode(docs.select("doc_id", "text"), pieces), pieces)
-    return coded.select("doc_id", F.when(F.col("ids").isNull(), 0).otherwise(F.size("ids")).cast("long").alias("n_tokens"), "ids", same_text(F.col("text"), F.col("decoded")).alias("round_trip"))
+    """doc_id, n_tokens, ids and round_trip of every document."""
+    return encode(docs.select("doc_id", "text"), load(path))

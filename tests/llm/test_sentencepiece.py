@@ -39,6 +39,8 @@ def test_documents_equal_the_library(spark, model):
     rows = own.tokenize(spark.read.parquet(f"{SF0001}/documents.parquet")).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF0001}/documents.parquet").collect()}
     assert len(rows) == len(texts)
+    back = {r.doc_id: r.decoded for r in own.decode(own.tokenize(spark.read.parquet(f"{SF0001}/documents.parquet")), pieces).collect()}
+    assert back == texts
     for r in rows:
         assert list(r.ids) == sp.encode(texts[r.doc_id]) and r.n_tokens == len(r.ids) and r.round_trip
 
