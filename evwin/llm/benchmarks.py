@@ -209,7 +209,7 @@ def indexes(items: DataFrame) -> list[Index]:
     for s in range(slices):
         mine = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s)
         table = sorted((-1 if r.item_id is None else r.item_id, r.text) for r in mine.toLocalIterator())
-        terms = df.join(mine.select("text").mapInArrow(run, "term long, df long, words long, entries long").select("term").distinct(), "term", "left_semi").toPandas()
+        terms = df.join(mine.select("text").mapInArrow(run, "term long, df long, words long, entries long").select("term").distinct(), "term", "left_semi").toArrow().to_pandas()
         idf = {int(t) % 2**64: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in zip(terms["term"], terms["df"])}
         out.append(Index.build(table, idf, words / n))
     return out

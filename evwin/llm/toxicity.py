@@ -8,8 +8,8 @@ on all rows.  The last category is the label itself; the earlier ones are weak:
 row that has one of the category's words.  A category without both kinds of rows has a
 constant model.
 
-Training takes ``MAX_LABELLED`` labelled rows at most (those whose ids have the smallest
-hashes), which bounds what the driver fits on.  Scoring reads every whole text.  Null or
+Training takes ``MOST_ROWS`` labelled rows at most (those whose ids have the smallest
+hashes) with ``MOST_BYTES`` of text, which bounds what the driver fits on.  Scoring reads every whole text.  Null or
 empty text: no words, so the intercepts alone.  Null labels are not learned from; a doc_id
 with several labels is toxic if one says so.  No labels at all: probability 0.  Empty
 table: empty result.
@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 from evwin.llm.common import ALNUM, LOWER, RangeHash, chunks, mix, packed, spans, unpacked
 
-#: Labelled rows that the models are fitted on at most.
-MAX_LABELLED = 6000
+#: Labelled rows of each class (0 and 1) that the models are fitted on at most, and bytes of
+#: their texts: this bounds what reaches the driver.
+MOST_ROWS, MOST_BYTES = {0: 2000, 1: 1000}, 12 << 20
 #: Lengths in bytes of the prefixes of longer words that are features too: stems.
 PREFIXES = (4, 5, 6, 7, 8)
 #: Features that one model may use at most: those that tell its rows apart best.
@@ -144,9 +145,9 @@ def _telling(word: np.ndarray, row: np.ndarray, y: np.ndarray, m: int) -> np.nda
 def fit(features: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray, categories: dict[str, list[str]] = CATEGORIES) -> Chain:
     """The chain of rows given by their features, the features' values, and labels."""
     size = len(features)
-    row = np.repeat(np.arange(size), [len(f) for f in features])
+    row = np.repeat(np.arange(size, dtype=np.int32), [len(f) for f in features])
     hashes = np.concatenate([*features, np.zeros(0, np.uint32)]).astype(np.uint32)
-    value = np.concatenate([*values, np.zeros(0)])
+    value = np.concatenate([*values, np.zeros(0, np.float32)])
     targets = {}
     for name, seeds in categories.items():
         has = np.zeros(size, bool)
@@ -179,11 +180,29 @@ def fit(features: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray,
     return chain
 
 
-def train(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Chain | None:
-    """The chain fitted on at most ``most`` labelled documents; None without any."""
+def sample(docs: DataFrame, labels: DataFrame, most: dict[int, int], most_bytes: int) -> list[tuple]:
+    """(doc_id, toxic) of the documents to fit on: of each class those whose ids have the
+    smallest hashes, until ``most`` of it or its share of ``most_bytes`` of text is reached."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    sample = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")  # ``most`` rows of two numbers
+    out = []
+    for toxic, n in most.items():
+        ids = known.filter(F.col("toxic") == toxic).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(n)
+        sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(F.broadcast(ids), "doc_id")  # n rows of three numbers
+        total = 0
+        for r in sorted(sizes.groupBy("h", "doc_id").agg(F.sum("size").alias("size")).collect()):
+            total += r["size"]
+            if total <= most_bytes // len(most):
+                out.append((r["doc_id"], toxic))
+    return out
+
+
+def train(docs: DataFrame, labels: DataFrame, most: dict[int, int] = MOST_ROWS, most_bytes: int = MOST_BYTES) -> Chain | None:
+    """The chain fitted on a bounded sample of the labelled documents; None without any."""
+    chosen = sample(docs, labels, most, most_bytes)
+    if not chosen:
+        return None
+    kind = dict(docs.dtypes)["doc_id"]
+    texts = docs.select("doc_id", "text").join(F.broadcast(docs.sparkSession.createDataFrame(chosen, f"doc_id {kind}, toxic int")), "doc_id")
 
     def run(batches):
         for batch in batches:
@@ -194,10 +213,10 @@ def train(docs: DataFrame, labels: DataFrame, most: int = MAX_LABELLED) -> Chain
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), *lists], names=["doc_id", "toxic", "features", "vals"])
 
     schema = T.StructType([docs.schema["doc_id"], *T._parse_datatype_string("toxic int, features array<int>, vals array<float>").fields])
-    rows = texts.mapInArrow(run, schema).orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("features")).limit(most).toPandas()
-    if not len(rows):
-        return None
-    return fit([np.asarray(f, np.int32).view(np.uint32) for f in rows["features"]], list(rows["vals"]), rows["toxic"].to_numpy())
+    rows = texts.mapInArrow(run, schema).toArrow()
+    order = rows.column("doc_id").to_pylist(), rows.column("features").combine_chunks(), rows.column("vals").combine_chunks()
+    rows = sorted(((str(d), f.values.to_numpy().tobytes(), v.values.to_numpy(), t) for d, f, v, t in zip(*order, rows.column("toxic").to_pylist())), key=lambda r: r[:2])
+    return fit([np.frombuffer(f, np.uint32) for _, f, _, _ in rows], [v for _, _, v, _ in rows], np.array([t for *_, t in rows]))
 
 
 def with_probabilities(df: DataFrame, chain: Chain | None, names: list[str] | None = None) -> DataFrame:
