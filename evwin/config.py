@@ -4,7 +4,7 @@ nothing calls ``current_date``."""
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 
 # --- fixed values (must equal the reference's defaults) -------------------
@@ -18,6 +18,7 @@ CALENDAR_LOOKBACK_DAYS = 365
 CALENDAR_LOOKAHEAD_DAYS = 14
 BACKFILL_START_YEAR = 2014
 HISTORY_LOOKBACK_DAYS = 30
+# Budgets of web calls, and the slider's ends; never defaults, only passed explicitly.
 PROFILE_LIMITS = {"finnhub": 30, "yahoo": 50}
 RESOLVE_LIMITS = {"alphavantage": 50, "yahoo": 80}
 PRICE_PAIR_LIMIT = 40
@@ -42,13 +43,11 @@ class Params:
     # equi-join on (symbol, bucket).  Smaller = fewer wasted pairs, more
     # replicated listing rows.  [design]
     bucket_days: int = 32
-    profile_limits: dict = field(default_factory=lambda: dict(PROFILE_LIMITS))
-    resolve_limits: dict = field(default_factory=lambda: dict(RESOLVE_LIMITS))
-    price_pair_limit: int = PRICE_PAIR_LIMIT
-    backfill_limit: int = BACKFILL_LIMIT
-
-    def __hash__(self):  # dict fields make the default hash unusable
-        return hash((self.as_of, self.model_recent_days, self.long_window))
+    # Worklists are whole unless a run passes a budget.
+    profile_limit: int | None = None
+    resolve_limit: int | None = None
+    price_pair_limit: int | None = None
+    backfill_limit: int | None = None
 
 
 DEFAULT_PARAMS = Params()

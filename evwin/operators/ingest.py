@@ -293,7 +293,7 @@ def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_c
                                         | F.col("name").isNotNull())
     cols = [F.lit("yahoo").cast("variant").alias("source"), F.col("_sym").cast("variant").alias("symbol")]
     cols += [F.col(n).cast("variant").alias(n) for n in keys]
-    cols += [F.col("_r_marketCap").try_cast("double").cast("variant").alias("market_cap"),
+    cols += [clean_number(F.col("_r_marketCap"), CLEAN_TOKENS_PROFILE).cast("variant").alias("market_cap"),
              _null_variant().alias("logo"), "body", F.when(useful, "upserted").otherwise("empty").alias("outcome")]
     return p.select(*cols)
 
@@ -356,15 +356,21 @@ def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataF
                        F.date_format("price_date", "yyyy-MM").alias("price_month"))
 
 
+UNREADABLE_PAYLOAD = "unreadable payload"
+
+
 # ---- I13-I16 symbol resolution -----------------------------------------------
 def resolve_first_or_exact(requests: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
                            ) -> DataFrame:
     """Per requested symbol: the case-insensitive exact match, else the first
-    candidate, else none (not priceable).  A rate-limited payload is a
-    resolve error.  One row per request."""
+    candidate, else none (not priceable).  A rate-limited, missing or
+    unreadable payload is a resolve error.  One row per request."""
     p = requests.select(F.col(symbol_col).alias("sym"), parse_payload(payload_col).alias("_v"))
     p = _stage(p, _n=vfield(F.col("_v"), "Note"), _bm=vfield(F.col("_v"), "bestMatches"))
-    base = p.select("sym", F.col("_n").isNotNull().alias("_err"), py_str(F.col("_n")).alias("_note"),
+    unread = F.col("_v").isNull()
+    base = p.select("sym", (unread | F.col("_n").isNotNull()).alias("_err"),
+                    F.when(unread, F.lit(UNREADABLE_PAYLOAD))
+                    .otherwise(F.concat(F.lit(RATE_LIMIT_PREFIX), F.coalesce(py_str(F.col("_n")), F.lit("None")))).alias("_note"),
                     py_or(F.col("_bm"), _empty_list()).try_cast("array<variant>").alias("_m"))
     ex = base.select("sym", "_err", "_note", F.posexplode_outer("_m").alias("pos", "m"))
     ex = _stage(ex, _ms=py_str(vfield(F.col("m"), "1. symbol")))
@@ -382,7 +388,7 @@ def resolve_first_or_exact(requests: DataFrame, *, symbol_col: str = "symbol", p
         F.upper("sym").alias("ipo_symbol"),
         F.when(err | ~has, F.upper("sym")).otherwise(vs).alias("vendor_symbol"),
         (~err & has).alias("is_priceable"),
-        F.when(err, F.concat(F.lit("resolve_error: " + RATE_LIMIT_PREFIX), F.coalesce("_note", F.lit("None"))))
+        F.when(err, F.concat(F.lit("resolve_error: "), F.col("_note")))
          .when(~has, F.lit(NO_MATCH_NOTE)).otherwise(note_txt).alias("notes"))
 
 
@@ -421,8 +427,7 @@ def history_check(candidates: DataFrame, prices: DataFrame, *, as_of: dt.date, l
     """I15: ``has_history`` = the vendor has a bar for the symbol in the last
     ``lookback_days`` (set-based semi join, not one call per symbol)."""
     recent = (price_date_range(prices, as_of - dt.timedelta(days=lookback_days), as_of)
-              .filter((F.col("source") == source)
-                            & F.coalesce("open", "high", "low", "close").isNotNull())
+              .filter(F.col("source") == source)
               .select(F.col("symbol").alias("_hs")).distinct().withColumn("has_history", F.lit(True)))
     out = candidates.join(recent, candidates[symbol_col] == recent["_hs"], "left").drop("_hs")
     return out.withColumn("has_history", F.coalesce(F.col("has_history"), F.lit(False)))

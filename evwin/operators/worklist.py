@@ -25,8 +25,9 @@ def _recent(as_of: dt.date, days: int):
     return F.col("ipo_date") >= F.date_sub(lit_date(as_of), days)
 
 
-def _limit(df: DataFrame, limit: int | None) -> DataFrame:
-    return df if limit is None else df.limit(limit)
+def _limit(df: DataFrame, limit: int | None, *order) -> DataFrame:
+    """The first ``limit`` rows; without a budget all of them, and no global sort."""
+    return df if limit is None else df.orderBy(*order).limit(limit)
 
 
 # W01
@@ -37,7 +38,7 @@ def recent_equity_symbols(events: DataFrame, *, as_of: dt.date, recent_days: int
 
 # W02
 def symbols_missing_profile(events: DataFrame, profiles: DataFrame, *, as_of: dt.date,
-                            recent_days: int = 120, limit: int | None = 30) -> DataFrame:
+                            recent_days: int = 120, limit: int | None = None) -> DataFrame:
     s = recent_equity_symbols(events, as_of=as_of, recent_days=recent_days)
     p = (profiles.filter(F.col("source").isin(*PROFILE_SOURCES))
          .groupBy(F.col("symbol").alias("_psym"))
@@ -47,21 +48,21 @@ def symbols_missing_profile(events: DataFrame, profiles: DataFrame, *, as_of: dt
          .filter(F.col("_psym").isNull()
                  | (F.col("industry_any").isNull() & F.col("sector_any").isNull()))
          .select("symbol"))
-    return _limit(j.orderBy("symbol"), limit)
+    return _limit(j, limit, "symbol")
 
 
 # W03
 def unresolved_symbols(events: DataFrame, symbol_map: DataFrame, *, vendor: str, as_of: dt.date,
-                       recent_days: int = 120, limit: int | None = 50) -> DataFrame:
+                       recent_days: int = 120, limit: int | None = None) -> DataFrame:
     s = recent_equity_symbols(events, as_of=as_of, recent_days=recent_days)
     m = symbol_map.filter(F.col("vendor") == vendor).select(F.col("ipo_symbol").alias("_msym"))
     j = s.join(m, s["symbol"] == m["_msym"], "left_anti")
-    return _limit(j.orderBy("symbol"), limit)
+    return _limit(j, limit, "symbol")
 
 
 # W04
 def priceable_pairs(events: DataFrame, symbol_map: DataFrame, *, vendor: str, as_of: dt.date,
-                    recent_days: int = 120, limit: int | None = 40) -> DataFrame:
+                    recent_days: int = 120, limit: int | None = None) -> DataFrame:
     u = F.upper(F.col("symbol"))
     e = (events.filter(F.col("ipo_date").isNotNull() & (F.col("ipo_date") <= lit_date(as_of))
                        & u.rlike("^[A-Z0-9]{1,5}\\z") & ~u.rlike("[UWR]\\z")
@@ -73,7 +74,7 @@ def priceable_pairs(events: DataFrame, symbol_map: DataFrame, *, vendor: str, as
     j = (e.join(m, e["ipo_symbol"] == m["_msym"], "inner")
          .select("ipo_symbol", "vendor_symbol", "ipo_date").distinct())
     # newest first; symbol tie-break added so the limit is deterministic [design]
-    return _limit(j.orderBy(F.col("ipo_date").desc(), "ipo_symbol", "vendor_symbol"), limit)
+    return _limit(j, limit, F.col("ipo_date").desc(), "ipo_symbol", "vendor_symbol")
 
 
 # W05
@@ -88,7 +89,7 @@ def symbols_with_profile(events: DataFrame, profiles: DataFrame, *, as_of: dt.da
 
 # W06
 def backfill_candidates(coverage: DataFrame, *, as_of: dt.date, recent_days: int = 120,
-                        limit: int | None = 30) -> DataFrame:
+                        limit: int | None = None) -> DataFrame:
     st = F.col("coverage_status")
     rank = rank_by([(st == s, i + 1) for i, s in enumerate(BACKFILL_STATUSES)])
     c = (coverage.filter(st.isin(*BACKFILL_STATUSES) & (F.col("ipo_date") <= lit_date(as_of))
@@ -96,8 +97,7 @@ def backfill_candidates(coverage: DataFrame, *, as_of: dt.date, recent_days: int
          .select("event_id", "ipo_symbol", "price_symbol", "price_vendor", "ipo_date", "coverage_status",
                  F.coalesce(F.col("distinct_price_days"), F.lit(0)).alias("distinct_price_days"),
                  rank.alias("_rank")))
-    out = c.orderBy("_rank", F.col("ipo_date").desc(), "ipo_symbol", "event_id")
-    return _limit(out, limit).drop("_rank")
+    return _limit(c, limit, "_rank", F.col("ipo_date").desc(), "ipo_symbol", "event_id").drop("_rank")
 
 
 # W07

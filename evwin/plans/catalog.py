@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evwin.config import DEFAULT_PARAMS
+from evwin.config import DEFAULT_PARAMS, RETURN_FILTER_RANGE
 from evwin.plans import models as M
 from evwin.plans import oracle as O
 from evwin.sources.raw import stored_raw_tables
@@ -52,13 +52,13 @@ def graph(spark: SparkSession, sf_dir: str) -> M.ModelGraph:
     """One model graph per (session, folder) over the stored raw tables
     (derived from the test tables once, see ``sources.raw``); queries share
     DataFrame objects, so Spark's exchange reuse applies within a plan."""
-    key = (id(spark), sf_dir)
+    raw = stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of)  # looks at the input's files on every call
+    key = (spark.sparkContext.applicationId, raw.root)
     if key not in _GRAPHS:
         # listings (M04, one row per recent listing) is the shared dimension of
         # every mart: written once, as SURVEY §4 plans; the price-side work
         # (precedence, window join, aggregation) stays in each query.
-        _GRAPHS[key] = M.ModelGraph(stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of), DEFAULT_PARAMS,
-                                    materialize=("listings",))
+        _GRAPHS[key] = M.ModelGraph(raw, DEFAULT_PARAMS, materialize=("listings",))
     return _GRAPHS[key]
 
 
@@ -209,36 +209,36 @@ def _w01(spark, d):
 LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, '')) AS sa FROM raw_profiles
            WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
 WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
-ORDER BY s.symbol LIMIT {_P.profile_limits['finnhub']}""")
+""")
 def _w02(spark, d):
     r = _raw(spark, d)
-    return W.symbols_missing_profile(r.ipo_events, r.company_profiles, limit=_P.profile_limits["finnhub"], **_WL)
+    return W.symbols_missing_profile(r.ipo_events, r.company_profiles, limit=_P.profile_limit, **_WL)
 
 
-def _unres_sql(v, n):
+def _unres_sql(v):
     return f"""(SELECT '{v}' AS vendor, symbol FROM w_recent s
   WHERE NOT EXISTS (SELECT 1 FROM raw_map m WHERE m.vendor = '{v}' AND m.ipo_symbol = s.symbol)
-  ORDER BY symbol LIMIT {n})"""
+)"""
 
 
-@register("unresolved_symbols", "SELECT * FROM " + _unres_sql("alphavantage", _P.resolve_limits["alphavantage"])
-          + " UNION ALL SELECT * FROM " + _unres_sql("yahoo", _P.resolve_limits["yahoo"]))
+@register("unresolved_symbols", "SELECT * FROM " + _unres_sql("alphavantage")
+          + " UNION ALL SELECT * FROM " + _unres_sql("yahoo"))
 def _w03(spark, d):
     r = _raw(spark, d)
     out = None
     for v in ("alphavantage", "yahoo"):
-        x = W.unresolved_symbols(r.ipo_events, r.symbol_map, vendor=v, limit=_P.resolve_limits[v], **_WL) \
+        x = W.unresolved_symbols(r.ipo_events, r.symbol_map, vendor=v, limit=_P.resolve_limit, **_WL) \
             .select(F.lit(v).alias("vendor"), "symbol")
         out = x if out is None else out.unionByName(x)
     return out
 
 
-def _pairs_sql(v, n):
-    return f"(SELECT '{v}' AS vendor, * FROM w_pairs_{v} ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol LIMIT {n})"
+def _pairs_sql(v):
+    return f"(SELECT '{v}' AS vendor, * FROM w_pairs_{v})"
 
 
-@register("priceable_pairs", "SELECT * FROM " + _pairs_sql("yahoo", _P.price_pair_limit)
-          + " UNION ALL SELECT * FROM " + _pairs_sql("alphavantage", _P.price_pair_limit))
+@register("priceable_pairs", "SELECT * FROM " + _pairs_sql("yahoo")
+          + " UNION ALL SELECT * FROM " + _pairs_sql("alphavantage"))
 def _w04(spark, d):
     r = _raw(spark, d)
     out = None
@@ -260,9 +260,7 @@ def _w05(spark, d):
 _BACKFILL_SQL = f"""SELECT event_id, ipo_symbol, price_symbol, price_vendor, ipo_date, coverage_status,
   coalesce(distinct_price_days, 0) AS distinct_price_days FROM m_coverage
 WHERE coverage_status IN ('mapped_but_no_prices', 'very_low_coverage', 'partial_coverage')
-  AND ipo_date <= {O._d(_P.as_of)} AND ipo_date >= {_RECENT_SQL} AND price_symbol IS NOT NULL
-ORDER BY CASE coverage_status WHEN 'mapped_but_no_prices' THEN 1 WHEN 'very_low_coverage' THEN 2
-  WHEN 'partial_coverage' THEN 3 ELSE 99 END, ipo_date DESC, ipo_symbol, event_id LIMIT {_P.backfill_limit}"""
+  AND ipo_date <= {O._d(_P.as_of)} AND ipo_date >= {_RECENT_SQL} AND price_symbol IS NOT NULL"""
 
 
 @register("backfill_candidates", _BACKFILL_SQL)
@@ -398,6 +396,13 @@ def _d07(spark, d):
     return _filtered(spark, d)
 
 
+@register("metrics_filtered_bounded", f"""SELECT {_ENR} FROM d_filtered
+WHERE return_30d_pct IS NULL OR return_30d_pct BETWEEN {RETURN_FILTER_RANGE[0]} AND {RETURN_FILTER_RANGE[1]}""")
+def _d07_bounded(spark, d):
+    low, high = RETURN_FILTER_RANGE
+    return D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short")), min_return=low, max_return=high)
+
+
 @register("kpis", f"""SELECT count(*) AS ipos, count(*) FILTER (WHERE price_days >= 1) AS with_any_prices,
   count(*) FILTER (WHERE price_days >= 15) AS good_coverage,
   CASE WHEN count(*) > 0 THEN {O.rdiv('CAST(sum(price_days) AS HUGEINT)', 'count(price_days)', 2)} END AS avg_price_days,
@@ -835,8 +840,7 @@ _SHAPE = "(regexp_full_match(v, '[A-Za-z0-9]{1,5}') AND NOT (length(v) >= 2 AND
 _RESOLVED = f"""SELECT v AS ipo_symbol, CASE WHEN {_SHAPE} AND (v LIKE 'X%' OR (v LIKE 'S%' AND v NOT LIKE '%7'))
   THEN v END AS resolved FROM {_YREQ}"""
 _HIST = f"""SELECT r.*, EXISTS (SELECT 1 FROM raw_prices p WHERE p.source = 'yahoo' AND p.symbol = r.resolved
-  AND p.price_date BETWEEN {O._d(_P.as_of - _dt.timedelta(days=30))} AND {O._d(_P.as_of)}
-  AND coalesce(p.open, p.high, p.low, p.close) IS NOT NULL) AS has_history FROM ({_RESOLVED}) r"""
+  AND p.price_date BETWEEN {O._d(_P.as_of - _dt.timedelta(days=30))} AND {O._d(_P.as_of)}) AS has_history FROM ({_RESOLVED}) r"""
 
 
 def _yreq(spark, d):
@@ -900,7 +904,7 @@ LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, ''
                 THEN nullif(trim(sector), '') ELSE sector END AS sector
     FROM raw_profiles) WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
 WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
-ORDER BY s.symbol LIMIT {_P.profile_limits['yahoo']}""")
+""")
 def _w02b(spark, d):
     r = _raw(spark, d)
     first = _w02(spark, d)
@@ -908,7 +912,7 @@ def _w02b(spark, d):
     rec = I.profiles_finnhub(pl).filter("outcome = 'upserted'")
     profiles2 = upsert(r.company_profiles, I.profiles_conform(rec, r.company_profiles.columns, _BT),
                        ["source", "symbol"])
-    return W.symbols_missing_profile(r.ipo_events, profiles2, limit=_P.profile_limits["yahoo"], **_WL)
+    return W.symbols_missing_profile(r.ipo_events, profiles2, limit=_P.profile_limit, **_WL)
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

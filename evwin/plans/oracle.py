@@ -329,8 +329,7 @@ d_enriched AS (
          END AS price_range_pct_30d
   FROM m_metrics_30),
 d_filtered AS (
-  SELECT * FROM d_enriched
-  WHERE return_30d_pct IS NULL OR (return_30d_pct >= -100 AND return_30d_pct <= 300)),
+  SELECT * FROM d_enriched),
 d_strong AS (SELECT * FROM d_filtered WHERE price_days >= {g} AND ret_cents IS NOT NULL)"""
 
 

@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evwin.config import RETURN_FILTER_RANGE
 from evwin.functions.exprs import coverage_class_short, round_avg
 from evwin.plans.models import short_class_rank
 
@@ -76,7 +75,7 @@ def _dec2(c: Column) -> Column:
 
 # D01-D03
 def metrics_feed(metrics: DataFrame) -> DataFrame:
-    return metrics.select(*FEED_COLUMNS).orderBy(F.col("ipo_date").desc())
+    return metrics.select(*FEED_COLUMNS).orderBy(F.col("ipo_date").desc(), "event_id")
 
 
 def coverage_feed(summary: DataFrame) -> DataFrame:
@@ -130,8 +129,9 @@ def filter_domains(enriched: DataFrame) -> DataFrame:
 
 # D07
 def metrics_filtered(enriched: DataFrame, *, industry: str = "All", sector: str = "All",
-                     band: str = "All", min_return: float = RETURN_FILTER_RANGE[0],
-                     max_return: float = RETURN_FILTER_RANGE[1]) -> DataFrame:
+                     band: str = "All", min_return: float | None = None,
+                     max_return: float | None = None) -> DataFrame:
+    """Listings without a return pass any bound."""
     df = enriched
     if industry != "All":
         df = df.filter(F.col("industry") == industry)
@@ -140,7 +140,11 @@ def metrics_filtered(enriched: DataFrame, *, industry: str = "All", sector: str
     if band != "All":
         df = df.filter(F.col("coverage_band") == band)
     r = F.col("return_30d_pct")
-    return df.filter(r.isNull() | ((r >= F.lit(min_return)) & (r <= F.lit(max_return))))
+    if min_return is not None:
+        df = df.filter(r.isNull() | (r >= F.lit(min_return)))
+    if max_return is not None:
+        df = df.filter(r.isNull() | (r <= F.lit(max_return)))
+    return df
 
 
 def _strong_returns(df: DataFrame) -> DataFrame:
@@ -195,7 +199,7 @@ def _industry_means(filtered: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("ipo_count"),
                  F.sum("return_30d_pct").alias("_s"), F.count("return_30d_pct").alias("_n"))
             .select("industry", "ipo_count",
-                    (F.col("_s").cast("decimal(28,2)") / F.col("_n").cast("decimal(12,0)")).alias("_avg"),
+                    (F.col("_s").cast("decimal(28,2)") / F.col("_n").cast("decimal(20,0)")).alias("_avg"),
                     round_avg(F.col("_s"), F.col("_n"), 2, "decimal(28,2)").alias("avg_return_30d_pct")))
 
 

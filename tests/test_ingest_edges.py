@@ -193,3 +193,26 @@ def test_upsert_batch_duplicates_collapse(spark):
     t = spark.createDataFrame([("a", 1)], "k string, v int")
     b = spark.createDataFrame([("a", 5), ("a", 7), ("b", 2), ("b", 2)], "k string, v int")
     assert sorted(upsert(t, b, ["k"]).collect()) == [("a", 7), ("b", 2)]
+
+
+def test_unreadable_payload_is_a_resolve_error(spark):
+    rows = [("A", None), ("B", "<html>busy</html>"), ("C", '{"bestMatches": []}'), ("D", '{"Note": "slow down"}')]
+    got = {r.ipo_symbol: r for r in I.resolve_first_or_exact(spark.createDataFrame(rows, "symbol string, payload string")).collect()}
+    assert got["A"].notes.startswith("resolve_error: ") and got["B"].notes.startswith("resolve_error: ")
+    assert got["D"].notes.startswith("resolve_error: ") and got["D"].notes.endswith("slow down")
+    assert not got["C"].notes.startswith("resolve_error") and not any(r.is_priceable for r in got.values())
+
+
+def test_market_cap_is_read_like_a_float(spark):
+    rows = [(s, f'{{"longName": "N", "marketCap": {v}}}') for s, v in (("A", '"1d"'), ("B", '"1_000"'), ("C", "12.5"), ("D", '" 7 "'))]
+    out = I.profiles_yahoo(spark.createDataFrame(rows, "symbol string, payload string"))
+    got = {r.s: r.m for r in out.selectExpr("cast(symbol as string) s", "cast(market_cap as double) m").collect()}
+    assert got == {"A": None, "B": 1000.0, "C": 12.5, "D": 7.0}
+
+
+def test_history_needs_only_a_row(spark):
+    import datetime as dt
+    p = spark.createDataFrame([("yahoo", "A", dt.date(2001, 6, 20), None, None, None, None)], "source string, symbol string, price_date date, open double, high double, low double, close double")
+    p = p.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
+    got = I.history_check(spark.createDataFrame([("A",), ("B",)], "resolved string"), p, as_of=dt.date(2001, 6, 30)).collect()
+    assert {r.resolved: r.has_history for r in got} == {"A": True, "B": False}

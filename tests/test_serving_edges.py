@@ -27,8 +27,9 @@ def metrics(spark, rows):
 def test_return_filter_keeps_nulls_and_bounds(spark):
     m = D.metrics_enriched(metrics(spark, [("A", "I", 20, None, 1, 1, 1), ("B", "I", 20, "-100", 1, 1, 1),
                                            ("C", "I", 20, "300", 1, 1, 1), ("D", "I", 20, "300.01", 1, 1, 1)]))
-    got = sorted(r.ipo_symbol for r in D.metrics_filtered(m).collect())
+    got = sorted(r.ipo_symbol for r in D.metrics_filtered(m, min_return=-100, max_return=300).collect())
     assert got == ["A", "B", "C"]
+    assert D.metrics_filtered(m).count() == 4  # no bound unless one is asked for
 
 
 def test_enrichment(spark):
