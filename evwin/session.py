@@ -45,6 +45,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get("spark.checkpoint.dir", None) or \
         spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set: a cluster has to name a shared folder")
         d = os.environ.get("EVWIN_CHECKPOINT_DIR") or "/tmp/evwin-checkpoints"
         spark.conf.set("spark.checkpoint.dir", d)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

@@ -69,10 +69,19 @@ def publish(spark: SparkSession, root: str, write) -> str:
     return root
 
 
+def _files(fs, src) -> str:
+    """Path, length and time of change of every input file."""
+    found, files = [], fs.listFiles(src, True)
+    while files.hasNext():
+        f = files.next()
+        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
+    return "\n".join(sorted(found))
+
+
 def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
     fs, src, _ = _fs(spark, sf_dir)
-    size = fs.getContentSummary(src).getLength()
+    size = _files(fs, src)
     tz = spark.conf.get("spark.sql.session.timeZone")
     import sys
     from evwin.functions import exprs

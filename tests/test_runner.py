@@ -19,3 +19,46 @@ def test_run_models_and_checks(spark):
     assert v.tests == 17 and v.verdict == "fail"     # NULL closes in the 30-day window fail not_null
     failing = {(r.model, r.column) for r in checks.filter("status = 'fail'").collect()}
     assert failing == {("window_prices_30d", "close")}
+
+
+def test_changed_input_of_equal_length_is_read_anew(spark, tmp_path):
+    """Same paths and byte lengths, other contents: queries must not answer from the old store."""
+    import os
+    import shutil
+
+    import __spark_entry__ as E
+
+    from conftest import SF0001
+    for f in os.listdir(SF0001):
+        shutil.copyfile(f"{SF0001}/{f}", tmp_path / f)
+    before = E.queries()["view_ipos"](spark, str(tmp_path)).count()
+    part = tmp_path / "part.parquet"
+    old = part.stat().st_size
+    spark.read.parquet(f"{SF0001}/part.parquet").filter("p_partkey <= 50").coalesce(1).write.parquet(str(tmp_path / "cut"))
+    new = next((tmp_path / "cut").glob("*.parquet")).read_bytes()
+    assert len(new) <= old
+    shutil.copyfile(next((tmp_path / "cut").glob("*.parquet")), part)
+    (tmp_path / "pad.txt").write_bytes(b" " * (old - len(new)))
+    assert E.queries()["view_ipos"](spark, str(tmp_path)).count() < before
+
+
+def test_cluster_without_shared_folder_is_refused():
+    import pytest
+
+    from evwin.session import ensure_checkpoint_dir
+
+    class Conf:
+        def get(self, *_):
+            return None
+
+    class Context:
+        master = "spark://somewhere:7077"
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(Session())
