@@ -143,8 +143,10 @@ def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS) -
     """The rows of ``docs``, one for each group: that with the smallest id (ties: smaller
     fingerprint, then smaller hash of the row's text)."""
     ids = materialize(with_fingerprints(docs.select("doc_id", "text"), size=size), "simhash")
-    keepers = groups(ids, radius).select(F.col("keeper.doc_id").alias("k"), F.col("keeper.fp").alias("kfp")).distinct()
-    rows = with_fingerprints(packed(docs, doc_id=F.col("doc_id"), h=F.xxhash64("text"), text=F.col("text")), size=size)
-    kept = rows.join(keepers, rows["doc_id"].eqNullSafe(keepers["k"]) & (rows["fp"] == keepers["kfp"]))
-    nth = F.row_number().over(Window.partitionBy("k", "kfp").orderBy("h"))
+    # keys without nulls, the same for join and window: the rows shuffle once
+    keys = {"none": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id"), F.lit(0))}
+    keepers = groups(ids, radius).select("keeper.doc_id", "keeper.fp").distinct().select("fp", *[c.alias(k) for k, c in keys.items()])
+    rows = with_fingerprints(packed(docs, h=F.xxhash64("text"), text=F.col("text"), **keys), size=size)
+    kept = rows.join(keepers, ["id", "none", "fp"])
+    nth = F.row_number().over(Window.partitionBy("id", "none", "fp").orderBy("h"))
     return unpacked(kept.withColumn("nth", nth).filter("nth = 1"), docs.columns)
