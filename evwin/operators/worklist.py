@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evwin.functions.exprs import equity_shape, lit_date, rank_by
+from evwin.functions.exprs import equity_shape, lit_date, price_date_range, rank_by
 from evwin.operators.window_join import interval_join
 
 # --- fixed values ------------------------------------------------------------
@@ -111,31 +111,32 @@ def alternate_symbol(worklist: DataFrame, symbol_map: DataFrame, *, vendor: str
     return worklist.join(m, worklist[key] == m["_asym"], "left").drop("_asym")
 
 
-def first_pair_per_symbol(pairs: DataFrame) -> DataFrame:
-    """Main-run fallback map: per ipo_symbol the pair with the newest date."""
-    w = Window.partitionBy("ipo_symbol").orderBy(F.col("ipo_date").desc(), "vendor_symbol")
-    return pairs.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 # W08
-def high_water_marks(prices: DataFrame, source: str | None = None) -> DataFrame:
-    p = prices if source is None else prices.filter(F.col("source") == source)
+def high_water_marks(prices: DataFrame, source: str | None = None, not_before: dt.date | None = None) -> DataFrame:
+    """Newest loaded date per (source, symbol).  ``not_before`` (a literal, so it
+    prunes the scan) leaves out older bars: a mark before the first listing date
+    never moves ``load_from``, so such a mark may as well be NULL."""
+    p = price_date_range(prices, lo=not_before) if not_before else prices
+    p = p if source is None else p.filter(F.col("source") == source)
     return p.groupBy("source", "symbol").agg(F.max("price_date").alias("hwm"))
 
 
 def load_windows(worklist: DataFrame, prices: DataFrame, *, source: str, as_of: dt.date,
                  window_days: int = 100, symbol_col: str = "vendor_symbol",
-                 incremental: bool = True) -> DataFrame:
+                 incremental: bool = True, not_before: dt.date | None = None) -> DataFrame:
     """Per listing: to = min(ipo_date + N, as_of); from = max(hwm + 1, ipo_date)
     with the high-water mark of (source, vendor symbol); status says why a
     window is empty.  The hwm is one grouped aggregate over the price table
-    (partial aggregation before the shuffle) instead of one MAX per symbol."""
+    (partial aggregation before the shuffle) instead of one MAX per symbol.
+    With ``not_before`` (at most the oldest ``ipo_date``) older bars are not
+    read, and a mark older than it shows as NULL."""
     to = F.least(F.date_add("ipo_date", window_days), lit_date(as_of))
     w = worklist.withColumn("load_to", to)
     if incremental:
         # only the worklist's series matter: prune before the grouped aggregate
         syms = worklist.select(F.col(symbol_col).alias("_wsym")).distinct()
-        p = prices.join(syms, prices["symbol"] == syms["_wsym"], "left_semi")
+        p = prices if not_before is None else price_date_range(prices, lo=not_before)
+        p = p.join(syms, p["symbol"] == syms["_wsym"], "left_semi")
         h = high_water_marks(p, source).select(F.col("symbol").alias("_hsym"), "hwm")
         w = w.join(h, w[symbol_col] == h["_hsym"], "left").drop("_hsym")
         frm = F.greatest(F.date_add("hwm", 1), F.col("ipo_date"))  # greatest skips NULL
@@ -152,76 +153,122 @@ def load_windows(worklist: DataFrame, prices: DataFrame, *, source: str, as_of:
 def incremental_prices(windows: DataFrame, staged: DataFrame, *, symbol_col: str = "vendor_symbol",
                        bucket_days: int = 32) -> DataFrame:
     """Staged vendor bars inside some listing's [load_from, load_to]: one row
-    per price key even when several listings share a vendor symbol."""
+    per price key even when several listings share a vendor symbol.  Listings
+    of a series are first reduced to their different windows, of which a
+    series has no more than listing dates."""
     w = (windows.filter(F.col("load_status") == "load")
-         .select(F.col("source").alias("_wsrc"), F.col(symbol_col).alias("_wsym"), "load_from", "load_to"))
+         .select(F.col("source").alias("_wsrc"), F.col(symbol_col).alias("_wsym"), "load_from", "load_to")
+         .distinct())
     return interval_join(w, staged, keys=[("_wsrc", "source"), ("_wsym", "symbol")], start="load_from",
                          end="load_to", series_date="price_date", bucket_days=bucket_days, how="left_semi")
 
 
-def _bars_for_windows(windows: DataFrame, staged: DataFrame, key: str, bucket_days: int) -> DataFrame:
-    w = windows.filter(F.col("load_status") == "load").select(
-        key, F.col("source").alias("_wsrc"), F.col("vendor_symbol").alias("_wsym"), "load_from", "load_to")
-    j = interval_join(w, staged, keys=[("_wsrc", "source"), ("_wsym", "symbol")], start="load_from",
-                      end="load_to", series_date="price_date", bucket_days=bucket_days)
-    return j.select(key, "source", "symbol", "price_date", "open", "high", "low", "close", "volume")
+# W10
+LISTING = ("ipo_symbol", "listing_symbol", "ipo_date")
+BAR = ("price_date", "open", "high", "low", "close", "volume")
+
+
+def newest_first() -> Column:
+    """A listing's turn in the load: newest date, then symbols (ascending struct)."""
+    return F.struct((-F.unix_date("ipo_date")).alias("d"), F.col("ipo_symbol").alias("s"),
+                    F.col("vendor_symbol").alias("v"))
 
 
-# W10
 def fallback_windows(worklist: DataFrame, prices: DataFrame, symbol_map: DataFrame, *, as_of: dt.date,
                      window_days: int = 100, primary: str = "yahoo", secondary: str = "alphavantage",
-                     key: str = "ipo_symbol") -> tuple[DataFrame, DataFrame]:
+                     turn: Column | None = None, failures: DataFrame | None = None,
+                     not_before: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
     """Load windows of the primary vendor (worklist's vendor_symbol) and of
-    the secondary vendor (its priceable mapping of the same listing)."""
-    wl = worklist.select(key, "ipo_date", "vendor_symbol")
-    pw = load_windows(wl, prices, source=primary, as_of=as_of, window_days=window_days)
-    alt = (alternate_symbol(wl.drop("vendor_symbol"), symbol_map, vendor=secondary, key=key)
-           .filter(F.col("alt_symbol").isNotNull()).withColumnRenamed("alt_symbol", "vendor_symbol"))
-    sw = load_windows(alt, prices, source=secondary, as_of=as_of, window_days=window_days)
-    return pw, sw
+    the secondary vendor (its priceable mapping of the same listing), one row
+    per (ipo_symbol, vendor_symbol, ipo_date) of the worklist.  ``turn`` orders
+    the listings (it must be different for each); ``failures`` (source, symbol)
+    names series whose download failed: where a download was due, the status
+    is ``failed``."""
+    wl = (worklist.withColumn("turn", newest_first() if turn is None else turn)
+          .select("ipo_symbol", F.col("vendor_symbol").alias("listing_symbol"), "ipo_date", "turn", "vendor_symbol"))
+    alt = (alternate_symbol(wl.drop("vendor_symbol"), symbol_map, vendor=secondary, key="ipo_symbol")
+           .filter(F.col("alt_symbol") != "").withColumnRenamed("alt_symbol", "vendor_symbol"))
+    out = []
+    for df, source in ((wl, primary), (alt, secondary)):
+        w = load_windows(df, prices, source=source, as_of=as_of, window_days=window_days, not_before=not_before)
+        if failures is not None:
+            bad = (failures.filter(F.col("source") == source).select(F.col("symbol").alias("_bad")).distinct())
+            due = (F.col("load_status") == "load") & F.col("_bad").isNotNull()
+            w = (w.join(bad, w["vendor_symbol"] == bad["_bad"], "left")
+                 .withColumn("load_status", F.when(due, "failed").otherwise(F.col("load_status"))).drop("_bad"))
+        out.append(w)
+    return out[0], out[1]
+
+
+def _loads(windows: DataFrame, staged: DataFrame, source: str, bucket_days: int) -> DataFrame:
+    """The bars each listing of one vendor loads when listings take turns and
+    every turn starts after what earlier turns loaded of the same series.
+
+    With m = the newest staged bar of a listing's own window, a series' mark
+    before a turn is the largest m of the earlier turns, and the turn loads the
+    bars of its window after that mark.  Listings with equal windows have equal
+    m, so only the first of them can load: a series is reduced to its different
+    windows (no more than listing dates) before bars are joined or ordered."""
+    classes = (windows.filter(F.col("load_status") == "load")
+               .groupBy("vendor_symbol", "load_from", "load_to")
+               .agg(F.min_by(F.struct(*LISTING, "turn"), "turn").alias("first")))
+    bars = interval_join(classes, staged.filter(F.col("source") == source),
+                         keys=[("vendor_symbol", "symbol")], start="load_from", end="load_to",
+                         series_date="price_date", bucket_days=bucket_days)
+    # one row a window; its bars are bounded by the window's days
+    held = bars.groupBy("vendor_symbol", "load_from", "load_to").agg(
+        F.first("first").alias("first"), F.max("price_date").alias("m"),
+        F.collect_list(F.struct(*BAR)).alias("bars"))
+    earlier = (Window.partitionBy("vendor_symbol").orderBy("first.turn")
+               .rowsBetween(Window.unboundedPreceding, -1))
+    new = F.filter("bars", lambda b: F.col("mark").isNull() | (b["price_date"] > F.col("mark")))
+    return (held.withColumn("mark", F.max("m").over(earlier))
+            .select("first.*", F.lit(source).alias("source"), F.col("vendor_symbol").alias("symbol"),
+                    F.inline(new)))
 
 
 def primary_with_fallback(primary_windows: DataFrame, secondary_windows: DataFrame, staged: DataFrame,
-                          *, use_fallback: bool = False, key: str = "ipo_symbol",
-                          bucket_days: int = 32) -> DataFrame:
-    """Bars to load per listing: the primary vendor's new bars; the secondary
-    vendor's only for listings whose primary window was tried and gave none
-    (flag, default off as in the reference)."""
-    prim = _bars_for_windows(primary_windows, staged, key, bucket_days)
+                          *, use_fallback: bool = False, primary: str = "yahoo",
+                          secondary: str = "alphavantage", bucket_days: int = 32) -> DataFrame:
+    """Bars to load per listing, each price key once: the primary vendor's new
+    bars; the secondary vendor's only for listings whose primary window was
+    tried and loaded nothing (flag, default off as in the reference).  What a
+    listing finds already loaded by an earlier turn counts as loaded."""
+    prim = _loads(primary_windows, staged, primary, bucket_days)
     if not use_fallback:
         return prim
-    got = prim.select(F.col(key).alias("_k")).distinct()
-    tried = primary_windows.filter(F.col("load_status") != "not_listed_yet").select(F.col(key).alias("_t"))
-    sw = (secondary_windows.join(tried, secondary_windows[key] == tried["_t"], "left_semi")
-          .join(got, secondary_windows[key] == got["_k"], "left_anti"))
-    return prim.unionByName(_bars_for_windows(sw, staged, key, bucket_days))
+    got = prim.select(F.col("turn").alias("_got")).distinct()
+    sw = secondary_windows.join(got, secondary_windows["turn"] == got["_got"], "left_anti")
+    return prim.unionByName(_loads(sw, staged, secondary, bucket_days))
 
 
 # W11
-def price_run_summary(primary_windows: DataFrame, loaded: DataFrame, *, secondary_windows=None,
-                      primary: str = "yahoo", key: str = "ipo_symbol") -> DataFrame:
+def price_run_summary(primary_windows: DataFrame, loaded: DataFrame, *, secondary_windows: DataFrame | None = None,
+                      primary: str = "yahoo") -> DataFrame:
     """attempted / rows / with_data / no_data / failed / yahoo_used /
-    alpha_used as the reference's loop counts them, in one aggregate.
-    Listings not yet listed count as attempted and no_data; the primary is
-    "used" for every other listing; the secondary for tried listings whose
-    primary load was empty and that have a secondary mapping."""
-    per = loaded.groupBy(F.col(key).alias("_k")).agg(
+    alpha_used as a loop over the listings counts them, in one aggregate.
+    Listings not yet listed count as attempted and no_data; a vendor is "used"
+    where it was asked and did not fail, the secondary being asked for tried
+    listings with a secondary mapping that loaded nothing from the primary."""
+    per = loaded.groupBy(F.col("turn").alias("_k")).agg(
         F.count(F.lit(1)).alias("_rows"),
         F.count_if(F.col("source") == primary).alias("_prim_rows"))
-    w = primary_windows.select(key, "load_status").join(per, primary_windows[key] == per["_k"], "left")
+    w = primary_windows.select("turn", "load_status").join(per, primary_windows["turn"] == per["_k"], "left")
     if secondary_windows is not None:
-        sk = secondary_windows.select(F.col(key).alias("_s")).distinct()
-        w = w.join(sk, w[key] == sk["_s"], "left")
-        has_alt = F.col("_s").isNotNull()
+        sk = secondary_windows.select(F.col("turn").alias("_s"), F.col("load_status").alias("_alt"))
+        w = w.join(sk, w["turn"] == sk["_s"], "left")
     else:
-        has_alt = F.lit(False)
+        w = w.withColumn("_alt", F.lit(None).cast("string"))
     rows = F.coalesce(F.col("_rows"), F.lit(0))
     tried = F.col("load_status") != "not_listed_yet"
+    failed = F.col("load_status") == "failed"
+    asked = tried & (F.coalesce(F.col("_prim_rows"), F.lit(0)) == 0) & F.col("_alt").isNotNull()
+    alt_failed = asked & (F.col("_alt") == "failed")
     return w.agg(
         F.count(F.lit(1)).alias("attempted"),
         F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows"),
         F.count_if(rows > 0).alias("with_data"),
         F.count_if(rows == 0).alias("no_data"),
-        F.lit(0).cast("bigint").alias("failed"),
-        F.count_if(tried).alias("yahoo_used"),
-        F.count_if(tried & (F.coalesce(F.col("_prim_rows"), F.lit(0)) == 0) & has_alt).alias("alpha_used"))
+        (F.count_if(failed) + F.count_if(alt_failed)).alias("failed"),
+        F.count_if(tried & ~failed).alias("yahoo_used"),
+        F.count_if(asked & ~alt_failed).alias("alpha_used"))

@@ -7,6 +7,7 @@ and timestamps as 'yyyy-MM-dd HH:mm:ss' strings."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,8 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evwin.config import DEFAULT_PARAMS, RETURN_FILTER_RANGE
+from evwin.functions.exprs import price_date_range
 from evwin.plans import models as M
 from evwin.plans import oracle as O
+from evwin.sources.payloads import failed_series
 from evwin.sources.raw import stored_raw_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -193,7 +196,8 @@ from evwin.operators import worklist as W  # noqa: E402
 
 _P = DEFAULT_PARAMS
 _WL = dict(as_of=_P.as_of, recent_days=_P.worklist_recent_days)
-_RECENT_SQL = f"{O._d(_P.as_of - __import__('datetime').timedelta(days=_P.worklist_recent_days))}"
+_LOAD_LO = _P.as_of - dt.timedelta(days=_P.worklist_recent_days)   # no window of a worklist starts earlier
+_RECENT_SQL = O._d(_LOAD_LO)
 
 
 def _raw(spark, d):
@@ -276,10 +280,13 @@ def _w07(spark, d):
 
 
 def _existing(spark, d):
-    from evwin.functions.exprs import price_date_range
     return price_date_range(_raw(spark, d).daily_prices, hi=O.LOAD_CUTOFF)
 
 
+def _staged(spark, d):
+    return price_date_range(_raw(spark, d).daily_prices, lo=_LOAD_LO, hi=_P.as_of)
+
+
 def _yahoo_pairs_all(spark, d):
     r = _raw(spark, d)
     return W.priceable_pairs(r.ipo_events, r.symbol_map, vendor="yahoo", limit=None, **_WL)
@@ -291,7 +298,7 @@ _LW_COLS = "ipo_symbol, vendor_symbol, ipo_date, load_to, hwm, load_from, load_s
 @register("load_windows", f"SELECT {_LW_COLS} FROM w_load_all")
 def _w08(spark, d):
     return W.load_windows(_yahoo_pairs_all(spark, d), _existing(spark, d), source="yahoo", as_of=_P.as_of,
-                          window_days=_P.long_window)
+                          window_days=_P.long_window, not_before=_LOAD_LO)
 
 
 @register("incremental_prices", f"""SELECT s.source, s.symbol, s.price_date, {dbl('s.open')}, {dbl('s.high')},
@@ -299,33 +306,29 @@ def _w08(spark, d):
 WHERE EXISTS (SELECT 1 FROM w_load_all w WHERE w.load_status = 'load' AND w.source = s.source
   AND w.vendor_symbol = s.symbol AND s.price_date >= w.load_from AND s.price_date <= w.load_to)""")
 def _w09(spark, d):
-    return W.incremental_prices(_w08(spark, d), _raw(spark, d).daily_prices).select(
+    return W.incremental_prices(_w08(spark, d), _staged(spark, d)).select(
         "source", "symbol", "price_date", "open", "high", "low", "close", "volume")
 
 
 def _fallback_parts(spark, d):
     r = _raw(spark, d)
-    wl = W.first_pair_per_symbol(_yahoo_pairs_all(spark, d))
-    pw, sw = W.fallback_windows(wl, _existing(spark, d), r.symbol_map, as_of=_P.as_of,
-                                window_days=_P.long_window)
-    loaded = W.primary_with_fallback(pw, sw, r.daily_prices, use_fallback=True)
-    return pw, sw, loaded
+    pw, sw = W.fallback_windows(_yahoo_pairs_all(spark, d), _existing(spark, d), r.symbol_map, as_of=_P.as_of,
+                                window_days=_P.long_window, not_before=_LOAD_LO,
+                                failures=failed_series(r.symbol_map))
+    return pw, sw, W.primary_with_fallback(pw, sw, _staged(spark, d), use_fallback=True)
 
 
-@register("primary_with_fallback", f"""SELECT ipo_symbol, source, symbol, price_date, {dbl('open')}, {dbl('high')},
-  {dbl('low')}, {dbl('close')}, volume FROM w_loaded""")
+@register("primary_with_fallback", f"""SELECT ipo_symbol, listing_symbol, ipo_date, source, symbol, price_date,
+  {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, volume FROM w_loaded""")
 def _w10(spark, d):
-    return _fallback_parts(spark, d)[2]
+    return _fallback_parts(spark, d)[2].drop("turn")
 
 
-_W11_SQL = """SELECT count(*) AS attempted, CAST(coalesce(sum(coalesce(r.n, 0)), 0) AS BIGINT) AS rows,
-  count(*) FILTER (WHERE coalesce(r.n, 0) > 0) AS with_data, count(*) FILTER (WHERE coalesce(r.n, 0) = 0) AS no_data,
-  CAST(0 AS BIGINT) AS failed, count(*) FILTER (WHERE w.load_status <> 'not_listed_yet') AS yahoo_used,
-  count(*) FILTER (WHERE w.load_status <> 'not_listed_yet' AND coalesce(r.np, 0) = 0 AND s.ipo_symbol IS NOT NULL) AS alpha_used
-FROM w_pw w
-LEFT JOIN (SELECT ipo_symbol, count(*) AS n, count(*) FILTER (WHERE source = 'yahoo') AS np FROM w_loaded GROUP BY 1) r
-  ON r.ipo_symbol = w.ipo_symbol
-LEFT JOIN (SELECT DISTINCT ipo_symbol FROM w_sw) s ON s.ipo_symbol = w.ipo_symbol"""
+_W11_SQL = """SELECT count(*) AS attempted, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
+  count(*) FILTER (WHERE n > 0) AS with_data, count(*) FILTER (WHERE n = 0) AS no_data,
+  CAST(coalesce(sum(y_fail + a_fail), 0) AS BIGINT) AS failed,
+  CAST(coalesce(sum(y_used), 0) AS BIGINT) AS yahoo_used, CAST(coalesce(sum(a_used), 0) AS BIGINT) AS alpha_used
+FROM w_turns"""
 
 
 @register("price_run_summary", _W11_SQL)

@@ -240,6 +240,7 @@ m_bench_30 AS (
 # Incremental-load scenario: the store already holds bars up to this date;
 # the vendor feed ("staged") is the whole derived price table.
 LOAD_CUTOFF = dt.date(2001, 4, 15)
+FAILED_SUFFIX = "7"   # vendor series whose download fails in that scenario
 
 _EQ = "regexp_full_match(upper({s}), '[A-Z0-9]{{1,5}}') AND NOT regexp_matches(upper({s}), '[UWR]$')"
 
@@ -267,35 +268,74 @@ w_pairs_{v} AS (
                greatest(h.hwm + 1, w.ipo_date) AS load_from, '{src}' AS source
         FROM {wl} w LEFT JOIN w_hwm h ON h.source = '{src}' AND h.symbol = w.vendor_symbol))"""
 
-    def bars(name, win):
-        return f"""
-{name} AS (
-  SELECT w.ipo_symbol, s.source, s.symbol, s.price_date, s.open, s.high, s.low, s.close, s.volume
-  FROM {win} w JOIN raw_prices s ON s.source = w.source AND s.symbol = w.vendor_symbol
-   AND s.price_date >= w.load_from AND s.price_date <= w.load_to
-  WHERE w.load_status = 'load')"""
-
     return f"""
 w_recent AS (
   SELECT DISTINCT upper(symbol) AS symbol FROM raw_events
   WHERE symbol IS NOT NULL AND symbol <> '' AND {_EQ.format(s='symbol')} AND ipo_date >= {_d(lo)}),""" + \
         pairs("yahoo") + "," + pairs("alphavantage") + f""",
 w_existing AS (SELECT * FROM raw_prices WHERE price_date <= {_d(LOAD_CUTOFF)}),
-w_hwm AS (SELECT source, symbol, max(price_date) AS hwm FROM w_existing GROUP BY source, symbol),
-w_wl AS (
-  SELECT ipo_symbol, vendor_symbol, ipo_date FROM (
-    SELECT *, row_number() OVER (PARTITION BY ipo_symbol ORDER BY ipo_date DESC, vendor_symbol) AS rn
-    FROM w_pairs_yahoo) WHERE rn = 1),
-w_alt AS (
-  SELECT wl.ipo_symbol, wl.ipo_date, m.vendor_symbol FROM w_wl wl
-  JOIN raw_map m ON m.vendor = 'alphavantage' AND m.is_priceable AND m.ipo_symbol = wl.ipo_symbol),""" + \
-        windows("w_load_all", "yahoo", "w_pairs_yahoo") + "," + windows("w_pw", "yahoo", "w_wl") + "," + \
-        windows("w_sw", "alphavantage", "w_alt") + "," + bars("w_prim", "w_pw") + "," + f"""
-w_sw2 AS (
-  SELECT * FROM w_sw
-  WHERE ipo_symbol IN (SELECT ipo_symbol FROM w_pw WHERE load_status <> 'not_listed_yet')
-    AND ipo_symbol NOT IN (SELECT ipo_symbol FROM w_prim)),""" + bars("w_sec", "w_sw2") + """,
-w_loaded AS (SELECT * FROM w_prim UNION ALL SELECT * FROM w_sec)"""
+w_hwm AS (SELECT source, symbol, max(price_date) AS hwm FROM w_existing WHERE price_date >= {_d(lo)} GROUP BY source, symbol),""" + \
+        windows("w_load_all", "yahoo", "w_pairs_yahoo")
+
+
+def load_ctes(p: Params = DEFAULT_PARAMS) -> str:
+    """The price load as a loop, one listing of a series after the other: each
+    turn reads the mark the turn before left and moves it to its newest bar."""
+    a = p.as_of
+    lo = a - dt.timedelta(days=p.worklist_recent_days)
+
+    def loop(seq, src):
+        return f"""
+{seq}_loop AS (
+  SELECT q.vendor_symbol, CAST(0 AS BIGINT) AS n, h.hwm AS mark, CAST(NULL AS BIGINT) AS pos,
+         CAST(NULL AS DATE) AS load_from, CAST(NULL AS DATE) AS load_to
+  FROM (SELECT DISTINCT vendor_symbol FROM {seq}) q
+  LEFT JOIN w_hwm h ON h.source = '{src}' AND h.symbol = q.vendor_symbol
+  UNION ALL
+  SELECT l.vendor_symbol, l.n + 1,
+         coalesce((SELECT max(s.price_date) FROM w_staged s WHERE s.source = '{src}' AND s.symbol = l.vendor_symbol
+                   AND NOT q.down AND s.price_date >= greatest(l.mark + 1, q.ipo_date) AND s.price_date <= q.load_to),
+                  l.mark), q.pos, greatest(l.mark + 1, q.ipo_date), q.load_to
+  FROM {seq}_loop l JOIN {seq} q ON q.vendor_symbol = l.vendor_symbol AND q.n = l.n + 1),
+{seq}_bars AS (
+  SELECT q.pos, q.ipo_symbol, q.listing_symbol, q.ipo_date, s.*
+  FROM {seq}_loop l JOIN {seq} q ON q.pos = l.pos
+  JOIN w_staged s ON s.source = '{src}' AND s.symbol = q.vendor_symbol
+   AND s.price_date >= l.load_from AND s.price_date <= l.load_to
+  WHERE NOT q.down),
+{seq}_failed AS (
+  SELECT q.pos FROM {seq}_loop l JOIN {seq} q ON q.pos = l.pos WHERE q.down AND l.load_from <= l.load_to)"""
+
+    return f"""
+w_staged AS MATERIALIZED (
+  SELECT source, symbol, price_date, open, high, low, close, volume FROM raw_prices
+  WHERE price_date BETWEEN {_d(lo)} AND {_d(a)}),
+w_pos AS (
+  SELECT ipo_symbol, vendor_symbol AS listing_symbol, ipo_date, least(ipo_date + {p.long_window}, {_d(a)}) AS load_to,
+         row_number() OVER (ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol) AS pos
+  FROM w_pairs_yahoo),
+w_y AS (
+  SELECT *, listing_symbol AS vendor_symbol, listing_symbol LIKE '%{FAILED_SUFFIX}' AS down,
+         row_number() OVER (PARTITION BY listing_symbol ORDER BY pos) AS n
+  FROM w_pos WHERE ipo_date <= load_to),""" + loop("w_y", "yahoo") + f""",
+w_a AS (
+  SELECT w.*, m.vendor_symbol, m.vendor_symbol LIKE '%{FAILED_SUFFIX}' AS down,
+         row_number() OVER (PARTITION BY m.vendor_symbol ORDER BY w.pos) AS n
+  FROM w_pos w JOIN raw_map m ON m.vendor = 'alphavantage' AND m.is_priceable AND m.ipo_symbol = w.ipo_symbol
+  WHERE w.ipo_date <= w.load_to AND m.vendor_symbol <> '' AND w.pos NOT IN (SELECT pos FROM w_y_bars)),""" + \
+        loop("w_a", "alphavantage") + """,
+w_loaded AS (SELECT * FROM w_y_bars UNION ALL SELECT * FROM w_a_bars),
+w_turns AS (
+  SELECT w.pos, coalesce(r.n, 0) AS n, CAST(yf.pos IS NOT NULL AS INT) AS y_fail, CAST(af.pos IS NOT NULL AS INT) AS a_fail,
+         CAST(w.ipo_date <= w.load_to AND yf.pos IS NULL AS INT) AS y_used,
+         CAST(q.pos IS NOT NULL AND af.pos IS NULL AS INT) AS a_used
+  FROM w_pos w LEFT JOIN (SELECT pos, count(*) AS n FROM w_loaded GROUP BY pos) r ON r.pos = w.pos
+  LEFT JOIN w_y_failed yf ON yf.pos = w.pos LEFT JOIN w_a_failed af ON af.pos = w.pos
+  LEFT JOIN w_a q ON q.pos = w.pos)"""
+
+
+def _loads(final_select: str, p: Params) -> str:
+    return load_ctes(p).strip() + ",\n" if "w_loaded" in final_select or "w_turns" in final_select else ""
 
 
 def sql_fmt(template: str, **parts: str) -> str:
@@ -336,10 +376,10 @@ d_strong AS (SELECT * FROM d_filtered WHERE price_days >= {g} AND ret_cents IS N
 def on_stored_tables(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
     """The same statement over views ``raw_events raw_prices raw_map
     raw_profiles`` (e.g. the stored raw tables) instead of re-deriving them."""
-    return ("WITH " + model_ctes(p).strip() + ",\n" + worklist_ctes(p).strip() + ",\n"
-            + serving_ctes(p).strip() + "\n" + final_select)
+    return ("WITH RECURSIVE " + model_ctes(p).strip() + ",\n" + worklist_ctes(p).strip() + ",\n"
+            + _loads(final_select, p) + serving_ctes(p).strip() + "\n" + final_select)
 
 
 def with_ctes(final_select: str, p: Params = DEFAULT_PARAMS) -> str:
-    return ("WITH " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + ",\n"
-            + worklist_ctes(p).strip() + ",\n" + serving_ctes(p).strip() + "\n" + final_select)
+    return ("WITH RECURSIVE " + fixture_ctes(p).strip() + ",\n" + model_ctes(p).strip() + ",\n"
+            + worklist_ctes(p).strip() + ",\n" + _loads(final_select, p) + serving_ctes(p).strip() + "\n" + final_select)

@@ -19,6 +19,7 @@ CALENDAR_BUCKETS = 64
 REPLAY_EXCHANGE = ("OTC", "OTC Markets")   # re-sent later with a changed value
 NOTE_TEXT = "call frequency"
 ERROR_TEXT = "timeout after 30s"
+FAILED_SUFFIX = "7"    # vendor series whose download failed
 TRIAGE_EXTRAS = ('{"Note": "Thank you for using the API"}', '{"Error Message": "Invalid API call"}',
                  '{"Information": "premium endpoint"}', '{"Meta Data": {}}')
 # -----------------------------------------------------------------------------
@@ -82,6 +83,12 @@ def triage_payloads(prices: DataFrame, *, source: str = "alphavantage") -> DataF
     return series_payloads(prices, source=source).unionByName(extras)
 
 
+def failed_series(symbol_map: DataFrame) -> DataFrame:
+    """(source, symbol) of the vendor series whose download failed."""
+    return (symbol_map.filter(F.col("vendor_symbol").endswith(FAILED_SUFFIX))
+            .select(F.col("vendor").alias("source"), F.col("vendor_symbol").alias("symbol")).distinct())
+
+
 def bar_frames(prices: DataFrame, *, as_of: dt.date, lookback_days: int = 365,
                source: str = "yahoo") -> DataFrame:
     """Vendor bar frames as a download would give them: capitalised,

@@ -169,6 +169,76 @@ def test_fallback_and_summary(spark):
     assert (s.attempted, s.rows, s.with_data, s.no_data, s.yahoo_used, s.alpha_used) == (3, 2, 2, 1, 2, 1)
 
 
+_BARS = ("source string, symbol string, price_date date, open decimal(18,6), high decimal(18,6), "
+         "low decimal(18,6), close decimal(18,6), volume bigint")
+_NO_MAP = "vendor string, ipo_symbol string, vendor_symbol string, is_priceable boolean"
+_PAIRS = "ipo_symbol string, vendor_symbol string, ipo_date date"
+
+
+def _bar(symbol, day, source="yahoo"):
+    return (source, symbol, day, None, None, None, None, 1)
+
+
+def test_every_listing_date_of_a_symbol_is_loaded(spark):
+    wl = spark.createDataFrame([("A", "YA", dt.date(2001, 3, 1)), ("A", "YA", dt.date(2001, 6, 20))], _PAIRS)
+    staged = spark.createDataFrame([_bar("YA", dt.date(2001, 3, 5)), _bar("YA", dt.date(2001, 6, 25))], _BARS)
+    empty = spark.createDataFrame([], "source string, symbol string, price_date date")
+    pw, sw = W.fallback_windows(wl, empty, spark.createDataFrame([], _NO_MAP), as_of=AS_OF)
+    out = W.primary_with_fallback(pw, sw, staged, use_fallback=True)
+    # the newer listing loads 25 June; the older one's turn then starts after it, and its window ends on 9 June
+    assert [(r.ipo_date, r.price_date) for r in out.collect()] == [(dt.date(2001, 6, 20), dt.date(2001, 6, 25))]
+    s = W.price_run_summary(pw, out, secondary_windows=sw).collect()[0]
+    assert (s.attempted, s.rows, s.with_data, s.no_data, s.yahoo_used) == (2, 1, 1, 1, 2)
+    # without a bar in the newer window, the older listing loads its own
+    out = W.primary_with_fallback(pw, sw, staged.filter("price_date < '2001-06-01'"))
+    assert [(r.ipo_date, r.price_date) for r in out.collect()] == [(dt.date(2001, 3, 1), dt.date(2001, 3, 5))]
+
+
+def test_shared_series_counts_a_bar_once(spark):
+    wl = spark.createDataFrame([("A", "Y", dt.date(2001, 3, 1)), ("B", "Y", dt.date(2001, 3, 1))], _PAIRS)
+    staged = spark.createDataFrame([_bar("Y", dt.date(2001, 3, 5))], _BARS)
+    empty = spark.createDataFrame([], "source string, symbol string, price_date date")
+    pw, sw = W.fallback_windows(wl, empty, spark.createDataFrame([], _NO_MAP), as_of=AS_OF)
+    s = W.price_run_summary(pw, W.primary_with_fallback(pw, sw, staged), secondary_windows=sw).collect()[0]
+    assert (s.rows, s.with_data, s.no_data) == (1, 1, 1)
+
+
+def test_failed_series_fall_back_and_count(spark):
+    wl = spark.createDataFrame([("A", "Y", dt.date(2001, 3, 1)), ("B", "Z", dt.date(2001, 3, 1))], _PAIRS)
+    smap = spark.createDataFrame([("alphavantage", "A", "AA", True), ("alphavantage", "B", "AB", True)], _NO_MAP)
+    staged = spark.createDataFrame([_bar("Y", dt.date(2001, 3, 5)), _bar("AA", dt.date(2001, 3, 6), "alphavantage")], _BARS)
+    bad = spark.createDataFrame([("yahoo", "Y"), ("alphavantage", "AB")], "source string, symbol string")
+    empty = spark.createDataFrame([], "source string, symbol string, price_date date")
+    pw, sw = W.fallback_windows(wl, empty, smap, as_of=AS_OF, failures=bad)
+    out = W.primary_with_fallback(pw, sw, staged, use_fallback=True)
+    assert [(r.ipo_symbol, r.source) for r in out.collect()] == [("A", "alphavantage")]
+    s = W.price_run_summary(pw, out, secondary_windows=sw).collect()[0]
+    assert (s.failed, s.yahoo_used, s.alpha_used, s.with_data, s.no_data) == (2, 1, 1, 1, 1)
+
+
+def test_loads_equal_a_loop_in_any_order(spark):
+    import random
+    rnd = random.Random(5)
+    day0 = dt.date(2001, 3, 1)
+    wl = sorted({(f"L{i}", f"Y{rnd.randrange(3)}", day0 + dt.timedelta(rnd.randrange(40))) for i in range(40)},
+                key=lambda r: (r[1], r[0]))
+    bars = sorted({(f"Y{s}", day0 + dt.timedelta(rnd.randrange(60))) for s in range(3) for _ in range(12)})
+    marks, want = {}, set()
+    for sym, ser, d in wl:   # turn order: series, then symbol, whatever the dates
+        lo = max(marks.get(ser, dt.date.min) + dt.timedelta(1), d) if ser in marks else d
+        got = [x for s, x in bars if s == ser and lo <= x <= d + dt.timedelta(10)]
+        want |= {(sym, ser, x) for x in got}
+        if got:
+            marks[ser] = max(got)
+    w = spark.createDataFrame(wl, _PAIRS)
+    empty = spark.createDataFrame([], "source string, symbol string, price_date date")
+    pw, sw = W.fallback_windows(w, empty, spark.createDataFrame([], _NO_MAP), as_of=AS_OF, window_days=10,
+                                turn=F.struct("vendor_symbol", "ipo_symbol"))
+    out = W.primary_with_fallback(pw, sw, spark.createDataFrame([_bar(s, x) for s, x in bars], _BARS))
+    rows = [(r.ipo_symbol, r.symbol, r.price_date) for r in out.collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want
+
+
 def test_calendar_windows_modes(spark):
     ev = spark.createDataFrame([(dt.date(2000, 3, 1),), (dt.date(2001, 6, 1),), (dt.date(2001, 7, 20),)],
                                "ipo_date date")
