@@ -9,9 +9,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 __all__ = [
-    "lit_date", "ts_lit", "price_date_range", "py_strip", "clean_str", "clean_num", "first_present",
+    "lit_date", "ts_lit", "price_date_range", "py_strip", "distinct_days",
     "equity_shape", "letters_shape", "is_us_listing", "rank_by",
-    "guarded_ratio", "pct_return_2dp", "round_avg", "to_double",
+    "guarded_ratio", "pct_return_2dp", "round_avg",
     "coverage_class_short", "coverage_class_long", "label_or",
     "CLEAN_TOKENS_DB", "CLEAN_TOKENS_PROFILE",
 ]
@@ -25,8 +25,6 @@ CLEAN_TOKENS_PROFILE = ("none", "null", "n/a")
 
 # Python's str.strip() removes Unicode whitespace; Spark's trim() only spaces.
 _STRIP_RE = r"(?U)^\s+|\s+$"
-# A float literal Python's float() accepts (Spark would also take '1d', '1f').
-_NUM_RE = r"^[+-]?((\d+(_\d+)*)?\.?\d+(_\d+)*|\d+(_\d+)*\.)([eE][+-]?\d+)?$|^[+-]?(inf|infinity|nan)$"
 
 
 def lit_date(d: dt.date | str) -> Column:
@@ -41,9 +39,10 @@ def ts_lit(t: dt.datetime | None) -> Column:
     return F.to_timestamp(F.lit(t.strftime("%Y-%m-%d %H:%M:%S")))
 
 
-def price_date_range(prices, lo: dt.date | None = None, hi: dt.date | None = None):
+def price_date_range(prices, lo: dt.date | None = None, hi: dt.date | Column | None = None):
     """Filter a price table to [lo, hi] on ``price_date``; on the stored
-    layout also on ``price_month`` so whole month partitions are pruned."""
+    layout also on ``price_month`` so whole month partitions are pruned.
+    ``hi`` may be a scalar subquery, which prunes when the query runs."""
     p = prices
     has_month = "price_month" in prices.columns
     if lo is not None:
@@ -51,9 +50,10 @@ def price_date_range(prices, lo: dt.date | None = None, hi: dt.date | None = Non
         if has_month:
             p = p.filter(F.col("price_month") >= F.lit(lo.strftime("%Y-%m")))
     if hi is not None:
-        p = p.filter(F.col("price_date") <= lit_date(hi))
+        late = hi if isinstance(hi, Column) else lit_date(hi)
+        p = p.filter(F.col("price_date") <= late)
         if has_month:
-            p = p.filter(F.col("price_month") <= F.lit(hi.strftime("%Y-%m")))
+            p = p.filter(F.col("price_month") <= F.date_format(late, "yyyy-MM"))
     return p
 
 
@@ -61,26 +61,18 @@ def py_strip(c: Column) -> Column:
     return F.regexp_replace(c, _STRIP_RE, "")
 
 
-def clean_str(c: Column, tokens=CLEAN_TOKENS_DB) -> Column:
-    """strip; '' or a null token (case-insensitive) -> NULL."""
-    s = py_strip(c.cast("string"))
-    return F.when((s == "") | F.lower(s).isin(*tokens), F.lit(None).cast("string")).otherwise(s)
-
-
-def clean_num(c: Column, tokens=CLEAN_TOKENS_DB, numeric_input: bool = False) -> Column:
-    """Numbers pass; text is stripped, null tokens -> NULL, else parsed as a
-    float when Python would parse it, else NULL."""
-    if numeric_input:
-        return c.cast("double")
-    s = py_strip(c.cast("string"))
-    ok = F.lower(s).rlike(_NUM_RE) & ~F.lower(s).isin(*tokens)
-    return F.when(ok, F.regexp_replace(s, "_", "").try_cast("double")) \
-        .otherwise(F.lit(None).cast("double"))
-
-
-def first_present(*cols: Column) -> Column:
-    """Python ``a or b or c`` over strings: empty string counts as missing."""
-    return F.coalesce(*[F.when(c.cast("string") != "", c) for c in cols])
+def distinct_days(day: Column, days: int) -> Column:
+    """Aggregate: how many different values ``day`` (0..days) takes.  One bit a
+    day in 64-bit words: exact, with a buffer of fixed size, so the aggregate
+    stays hash-based at any number of groups."""
+    words = []
+    for w in range(days // 64 + 1):
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), (day - 64 * w).cast("int"))
+        words.append(F.coalesce(F.bit_count(F.bit_or(F.when(F.floor(day / 64) == w, bit))), F.lit(0)))
+    total = words[0]
+    for x in words[1:]:
+        total = total + x
+    return total.cast("bigint")
 
 
 def _no_uwr_ending(u: Column) -> Column:
@@ -135,10 +127,6 @@ def round_avg(sum_col: Column, cnt_col: Column, digits: int,
     return F.when(cnt_col > 0, F.round(sum_col.cast(sum_type) / cnt_col.cast("decimal(20,0)"), digits))
 
 
-def to_double(c: Column) -> Column:
-    return c.cast("double")
-
-
 def coverage_class_short(days: Column, limits=(15, 7, 1)) -> Column:
     good, partial, low = limits
     d = F.coalesce(days, F.lit(0))

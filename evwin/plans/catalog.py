@@ -606,8 +606,9 @@ def _unique_sql() -> str:
 
 def _models(spark, d):
     g = graph(spark, d)
-    return {"listings_recent": g.listings, "window_prices_30d": g.window_short, "metrics_30d": g.metrics_short,
-            "coverage_summary_30d": g.coverage_summary_short, "benchmarks_30d": g.benchmarks_short}
+    return {"listings_recent": g.listings, "window_prices_30d": g.mart("window_short"),
+            "metrics_30d": g.mart("metrics_short"), "coverage_summary_30d": g.mart("coverage_summary_short"),
+            "benchmarks_30d": g.mart("benchmarks_short")}
 
 
 @register("dq_not_null", _not_null_sql())

@@ -5,12 +5,12 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evwin.config import DEFAULT_PARAMS, Params
-from evwin.functions.exprs import (coverage_class_long, coverage_class_short, guarded_ratio,
-                                   is_us_listing, label_or, letters_shape, lit_date, price_date_range,
+from evwin.functions.exprs import (coverage_class_long, coverage_class_short, distinct_days,
+                                   guarded_ratio, is_us_listing, label_or, letters_shape, lit_date, price_date_range,
                                    pct_return_2dp, rank_by, round_avg)
 from evwin.operators.precedence import top1
 from evwin.operators.window_join import window_join
@@ -93,11 +93,12 @@ def listings_recent(events: DataFrame, symbol_map: DataFrame, profiles: DataFram
 
 # ---- M05a: one price per (symbol, day) ---------------------------------------
 def preferred_prices(prices: DataFrame, *, min_date: dt.date | None = None,
+                     max_date: dt.date | Column | None = None,
                      symbols: DataFrame | None = None) -> DataFrame:
-    """``min_date`` and ``symbols`` prune before the precedence shuffle; both
-    are safe because the dedupe key (symbol, price_date) contains the pruned
-    columns.  ``min_date`` is a literal, so it reaches the parquet scan."""
-    p = price_date_range(prices, lo=min_date)
+    """``min_date``, ``max_date`` and ``symbols`` prune before the precedence
+    shuffle; all are safe because the dedupe key (symbol, price_date) contains
+    the pruned columns.  The dates reach the parquet scan and its partitions."""
+    p = price_date_range(prices, lo=min_date, hi=max_date)
     if symbols is not None:
         p = p.join(symbols.select(F.col(symbols.columns[0]).alias("_psym")).distinct(),
                    F.col("symbol") == F.col("_psym"), "left_semi")
@@ -114,8 +115,10 @@ def window_prices(listings: DataFrame, prices: DataFrame, *, as_of: dt.date,
     ``ipo_date <= price_date <= ipo_date + days``; ``day_num`` in days."""
     ipos = (listings.filter((F.col("is_priceable") == True) & F.col("price_symbol").isNotNull())  # noqa: E712
             .select("event_id", "ipo_date", "ipo_symbol", "price_symbol", "price_vendor"))
-    # Listings are at most recent_days old, so no window starts earlier.
-    pref = preferred_prices(prices, min_date=as_of - dt.timedelta(days=recent_days),
+    # Listings are at most recent_days old, so no window starts earlier, and
+    # none ends later than the newest listing's.
+    last = ipos.select(F.date_add(F.max("ipo_date"), days)).scalar()
+    pref = preferred_prices(prices, min_date=as_of - dt.timedelta(days=recent_days), max_date=last,
                             symbols=ipos.select("price_symbol"))
     j = window_join(ipos, pref, anchor_key="price_symbol", series_key="symbol",
                     anchor_date="ipo_date", series_date="price_date", days=days,
@@ -138,15 +141,15 @@ def dim_industry(listings: DataFrame) -> DataFrame:
 
 
 # ---- M08 / M10: long-window coverage and metrics ------------------------------
-def _long_stats(window_rows: DataFrame) -> DataFrame:
+def _long_stats(window_rows: DataFrame, days: int = 100) -> DataFrame:
     """One aggregation per listing serves both coverage (all rows) and
-    metrics (rows with a close): one shuffle on event_id."""
+    metrics (rows with a close): one shuffle on event_id.  ``day_num`` of
+    the rows runs from 0 to ``days``."""
     c, d = F.col("close"), F.col("price_date")
     dated_close = F.when(c.isNotNull(), d)
     return window_rows.groupBy("event_id").agg(
         F.count(F.lit(1)).alias("price_rows"),
-        # exact distinct count; the set holds at most window-length dates
-        F.size(F.collect_set(d)).cast("bigint").alias("distinct_price_days"),
+        distinct_days(F.col("day_num"), days).alias("distinct_price_days"),
         F.min(d).alias("first_price_date"),
         F.max(d).alias("last_price_date"),
         F.count(c).alias("_n_close"),
@@ -156,8 +159,9 @@ def _long_stats(window_rows: DataFrame) -> DataFrame:
         F.max(c).alias("max_close"))
 
 
-def _coverage_wide(listings: DataFrame, window_rows: DataFrame, limits=(20, 60)) -> DataFrame:
-    st = _long_stats(window_rows).withColumnRenamed("event_id", "_eid")
+def _coverage_wide(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
+                   ) -> DataFrame:
+    st = _long_stats(window_rows, window_days).withColumnRenamed("event_id", "_eid")
     j = listings.join(st, listings["event_id"] == st["_eid"], "left")
     days = F.coalesce(F.col("distinct_price_days"), F.lit(0))
     return j.select(
@@ -178,8 +182,9 @@ COVERAGE_COLUMNS = ["event_id", "ipo_date", "ipo_symbol", "company_name", "excha
                     "coverage_status", "is_analysis_ready"]
 
 
-def coverage_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60)) -> DataFrame:
-    return _coverage_wide(listings, window_rows, limits).select(*COVERAGE_COLUMNS)
+def coverage_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
+                  ) -> DataFrame:
+    return _coverage_wide(listings, window_rows, limits, window_days).select(*COVERAGE_COLUMNS)
 
 
 def coverage_summary_long(coverage: DataFrame) -> DataFrame:
@@ -198,8 +203,9 @@ def _ratio_double(num, den):
         .otherwise((num - den).cast("double") / den.cast("double"))
 
 
-def metrics_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60)) -> DataFrame:
-    w = _coverage_wide(listings, window_rows, limits)
+def metrics_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
+                 ) -> DataFrame:
+    w = _coverage_wide(listings, window_rows, limits, window_days)
     f = F.col("first_close")
     return w.select(
         "event_id", "ipo_date", "ipo_symbol", "company_name", "exchange",
@@ -234,10 +240,12 @@ def benchmarks_long(metrics: DataFrame) -> DataFrame:
 
 
 # ---- M12-M14: short-window metrics -------------------------------------------
-def metrics_short(listings: DataFrame, window_rows: DataFrame, limits=(15, 7, 1)) -> DataFrame:
+def metrics_short(listings: DataFrame, window_rows: DataFrame, limits=(15, 7, 1), window_days: int = 30
+                  ) -> DataFrame:
+    """``day_num`` of the window rows runs from 0 to ``window_days``."""
     c, d = F.col("close"), F.col("price_date")
     st = window_rows.groupBy(F.col("event_id").alias("_eid")).agg(
-        F.size(F.collect_set(d)).cast("bigint").alias("price_days"),
+        distinct_days(F.col("day_num"), window_days).alias("price_days"),
         F.min(d).alias("first_price_date"),
         F.max(d).alias("last_price_date"),
         F.min_by(c, d).alias("first_close_30d"),   # NULL close on the first day stays NULL
@@ -285,9 +293,10 @@ def benchmarks_short(metrics: DataFrame, min_days: int = 15) -> DataFrame:
 # ---- the whole model graph ---------------------------------------------------
 class ModelGraph:
     """Lazily builds every model from the raw tables with one set of params.
-    ``materialize=True`` writes the shared intermediates (listings, the long
-    window) to the checkpoint folder once, as the reference materialises its
-    marts, so later models do not recompute the window join."""
+    ``materialize`` names intermediates (listings, the long window) that are
+    written to the checkpoint folder once, so later models do not recompute
+    the window join.  Models built from another mart (M09, M11, M13, M14) read
+    the written one, as marts are tables in the reference."""
 
     def __init__(self, raw, params: Params = DEFAULT_PARAMS, materialize: tuple = ()):
         self.raw, self.p, self._mat = raw, params, tuple(materialize)
@@ -310,6 +319,10 @@ class ModelGraph:
             self._cache[key] = self._store(name, getattr(self, name))
         return self._cache[key]
 
+    def written(self, name: str, df: DataFrame) -> None:
+        """Take ``df`` as the stored version of a model a run has written itself."""
+        self._cache[f"mart:{name}"] = df
+
     def _store(self, name, df):
         """Write a shared intermediate once (next to the raw store when there
         is one, keyed by the parameters) and read it back."""
@@ -346,38 +359,44 @@ class ModelGraph:
 
     @property
     def window_short(self):
-        return self._get("window_short", lambda: cut_window(self.window_long, self.p.short_window))
+        """Cut from the long window where that is stored; else joined at its own length."""
+        p = self.p
+        if "window_long" in self._mat and p.short_window <= p.long_window:
+            return self._get("window_short", lambda: cut_window(self.window_long, p.short_window))
+        return self._get("window_short", lambda: window_prices(
+            self.listings, self.raw.daily_prices, as_of=p.as_of,
+            recent_days=p.model_recent_days, days=p.short_window, bucket_days=p.bucket_days))
 
     @property
     def coverage(self):
         return self._get("coverage", lambda: coverage_long(self.listings, self.window_long,
-                                                           self.p.long_limits))
+                                                           self.p.long_limits, self.p.long_window))
 
     @property
     def coverage_summary(self):
-        return self._get("coverage_summary", lambda: coverage_summary_long(self.coverage))
+        return self._get("coverage_summary", lambda: coverage_summary_long(self.mart("coverage")))
 
     @property
     def metrics_long(self):
         return self._get("metrics_long", lambda: metrics_long(self.listings, self.window_long,
-                                                              self.p.long_limits))
+                                                              self.p.long_limits, self.p.long_window))
 
     @property
     def benchmarks_long(self):
-        return self._get("benchmarks_long", lambda: benchmarks_long(self.metrics_long))
+        return self._get("benchmarks_long", lambda: benchmarks_long(self.mart("metrics_long")))
 
     @property
     def metrics_short(self):
         return self._get("metrics_short", lambda: metrics_short(self.listings, self.window_short,
-                                                                self.p.short_limits))
+                                                                self.p.short_limits, self.p.short_window))
 
     @property
     def coverage_summary_short(self):
-        return self._get("coverage_summary_short", lambda: coverage_summary_short(self.metrics_short))
+        return self._get("coverage_summary_short", lambda: coverage_summary_short(self.mart("metrics_short")))
 
     @property
     def benchmarks_short(self):
-        return self._get("benchmarks_short", lambda: benchmarks_short(self.metrics_short,
+        return self._get("benchmarks_short", lambda: benchmarks_short(self.mart("metrics_short"),
                                                                       self.p.short_limits[0]))
 
     @property

@@ -15,25 +15,21 @@ from evwin.config import DEFAULT_PARAMS, Params
 from evwin.plans import models as M
 from evwin.plans import quality as Q
 
-MARTS = ("dim_industry", "coverage_100d", "coverage_summary_100d", "metrics_100d", "benchmarks_100d",
-         "metrics_30d", "coverage_summary_30d", "benchmarks_30d")
+# table written -> model of the graph; a model stands after the one it reads
+TABLES = {"listings_recent": "listings", "window_prices_30d": "window_short", "dim_industry": "dim_industry",
+          "coverage_100d": "coverage", "coverage_summary_100d": "coverage_summary",
+          "metrics_100d": "metrics_long", "benchmarks_100d": "benchmarks_long", "metrics_30d": "metrics_short",
+          "coverage_summary_30d": "coverage_summary_short", "benchmarks_30d": "benchmarks_short"}
+MARTS = tuple(t for t in TABLES if t not in ("listings_recent", "window_prices_30d"))
 
 
 def run_models(spark: SparkSession, raw, out_dir: str, params: Params = DEFAULT_PARAMS) -> dict[str, str]:
     g = M.ModelGraph(raw, params, materialize=("listings", "window_long"))
-    built = {"dim_industry": g.dim_industry, "coverage_100d": g.coverage,
-             "coverage_summary_100d": g.coverage_summary, "metrics_100d": g.metrics_long,
-             "benchmarks_100d": g.benchmarks_long, "metrics_30d": g.metrics_short,
-             "coverage_summary_30d": g.coverage_summary_short, "benchmarks_30d": g.benchmarks_short}
     paths = {}
-    for name in MARTS:
-        path = f"{out_dir.rstrip('/')}/{name}"
-        built[name].write.mode("overwrite").parquet(path)
-        paths[name] = path
-    paths["listings_recent"] = f"{out_dir.rstrip('/')}/listings_recent"
-    g.listings.write.mode("overwrite").parquet(paths["listings_recent"])
-    paths["window_prices_30d"] = f"{out_dir.rstrip('/')}/window_prices_30d"
-    g.window_short.write.mode("overwrite").parquet(paths["window_prices_30d"])
+    for table, model in TABLES.items():
+        paths[table] = f"{out_dir.rstrip('/')}/{table}"
+        getattr(g, model).write.mode("overwrite").parquet(paths[table])
+        g.written(model, spark.read.parquet(paths[table]))
     return paths
 
 

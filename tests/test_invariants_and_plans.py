@@ -67,3 +67,19 @@ def test_window_join_is_bucketed_equi_join(spark):
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.count() == 54 and "return_30d_pct" in df.columns
+
+
+def test_mart_aggregates_are_hash_based_and_scans_bounded_on_both_sides(spark):
+    for key in ("coverage_100d", "metrics_100d", "metrics_30d"):
+        plan = _plan(catalog.QUERIES[key](spark, SF0001))
+        assert "ObjectHashAggregate" not in plan and "SortAggregate" not in plan, key
+        assert "price_month#" in plan and "(price_month#" in plan
+        assert "<= date_format(" in plan.split("PartitionFilters: [isnotnull(price_month")[1].split("]")[0], key
+
+
+def test_distinct_days_counts_across_words(spark):
+    from evwin.functions.exprs import distinct_days
+    rows = [("a", x) for x in (0, 0, 63, 64, 64, 100)] + [("b", 5), ("c", None)]
+    df = spark.createDataFrame(rows, "k string, day bigint")
+    got = dict(df.groupBy("k").agg(distinct_days(F.col("day"), 100)).collect())
+    assert got == {"a": 4, "b": 1, "c": 0}
