@@ -30,7 +30,6 @@ DISALLOWED_SUBSTRINGS = (".", "=F", "^", "-UN", "-U", "-WT", "-WS", "-RT", "-P")
 DISALLOWED_ENDINGS = ("W", "R")
 YAHOO_NOTES = {"match": "yahoo_search:exact_us_match_with_history", "no_history": "yahoo_search:no_history",
                "no_match": "yahoo_search:no_match", "error": "yahoo_search:error:"}
-ERROR_TEXT_LIMIT = 200
 PROFILE_COLUMNS = ("source", "symbol", "name", "exchange", "country", "ipo", "currency", "market_cap",
                    "industry", "sector", "weburl", "logo", "raw_json")
 # -----------------------------------------------------------------------------
@@ -217,14 +216,53 @@ def payload_triage(payloads: DataFrame, payload_col: str = "payload") -> DataFra
     return p.withColumn("message", F.when(F.col("status") != "ok", msg)).drop("_v", "_keys")
 
 
+UNREADABLE_PAYLOAD, BAD_DATE, BAD_NUMBER = "unreadable payload", "bad date", "bad number"
+
+
+def unreadable(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
+    """The payload rows no parser can take (broken text, or over the size a
+    parsed value may have), with ``reason`` and length: what a load sets aside
+    and counts, where the parsing operators give no rows.  NULL payloads are included."""
+    return (payloads.filter(parse_payload(payload_col).isNull())
+            .withColumn("reason", F.lit(UNREADABLE_PAYLOAD))
+            .withColumn("payload_length", F.length(F.col(payload_col))))
+
+
+def _series_fault(series: Column, lo: Column, hi: Column) -> Column:
+    """Why a daily series as a whole fails: an unreadable day, or a number that
+    does not parse in a bar of [lo, hi]; NULL for a good one or none."""
+    entries = F.map_entries(series)
+    day = lambda e: F.call_function("try_to_date", e["key"], F.lit("yyyy-M-d"))
+
+    def broken(e):
+        vals = [e["value"].getField(f) for f in SERIES_FIELDS]
+        return day(e).between(lo, hi) & reduce(lambda a, b: a | b, [
+            F.coalesce((v != "") & py_strip(v).try_cast("double").isNull(), F.lit(False)) for v in vals])
+    return (F.when(F.exists(entries, lambda e: day(e).isNull()), BAD_DATE)
+            .when(F.exists(entries, broken), BAD_NUMBER))
+
+
+def series_faults(payloads: DataFrame, *, payload_col: str = "payload", from_col: str = "date_from",
+                  to_col: str = "date_to") -> DataFrame:
+    """The daily-series payloads that fail, with ``reason``: unreadable text,
+    or a bad date or number in them, for which all of the payload is refused."""
+    series = F.from_json(F.col(payload_col), _SERIES_SCHEMA).getField(SERIES_KEY)
+    reason = F.when(parse_payload(payload_col).isNull(), UNREADABLE_PAYLOAD) \
+        .otherwise(_series_fault(series, F.col(from_col), F.col(to_col)))
+    return payloads.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def daily_series_flatten(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload",
                          from_col: str = "date_from", to_col: str = "date_to",
                          source: str = "alphavantage") -> DataFrame:
     """OHLCV rows of daily-series payloads inside [from, to]; '' or missing
-    -> NULL; volume truncated from a float."""
+    -> NULL; volume truncated from a float.  Payloads that fail
+    (``series_faults``) give no rows."""
     parsed = F.from_json(F.col(payload_col), _SERIES_SCHEMA)
-    e = payloads.select(symbol_col, from_col, to_col,
-                        F.explode(parsed.getField(SERIES_KEY)).alias("ds", "ohlc"))
+    p = payloads.select(symbol_col, from_col, to_col, payload_col, parsed.getField(SERIES_KEY).alias("_s"))
+    p = p.filter(parse_payload(payload_col).isNotNull()
+                 & _series_fault(F.col("_s"), F.col(from_col), F.col(to_col)).isNull())
+    e = p.select(symbol_col, from_col, to_col, F.explode("_s").alias("ds", "ohlc"))
     d = F.expr("try_to_date(ds, 'yyyy-M-d')")
     e = e.withColumn("price_date", d).filter(F.col("price_date").between(F.col(from_col), F.col(to_col)))
 
@@ -269,12 +307,16 @@ def bars_normalise(bars: DataFrame, *, symbol_col: str = "symbol", date_col: str
 def profiles_finnhub(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
                      ) -> DataFrame:
     """Keeps non-empty object payloads with a truthy ``ticker``; adds
-    source='finnhub' and symbol=ticker; ``outcome`` is upserted/empty."""
+    source='finnhub' and symbol=ticker, to ``record`` (the payload as JSON)
+    too; ``outcome`` is upserted/empty."""
     p = payloads.select(parse_payload(payload_col).alias("body"))
     p = _stage(p, _t=vfield(F.col("body"), "ticker"))
     ok = vtype(F.col("body")).startswith("OBJECT") & py_truthy(F.col("body")) & py_truthy(F.col("_t"))
+    own = F.map_filter(F.col("body").try_cast("map<string,variant>"), lambda k, _: ~k.isin("source", "symbol"))
+    added = F.create_map(F.lit("source"), F.lit("finnhub").cast("variant"), F.lit("symbol"), F.col("_t"))
     return p.select(F.lit("finnhub").cast("variant").alias("source"), F.when(ok, F.col("_t")).alias("symbol"),
-                    "body", F.when(ok, "upserted").otherwise("empty").alias("outcome"))
+                    "body", F.when(ok, F.to_json(F.map_concat(own, added))).alias("record"),
+                    F.when(ok, "upserted").otherwise("empty").alias("outcome"))
 
 
 def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
@@ -294,8 +336,11 @@ def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_c
     cols = [F.lit("yahoo").cast("variant").alias("source"), F.col("_sym").cast("variant").alias("symbol")]
     cols += [F.col(n).cast("variant").alias(n) for n in keys]
     cols += [clean_number(F.col("_r_marketCap"), CLEAN_TOKENS_PROFILE).cast("variant").alias("market_cap"),
-             _null_variant().alias("logo"), "body", F.when(useful, "upserted").otherwise("empty").alias("outcome")]
-    return p.select(*cols)
+             _null_variant().alias("logo")]
+    rec = p.select(*cols, "body", F.when(useful, "upserted").otherwise("empty").alias("outcome"))
+    fields = ["source", "symbol", *keys, "market_cap", "logo"]
+    return rec.withColumn("record", F.to_json(F.struct(*fields, F.col("body").alias("raw_json")),
+                                              {"ignoreNullFields": "false"}))
 
 
 def profiles_conform(records: DataFrame, target_columns: list[str] | None = None,
@@ -303,13 +348,14 @@ def profiles_conform(records: DataFrame, target_columns: list[str] | None = None
     """I10: record -> profile row.  A field is the record's own column when
     present, else the payload's key; strings cleaned (null tokens), numbers
     cleaned; aliases as ``a or b``; rows without source or symbol dropped;
-    only the target's columns kept."""
+    only the target's columns kept; ``raw_json`` is the record, or without
+    one the payload."""
     have = set(records.columns)
     body = F.col("body") if "body" in have else _null_variant()
     fields = ("source", "symbol", "ticker", "name", "exchange", "country", "ipo", "currency", "market_cap",
               "marketCapitalization", "industry", "finnhubIndustry", "sector", "weburl", "logo")
     p = records.select(*[(F.col(k).cast("variant") if k in have else vfield(body, k)).alias(f"_f_{k}")
-                         for k in fields], body.alias("_body"))
+                         for k in fields], (F.col("record") if "record" in have else F.to_json(body)).alias("_body"))
     f = {k: F.col(f"_f_{k}") for k in fields}
     p = _stage(p, _symbol=py_or(f["symbol"], f["ticker"]), _mcap=py_or(f["market_cap"], f["marketCapitalization"]),
                _industry=py_or(f["industry"], f["finnhubIndustry"]))
@@ -319,7 +365,7 @@ def profiles_conform(records: DataFrame, target_columns: list[str] | None = None
         "country": clean_text(f["country"]), "ipo": clean_text(f["ipo"]), "currency": clean_text(f["currency"]),
         "market_cap": clean_number(F.col("_mcap")), "industry": clean_text(F.col("_industry")),
         "sector": clean_text(f["sector"]), "weburl": clean_text(f["weburl"]), "logo": clean_text(f["logo"]),
-        "raw_json": F.to_json("_body")}
+        "raw_json": F.col("_body")}
     keep = [k for k in PROFILE_COLUMNS if target_columns is None or k in target_columns]
     out = p.select(*[rec[k].alias(k) for k in keep], ts_lit(batch_ts).alias("ingested_at"))
     return out.filter(F.col("source").isNotNull() & F.col("symbol").isNotNull())
@@ -341,9 +387,10 @@ def symbol_map_rows(rows: DataFrame, *, vendor: str, batch_ts: dt.datetime | Non
                        notes.alias("notes"), ts_lit(batch_ts).alias("last_checked_at"))
 
 
-def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataFrame:
+def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | Column | None = None) -> DataFrame:
     """I12 batch rows: source defaults to 'unknown'; raw_row keeps the input
-    row as JSON; ingested_at = batch time."""
+    row as JSON, nulls included, with the day under ``date``; ingested_at =
+    batch time (a column where rows were landed at different times)."""
     src = F.coalesce(F.col("source"), F.lit("unknown")) if "source" in rows.columns else F.lit("unknown")
     cols = [c for c in ("source", "symbol", "price_date", "open", "high", "low", "close", "volume")
             if c in rows.columns]
@@ -351,14 +398,12 @@ def price_rows(rows: DataFrame, *, batch_ts: dt.datetime | None = None) -> DataF
                        *[(F.col(c) if c in rows.columns else F.lit(None)).cast(t).alias(c) for c, t in
                          (("open", "decimal(18,6)"), ("high", "decimal(18,6)"), ("low", "decimal(18,6)"),
                           ("close", "decimal(18,6)"), ("volume", "bigint"))],
-                       F.to_json(F.struct(*cols)).alias("raw_row"),
-                       ts_lit(batch_ts).alias("ingested_at"),
+                       F.to_json(F.struct(*[F.col(c).alias("date" if c == "price_date" else c) for c in cols]),
+                                 {"ignoreNullFields": "false"}).alias("raw_row"),
+                       (batch_ts if isinstance(batch_ts, Column) else ts_lit(batch_ts)).alias("ingested_at"),
                        F.date_format("price_date", "yyyy-MM").alias("price_month"))
 
 
-UNREADABLE_PAYLOAD = "unreadable payload"
-
-
 # ---- I13-I16 symbol resolution -----------------------------------------------
 def resolve_first_or_exact(requests: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
                            ) -> DataFrame:
@@ -434,9 +479,10 @@ def history_check(candidates: DataFrame, prices: DataFrame, *, as_of: dt.date, l
 
 
 def yahoo_map_rows(requests: DataFrame, resolved: DataFrame, *, error_col: str = "error",
-                   symbol_col: str = "symbol") -> DataFrame:
+                   symbol_col: str = "symbol", error_chars: int | None = None) -> DataFrame:
     """I16: mapping rows from resolution + history: priceable only with an
-    exact match that has history; failed requests keep the error text."""
+    exact match that has history; failed requests keep the error text (its
+    first ``error_chars`` characters, if given)."""
     req = requests.select(clean_symbol(F.col(symbol_col)).alias("ipo_symbol"),
                           F.col(error_col).alias("_e") if error_col in requests.columns
                           else F.lit(None).cast("string").alias("_e"))
@@ -445,7 +491,7 @@ def yahoo_map_rows(requests: DataFrame, resolved: DataFrame, *, error_col: str =
     err, res, hist = F.col("_e").isNotNull(), F.col("resolved"), F.col("has_history")
     vendor = F.when(err | res.isNull(), F.col("ipo_symbol")).otherwise(res)
     priceable = ~err & res.isNotNull() & F.coalesce(hist, F.lit(False))
-    notes = (F.when(err, F.concat(F.lit(YAHOO_NOTES["error"]), F.substring("_e", 1, ERROR_TEXT_LIMIT)))
+    notes = (F.when(err, F.concat(F.lit(YAHOO_NOTES["error"]), F.col("_e") if error_chars is None else F.substring("_e", 1, error_chars)))
              .when(res.isNull(), F.lit(YAHOO_NOTES["no_match"]))
              .when(priceable, F.lit(YAHOO_NOTES["match"])).otherwise(F.lit(YAHOO_NOTES["no_history"])))
     rows = j.select("ipo_symbol", clean_symbol(vendor).alias("vendor_symbol"), priceable.alias("is_priceable"),

@@ -1,18 +1,26 @@
 """Keyed upserts (I04, I10-I12) without a table format.
 
 Parquet has no MERGE, so an upsert is ``target LEFT ANTI batch ∪ batch`` on
-the key, with the batch first reduced to one row per key (last wins).  For
-a partitioned table only the partitions the batch touches are read
-(semi-join on the partition column, which dynamic partition pruning turns
-into a file filter), merged, staged in the shared checkpoint folder and
-then written back with dynamic partition overwrite, so a failed run can
-simply be repeated (upserting twice equals upserting once)."""
+the key, with the batch first reduced to one row per key (last wins).
+``upsert_within`` leaves out of the join what lies outside the batch's
+dates; ``upsert_partitioned`` commits to a partitioned table and reads and
+rewrites only the partitions the batch touches.  Upserting twice equals
+upserting once."""
 
 from __future__ import annotations
 
+import datetime as dt
+import hashlib
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from evwin.functions.exprs import lit_date, price_date_range
+from evwin.session import ensure_checkpoint_dir
+from evwin.sources.raw import mark, published, remove, unmark
+
 
 def last_wins(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """One row per key: the last by ``order`` (e.g. batch sequence, position)."""
@@ -39,19 +47,61 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], order: list[Col
     return kept.unionByName(b).select(*cols)
 
 
+def upsert_within(target: DataFrame, batch: DataFrame, keys: list[str], date_col: str, lo: dt.date, hi: dt.date,
+                  order: list[Column] | None = None) -> DataFrame:
+    """``upsert`` for a batch whose ``date_col``, a key column, lies in [lo, hi]
+    (a load's request window): target rows outside it cannot be replaced, so
+    they are passed on without a shuffle.  Batch rows outside it, or without a
+    date, are a caller's error and raise."""
+    inside = price_date_range(target, lo, hi)
+    outside = target.filter((F.col(date_col) < lit_date(lo)) | (F.col(date_col) > lit_date(hi))
+                            | F.col(date_col).isNull())
+    ok = F.coalesce(F.col(date_col).between(lit_date(lo), lit_date(hi)), F.lit(False))
+    checked = batch.withColumn(date_col, F.when(ok, F.col(date_col)).otherwise(
+        F.raise_error(F.lit(f"{date_col} outside the batch's window")).cast("date")))
+    return outside.unionByName(upsert(inside, checked, keys, order))
+
+
+# What Spark says of a path without a table, or without any file in it.
+NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
-                       partition_col: str) -> None:
+                       partition_col: str, layout: tuple[str, ...] | None = None) -> None:
     """Merge ``batch`` into the parquet table at ``table_path`` (partitioned
-    by ``partition_col``), rewriting only the partitions the batch touches."""
-    from pyspark.errors import AnalysisException
+    by ``partition_col``), rewriting only the partitions the batch touches,
+    range-partitioned and sorted by ``layout`` (default: partition, keys).
 
-    from evwin.session import materialize
+    The batch and the merged partitions are written to the shared folder
+    first, and a marker is set before the table is touched.  A run that dies
+    while partitions are replaced leaves the marker; the next run replaces
+    them again from the staged copy before it reads the table, so no row is
+    lost.  One writer a table at a time."""
+    layout = layout or (partition_col, *keys)
+    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin/upserts/{hashlib.sha1(table_path.encode()).hexdigest()[:16]}"
+    for name in published(spark, stage):      # left by a run that died
+        _replace(spark, stage, name, table_path, partition_col, layout)
+    name = uuid.uuid4().hex[:12]
+    batch.write.parquet(f"{stage}/{name}-batch")
+    new = spark.read.schema(batch.schema).parquet(f"{stage}/{name}-batch")
     try:
         target = spark.read.parquet(table_path)
-    except AnalysisException:   # no table (or no files) yet: the batch is the table
+    except AnalysisException as e:   # no table yet: the batch is the table
+        if e.getCondition() not in NO_TABLE:
+            raise
         target = spark.createDataFrame([], batch.schema)
-    touched = batch.select(partition_col).distinct()
-    tgt = target.join(touched, partition_col, "left_semi")
-    merged = materialize(upsert(tgt, batch.select(*target.columns), keys), "upsert-stage")
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    touched = target.join(new.select(partition_col).distinct(), partition_col, "left_semi").select(*target.columns)
+    upsert(touched, new.select(*target.columns), keys).write.parquet(f"{stage}/{name}")
+    mark(spark, stage, name)
+    _replace(spark, stage, name, table_path, partition_col, layout)
+
+
+def _replace(spark: SparkSession, stage: str, name: str, table_path: str, partition_col: str,
+             layout: tuple[str, ...]) -> None:
+    merged = spark.read.parquet(f"{stage}/{name}")
+    (merged.repartitionByRange(*layout).sortWithinPartitions(*layout)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(partition_col).parquet(table_path))
+    unmark(spark, stage, name)
+    remove(spark, f"{stage}/{name}")
+    remove(spark, f"{stage}/{name}-batch")

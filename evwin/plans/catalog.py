@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -406,6 +407,13 @@ def _d07_bounded(spark, d):
     return D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short")), min_return=low, max_return=high)
 
 
+@register("metrics_filtered_chosen", f"""SELECT {_ENR} FROM d_filtered WHERE coverage_band = 'partial_coverage'
+  AND industry = 'Unknown' AND sector = 'Unknown'""")
+def _d07_chosen(spark, d):
+    return D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short")), industry="Unknown",
+                              sector="Unknown", band="partial_coverage")
+
+
 @register("kpis", f"""SELECT count(*) AS ipos, count(*) FILTER (WHERE price_days >= 1) AS with_any_prices,
   count(*) FILTER (WHERE price_days >= 15) AS good_coverage,
   CASE WHEN count(*) > 0 THEN {O.rdiv('CAST(sum(price_days) AS HUGEINT)', 'count(price_days)', 2)} END AS avg_price_days,
@@ -614,7 +622,6 @@ def _models(spark, d):
 @register("dq_not_null", _not_null_sql())
 def _q01(spark, d):
     m = _models(spark, d)
-    from functools import reduce
     return reduce(lambda a, b: a.unionByName(b),
                   [Q.not_null_checks(m[k], k, t) for k, t in Q.NOT_NULL_TESTS.items()])
 
@@ -622,7 +629,6 @@ def _q01(spark, d):
 @register("dq_unique", _unique_sql())
 def _q02(spark, d):
     m = _models(spark, d)
-    from functools import reduce
     return reduce(lambda a, b: a.unionByName(b),
                   [Q.unique_check(m[k], k, c) for k, cols in Q.UNIQUE_TESTS.items() for c in cols])
 
@@ -637,7 +643,7 @@ def _q03(spark, d):
 
 
 _RAW_SRC = {"ipo_events": "raw_events", "daily_prices": "raw_prices", "symbol_map": "raw_map",
-            "company_profiles": "raw_profiles"}
+            "company_profiles": "raw_profiles", "ingestion_runs": "(SELECT 'backfill-2001-06-30' AS run_id)"}
 
 
 def _keys_sql() -> str:
@@ -659,20 +665,36 @@ def _q04(spark, d):
     return Q.key_checks({"ipo_events": (r.ipo_events, KEYS["ipo_events"]),
                          "daily_prices": (r.daily_prices, KEYS["daily_prices"]),
                          "symbol_map": (r.symbol_map, KEYS["symbol_map"]),
-                         "company_profiles": (r.company_profiles, KEYS["company_profiles"])})
+                         "company_profiles": (r.company_profiles, KEYS["company_profiles"]),
+                         "ingestion_runs": (_i17(spark, d), KEYS["ingestion_runs"])})
+
+
+@register("dq_key_violations", """SELECT 'ipo_events' AS model, ipo_symbol AS key, count(*) AS copies FROM (
+  SELECT coalesce(upper(symbol), '') AS ipo_symbol FROM raw_events) GROUP BY ipo_symbol HAVING count(*) > 1
+UNION ALL SELECT 'symbol_map', ipo_symbol, count(*) FROM raw_map GROUP BY ipo_symbol HAVING count(*) > 1""")
+def _q04b(spark, d):
+    """The rows behind a failed check, on columns that are no keys, so that there are some."""
+    r = _raw(spark, d)
+    ev = r.ipo_events.select(F.coalesce(F.upper("symbol"), F.lit("")).alias("key"))
+    mp = r.symbol_map.select(F.col("ipo_symbol").alias("key"))
+    return reduce(DataFrame.unionByName, [
+        Q.key_violations(df, ("key",)).select(F.lit(name).alias("model"), "key", F.col("count").alias("copies"))
+        for name, df in (("ipo_events", ev), ("symbol_map", mp))])
 
 
 # ----------------------------------------------------------------- ingest ---
 import datetime as _dt  # noqa: E402
 
 from evwin.operators import ingest as I  # noqa: E402
-from evwin.operators.upsert import upsert  # noqa: E402
+from evwin.operators.upsert import upsert, upsert_within  # noqa: E402
+from evwin.session import materialize  # noqa: E402
 from evwin.sources import payloads as PL  # noqa: E402
 
 _BT = PL.BATCH_TS
 _BT_SQL = f"'{_BT:%Y-%m-%d %H:%M:%S}'"
 _CAL_LO = _P.as_of - _dt.timedelta(days=365)
 _CAL_HI = _P.as_of + _dt.timedelta(days=14)
+_YEAR_LO = _P.as_of.year - 2
 _EVENT_CUT = _P.as_of - _dt.timedelta(days=60)   # the store holds listings loaded before this date
 _CAL_SRC = f"(SELECT * FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_CAL_HI)})"
 _OTC_OLD, _OTC_NEW = PL.REPLAY_EXCHANGE
@@ -698,6 +720,12 @@ def _i02(spark, d):
     return I.calendar_windows(spark, _raw(spark, d).ipo_events, as_of=_P.as_of)
 
 
+@register("calendar_windows_yearly", f"""SELECT make_date(CAST(y AS INTEGER), 1, 1) AS window_from, make_date(CAST(y AS INTEGER), 12, 31) AS window_to,
+  (SELECT count(*) FROM raw_events WHERE year(ipo_date) = y) AS events FROM range({_YEAR_LO}, {_P.as_of.year + 2}) t(y)""")
+def _i02b(spark, d):
+    return I.calendar_windows(spark, _raw(spark, d).ipo_events, as_of=_P.as_of, full=True, start_year=_YEAR_LO)
+
+
 _EV_COLS = ("event_id, source, ipo_date, symbol, company_name, exchange, "
             "CAST(price_range_low AS DOUBLE) AS price_range_low, CAST(price_range_high AS DOUBLE) AS price_range_high, "
             "shares")
@@ -744,6 +772,14 @@ def _i05(spark, d):
     return _flat(spark, d)
 
 
+@register("series_faults", """SELECT s.symbol, r.reason FROM (SELECT DISTINCT symbol FROM raw_prices WHERE source = 'alphavantage') s
+CROSS JOIN (VALUES ('unreadable payload'), ('bad date'), ('bad number')) r(reason)""")
+def _i05b(spark, d):
+    pl = PL.faulty_series(_raw(spark, d).daily_prices).select(
+        "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
+    return I.series_faults(pl).select("symbol", "reason")
+
+
 @register("bars_normalise", f"""SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'yahoo'
   AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
 def _i06(spark, d):
@@ -793,13 +829,20 @@ _PROF_OUT = ["source", "symbol", "name", "exchange", "country", "ipo", "currency
 @register("profiles_upsert", f"""SELECT source, symbol, name, exchange, country, ipo, currency,
   CASE WHEN source = 'yahoo' AND market_cap = 0 THEN NULL ELSE market_cap END AS market_cap,
   nullif(trim(industry), '') AS industry, nullif(trim(sector), '') AS sector, weburl, CAST(NULL AS VARCHAR) AS logo,
-  {_BT_SQL} AS ingested_at FROM raw_profiles""")
+  {_BT_SQL} AS ingested_at, source AS record_source, symbol AS record_symbol,
+  CASE source WHEN 'finnhub' THEN symbol END AS record_ticker, CASE source WHEN 'yahoo' THEN name END AS record_name,
+  CASE source WHEN 'yahoo' THEN name END AS payload_name FROM raw_profiles""")
 def _i10(spark, d):
     r = _raw(spark, d)
     cols = r.company_profiles.columns
     fh = I.profiles_conform(_fh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
     yh = I.profiles_conform(_yh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
-    return upsert(r.company_profiles, fh.unionByName(yh), ["source", "symbol"]).select(*_PROF_OUT)
+    merged = upsert(r.company_profiles, fh.unionByName(yh), ["source", "symbol"])
+    rec = {"record_source": "source", "record_symbol": "symbol", "record_ticker": "ticker"}
+    of_yahoo = F.col("source") == "yahoo"   # the payload keeps the vendor's own names inside the record
+    return merged.select(*_PROF_OUT, *[F.get_json_object("raw_json", f"$.{k}").alias(c) for c, k in rec.items()],
+                         F.when(of_yahoo, F.get_json_object("raw_json", "$.name")).alias("record_name"),
+                         F.when(of_yahoo, F.get_json_object("raw_json", "$.raw_json.longName")).alias("payload_name"))
 
 
 def _alpha_resolved(spark, d):
@@ -829,14 +872,26 @@ def _i11(spark, d):
     return upsert(_raw(spark, d).symbol_map, batch, ["vendor", "ipo_symbol"])
 
 
-@register("prices_upsert", f"""SELECT {_OHLCV_SQL}, '2001-06-30 08:00:00' AS ingested_at FROM raw_prices
+def _num_json(c):
+    return f"coalesce(CAST({c} AS VARCHAR), 'null')"
+
+
+_RAW_ROW_SQL = ("'{\"source\":\"' || source || '\",\"symbol\":\"' || symbol || '\",\"date\":\"' || CAST(price_date AS VARCHAR) || '\"' || "
+                + " || ".join(f"',\"{c}\":' || {_num_json(c)}" for c in ("open", "high", "low", "close", "volume"))
+                + " || '}'")
+
+
+@register("prices_upsert", f"""SELECT {_OHLCV_SQL}, CAST(NULL AS VARCHAR) AS raw_row, '2001-06-30 08:00:00' AS ingested_at FROM raw_prices
 WHERE price_date <= {O._d(O.LOAD_CUTOFF)} AND (source, symbol, price_date) NOT IN
   (SELECT (source, symbol, price_date) FROM raw_prices WHERE source = 'alphavantage'
    AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)})
-UNION ALL SELECT *, {_BT_SQL} FROM ({_FLAT_SQL})""")
+UNION ALL SELECT {_OHLCV_SQL}, {_RAW_ROW_SQL}, {_BT_SQL} FROM raw_prices WHERE source = 'alphavantage'
+  AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
 def _i12(spark, d):
-    batch = I.price_rows(_flat(spark, d), batch_ts=_BT)
-    return upsert(_existing(spark, d), batch, ["source", "symbol", "price_date"]).select(*_PX_OUT, "ingested_at")
+    # the conformed batch is written once: payloads are parsed once, not per use
+    batch = materialize(I.price_rows(_flat(spark, d), batch_ts=_BT), "price-batch")
+    return upsert_within(_existing(spark, d), batch, ["source", "symbol", "price_date"], "price_date",
+                         _CAL_LO, _P.as_of).select(*_PX_OUT, "raw_row", "ingested_at")
 
 
 _YREQ = "(SELECT DISTINCT vendor_symbol AS v FROM raw_map WHERE vendor = 'yahoo')"

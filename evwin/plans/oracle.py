@@ -64,29 +64,30 @@ raw_events AS (
   SELECT md5(source || '|' || CAST(ipo_date AS VARCHAR) || '|' || coalesce(company_name, '') || '|' || coalesce(symbol, '')) AS event_id,
          *, TIMESTAMP '2001-06-30 08:00:00' AS ingested_at
   FROM fx_events0),
+fx_symbol AS (SELECT * FROM fx_listing QUALIFY row_number() OVER (PARTITION BY sym ORDER BY k) = 1),
 raw_map AS (
   SELECT 'alphavantage' AS vendor, sym AS ipo_symbol,
          CASE WHEN k % 17 = 0 THEN 'X' || CAST(k AS VARCHAR) WHEN k % 3 = 0 THEN 'N' || CAST(k % 25 AS VARCHAR)
               ELSE 'S' || CAST(k % (SELECT count(*) FROM supplier) AS VARCHAR) END AS vendor_symbol,
          k % 5 <> 0 AS is_priceable, CAST(NULL AS VARCHAR) AS notes, TIMESTAMP '2001-06-01 00:00:00' AS last_checked_at
-  FROM fx_listing WHERE k % 2 = 0
+  FROM fx_symbol WHERE k % 2 = 0
   UNION ALL
   SELECT 'yahoo', sym,
          CASE WHEN k % 17 = 0 THEN 'X' || CAST(k AS VARCHAR) WHEN k % 3 = 1 THEN 'N' || CAST(k % 25 AS VARCHAR)
               ELSE 'S' || CAST(k % (SELECT count(*) FROM supplier) AS VARCHAR) END,
          k % 7 <> 0, NULL, TIMESTAMP '2001-06-02 00:00:00'
-  FROM fx_listing WHERE k % 11 <> 0),
+  FROM fx_symbol WHERE k % 11 <> 0),
 raw_profiles AS (
   SELECT 'finnhub' AS source, sym AS symbol, p_name AS name, 'US' AS exchange, 'US' AS country,
          CAST(NULL AS VARCHAR) AS ipo, 'USD' AS currency, CAST(k * 1000 AS DOUBLE) AS market_cap,
          CASE WHEN k % 8 = 0 THEN NULL WHEN k % 10 = 0 THEN ' ' ELSE p_type END AS industry,
          CAST(NULL AS VARCHAR) AS sector, 'web/' || lower(sym) AS weburl
-  FROM fx_listing WHERE k % 3 <> 0
+  FROM fx_symbol WHERE k % 3 <> 0
   UNION ALL
   SELECT 'yahoo', sym, p_name, 'US', 'US', NULL, 'USD', CAST(k * 1000 AS DOUBLE),
          CASE WHEN k % 6 = 0 THEN NULL ELSE p_type END,
          CASE WHEN k % 9 = 0 THEN '' ELSE p_brand END, 'web/' || lower(sym)
-  FROM fx_listing WHERE k % 2 = 0),
+  FROM fx_symbol WHERE k % 2 = 0),
 fx_ticks AS (
   SELECT 'S' || CAST(l_suppkey AS VARCHAR) AS symbol, l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_shipdate
   FROM lineitem

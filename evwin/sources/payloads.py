@@ -15,10 +15,14 @@ from evwin.functions.exprs import lit_date
 
 # --- fixed values of the payload scenario -------------------------------------
 BATCH_TS = dt.datetime(2001, 6, 30, 9, 0, 0)
-CALENDAR_BUCKETS = 64
+CALENDAR_ROWS = 500       # events a document, about
+REPLAY_FROM = 10 ** 15
 REPLAY_EXCHANGE = ("OTC", "OTC Markets")   # re-sent later with a changed value
 NOTE_TEXT = "call frequency"
 ERROR_TEXT = "timeout after 30s"
+BROKEN_SERIES = ('{"Time Series (Daily)": {"2001-01-02": {"1. open": "1"',
+                 '{"Time Series (Daily)": {"2001-13-02": {"1. open": "1"}, "2001-01-03": {"1. open": "1"}}}',
+                 '{"Time Series (Daily)": {"2001-01-02": {"1. open": "abc"}, "2001-01-03": {"1. open": "1"}}}')
 FAILED_SUFFIX = "7"    # vendor series whose download failed
 TRIAGE_EXTRAS = ('{"Note": "Thank you for using the API"}', '{"Error Message": "Invalid API call"}',
                  '{"Information": "premium endpoint"}', '{"Meta Data": {}}')
@@ -34,15 +38,18 @@ def _calendar_row():
 
 
 def calendar_payloads(events: DataFrame, *, as_of: dt.date, lookback_days: int = 365,
-                      lookahead_days: int = 14) -> DataFrame:
+                      lookahead_days: int = 14, rows_per_document: int = CALENDAR_ROWS) -> DataFrame:
     """(batch_seq, payload): events of the incremental window grouped by day
-    and hash bucket; the envelope varies with the day (key 1, empty key 1
+    and hash bucket, with as many buckets a day as its events need at some
+    ``rows_per_document`` each; the envelope varies with the day (key 1, empty key 1
     then key 2, key 3, and a non-list key 1 that yields no rows).  Events
     on the replay exchange are re-sent in later batches with a new value."""
     lo, hi = as_of - dt.timedelta(days=lookback_days), as_of + dt.timedelta(days=lookahead_days)
     ev = events.filter(F.col("ipo_date").between(lit_date(lo), lit_date(hi)))
-    day = F.datediff("ipo_date", F.lit(_EPOCH))
-    b = F.pmod(F.xxhash64("event_id"), F.lit(CALENDAR_BUCKETS))
+    per_day = ev.groupBy("ipo_date").agg(F.ceil(F.count(F.lit(1)) / rows_per_document).alias("_docs"))
+    ev = ev.join(per_day, "ipo_date")
+    day = F.datediff("ipo_date", F.lit(_EPOCH)).cast("bigint")
+    b = F.pmod(F.xxhash64("event_id"), F.col("_docs"))
 
     def grouped(df):
         return df.groupBy(day.alias("day"), b.alias("b")).agg(F.collect_list(_calendar_row()).alias("rows"))
@@ -55,11 +62,11 @@ def calendar_payloads(events: DataFrame, *, as_of: dt.date, lookback_days: int =
                .when(kind == 2, F.concat(F.lit('{"ipoCalendar": null, "data": '), rows, F.lit("}")))
                .otherwise(F.concat(F.lit('{"ipoCalendar": {"status": "unavailable"}, "ipoCalendarData": '),
                                    rows, F.lit("}"))))
-    seq = F.col("day") * CALENDAR_BUCKETS + F.col("b")
+    seq = F.col("day") * 10 ** 9 + F.col("b")
     first = g.select(seq.alias("batch_seq"), payload.alias("payload"))
     old, new = REPLAY_EXCHANGE
     replay = grouped(ev.filter(F.col("exchange") == old).withColumn("exchange", F.lit(new)))
-    again = replay.select((F.lit(10 ** 9) + seq).alias("batch_seq"),
+    again = replay.select((F.lit(REPLAY_FROM) + seq).alias("batch_seq"),
                           F.concat(F.lit('{"ipoCalendar": '), F.to_json("rows"), F.lit("}")).alias("payload"))
     return first.unionByName(again)
 
@@ -76,6 +83,14 @@ def series_payloads(prices: DataFrame, *, source: str = "alphavantage") -> DataF
     return g.select("symbol", F.to_json(F.struct(F.col("series").alias("Time Series (Daily)"))).alias("payload"))
 
 
+def faulty_series(prices: DataFrame, *, source: str = "alphavantage") -> DataFrame:
+    """Series payloads plus, per symbol, one that is cut off, one with a broken
+    day and one with a broken number beside a good bar."""
+    syms = prices.filter(F.col("source") == source).select("symbol").distinct()
+    bad = syms.select("symbol", F.explode(F.array(*[F.lit(x) for x in BROKEN_SERIES])).alias("payload"))
+    return series_payloads(prices, source=source).unionByName(bad)
+
+
 def triage_payloads(prices: DataFrame, *, source: str = "alphavantage") -> DataFrame:
     """Series payloads plus, per symbol, one payload of each failure kind."""
     syms = prices.filter(F.col("source") == source).select("symbol").distinct()

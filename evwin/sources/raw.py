@@ -5,9 +5,10 @@ query, as the reference's models read stored raw tables.
 Layout: ``daily_prices`` is partitioned by ``price_month`` ('yyyy-MM') and
 range-partitioned/sorted by (month, symbol, date) so a date bound prunes
 whole partitions and parquet min/max statistics skip row groups; the other
-three tables are plain parquet.  A store is written under a temporary name
-and renamed into place when complete, so concurrent or failed writers never
-expose a partial store; a rerun simply rebuilds it."""
+three tables are plain parquet.  A store is written to a folder of its own
+and an empty marker file, created last, makes it visible; nothing is renamed,
+so the same holds on object stores, and concurrent or failed writers never
+expose a partial store."""
 
 from __future__ import annotations
 
@@ -22,7 +23,8 @@ from evwin.config import FIXTURE_AS_OF
 from evwin.session import ensure_checkpoint_dir
 from evwin.sources.testdata import RawTables, raw_tables
 
-STORE_VERSION = "raw-v2"   # bump when the derivation changes
+STORE_VERSION = "raw-v3"   # bump when the derivation changes
+_MARK = "_COMPLETE-"
 _TABLES = ("ipo_events", "daily_prices", "symbol_map", "company_profiles")
 
 
@@ -36,12 +38,14 @@ def with_month(prices: DataFrame) -> DataFrame:
     return prices.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
 
 
+PRICE_LAYOUT = ("price_month", "symbol", "price_date")
+
+
 def write_prices(prices: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    n = int(prices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     # range keys end in the date, so even one symbol holding a large share of
-    # the rows is split over several writers
-    (with_month(prices).repartitionByRange(n, "price_month", "symbol", "price_date")
-     .sortWithinPartitions("price_month", "symbol", "price_date")
+    # the rows is split over several writers; without a stated number of
+    # partitions AQE may join small ones
+    (with_month(prices).repartitionByRange(*PRICE_LAYOUT).sortWithinPartitions(*PRICE_LAYOUT)
      .write.mode(mode).partitionBy("price_month").parquet(path))
 
 
@@ -55,18 +59,36 @@ def code_version(*modules) -> str:
     return h.hexdigest()[:12]
 
 
+def published(spark: SparkSession, root: str) -> list[str]:
+    """Names of the complete folders under ``root`` (those with a marker file)."""
+    fs, rp, _ = _fs(spark, root)
+    names = [f.getPath().getName() for f in fs.listStatus(rp)] if fs.exists(rp) else []
+    return sorted(n[len(_MARK):] for n in names if n.startswith(_MARK))
+
+
+def mark(spark: SparkSession, root: str, name: str) -> None:
+    fs, p, _ = _fs(spark, f"{root}/{_MARK}{name}")
+    fs.create(p).close()
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    fs, p, _ = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def unmark(spark: SparkSession, root: str, name: str) -> None:
+    remove(spark, f"{root}/{_MARK}{name}")
+
+
 def publish(spark: SparkSession, root: str, write) -> str:
-    """Write a folder once: ``write(tmp)`` fills a temporary folder which is
-    then renamed to ``root``; an existing complete ``root`` is reused."""
-    fs, rp, jvm = _fs(spark, root)
-    done = jvm.org.apache.hadoop.fs.Path(root + "/_COMPLETE")
-    if not fs.exists(done):
-        tmp = f"{root}.tmp-{uuid.uuid4().hex[:8]}"
-        write(tmp)
-        fs.create(jvm.org.apache.hadoop.fs.Path(tmp + "/_COMPLETE")).close()
-        if not fs.rename(jvm.org.apache.hadoop.fs.Path(tmp), rp) and not fs.exists(done):
-            raise RuntimeError(f"could not publish {root}")
-    return root
+    """Write a folder once and return it: ``write(folder)`` fills a new folder
+    under ``root``, whose marker follows.  A complete one is reused; of two
+    written at the same time (they hold the same) all readers take one."""
+    if not published(spark, root):
+        name = f"v-{uuid.uuid4().hex[:8]}"
+        write(f"{root}/{name}")
+        mark(spark, root, name)
+    return f"{root}/{published(spark, root)[0]}"
 
 
 def _files(fs, src) -> str:
@@ -103,7 +125,7 @@ def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE
                 write_prices(df, f"{tmp}/{name}")
             else:
                 df.write.parquet(f"{tmp}/{name}")
-    publish(spark, root, write)
-    tables = RawTables(**{name: spark.read.parquet(f"{root}/{name}") for name in _TABLES})
+    data = publish(spark, root, write)
+    tables = RawTables(**{name: spark.read.parquet(f"{data}/{name}") for name in _TABLES})
     tables.root = root
     return tables

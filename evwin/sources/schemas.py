@@ -78,11 +78,3 @@ KEYS = {
     "company_profiles": ("source", "symbol"),
     "ingestion_runs": ("run_id",),
 }
-
-SCHEMAS = {
-    "ipo_events": IPO_EVENTS,
-    "daily_prices": DAILY_PRICES,
-    "symbol_map": SYMBOL_MAP,
-    "company_profiles": COMPANY_PROFILES,
-    "ingestion_runs": INGESTION_RUNS,
-}

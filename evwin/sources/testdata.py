@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from evwin.config import FIXTURE_AS_OF
 from evwin.functions.exprs import ts_lit
+from evwin.operators.precedence import top1
 
 # --- fixed values (derivation rules of the test inputs) --------------------
 EXCHANGES = ("NASDAQ Global", "NYSE", "nyse american", "OTC")  # by k % 4
@@ -87,10 +88,17 @@ def _vendor_symbol(k, r: int, n_suppliers):
             .otherwise(F.concat(F.lit("S"), (k % n_suppliers).cast("string"))))
 
 
+def symbols(part: DataFrame) -> DataFrame:
+    """One row per symbol, that of its lowest key: four letters give fewer
+    symbols than a large ``part`` has keys.  Listings may share a symbol;
+    mappings and profiles are keyed by it."""
+    return top1(listings(part), ["sym"], [F.col("k")])
+
+
 def symbol_map(part: DataFrame, supplier: DataFrame) -> DataFrame:
     k = F.col("k")
     n_supp = supplier.select(F.count(F.lit(1))).scalar()  # scalar subquery, one small job
-    lst = listings(part)
+    lst = symbols(part)
 
     def rows(vendor, keep, r, priceable):
         return lst.filter(keep).select(
@@ -105,7 +113,7 @@ def symbol_map(part: DataFrame, supplier: DataFrame) -> DataFrame:
 
 def company_profiles(part: DataFrame, as_of: dt.date = FIXTURE_AS_OF) -> DataFrame:
     k = F.col("k")
-    lst = listings(part)
+    lst = symbols(part)
 
     def rows(source, keep, industry, sector):
         return lst.filter(keep).select(

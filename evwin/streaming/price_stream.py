@@ -22,8 +22,9 @@ from pyspark.sql import types as T
 
 from evwin.operators.ingest import price_rows
 from evwin.operators.upsert import last_wins, upsert_partitioned
-from evwin.operators.window_join import interval_join
+from evwin.operators.worklist import incremental_prices
 from evwin.session import ensure_checkpoint_dir
+from evwin.sources.raw import PRICE_LAYOUT
 
 BAR_SCHEMA = T.StructType([
     T.StructField("source", T.StringType()),
@@ -39,21 +40,30 @@ BAR_SCHEMA = T.StructType([
 PRICE_KEYS = ["source", "symbol", "price_date"]
 
 
+#: When a bar landed and where it stands, read at the scan: the order "last wins" means.
+LANDED = ("_landed_at", "_file", "_row")
+
+
+def with_landing(bars: DataFrame) -> DataFrame:
+    """Adds ``LANDED`` to file-backed bars: time of change and path of the file, place in it."""
+    m = F.col("_metadata")
+    return bars.select("*", m["file_modification_time"].alias(LANDED[0]), m["file_path"].alias(LANDED[1]),
+                       m["row_index"].alias(LANDED[2]))
+
+
 def load_batch(spark: SparkSession, bars: DataFrame, store_path: str, *,
                windows: DataFrame | None = None, batch_ts: dt.datetime | None = None) -> None:
-    """One micro-batch: window filter (W09), conform (I12), last-wins dedupe,
-    partition-scoped upsert."""
-    b = bars
-    if windows is not None:
-        w = (windows.filter(F.col("load_status") == "load")
-             .select(F.col("source").alias("_wsrc"), F.col("vendor_symbol").alias("_wsym"), "load_from", "load_to"))
-        b = interval_join(w, b, keys=[("_wsrc", "source"), ("_wsym", "symbol")], start="load_from",
-                          end="load_to", series_date="price_date", how="left_semi")
-    order = [F.input_file_name(), F.monotonically_increasing_id()]
-    b = b.select("*", order[0].alias("_f"), order[1].alias("_i"))
-    rows = price_rows(last_wins(b, PRICE_KEYS, [F.col("_f"), F.col("_i")]).drop("_f", "_i"),
-                      batch_ts=batch_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None, microsecond=0))
-    upsert_partitioned(spark, store_path, rows, PRICE_KEYS, "price_month")
+    """One micro-batch: window filter (W09), last-wins dedupe, conform (I12),
+    partition-scoped upsert.  Bars with ``LANDED`` columns win in that order
+    and are stamped with their landing time, so a replay writes the same rows;
+    without them the pick among equal keys is by value and ``batch_ts`` is needed."""
+    landed = set(LANDED) <= set(bars.columns)
+    if not landed and batch_ts is None:
+        raise ValueError("bars without landing columns need a batch_ts")
+    b = bars if windows is None else incremental_prices(windows, bars)
+    order = [F.col(c) for c in (LANDED if landed else BAR_SCHEMA.names[3:])]
+    rows = price_rows(last_wins(b, PRICE_KEYS, order), batch_ts=batch_ts or F.col(LANDED[0]))
+    upsert_partitioned(spark, store_path, rows, PRICE_KEYS, "price_month", PRICE_LAYOUT)
 
 
 def start(spark: SparkSession, landing_dir: str, store_path: str, *, windows: DataFrame | None = None,
@@ -63,7 +73,7 @@ def start(spark: SparkSession, landing_dir: str, store_path: str, *, windows: Da
     ckpt = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin/streams/price-load"
     src = (spark.readStream.schema(BAR_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
            .parquet(landing_dir))
-    w = src.writeStream.foreachBatch(lambda df, epoch: load_batch(spark, df, store_path, windows=windows)) \
+    w = with_landing(src).writeStream.foreachBatch(lambda df, epoch: load_batch(spark, df, store_path, windows=windows)) \
         .option("checkpointLocation", ckpt)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
     return w.start()

@@ -5,11 +5,13 @@ import os
 import tempfile
 import uuid
 
+import pytest
 from pyspark.sql import functions as F
 
 from evwin.operators import ingest as I
 from evwin.operators import worklist as W
-from evwin.operators.upsert import last_wins, upsert, upsert_partitioned
+from evwin.operators import upsert as U
+from evwin.operators.upsert import last_wins, upsert, upsert_partitioned, upsert_within
 
 AS_OF = dt.date(2001, 6, 30)
 
@@ -286,3 +288,87 @@ def test_history_needs_only_a_row(spark):
     p = p.withColumn("price_month", F.date_format("price_date", "yyyy-MM"))
     got = I.history_check(spark.createDataFrame([("A",), ("B",)], "resolved string"), p, as_of=dt.date(2001, 6, 30)).collect()
     assert {r.resolved: r.has_history for r in got} == {"A": True, "B": False}
+
+
+def test_upsert_partitioned_survives_a_death_between_delete_and_write(spark, monkeypatch):
+    import shutil
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    spark.createDataFrame([("a", 1, "2001-01"), ("b", 2, "2001-02")], "k string, v int, m string") \
+        .write.partitionBy("m").parquet(path)
+    replace = U._replace
+
+    def dies(spark_, stage, name, table_path, *rest):
+        shutil.rmtree(os.path.join(table_path, "m=2001-02"))
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(U, "_replace", dies)
+    first = spark.createDataFrame([("c", 3, "2001-02")], "k string, v int, m string")
+    with pytest.raises(RuntimeError):
+        upsert_partitioned(spark, path, first, ["k"], "m")
+    monkeypatch.setattr(U, "_replace", replace)
+    second = spark.createDataFrame([("d", 4, "2001-02"), ("b", 20, "2001-02")], "k string, v int, m string")
+    upsert_partitioned(spark, path, second, ["k"], "m")
+    got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect())
+    assert got == [("a", 1, "2001-01"), ("b", 20, "2001-02"), ("c", 3, "2001-02"), ("d", 4, "2001-02")]
+
+
+def test_upsert_within_equals_upsert_and_refuses_other_dates(spark):
+    t = spark.createDataFrame([("a", dt.date(2001, 1, d), d) for d in range(1, 11)], "k string, price_date date, v int")
+    b = spark.createDataFrame([("a", dt.date(2001, 1, 5), 50), ("b", dt.date(2001, 1, 6), 60)], "k string, price_date date, v int")
+    keys, lo, hi = ["k", "price_date"], dt.date(2001, 1, 4), dt.date(2001, 1, 7)
+    assert sorted(upsert_within(t, b, keys, "price_date", lo, hi).collect()) == sorted(upsert(t, b, keys).collect())
+    with pytest.raises(Exception, match="outside the batch"):
+        upsert_within(t, b, keys, "price_date", lo, dt.date(2001, 1, 5)).collect()
+
+
+def test_raw_record_and_raw_row_are_what_was_passed_in(spark):
+    import json
+    fh = spark.createDataFrame([("A", '{"ticker": "A", "name": "Co", "symbol": "old", "ipo": null}')], "symbol string, payload string")
+    yh = spark.createDataFrame([("B", '{"longName": "Co B", "marketCap": "7"}')], "symbol string, payload string")
+    row = I.profiles_conform(I.profiles_finnhub(fh)).first()
+    assert json.loads(row.raw_json) == {"ticker": "A", "name": "Co", "ipo": None, "source": "finnhub", "symbol": "A"}
+    row = I.profiles_conform(I.profiles_yahoo(yh)).first()
+    assert json.loads(row.raw_json) == {
+        "source": "yahoo", "symbol": "B", "name": "Co B", "exchange": None, "country": None, "industry": None,
+        "sector": None, "currency": None, "weburl": None, "market_cap": 7.0, "logo": None,
+        "raw_json": {"longName": "Co B", "marketCap": "7"}}
+    p = spark.createDataFrame([("v", "S", dt.date(2001, 1, 2), None)], "source string, symbol string, price_date date, open double")
+    assert json.loads(I.price_rows(p).first().raw_row) == {"source": "v", "symbol": "S", "date": "2001-01-02", "open": None}
+
+
+def test_unreadable_payloads_and_series_faults_are_set_aside(spark):
+    day = dt.date(2001, 1, 1)
+    rows = [("ok", '{"Time Series (Daily)": {"2001-01-02": {"1. open": "1"}, "2000-01-02": {"1. open": "abc"}}}'),
+            ("cut", '{"Time Series (Daily)": {"2001-01-02": {"1. open": "1"'), ("none", None), ("empty", "{}"),
+            ("date", '{"Time Series (Daily)": {"2001-01-02": {"1. open": "1"}, "no day": {"1. open": "1"}}}'),
+            ("number", '{"Time Series (Daily)": {"2001-01-02": {"1. open": "1"}, "2001-01-03": {"5. volume": "x"}}}')]
+    df = spark.createDataFrame([(s, p, day, dt.date(2001, 1, 31)) for s, p in rows],
+                               "symbol string, payload string, date_from date, date_to date")
+    assert {(r.symbol, r.reason) for r in I.series_faults(df).collect()} == {
+        ("cut", I.UNREADABLE_PAYLOAD), ("none", I.UNREADABLE_PAYLOAD), ("date", I.BAD_DATE), ("number", I.BAD_NUMBER)}
+    assert [r.symbol for r in I.daily_series_flatten(df).collect()] == ["ok"]
+    assert {(r.symbol, r.payload_length) for r in I.unreadable(df).collect()} == {("cut", 54), ("none", None)}
+
+
+def test_calendar_documents_hold_about_the_stated_rows(spark):
+    from evwin.sources.payloads import calendar_payloads
+    ev = spark.range(5000).select(
+        F.col("id").cast("string").alias("event_id"), F.lit(AS_OF).alias("ipo_date"), F.lit("n").alias("company_name"),
+        F.lit("S").alias("symbol"), F.lit("NYSE").alias("exchange"), F.lit(1).alias("price_range_low"),
+        F.lit(2).alias("price_range_high"), F.lit(3).alias("shares"))
+    sizes = [r[0] for r in calendar_payloads(ev, as_of=AS_OF, rows_per_document=100)
+             .select(F.regexp_count("payload", F.lit('"date"'))).collect()]
+    assert sum(sizes) == 5000 and len(sizes) == 50 and max(sizes) < 200
+
+
+def test_mapping_and_profile_keys_hold_beyond_the_symbol_space(spark):
+    from evwin.plans.quality import key_checks
+    from evwin.sources import testdata as T
+    from evwin.sources.schemas import KEYS
+    part = spark.range(1_000_000).select(
+        F.col("id").alias("p_partkey"), F.lit("n").alias("p_name"), F.lit("b").alias("p_brand"), F.lit("t").alias("p_type"),
+        F.lit(1).alias("p_size"), F.lit(1.0).alias("p_retailprice"))
+    supplier = spark.range(100).select(F.col("id").alias("s_suppkey"))
+    checks = key_checks({"symbol_map": (T.symbol_map(part, supplier), KEYS["symbol_map"]),
+                         "company_profiles": (T.company_profiles(part), KEYS["company_profiles"])})
+    assert checks.filter("status <> 'pass'").count() == 0

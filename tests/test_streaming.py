@@ -49,6 +49,28 @@ def test_load_batch_respects_windows(spark):
                                     "source string, vendor_symbol string, load_from date, load_to date, load_status string")
     bars = _bars(spark, [("yahoo", "S1", dt.date(2001, 1, 5), 1), ("yahoo", "S1", dt.date(2001, 2, 5), 2),
                          ("yahoo", "S2", dt.date(2001, 1, 5), 3)])
-    PS.load_batch(spark, bars, store, windows=windows)
+    PS.load_batch(spark, bars, store, windows=windows, batch_ts=dt.datetime(2001, 2, 6))
     got = [(r.symbol, r.price_date) for r in spark.read.parquet(store).collect()]
     assert got == [("S1", dt.date(2001, 1, 5))]
+
+
+def test_last_landed_file_wins_with_file_backed_windows(spark):
+    """Landing order decides, also behind a join with windows read from files; a replay changes nothing."""
+    base = tempfile.mkdtemp(prefix="evwin-stream-")
+    land, store, win = (os.path.join(base, x) for x in ("landing", "store", "windows"))
+    spark.createDataFrame([("yahoo", "S1", dt.date(2001, 1, 1), dt.date(2001, 1, 31), "load")],
+                          "source string, vendor_symbol string, load_from date, load_to date, load_status string") \
+        .write.parquet(win)
+    day = dt.date(2001, 1, 5)
+    for i, (name, close) in enumerate((("z", 1), ("a", 2), ("m", 3))):    # by time of landing, not by name
+        out = os.path.join(land, name)
+        _bars(spark, [("yahoo", "S1", day, close), ("yahoo", "S1", day, close + 10)]).coalesce(1).write.parquet(out)
+        for f in os.listdir(out):
+            os.utime(os.path.join(out, f), (1_000_000_000 + i, 1_000_000_000 + i))
+    bars = PS.with_landing(spark.read.schema(PS.BAR_SCHEMA).parquet(*[os.path.join(land, n) for n in "zam"]))
+    seen = []
+    for _ in range(2):
+        PS.load_batch(spark, bars, store, windows=spark.read.parquet(win))
+        (r,) = spark.read.parquet(store).collect()
+        seen.append((float(r.close), r.ingested_at))
+    assert seen[0] == seen[1] and seen[0][0] == 13.0
