@@ -4,9 +4,12 @@ Rows are dealt to shards by a hash of their id; each shard meets the queries in
 One more component, sqrt(M**2 - |x|**2) with the shard's largest norm M, turns the
 largest inner product into the smallest distance.  A tree node holds a vantage point and
 the median distance to it; a query leaves out the far side if ``factor`` times its
-distance to the border exceeds the distance of its k-th best so far.  Factor 1 is the
-triangle inequality, hence exact search; a larger one prunes more.  Equal vectors of a
-shard are one point of the tree.  The k best of each shard are scored again in double
+distance to the border exceeds the distance of its k-th best so far.  Factor 1, which the
+query uses, is the triangle inequality, hence exact search whatever the norms; a larger
+one prunes more, but loses nearly all once norms differ: queries have 0 as the added
+component, so all are some M away from every point, while the points stand close together.
+The best are kept by inner product, and borders get the slack that the rounding of
+distances needs at that M.  Equal vectors of a shard are one point of the tree.  The k best of each shard are scored again in double
 precision on the original vectors, pair by pair, and merged.
 
 Vectors null, empty, zero, or holding null or non-finite components, and rows without id
@@ -26,11 +29,10 @@ from evwin.session import materialize
 K = 20
 QUERY_STEP = 20
 #: 1: exact.  The README has recall and work at other factors.
-FACTOR = 2.0
+FACTOR = 1.0
 SHARD_ROWS = 8192
 BLOCK_QUERIES = 4096
 LEAF = 64
-_CLOSE = 1e-9  # rounding of distances never prunes
 
 
 def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -82,9 +84,13 @@ class Tree:
         return np.sqrt(np.maximum((q * q).sum(axis=1)[:, None] + self.norm[rows] - 2 * q @ self.x[rows].T, 0))
 
     def search(self, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray]:
-        """Rows and distances of the k nearest of each query, any order; -1: fewer."""
+        """Rows and inner products of the k nearest of each query, any order; -1: fewer.
+        All rows of the tree are of one length."""
         self.q, self.factor = q, factor
-        self.best, self.found = np.full((len(q), k), np.inf), np.full((len(q), k), -1)
+        self.best, self.found = np.full((len(q), k), -np.inf), np.full((len(q), k), -1)
+        self.span = (q * q).sum(axis=1) + self.norm.max()
+        # squares are off by their size times the rounding of a sum; near 0 the root of that
+        self.slack = 4 * np.sqrt(np.finfo(float).eps * (q.shape[1] + 8) * self.span)
         self.compared = 0
         self._visit(self.root, np.arange(len(q)))
         return self.found, self.best
@@ -93,9 +99,9 @@ class Tree:
         node, k = self.nodes[at], self.best.shape[1]
         if len(node) == 1:
             self.compared += len(active) * len(node[0])
-            d = np.hstack([self.best[active], self.distances(self.q[active], node[0])])
+            d = np.hstack([self.best[active], self.q[active] @ self.x[node[0]].T])
             rows = np.hstack([self.found[active], np.broadcast_to(node[0], (len(active), len(node[0])))])
-            pick = np.argpartition(d, k - 1, axis=1)[:, :k]
+            pick = np.argpartition(-d, k - 1, axis=1)[:, :k]
             self.best[active], self.found[active] = np.take_along_axis(d, pick, 1), np.take_along_axis(rows, pick, 1)
             return
         vantage, inside, outside, near, far = node
@@ -106,7 +112,8 @@ class Tree:
             if side.any():
                 own = active[side]
                 self._visit(first, own)
-                rest = self.factor * gap[side] <= self.best[own].max(axis=1) + _CLOSE
+                radius = np.sqrt(np.maximum(self.span[own] - 2 * self.best[own].min(axis=1), 0))
+                rest = self.factor * (gap[side] - self.slack[own]) <= radius + self.slack[own]
                 if rest.any():
                     self._visit(then, own[rest])
 

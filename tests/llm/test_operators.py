@@ -162,6 +162,20 @@ def test_recall_of_the_production_factor(spark):
     assert len(exact & found) / len(exact) >= 0.9
 
 
+@pytest.mark.parametrize("norms", ["outlier", "huge", "log-normal"])
+def test_recall_whatever_the_norms(spark, norms):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= {"outlier": np.where(np.arange(3000) == 17, 3.0, 1.0), "huge": np.where(np.arange(3000) == 17, 1e9, 1.0), "log-normal": rng.lognormal(0, 0.35, 3000)}[norms][:, None]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    found = {(r.query_id, r.vec_id) for r in neighbours.search_table(df).collect()}
+    score = x[::20] @ x.T
+    score[np.arange(150), np.arange(0, 3000, 20)] = -np.inf
+    want = {(20 * q, int(i)) for q, row in enumerate(score) for i in np.argsort(-row)[:20]}
+    assert len(found) == len(want) and len(want & found) / len(want) >= 0.9
+
+
 # Benchmark decontamination
 
 def test_retrieval_equals_scoring_everything(docs, spark):
