@@ -226,6 +226,51 @@ def test_kneser_ney_is_a_distribution(docs):
     assert np.allclose(p1 + unseen, 1, atol=1e-3) and grams  # all signs, and the one that none has
 
 
+def _kneser_ney(words):
+    """p(sign after context) and the 5-grams of one language's words."""
+    levels = [Counter(g for w, n in words.items() for t in ["\x02" * 4 + w + "\x03"] for i in range(len(t) - 4) for g in [t[i : i + 5]] * n)]
+    for _ in range(4):
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+    ones, twos = ([sum(n == k for n in c.values()) for c in levels] for k in (1, 2))
+    discount = [min(max(a / max(a + 2 * b, 1), 0.1), 0.95) for a, b in zip(ones, twos)]
+    total, kinds = ([Counter() for _ in levels] for _ in range(2))
+    for k, c in enumerate(levels):
+        for g, n in c.items():
+            total[k][g[:-1]] += n
+            kinds[k][g[:-1]] += 1
+
+    def p(gram):
+        if not gram:
+            return 1 / (len(levels[0]) + 1)
+        k = len(gram) - 1
+        t = total[k][gram[:-1]]
+        return (max(levels[k][gram] - discount[k], 0) + discount[k] * kinds[k][gram[:-1]] * p(gram[1:])) / t if t else p(gram[1:])
+
+    return p, levels
+
+
+def test_rare_grams_of_a_large_corpus_count(spark):
+    rng = np.random.default_rng(3)
+    rare = ["".join(rng.choice(list("abcdefghijk"), 7)) for _ in range(60)]
+    text = "abcdefgh " * 200_000 + " ".join(rare) + " " + " ".join(rare[:9])
+    assert len(text) > 2**20
+    model = langid.train(spark.createDataFrame([(text, "en")], "text string, lang string"))
+    p, levels = _kneser_ney(Counter(text.split()))
+    assert [len(t[0]) for t in model.grams] == [len(c) for c in levels]
+    for word in [*rare[:12], "abcdefgh", "kkkkz", "hgfedcba"]:
+        padded = "\x02" * 4 + word + "\x03"
+        want = -sum(math.log(p(padded[i : i + 5])) for i in range(len(word) + 1)) / (len(word) + 1)
+        got, _ = model.entropy(np.frombuffer(word.encode(), np.uint8), np.array([0, len(word)]))
+        assert math.isclose(got[0, 0], want, rel_tol=1e-5), word
+
+
+def test_pieces_of_the_model_change_nothing(docs, monkeypatch):
+    whole = sorted(langid.identify(docs).collect())
+    monkeypatch.setattr(langid, "PIECE_BYTES", 1 << 14)
+    assert len(langid.train(docs).grams[-1].parts) > 3
+    assert sorted(langid.identify(docs).collect()) == whole
+
+
 def test_language_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = langid.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").collect()
