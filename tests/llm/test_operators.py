@@ -264,6 +264,19 @@ def test_rare_grams_of_a_large_corpus_count(spark):
         assert math.isclose(got[0, 0], want, rel_tol=1e-5), word
 
 
+def test_calibration_takes_different_texts(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "CALIBRATION_TEXTS", 30)
+    named = docs.select("text", "lang")
+    first = named.orderBy(F.xxhash64("text")).first()
+    copied = named.union(spark.createDataFrame([tuple(first)] * 100, named.schema))
+    langs = {}
+    for r in named.select(F.xxhash64("text").alias("h"), "lang").collect():
+        langs[r.h] = min(r.lang, langs.get(r.h, r.lang))
+    want = set(sorted(langs.items())[:30])
+    assert {(r.h, r.lang) for r in langid.calibration(copied).collect()} == want and len(want) == 30
+    assert langid.train(copied).limit < np.inf
+
+
 def test_pieces_of_the_model_change_nothing(docs, monkeypatch):
     whole = sorted(langid.identify(docs).collect())
     monkeypatch.setattr(langid, "PIECE_BYTES", 1 << 14)
