@@ -11,9 +11,10 @@ if the sum of the block's largest weights reaches the threshold (block-max), and
 their postings are scored.  Every entry above the threshold is retrieved.
 
 A retrieved item is verified around the passage by its 5-word shingles: 0.8 or more of
-those of its question and 0.8 or more of those of its answer have to stand there.  The
-answer is the item's last sentence, the question what stands before; an item of one
-sentence is all question.  A part with fewer than five words is one shingle.
+those of the whole item have to stand there, or 0.8 or more of those of its question and
+0.8 or more of those of its answer.  The answer is the item's last sentence, the question
+what stands before; an item of one sentence is all question.  A part with fewer than five
+words is one shingle; the whole item decides where such a part has changed.
 
 The index goes to the executors in slices of ``SLICE_ENTRIES`` entries, each passed over
 all documents: a slice's size is bounded whatever the number of items.
@@ -96,7 +97,7 @@ class Index:
     block_most: np.ndarray
     block_postings: np.ndarray  # where each block's postings begin
     item_of: np.ndarray  # by entry: place among items
-    items: list[tuple[int, int, np.ndarray, np.ndarray | None]]  # id, words, question, answer
+    items: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]  # id, all words, question, answer
 
     @classmethod
     def build(cls, items: list[tuple[int, str]], idf: dict[int, float], mean: float) -> Index:
@@ -109,7 +110,7 @@ class Index:
                 w = np.array([idf[t] for t in term.tolist()]) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * tf.sum() / mean))
                 rows.append((term, np.full(len(term), len(item_of)), w / w.sum()))
                 item_of.append(len(kept))
-            kept.append((item_id, len(words), question, answer))
+            kept.append((item_id, words, question, answer))
         empty = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0))
         term, entry, weight = (np.concatenate(x) for x in zip(empty, *rows))
         order = np.lexsort((entry, term))
@@ -229,10 +230,11 @@ def _matched(df: DataFrame, index: Index, kept: list[str], threshold: float) ->
                 hits: list[dict[int, tuple]] = [{} for _ in range(part.num_rows)]
                 for text, first, entry, score in zip(*(x.tolist() for x in index.retrieve(words, of, threshold))):
                     item = int(index.item_of[entry])
-                    item_id, size, question, answer = index.items[item]
+                    item_id, whole, question, answer = index.items[item]
+                    size = len(whole)
                     region = words[max(of[text], of[text] + first - size) : min(of[text + 1], of[text] + first + 2 * ENTRY_WORDS + size)]
                     q, a = _overlap(question, region), _overlap(answer, region)
-                    if q >= SIMILARITY and a >= SIMILARITY:
+                    if q >= SIMILARITY and a >= SIMILARITY or _overlap(whole, region) >= SIMILARITY:
                         hits[text][item] = max(hits[text].get(item, (0,)), (score, q, a))
                 rows = [[{"item_id": None if index.items[i][0] == -1 else index.items[i][0], "score": min(v[0], 1.0), "question": v[1], "answer": v[2]} for i, v in sorted(h.items())] for h in hits]
                 n = np.maximum(-(-np.diff(of) // ENTRY_WORDS), 0)

@@ -216,6 +216,24 @@ def test_contaminated_documents(spark, odd, monkeypatch):
     assert benchmarks.keep_clean(odd, items).columns == odd.columns and benchmarks.contamination(odd.limit(0), items).count() == 0
 
 
+def test_near_copies_of_items_with_short_answers(spark):
+    question = "In which of the old harbour towns along the northern coast did the three merchants finally meet again after their long and weary voyage across the cold grey sea in winter?"
+    docs, items, wanted = [], [], {}
+    for n, answer in enumerate(["Bergen.", "It was Bergen.", "They met in the town of Bergen."]):
+        item = f"{question} {answer}"
+        words = item.split()
+        items.append((n, item))
+        for text in (item, item.replace("Bergen", "Narvik"), " ".join(words[:-1]), item.replace("northern", "southern"), " ".join(words[: len(words) // 2])):
+            docs.append((len(docs), "some words before " * 10 + text + " and some after" * 10))
+            whole, there = (set(zip(*[x[i:] for i in range(5)])) for x in (re.findall(r"\w+", item.lower()), re.findall(r"\w+", text.lower())))
+            if len(whole & there) / len(whole) >= 0.8:
+                wanted.setdefault(docs[-1][0], set()).add(n)
+    docs, items = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    got = {r.doc_id: set(r.item_ids) for r in benchmarks.contamination(docs, items).collect()}
+    assert len(wanted) >= 9 and all(found <= got[d] for d, found in wanted.items())
+    assert not any(got[d] for d in (4, 9, 14))
+
+
 # Language
 
 def test_kneser_ney_is_a_distribution(docs):
