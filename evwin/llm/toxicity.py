@@ -8,8 +8,12 @@ on all rows.  The last category is the label itself; the earlier ones are weak:
 row that has one of the category's words.  A category without both kinds of rows has a
 constant model.
 
-Training takes ``MOST_ROWS`` labelled rows at most (those whose ids have the smallest
-hashes) with ``MOST_BYTES`` of text, which bounds what the driver fits on.  Scoring reads every whole text.  Null or
+Training takes ``MOST_ROWS`` labelled documents of the table at most (those whose ids have
+the smallest hashes) with ``MOST_BYTES`` of text, which bounds what the driver fits on.  A
+document that does not fit is passed over, the ones after it are not; one that is longer
+than its class's share of the bytes is never fitted on, unless the class has only such:
+then its shortest is.  If a class has labels, but none of a document in the table, nothing
+is learned: probability 0.  Scoring reads every whole text.  Null or
 empty text: no words, so the intercepts alone.  Null labels are not learned from; a doc_id
 with several labels is toxic if one says so.  No labels at all: probability 0.  Empty
 table: empty result.
@@ -182,17 +186,21 @@ def fit(features: list[np.ndarray], values: list[np.ndarray], toxic: np.ndarray,
 
 def sample(docs: DataFrame, labels: DataFrame, most: dict[int, int], most_bytes: int) -> list[tuple]:
     """(doc_id, toxic) of the documents to fit on: of each class those whose ids have the
-    smallest hashes, until ``most`` of it or its share of ``most_bytes`` of text is reached."""
+    smallest hashes, ``most`` of it at most, and of them those that fit in its share of
+    ``most_bytes`` of text.  Empty if a class that has labels has no document."""
     known = labels.filter("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    out = []
+    sizes = docs.groupBy("doc_id").agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0))).alias("size"))
+    there = known.join(sizes, "doc_id").withColumn("h", F.xxhash64("doc_id"))
+    out, share = [], most_bytes // len(most)
     for toxic, n in most.items():
-        ids = known.filter(F.col("toxic") == toxic).withColumn("h", F.xxhash64("doc_id")).orderBy("h", "doc_id").limit(n)
-        sizes = docs.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).join(F.broadcast(ids), "doc_id")  # n rows of three numbers
-        total = 0
-        for r in sorted(sizes.groupBy("h", "doc_id").agg(F.sum("size").alias("size")).collect()):
-            total += r["size"]
-            if total <= most_bytes // len(most):
+        mine, total = there.filter(F.col("toxic") == toxic), 0
+        fitting = mine.filter(F.col("size") <= share).orderBy("h", "doc_id").limit(n).collect()  # n rows of four numbers
+        for r in fitting or mine.orderBy("size", "h", "doc_id").limit(1).collect():
+            if not fitting or total + r["size"] <= share:
+                total += r["size"]
                 out.append((r["doc_id"], toxic))
+    if {r["toxic"] for r in known.select("toxic").distinct().collect()} & set(most) - {t for _, t in out}:
+        return []
     return out
 
 

@@ -339,6 +339,21 @@ def test_chain_feeds_earlier_probabilities():
     assert p[0, 0] > 0.5 > p[1, 0] and p[2, 1] > 0.5 and p[0, 2] > 0.5 > p[1, 2]
 
 
+def test_toxicity_sample_skips_only_what_does_not_fit(spark):
+    ids = [r.id for r in spark.range(40).orderBy(F.xxhash64("id")).collect()]
+    toxic = {i: n % 2 for n, i in enumerate(ids)}
+    docs = spark.createDataFrame([(i, ("bad " if toxic[i] else "good ") * (5000 if i in ids[:2] else 4)) for i in ids], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1, t) for i, t in toxic.items()] + [(i, 1, i % 2) for i in range(100, 400)], "doc_id long, quality int, toxic int")
+    chosen = toxicity.sample(docs, labels, {0: 19, 1: 19}, 2000)
+    assert sorted(chosen) == sorted((i, toxic[i]) for i in ids[2:])
+    got = {r.doc_id: r.toxic for r in toxicity.score(docs, labels).collect()}
+    assert got == {i: bool(t) for i, t in toxic.items()}
+    long = toxicity.sample(docs, labels.filter(F.col("doc_id").isin(ids[:2])), {0: 19, 1: 19}, 2000)
+    assert sorted(long) == sorted((i, toxic[i]) for i in ids[:2])
+    absent = labels.filter(F.col("doc_id").isin([i for i in ids if toxic[i]]) | (F.col("doc_id") >= 100))
+    assert toxicity.score(docs, absent).filter("toxic").count() == 0
+
+
 def test_toxicity_of_odd_rows(spark, odd):
     labels = spark.createDataFrame([(2, 1, 1), (1, None, 0), (None, 1, 1), (2, 0, 0), (3, 1, None)], "doc_id long, quality int, toxic int")
     assert toxicity.score(odd, labels).count() == 7 and toxicity.score(odd.limit(0), labels).count() == 0
