@@ -145,9 +145,10 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - n] + following[:n]
 
 
+#: What tasks write; digests and fingerprints are bytes until the result is read.
 _RESULT = T.StructType([
-    T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()), T.StructField("fingerprint", T.StringType()),
-    T.StructField("edited_fingerprint", T.StringType()), T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
+    T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.BinaryType()), T.StructField("fingerprint", T.BinaryType()),
+    T.StructField("edited_fingerprint", T.BinaryType()), T.StructField("near_edited", T.DoubleType()), T.StructField("near_next", T.DoubleType())])
 
 
 def _results(texts: list[str], prints: list[bytes], nexts: list[str], next_prints: list[bytes]) -> list[pa.Array]:
@@ -156,9 +157,9 @@ def _results(texts: list[str], prints: list[bytes], nexts: list[str], next_print
     own = fingerprints(changed)
     return [
         pa.array([len(t) for t in texts], pa.int64()),
-        pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in changed], pa.string()),
-        pa.array([p.hex() for p in prints], pa.string()),
-        pa.array([p.hex() for p in own], pa.string()),
+        pa.array([hashlib.sha256(t.encode("utf-8", "surrogatepass")).digest() for t in changed], pa.binary()),
+        pa.array(prints, pa.binary()),
+        pa.array(own, pa.binary()),
         pa.array([likeness(a, b) for a, b in zip(prints, own)], pa.float64()),
         pa.array([likeness(a, b) for a, b in zip(prints, next_prints)], pa.float64()),
     ]
@@ -208,7 +209,7 @@ def _names() -> list[str]:
 
 
 def _arrow_result() -> list[pa.Field]:
-    return [pa.field(f.name, {"long": pa.int64(), "double": pa.float64()}.get(f.dataType.typeName(), pa.string())) for f in _RESULT]
+    return [pa.field(f.name, {"long": pa.int64(), "double": pa.float64()}.get(f.dataType.typeName(), pa.binary())) for f in _RESULT]
 
 
 def _across(batches):
@@ -235,4 +236,5 @@ def fingerprint_table(docs: DataFrame) -> DataFrame:
     pairs = (tails.select("part", "doc_id", "text").join(after, "part")
              .join(heads.select(F.col("part").alias("next_part"), F.col("text").alias("following")), "next_part").select("doc_id", "text", "following"))
     edges = pairs.mapInArrow(_across, T.StructType([id_field, *_RESULT]))
-    return found.filter("kind = 'pair'").select("doc_id", *_RESULT.names).unionByName(edges)
+    both = found.filter("kind = 'pair'").select("doc_id", *_RESULT.names).unionByName(edges)
+    return both.select("doc_id", *[F.lower(F.hex(f.name)).alias(f.name) if isinstance(f.dataType, T.BinaryType) else f.name for f in _RESULT])
