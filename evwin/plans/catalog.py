@@ -20,7 +20,7 @@ from evwin.functions.exprs import price_date_range
 from evwin.plans import models as M
 from evwin.plans import oracle as O
 from evwin.sources.payloads import failed_series
-from evwin.sources.raw import stored_raw_tables
+from evwin.sources.raw import store_root, stored_raw_tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -41,7 +41,7 @@ def finalize(df: DataFrame) -> DataFrame:
 
 def register(key: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[key] = lambda spark, sf_dir: finalize(fn(spark, sf_dir))
+        QUERIES[key] = lambda spark, sf_dir: finalize(fn(graph(spark, sf_dir)))
         if sql is not None:
             ORACLE[key] = O.with_ctes(sql)
             FINAL_SQL[key] = sql
@@ -53,15 +53,17 @@ _GRAPHS: dict = {}
 
 
 def graph(spark: SparkSession, sf_dir: str) -> M.ModelGraph:
-    """One model graph per (session, folder) over the stored raw tables
-    (derived from the test tables once, see ``sources.raw``); queries share
-    DataFrame objects, so Spark's exchange reuse applies within a plan."""
-    raw = stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of)  # looks at the input's files on every call
-    key = (spark.sparkContext.applicationId, raw.root)
+    """The model graph of a folder over its stored raw tables (derived from the
+    test tables once, see ``sources.raw``).  A query takes it once, as its one
+    view of the store, and hands it to whatever it is made of; the input's files
+    are listed then, and tables are opened only for a store not met before."""
+    root = store_root(spark, sf_dir, DEFAULT_PARAMS.as_of)
+    key = (spark.sparkContext.applicationId, root)
     if key not in _GRAPHS:
         # listings (M04, one row per recent listing) is the shared dimension of
         # every mart: written once, as SURVEY §4 plans; the price-side work
         # (precedence, window join, aggregation) stays in each query.
+        raw = stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of, root)
         _GRAPHS[key] = M.ModelGraph(raw, DEFAULT_PARAMS, materialize=("listings",))
     return _GRAPHS[key]
 
@@ -77,22 +79,22 @@ def dbl(c: str) -> str:
 # ---------------------------------------------------------------- models ----
 @register("view_ipos", f"""SELECT ipo_date, symbol, company_name, exchange, {dbl('price_range_low')},
   {dbl('price_range_high')}, shares FROM raw_events""")
-def _m01(spark, d):
-    return M.view_ipos(graph(spark, d).raw.ipo_events)
+def _m01(g):
+    return M.view_ipos(g.raw.ipo_events)
 
 
 @register("view_prices", f"""SELECT symbol, price_date, {dbl('open')}, {dbl('high')}, {dbl('low')},
   {dbl('close')}, volume FROM raw_prices""")
-def _m02(spark, d):
-    return M.view_prices(graph(spark, d).raw.daily_prices)
+def _m02(g):
+    return M.view_prices(g.raw.daily_prices)
 
 
 @register("listings_valid", f"""SELECT event_id, ipo_date, symbol, company_name, exchange,
   {dbl('price_range_low')}, {dbl('price_range_high')}, shares, {ts('ingested_at')}
 FROM raw_events WHERE symbol IS NOT NULL AND symbol <> '' AND regexp_full_match(symbol, '[A-Z]{{1,5}}')
   AND ipo_date IS NOT NULL""")
-def _m03(spark, d):
-    return M.listings_valid(graph(spark, d).raw.ipo_events)
+def _m03(g):
+    return M.listings_valid(g.raw.ipo_events)
 
 
 _LISTING_COLS = ("event_id, ipo_date, ipo_symbol, company_name, exchange, price_vendor, price_symbol, "
@@ -100,26 +102,26 @@ _LISTING_COLS = ("event_id, ipo_date, ipo_symbol, company_name, exchange, price_
 
 
 @register("listings_recent", f"SELECT {_LISTING_COLS} FROM m_listings")
-def _m04(spark, d):
-    return graph(spark, d).listings
+def _m04(g):
+    return g.listings
 
 
 @register("preferred_symbol_map", f"""SELECT ipo_symbol, vendor, vendor_symbol, is_priceable, notes,
   {ts('last_checked_at')} FROM m_map""")
-def _m04a(spark, d):
-    return M.preferred_symbol_map(graph(spark, d).raw.symbol_map)
+def _m04a(g):
+    return M.preferred_symbol_map(g.raw.symbol_map)
 
 
 @register("preferred_profile", """SELECT symbol, source, industry, sector, country, currency, market_cap,
   weburl FROM m_prof""")
-def _m04b(spark, d):
-    return M.preferred_profile(graph(spark, d).raw.company_profiles)
+def _m04b(g):
+    return M.preferred_profile(g.raw.company_profiles)
 
 
 @register("preferred_prices", f"""SELECT source, symbol, price_date, {dbl('open')}, {dbl('high')},
   {dbl('low')}, {dbl('close')}, volume FROM m_pref""")
-def _m05a(spark, d):
-    return M.preferred_prices(graph(spark, d).raw.daily_prices)
+def _m05a(g):
+    return M.preferred_prices(g.raw.daily_prices)
 
 
 _WIN_SQL = (f"SELECT event_id, ipo_symbol, ipo_date, price_symbol, price_source, price_date, {dbl('open')}, "
@@ -127,26 +129,26 @@ _WIN_SQL = (f"SELECT event_id, ipo_symbol, ipo_date, price_symbol, price_source,
 
 
 @register("window_prices_100d", _WIN_SQL + "m_win_long")
-def _m05(spark, d):
-    return graph(spark, d).window_long
+def _m05(g):
+    return g.window_long
 
 
 @register("window_prices_30d", _WIN_SQL + "m_win_short")
-def _m06(spark, d):
-    return graph(spark, d).window_short
+def _m06(g):
+    return g.window_short
 
 
 @register("dim_industry", """SELECT DISTINCT coalesce(nullif(trim(industry), ''), 'Not available') AS industry,
   coalesce(nullif(trim(sector), ''), 'Not available') AS sector FROM m_listings""")
-def _m07(spark, d):
-    return graph(spark, d).dim_industry
+def _m07(g):
+    return g.dim_industry
 
 
 @register("coverage_100d", """SELECT event_id, ipo_date, ipo_symbol, company_name, exchange, industry, sector,
   price_vendor, price_symbol, is_priceable, price_rows, distinct_price_days, first_price_date, last_price_date,
   coverage_status, is_analysis_ready FROM m_coverage""")
-def _m08(spark, d):
-    return graph(spark, d).coverage
+def _m08(g):
+    return g.coverage
 
 
 @register("coverage_summary_100d", f"""SELECT coverage_status, count(*) AS ipo_count,
@@ -154,21 +156,21 @@ def _m08(spark, d):
   count(*) FILTER (WHERE sector IS NOT NULL) AS with_sector,
   {O.rdiv('CAST(sum(distinct_price_days) AS HUGEINT)', 'count(distinct_price_days)', 2)} AS avg_price_days
 FROM m_coverage GROUP BY coverage_status""")
-def _m09(spark, d):
-    return graph(spark, d).coverage_summary
+def _m09(g):
+    return g.coverage_summary
 
 
 @register("metrics_100d", f"""SELECT event_id, ipo_date, ipo_symbol, company_name, exchange, industry, sector,
   price_vendor, price_symbol, coverage_status, is_analysis_ready, n_days, {dbl('first_close')},
   {dbl('last_close')}, {dbl('min_close')}, {dbl('max_close')}, return_100d, max_gain_100d, max_drawdown_100d
 FROM m_metrics_long""")
-def _m10(spark, d):
-    return graph(spark, d).metrics_long
+def _m10(g):
+    return g.metrics_long
 
 
 @register("benchmarks_100d", "SELECT * FROM m_bench_long")
-def _m11(spark, d):
-    return graph(spark, d).benchmarks_long
+def _m11(g):
+    return g.benchmarks_long
 
 
 _M30_SQL = (f"SELECT event_id, ipo_date, ipo_symbol, price_symbol, industry, sector, price_days, "
@@ -178,18 +180,18 @@ _M30_SQL = (f"SELECT event_id, ipo_date, ipo_symbol, price_symbol, industry, sec
 
 
 @register("metrics_30d", _M30_SQL)
-def _m12(spark, d):
-    return graph(spark, d).metrics_short
+def _m12(g):
+    return g.metrics_short
 
 
 @register("coverage_summary_30d", "SELECT * FROM m_cov_summary_30")
-def _m13(spark, d):
-    return graph(spark, d).coverage_summary_short
+def _m13(g):
+    return g.coverage_summary_short
 
 
 @register("benchmarks_30d", "SELECT * FROM m_bench_30")
-def _m14(spark, d):
-    return graph(spark, d).benchmarks_short
+def _m14(g):
+    return g.benchmarks_short
 
 
 # -------------------------------------------------------------- worklists ---
@@ -201,13 +203,13 @@ _LOAD_LO = _P.as_of - dt.timedelta(days=_P.worklist_recent_days)   # no window o
 _RECENT_SQL = O._d(_LOAD_LO)
 
 
-def _raw(spark, d):
-    return graph(spark, d).raw
+def _raw(g):
+    return g.raw
 
 
 @register("recent_equity_symbols", "SELECT symbol FROM w_recent")
-def _w01(spark, d):
-    return W.recent_equity_symbols(_raw(spark, d).ipo_events, **_WL)
+def _w01(g):
+    return W.recent_equity_symbols(_raw(g).ipo_events, **_WL)
 
 
 @register("symbols_missing_profile", f"""SELECT s.symbol FROM w_recent s
@@ -215,8 +217,8 @@ LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, ''
            WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
 WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
 """)
-def _w02(spark, d):
-    r = _raw(spark, d)
+def _w02(g):
+    r = _raw(g)
     return W.symbols_missing_profile(r.ipo_events, r.company_profiles, limit=_P.profile_limit, **_WL)
 
 
@@ -228,8 +230,8 @@ def _unres_sql(v):
 
 @register("unresolved_symbols", "SELECT * FROM " + _unres_sql("alphavantage")
           + " UNION ALL SELECT * FROM " + _unres_sql("yahoo"))
-def _w03(spark, d):
-    r = _raw(spark, d)
+def _w03(g):
+    r = _raw(g)
     out = None
     for v in ("alphavantage", "yahoo"):
         x = W.unresolved_symbols(r.ipo_events, r.symbol_map, vendor=v, limit=_P.resolve_limit, **_WL) \
@@ -244,8 +246,8 @@ def _pairs_sql(v):
 
 @register("priceable_pairs", "SELECT * FROM " + _pairs_sql("yahoo")
           + " UNION ALL SELECT * FROM " + _pairs_sql("alphavantage"))
-def _w04(spark, d):
-    r = _raw(spark, d)
+def _w04(g):
+    r = _raw(g)
     out = None
     for v in ("yahoo", "alphavantage"):
         x = W.priceable_pairs(r.ipo_events, r.symbol_map, vendor=v, limit=_P.price_pair_limit, **_WL) \
@@ -257,8 +259,8 @@ def _w04(spark, d):
 @register("symbols_with_profile", f"""SELECT DISTINCT upper(e.symbol) AS symbol FROM raw_events e
 JOIN raw_profiles p ON p.symbol = upper(e.symbol)
 WHERE e.ipo_date >= {_RECENT_SQL} AND {O._EQ.format(s='e.symbol')} AND p.source IN ('finnhub', 'yahoo')""")
-def _w05(spark, d):
-    r = _raw(spark, d)
+def _w05(g):
+    r = _raw(g)
     return W.symbols_with_profile(r.ipo_events, r.company_profiles, **_WL)
 
 
@@ -269,27 +271,27 @@ WHERE coverage_status IN ('mapped_but_no_prices', 'very_low_coverage', 'partial_
 
 
 @register("backfill_candidates", _BACKFILL_SQL)
-def _w06(spark, d):
+def _w06(g):
     # the backfill reads the coverage mart (a table in the reference)
-    return W.backfill_candidates(_mart(spark, d, "coverage"), limit=_P.backfill_limit, **_WL)
+    return W.backfill_candidates(_mart(g, "coverage"), limit=_P.backfill_limit, **_WL)
 
 
 @register("alternate_symbol", f"""SELECT b.*, m.vendor_symbol AS alt_symbol FROM ({_BACKFILL_SQL}) b
 LEFT JOIN raw_map m ON m.vendor = 'alphavantage' AND m.is_priceable AND m.ipo_symbol = b.ipo_symbol""")
-def _w07(spark, d):
-    return W.alternate_symbol(_w06(spark, d), _raw(spark, d).symbol_map)
+def _w07(g):
+    return W.alternate_symbol(_w06(g), _raw(g).symbol_map)
 
 
-def _existing(spark, d):
-    return price_date_range(_raw(spark, d).daily_prices, hi=O.LOAD_CUTOFF)
+def _existing(g):
+    return price_date_range(_raw(g).daily_prices, hi=O.LOAD_CUTOFF)
 
 
-def _staged(spark, d):
-    return price_date_range(_raw(spark, d).daily_prices, lo=_LOAD_LO, hi=_P.as_of)
+def _staged(g):
+    return price_date_range(_raw(g).daily_prices, lo=_LOAD_LO, hi=_P.as_of)
 
 
-def _yahoo_pairs_all(spark, d):
-    r = _raw(spark, d)
+def _yahoo_pairs_all(g):
+    r = _raw(g)
     return W.priceable_pairs(r.ipo_events, r.symbol_map, vendor="yahoo", limit=None, **_WL)
 
 
@@ -297,8 +299,8 @@ _LW_COLS = "ipo_symbol, vendor_symbol, ipo_date, load_to, hwm, load_from, load_s
 
 
 @register("load_windows", f"SELECT {_LW_COLS} FROM w_load_all")
-def _w08(spark, d):
-    return W.load_windows(_yahoo_pairs_all(spark, d), _existing(spark, d), source="yahoo", as_of=_P.as_of,
+def _w08(g):
+    return W.load_windows(_yahoo_pairs_all(g), _existing(g), source="yahoo", as_of=_P.as_of,
                           window_days=_P.long_window, not_before=_LOAD_LO)
 
 
@@ -306,23 +308,23 @@ def _w08(spark, d):
   {dbl('s.low')}, {dbl('s.close')}, s.volume FROM raw_prices s
 WHERE EXISTS (SELECT 1 FROM w_load_all w WHERE w.load_status = 'load' AND w.source = s.source
   AND w.vendor_symbol = s.symbol AND s.price_date >= w.load_from AND s.price_date <= w.load_to)""")
-def _w09(spark, d):
-    return W.incremental_prices(_w08(spark, d), _staged(spark, d)).select(
+def _w09(g):
+    return W.incremental_prices(_w08(g), _staged(g)).select(
         "source", "symbol", "price_date", "open", "high", "low", "close", "volume")
 
 
-def _fallback_parts(spark, d):
-    r = _raw(spark, d)
-    pw, sw = W.fallback_windows(_yahoo_pairs_all(spark, d), _existing(spark, d), r.symbol_map, as_of=_P.as_of,
+def _fallback_parts(g):
+    r = _raw(g)
+    pw, sw = W.fallback_windows(_yahoo_pairs_all(g), _existing(g), r.symbol_map, as_of=_P.as_of,
                                 window_days=_P.long_window, not_before=_LOAD_LO,
                                 failures=failed_series(r.symbol_map))
-    return pw, sw, W.primary_with_fallback(pw, sw, _staged(spark, d), use_fallback=True)
+    return pw, sw, W.primary_with_fallback(pw, sw, _staged(g), use_fallback=True)
 
 
 @register("primary_with_fallback", f"""SELECT ipo_symbol, listing_symbol, ipo_date, source, symbol, price_date,
   {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, volume FROM w_loaded""")
-def _w10(spark, d):
-    return _fallback_parts(spark, d)[2].drop("turn")
+def _w10(g):
+    return _fallback_parts(g)[2].drop("turn")
 
 
 _W11_SQL = """SELECT count(*) AS attempted, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
@@ -333,8 +335,8 @@ FROM w_turns"""
 
 
 @register("price_run_summary", _W11_SQL)
-def _w11(spark, d):
-    pw, sw, loaded = _fallback_parts(spark, d)
+def _w11(g):
+    pw, sw, loaded = _fallback_parts(g)
     return W.price_run_summary(pw, loaded, secondary_windows=sw)
 
 
@@ -349,68 +351,67 @@ _FEED = ("event_id, ipo_date, ipo_symbol, price_symbol, industry, sector, price_
 _ENR = _FEED + ", coverage_band, price_range_pct_30d"
 
 
-def _mart(spark, d, name):
+def _mart(g, name):
     """Serving queries read the written marts (as the dashboard reads tables)."""
-    return graph(spark, d).mart(name)
+    return g.mart(name)
 
 
-def _filtered(spark, d):
-    g = graph(spark, d)
-    return g._get("filtered", lambda: D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short"))))
+def _filtered(g):
+    return g._get("filtered", lambda: D.metrics_filtered(D.metrics_enriched(_mart(g, "metrics_short"))))
 
 
 @register("metrics_feed", f"SELECT {_FEED} FROM m_metrics_30")
-def _d01(spark, d):
-    return D.metrics_feed(_mart(spark, d, "metrics_short"))
+def _d01(g):
+    return D.metrics_feed(_mart(g, "metrics_short"))
 
 
 @register("coverage_feed", "SELECT * FROM m_cov_summary_30")
-def _d02(spark, d):
-    return D.coverage_feed(_mart(spark, d, "coverage_summary_short"))
+def _d02(g):
+    return D.coverage_feed(_mart(g, "coverage_summary_short"))
 
 
 @register("benchmark_feed", "SELECT * FROM m_bench_30")
-def _d03(spark, d):
-    return D.benchmark_feed(_mart(spark, d, "benchmarks_short"))
+def _d03(g):
+    return D.benchmark_feed(_mart(g, "benchmarks_short"))
 
 
 @register("dates_coerced", f"SELECT {_FEED} FROM m_metrics_30")
-def _d04(spark, d):
+def _d04(g):
     # the feed as the dashboard receives it: date columns as text
-    feed = D.metrics_feed(_mart(spark, d, "metrics_short"))
+    feed = D.metrics_feed(_mart(g, "metrics_short"))
     for c in ("ipo_date", "first_price_date", "last_price_date"):
         feed = feed.withColumn(c, F.col(c).cast("string"))
     return D.dates_coerced(feed)
 
 
 @register("metrics_enriched", f"SELECT {_ENR} FROM d_enriched")
-def _d05(spark, d):
-    return D.metrics_enriched(_mart(spark, d, "metrics_short"))
+def _d05(g):
+    return D.metrics_enriched(_mart(g, "metrics_short"))
 
 
 @register("filter_domains", """SELECT DISTINCT 'industry' AS domain, industry AS value, false AS is_all FROM d_enriched
 UNION ALL SELECT DISTINCT 'sector', sector, false FROM d_enriched
 UNION ALL SELECT 'industry', 'All', true UNION ALL SELECT 'sector', 'All', true""")
-def _d06(spark, d):
-    return D.filter_domains(D.metrics_enriched(_mart(spark, d, "metrics_short")))
+def _d06(g):
+    return D.filter_domains(D.metrics_enriched(_mart(g, "metrics_short")))
 
 
 @register("metrics_filtered", f"SELECT {_ENR} FROM d_filtered")
-def _d07(spark, d):
-    return _filtered(spark, d)
+def _d07(g):
+    return _filtered(g)
 
 
 @register("metrics_filtered_bounded", f"""SELECT {_ENR} FROM d_filtered
 WHERE return_30d_pct IS NULL OR return_30d_pct BETWEEN {RETURN_FILTER_RANGE[0]} AND {RETURN_FILTER_RANGE[1]}""")
-def _d07_bounded(spark, d):
+def _d07_bounded(g):
     low, high = RETURN_FILTER_RANGE
-    return D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short")), min_return=low, max_return=high)
+    return D.metrics_filtered(D.metrics_enriched(_mart(g, "metrics_short")), min_return=low, max_return=high)
 
 
 @register("metrics_filtered_chosen", f"""SELECT {_ENR} FROM d_filtered WHERE coverage_band = 'partial_coverage'
   AND industry = 'Unknown' AND sector = 'Unknown'""")
-def _d07_chosen(spark, d):
-    return D.metrics_filtered(D.metrics_enriched(_mart(spark, d, "metrics_short")), industry="Unknown",
+def _d07_chosen(g):
+    return D.metrics_filtered(D.metrics_enriched(_mart(g, "metrics_short")), industry="Unknown",
                               sector="Unknown", band="partial_coverage")
 
 
@@ -424,8 +425,8 @@ def _d07_chosen(spark, d):
     {O.dec2(O.rdiv('CAST(sum(ret_cents) FILTER (WHERE price_days >= 15) AS HUGEINT)', 'count(ret_cents) FILTER (WHERE price_days >= 15) * 100', 2))} || '%'
     ELSE 'n/a' END AS avg_return_text
 FROM d_filtered""")
-def _d08(spark, d):
-    return D.kpis(_filtered(spark, d))
+def _d08(g):
+    return D.kpis(_filtered(g))
 
 
 def _summary_sql():
@@ -449,8 +450,8 @@ def _summary_sql():
 
 
 @register("executive_summary", _summary_sql())
-def _d09(spark, d):
-    return D.executive_summary(_filtered(spark, d))
+def _d09(g):
+    return D.executive_summary(_filtered(g))
 
 
 def _best_worst_sql():
@@ -466,64 +467,64 @@ def _best_worst_sql():
 
 
 @register("best_worst_industry", _best_worst_sql())
-def _d10(spark, d):
-    return D.best_worst_industry(_filtered(spark, d))
+def _d10(g):
+    return D.best_worst_industry(_filtered(g))
 
 
 @register("band_distribution", "SELECT coverage_band, count(*) AS ipo_count FROM d_filtered GROUP BY coverage_band")
-def _d11(spark, d):
-    return D.band_distribution(_filtered(spark, d))
+def _d11(g):
+    return D.band_distribution(_filtered(g))
 
 
 @register("price_days_histogram", """SELECT CAST(price_days // 2 * 2 AS BIGINT) AS bin_start, count(*) AS ipo_count,
   CAST(price_days // 2 * 2 + 1 AS BIGINT) AS bin_end FROM d_filtered GROUP BY 1, 3""")
-def _d12(spark, d):
-    return D.price_days_histogram(_filtered(spark, d))
+def _d12(g):
+    return D.price_days_histogram(_filtered(g))
 
 
 @register("top_sectors", """SELECT sector, count(*) AS ipo_count FROM d_filtered WHERE sector IS NOT NULL
 GROUP BY sector ORDER BY ipo_count DESC, sector LIMIT 15""")
-def _d13(spark, d):
-    return D.top_sectors(_filtered(spark, d))
+def _d13(g):
+    return D.top_sectors(_filtered(g))
 
 
 _RANK = "ipo_symbol, industry, sector, price_days, return_30d_pct, price_range_pct_30d"
 
 
 @register("top_returns", f"SELECT {_RANK} FROM d_strong ORDER BY return_30d_pct DESC, ipo_symbol, event_id LIMIT 10")
-def _d14(spark, d):
-    return D.top_returns(_filtered(spark, d))
+def _d14(g):
+    return D.top_returns(_filtered(g))
 
 
 @register("bottom_returns", f"SELECT {_RANK} FROM d_strong ORDER BY return_30d_pct ASC, ipo_symbol, event_id LIMIT 10")
-def _d15(spark, d):
-    return D.bottom_returns(_filtered(spark, d))
+def _d15(g):
+    return D.bottom_returns(_filtered(g))
 
 
 @register("return_ranking", "SELECT ipo_symbol, return_30d_pct, industry, sector, price_days FROM d_filtered WHERE price_days >= 15")
-def _d16(spark, d):
-    return D.return_ranking(_filtered(spark, d))
+def _d16(g):
+    return D.return_ranking(_filtered(g))
 
 
 @register("return_vs_coverage", "SELECT price_days, return_30d_pct, industry, ipo_symbol, sector FROM d_strong")
-def _d17(spark, d):
-    return D.return_vs_coverage(_filtered(spark, d))
+def _d17(g):
+    return D.return_vs_coverage(_filtered(g))
 
 
 @register("top_ranges", """SELECT ipo_symbol, price_range_pct_30d, industry, sector, return_30d_pct FROM d_filtered
 WHERE price_days >= 15 AND price_range_pct_30d IS NOT NULL ORDER BY price_range_pct_30d DESC, ipo_symbol, event_id LIMIT 15""")
-def _d18(spark, d):
-    return D.top_ranges(_filtered(spark, d))
+def _d18(g):
+    return D.top_ranges(_filtered(g))
 
 
 @register("benchmarks_by_return", "SELECT * FROM m_bench_30")
-def _d19(spark, d):
-    return D.benchmarks_by_return(_mart(spark, d, "benchmarks_short"))
+def _d19(g):
+    return D.benchmarks_by_return(_mart(g, "benchmarks_short"))
 
 
 @register("industry_scale", "SELECT ipo_count, avg_return_30d_pct, avg_price_days, industry FROM m_bench_30")
-def _d20(spark, d):
-    return D.industry_scale(_mart(spark, d, "benchmarks_short"))
+def _d20(g):
+    return D.industry_scale(_mart(g, "benchmarks_short"))
 
 
 @register("sector_scan", """SELECT industry, sector, count(*) AS ipo_count,
@@ -531,8 +532,8 @@ def _d20(spark, d):
   CAST(quantile_disc(CAST(ret_cents AS BIGINT), 0.5) - quantile_disc(-CAST(ret_cents AS BIGINT), 0.5) AS DOUBLE) / 200 AS median_return_30d_pct,
   CAST(sum(price_days) AS DOUBLE) / count(price_days) AS avg_price_days
 FROM d_strong GROUP BY industry, sector""")
-def _d21(spark, d):
-    return D.sector_scan(_filtered(spark, d))
+def _d21(g):
+    return D.sector_scan(_filtered(g))
 
 
 def _detail_sql():
@@ -549,8 +550,8 @@ def _detail_sql():
 
 
 @register("listing_detail", _detail_sql())
-def _d22(spark, d):
-    return D.listing_detail(_filtered(spark, d))
+def _d22(g):
+    return D.listing_detail(_filtered(g))
 
 
 def _verdict_sql():
@@ -568,15 +569,15 @@ FROM d_filtered"""
 
 
 @register("listing_verdict", _verdict_sql())
-def _d23(spark, d):
-    return D.listing_verdict(_filtered(spark, d))
+def _d23(g):
+    return D.listing_verdict(_filtered(g))
 
 
 @register("listing_table", """SELECT ipo_date, ipo_symbol, price_symbol, industry, sector, price_days, coverage_band,
   CAST(first_close_30d AS DOUBLE) AS first_close_30d, CAST(last_close_30d AS DOUBLE) AS last_close_30d,
   return_30d_pct, price_range_pct_30d FROM d_filtered""")
-def _d24(spark, d):
-    return D.listing_table(_filtered(spark, d))
+def _d24(g):
+    return D.listing_table(_filtered(g))
 
 
 # ---------------------------------------------------------------- quality ---
@@ -612,23 +613,22 @@ def _unique_sql() -> str:
     return _status_sql(" UNION ALL ".join(parts))
 
 
-def _models(spark, d):
-    g = graph(spark, d)
+def _models(g):
     return {"listings_recent": g.listings, "window_prices_30d": g.mart("window_short"),
             "metrics_30d": g.mart("metrics_short"), "coverage_summary_30d": g.mart("coverage_summary_short"),
             "benchmarks_30d": g.mart("benchmarks_short")}
 
 
 @register("dq_not_null", _not_null_sql())
-def _q01(spark, d):
-    m = _models(spark, d)
+def _q01(g):
+    m = _models(g)
     return reduce(lambda a, b: a.unionByName(b),
                   [Q.not_null_checks(m[k], k, t) for k, t in Q.NOT_NULL_TESTS.items()])
 
 
 @register("dq_unique", _unique_sql())
-def _q02(spark, d):
-    m = _models(spark, d)
+def _q02(g):
+    m = _models(g)
     return reduce(lambda a, b: a.unionByName(b),
                   [Q.unique_check(m[k], k, c) for k, cols in Q.UNIQUE_TESTS.items() for c in cols])
 
@@ -638,8 +638,8 @@ def _q02(spark, d):
   CASE WHEN count(*) FILTER (WHERE status = 'fail') > 0 THEN 'fail'
        WHEN count(*) FILTER (WHERE status = 'warn') > 0 THEN 'warn' ELSE 'pass' END AS verdict
 FROM ({_not_null_sql()} UNION ALL {_unique_sql()})""")
-def _q03(spark, d):
-    return Q.verdict(Q.model_checks(_models(spark, d)))
+def _q03(g):
+    return Q.verdict(Q.model_checks(_models(g)))
 
 
 _RAW_SRC = {"ipo_events": "raw_events", "daily_prices": "raw_prices", "symbol_map": "raw_map",
@@ -660,21 +660,21 @@ def _keys_sql() -> str:
 
 
 @register("dq_keys", _keys_sql())
-def _q04(spark, d):
-    r = _raw(spark, d)
+def _q04(g):
+    r = _raw(g)
     return Q.key_checks({"ipo_events": (r.ipo_events, KEYS["ipo_events"]),
                          "daily_prices": (r.daily_prices, KEYS["daily_prices"]),
                          "symbol_map": (r.symbol_map, KEYS["symbol_map"]),
                          "company_profiles": (r.company_profiles, KEYS["company_profiles"]),
-                         "ingestion_runs": (_i17(spark, d), KEYS["ingestion_runs"])})
+                         "ingestion_runs": (_i17(g), KEYS["ingestion_runs"])})
 
 
 @register("dq_key_violations", """SELECT 'ipo_events' AS model, ipo_symbol AS key, count(*) AS copies FROM (
   SELECT coalesce(upper(symbol), '') AS ipo_symbol FROM raw_events) GROUP BY ipo_symbol HAVING count(*) > 1
 UNION ALL SELECT 'symbol_map', ipo_symbol, count(*) FROM raw_map GROUP BY ipo_symbol HAVING count(*) > 1""")
-def _q04b(spark, d):
+def _q04b(g):
     """The rows behind a failed check, on columns that are no keys, so that there are some."""
-    r = _raw(spark, d)
+    r = _raw(g)
     ev = r.ipo_events.select(F.coalesce(F.upper("symbol"), F.lit("")).alias("key"))
     mp = r.symbol_map.select(F.col("ipo_symbol").alias("key"))
     return reduce(DataFrame.unionByName, [
@@ -700,8 +700,8 @@ _CAL_SRC = f"(SELECT * FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AN
 _OTC_OLD, _OTC_NEW = PL.REPLAY_EXCHANGE
 
 
-def _cal_rows(spark, d):
-    return I.calendar_parse(PL.calendar_payloads(_raw(spark, d).ipo_events, as_of=_P.as_of))
+def _cal_rows(g):
+    return I.calendar_parse(PL.calendar_payloads(_raw(g).ipo_events, as_of=_P.as_of))
 
 
 @register("calendar_parse", f"""SELECT CAST(ipo_date AS VARCHAR) AS date, company_name AS name, symbol, exchange,
@@ -709,21 +709,21 @@ def _cal_rows(spark, d):
 WHERE (ipo_date - DATE '1970-01-01') % 4 <> 3
 UNION ALL SELECT CAST(ipo_date AS VARCHAR), company_name, symbol, '{_OTC_NEW}', {dbl('price_range_low')},
   {dbl('price_range_high')}, shares FROM {_CAL_SRC} WHERE exchange = '{_OTC_OLD}'""")
-def _i01(spark, d):
-    return _cal_rows(spark, d).select("date", "name", "symbol", "exchange", "price_range_low",
+def _i01(g):
+    return _cal_rows(g).select("date", "name", "symbol", "exchange", "price_range_low",
                                       "price_range_high", "shares")
 
 
 @register("calendar_windows", f"""SELECT {O._d(_CAL_LO)} AS window_from, {O._d(_CAL_HI)} AS window_to,
   count(*) AS events FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_CAL_HI)}""")
-def _i02(spark, d):
-    return I.calendar_windows(spark, _raw(spark, d).ipo_events, as_of=_P.as_of)
+def _i02(g):
+    return I.calendar_windows(g.spark, _raw(g).ipo_events, as_of=_P.as_of)
 
 
 @register("calendar_windows_yearly", f"""SELECT make_date(CAST(y AS INTEGER), 1, 1) AS window_from, make_date(CAST(y AS INTEGER), 12, 31) AS window_to,
   (SELECT count(*) FROM raw_events WHERE year(ipo_date) = y) AS events FROM range({_YEAR_LO}, {_P.as_of.year + 2}) t(y)""")
-def _i02b(spark, d):
-    return I.calendar_windows(spark, _raw(spark, d).ipo_events, as_of=_P.as_of, full=True, start_year=_YEAR_LO)
+def _i02b(g):
+    return I.calendar_windows(g.spark, _raw(g).ipo_events, as_of=_P.as_of, full=True, start_year=_YEAR_LO)
 
 
 _EV_COLS = ("event_id, source, ipo_date, symbol, company_name, exchange, "
@@ -734,8 +734,8 @@ _DEDUPE_SQL = f"""SELECT {_EV_COLS}, {_BT_SQL} AS ingested_at FROM (
   FROM {_CAL_SRC} WHERE (ipo_date - DATE '1970-01-01') % 4 <> 3 OR exchange = '{_OTC_OLD}')"""
 
 
-def _dedupe(spark, d):
-    return I.event_key_dedupe(_cal_rows(spark, d), batch_ts=_BT)
+def _dedupe(g):
+    return I.event_key_dedupe(_cal_rows(g), batch_ts=_BT)
 
 
 _EV_OUT = ["event_id", "source", "ipo_date", "symbol", "company_name", "exchange", "price_range_low",
@@ -743,16 +743,16 @@ _EV_OUT = ["event_id", "source", "ipo_date", "symbol", "company_name", "exchange
 
 
 @register("event_key_dedupe", _DEDUPE_SQL)
-def _i03(spark, d):
-    return _dedupe(spark, d).select(*_EV_OUT)
+def _i03(g):
+    return _dedupe(g).select(*_EV_OUT)
 
 
 @register("upsert_events", f"""SELECT {_EV_COLS}, strftime(ingested_at, '%Y-%m-%d %H:%M:%S') AS ingested_at
 FROM raw_events WHERE ipo_date < {O._d(_EVENT_CUT)} AND event_id NOT IN (SELECT event_id FROM ({_DEDUPE_SQL}))
 UNION ALL {_DEDUPE_SQL}""")
-def _i04(spark, d):
-    target = _raw(spark, d).ipo_events.filter(F.col("ipo_date") < F.lit(_EVENT_CUT))
-    return upsert(target, _dedupe(spark, d), ["event_id"]).select(*_EV_OUT)
+def _i04(g):
+    target = _raw(g).ipo_events.filter(F.col("ipo_date") < F.lit(_EVENT_CUT))
+    return upsert(target, _dedupe(g), ["event_id"]).select(*_EV_OUT)
 
 
 _OHLCV_SQL = f"source, symbol, price_date, {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, volume"
@@ -761,29 +761,29 @@ _FLAT_SQL = (f"SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'alphavantage'
              f"AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}")
 
 
-def _flat(spark, d):
-    pl = PL.series_payloads(_raw(spark, d).daily_prices).select(
+def _flat(g):
+    pl = PL.series_payloads(_raw(g).daily_prices).select(
         "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
     return I.daily_series_flatten(pl)
 
 
 @register("daily_series_flatten", _FLAT_SQL)
-def _i05(spark, d):
-    return _flat(spark, d)
+def _i05(g):
+    return _flat(g)
 
 
 @register("series_faults", """SELECT s.symbol, r.reason FROM (SELECT DISTINCT symbol FROM raw_prices WHERE source = 'alphavantage') s
 CROSS JOIN (VALUES ('unreadable payload'), ('bad date'), ('bad number')) r(reason)""")
-def _i05b(spark, d):
-    pl = PL.faulty_series(_raw(spark, d).daily_prices).select(
+def _i05b(g):
+    pl = PL.faulty_series(_raw(g).daily_prices).select(
         "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
     return I.series_faults(pl).select("symbol", "reason")
 
 
 @register("bars_normalise", f"""SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'yahoo'
   AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
-def _i06(spark, d):
-    bars = PL.bar_frames(_raw(spark, d).daily_prices, as_of=_P.as_of)
+def _i06(g):
+    bars = PL.bar_frames(_raw(g).daily_prices, as_of=_P.as_of)
     return I.bars_normalise(bars, symbol_col="symbol", date_col="Date")
 
 
@@ -791,31 +791,31 @@ def _i06(spark, d):
   SELECT DISTINCT symbol, date_trunc('month', price_date) FROM raw_prices WHERE source = 'alphavantage')
 UNION ALL SELECT s, n FROM (SELECT count(DISTINCT symbol) AS n FROM raw_prices WHERE source = 'alphavantage')
   CROSS JOIN (VALUES ('rate_limited'), ('error'), ('info'), ('unexpected')) v(s)""")
-def _i07(spark, d):
-    t = I.payload_triage(PL.triage_payloads(_raw(spark, d).daily_prices))
+def _i07(g):
+    t = I.payload_triage(PL.triage_payloads(_raw(g).daily_prices))
     return t.groupBy("status").agg(F.count(F.lit(1)).alias("payloads"))
 
 
-def _fh_records(spark, d):
-    r = _raw(spark, d)
+def _fh_records(g):
+    r = _raw(g)
     return I.profiles_finnhub(PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map))
 
 
-def _yh_records(spark, d):
-    return I.profiles_yahoo(PL.yahoo_profile_payloads(_raw(spark, d).company_profiles))
+def _yh_records(g):
+    return I.profiles_yahoo(PL.yahoo_profile_payloads(_raw(g).company_profiles))
 
 
 @register("profiles_finnhub", """SELECT 'upserted' AS outcome, count(*) AS payloads FROM raw_profiles WHERE source = 'finnhub'
 UNION ALL SELECT 'empty', count(*) FROM (SELECT DISTINCT ipo_symbol FROM raw_map
   WHERE ipo_symbol NOT IN (SELECT symbol FROM raw_profiles WHERE source = 'finnhub'))""")
-def _i08(spark, d):
-    return _fh_records(spark, d).groupBy("outcome").agg(F.count(F.lit(1)).alias("payloads"))
+def _i08(g):
+    return _fh_records(g).groupBy("outcome").agg(F.count(F.lit(1)).alias("payloads"))
 
 
 @register("profiles_yahoo", """SELECT symbol, name, exchange, country, industry, nullif(sector, '') AS sector, market_cap,
   currency, weburl, 'upserted' AS outcome FROM raw_profiles WHERE source = 'yahoo'""")
-def _i09(spark, d):
-    y = _yh_records(spark, d)
+def _i09(g):
+    y = _yh_records(g)
     return y.select(F.col("symbol").cast("string"), *[F.col(c).cast("string") for c in
                     ("name", "exchange", "country", "industry", "sector")],
                     F.col("market_cap").cast("double"), F.col("currency").cast("string"),
@@ -832,11 +832,11 @@ _PROF_OUT = ["source", "symbol", "name", "exchange", "country", "ipo", "currency
   {_BT_SQL} AS ingested_at, source AS record_source, symbol AS record_symbol,
   CASE source WHEN 'finnhub' THEN symbol END AS record_ticker, CASE source WHEN 'yahoo' THEN name END AS record_name,
   CASE source WHEN 'yahoo' THEN name END AS payload_name FROM raw_profiles""")
-def _i10(spark, d):
-    r = _raw(spark, d)
+def _i10(g):
+    r = _raw(g)
     cols = r.company_profiles.columns
-    fh = I.profiles_conform(_fh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
-    yh = I.profiles_conform(_yh_records(spark, d).filter("outcome = 'upserted'"), cols, _BT)
+    fh = I.profiles_conform(_fh_records(g).filter("outcome = 'upserted'"), cols, _BT)
+    yh = I.profiles_conform(_yh_records(g).filter("outcome = 'upserted'"), cols, _BT)
     merged = upsert(r.company_profiles, fh.unionByName(yh), ["source", "symbol"])
     rec = {"record_source": "source", "record_symbol": "symbol", "record_ticker": "ticker"}
     of_yahoo = F.col("source") == "yahoo"   # the payload keeps the vendor's own names inside the record
@@ -845,8 +845,8 @@ def _i10(spark, d):
                          F.when(of_yahoo, F.get_json_object("raw_json", "$.raw_json.longName")).alias("payload_name"))
 
 
-def _alpha_resolved(spark, d):
-    return I.resolve_first_or_exact(PL.alpha_search_payloads(_raw(spark, d).symbol_map))
+def _alpha_resolved(g):
+    return I.resolve_first_or_exact(PL.alpha_search_payloads(_raw(g).symbol_map))
 
 
 _ALPHA_SQL = f"""SELECT ipo_symbol,
@@ -860,16 +860,16 @@ FROM raw_map WHERE vendor = 'alphavantage'"""
 
 
 @register("resolve_first_or_exact", _ALPHA_SQL)
-def _i13(spark, d):
-    return _alpha_resolved(spark, d)
+def _i13(g):
+    return _alpha_resolved(g)
 
 
 @register("symbol_map_upsert", f"""SELECT vendor, ipo_symbol, vendor_symbol, is_priceable, notes,
   strftime(last_checked_at, '%Y-%m-%d %H:%M:%S') AS last_checked_at FROM raw_map WHERE vendor <> 'alphavantage'
 UNION ALL SELECT 'alphavantage', ipo_symbol, vendor_symbol, is_priceable, notes, {_BT_SQL} FROM ({_ALPHA_SQL})""")
-def _i11(spark, d):
-    batch = I.symbol_map_rows(_alpha_resolved(spark, d), vendor="alphavantage", batch_ts=_BT)
-    return upsert(_raw(spark, d).symbol_map, batch, ["vendor", "ipo_symbol"])
+def _i11(g):
+    batch = I.symbol_map_rows(_alpha_resolved(g), vendor="alphavantage", batch_ts=_BT)
+    return upsert(_raw(g).symbol_map, batch, ["vendor", "ipo_symbol"])
 
 
 def _num_json(c):
@@ -887,10 +887,10 @@ WHERE price_date <= {O._d(O.LOAD_CUTOFF)} AND (source, symbol, price_date) NOT I
    AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)})
 UNION ALL SELECT {_OHLCV_SQL}, {_RAW_ROW_SQL}, {_BT_SQL} FROM raw_prices WHERE source = 'alphavantage'
   AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
-def _i12(spark, d):
+def _i12(g):
     # the conformed batch is written once: payloads are parsed once, not per use
-    batch = materialize(I.price_rows(_flat(spark, d), batch_ts=_BT), "price-batch")
-    return upsert_within(_existing(spark, d), batch, ["source", "symbol", "price_date"], "price_date",
+    batch = materialize(I.price_rows(_flat(g), batch_ts=_BT), "price-batch")
+    return upsert_within(_existing(g), batch, ["source", "symbol", "price_date"], "price_date",
                          _CAL_LO, _P.as_of).select(*_PX_OUT, "raw_row", "ingested_at")
 
 
@@ -902,22 +902,22 @@ _HIST = f"""SELECT r.*, EXISTS (SELECT 1 FROM raw_prices p WHERE p.source = 'yah
   AND p.price_date BETWEEN {O._d(_P.as_of - _dt.timedelta(days=30))} AND {O._d(_P.as_of)}) AS has_history FROM ({_RESOLVED}) r"""
 
 
-def _yreq(spark, d):
-    return PL.yahoo_search_requests(_raw(spark, d).symbol_map)
+def _yreq(g):
+    return PL.yahoo_search_requests(_raw(g).symbol_map)
 
 
-def _yhist(spark, d):
-    return I.history_check(I.resolve_ranked_exact(_yreq(spark, d)), _raw(spark, d).daily_prices, as_of=_P.as_of)
+def _yhist(g):
+    return I.history_check(I.resolve_ranked_exact(_yreq(g)), _raw(g).daily_prices, as_of=_P.as_of)
 
 
 @register("resolve_ranked_exact", _RESOLVED)
-def _i14(spark, d):
-    return I.resolve_ranked_exact(_yreq(spark, d))
+def _i14(g):
+    return I.resolve_ranked_exact(_yreq(g))
 
 
 @register("history_check", _HIST)
-def _i15(spark, d):
-    return _yhist(spark, d)
+def _i15(g):
+    return _yhist(g)
 
 
 @register("symbol_map_rows", f"""SELECT ipo_symbol, ipo_symbol AS vendor_symbol,
@@ -925,8 +925,8 @@ def _i15(spark, d):
   CASE WHEN err THEN '{I.YAHOO_NOTES['error']}{PL.ERROR_TEXT}' WHEN resolved IS NULL THEN '{I.YAHOO_NOTES['no_match']}'
        WHEN has_history THEN '{I.YAHOO_NOTES['match']}' ELSE '{I.YAHOO_NOTES['no_history']}' END AS notes
 FROM (SELECT *, ipo_symbol LIKE 'S%7' AS err FROM ({_HIST}))""")
-def _i16(spark, d):
-    return I.yahoo_map_rows(_yreq(spark, d), _yhist(spark, d))
+def _i16(g):
+    return I.yahoo_map_rows(_yreq(g), _yhist(g))
 
 
 _AUDIT_KEYS = ["attempted", "rows", "with_data", "no_data", "failed", "yahoo_used", "alpha_used"]
@@ -936,15 +936,15 @@ _AUDIT_KEYS = ["attempted", "rows", "with_data", "no_data", "failed", "yahoo_use
           f"{_BT_SQL} AS started_at, '2001-06-30 09:05:00' AS finished_at, 'success' AS status, "
           + "concat_ws(', ', " + ", ".join(f"'{k}=' || CAST({k} AS VARCHAR)" for k in _AUDIT_KEYS)
           + ") AS notes FROM (" + _W11_SQL + ")")
-def _i17(spark, d):
-    counters = _w11(spark, d)
+def _i17(g):
+    counters = _w11(g)
     return I.run_audit(counters, run_id="backfill-2001-06-30", source="ipo_price_backfill", started_at=_BT,
                        finished_at=_BT + _dt.timedelta(minutes=5), order=_AUDIT_KEYS)
 
 
 @register("profile_source_default", """SELECT source, symbol, name, industry, sector FROM raw_profiles""")
-def _i18(spark, d):
-    legacy = _raw(spark, d).company_profiles.withColumn(
+def _i18(g):
+    legacy = _raw(g).company_profiles.withColumn(
         "source", F.when(F.col("source") == "finnhub", F.lit(None).cast("string")).otherwise(F.col("source")))
     return I.profile_source_default(legacy).select("source", "symbol", "name", "industry", "sector")
 
@@ -964,9 +964,9 @@ LEFT JOIN (SELECT symbol, max(nullif(industry, '')) AS ia, max(nullif(sector, ''
     FROM raw_profiles) WHERE source IN ('finnhub', 'yahoo') GROUP BY symbol) p ON p.symbol = s.symbol
 WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
 """)
-def _w02b(spark, d):
-    r = _raw(spark, d)
-    first = _w02(spark, d)
+def _w02b(g):
+    r = _raw(g)
+    first = _w02(g)
     pl = PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map).join(first, "symbol", "left_semi")
     rec = I.profiles_finnhub(pl).filter("outcome = 'upserted'")
     profiles2 = upsert(r.company_profiles, I.profiles_conform(rec, r.company_profiles.columns, _BT),

@@ -302,6 +302,10 @@ class ModelGraph:
         self.raw, self.p, self._mat = raw, params, tuple(materialize)
         self._cache: dict[str, DataFrame] = {}
 
+    @property
+    def spark(self):
+        return self.raw.ipo_events.sparkSession
+
     def _get(self, name, build):
         if name not in self._cache:
             df = build()

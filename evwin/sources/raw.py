@@ -13,19 +13,27 @@ expose a partial store."""
 from __future__ import annotations
 
 import datetime as dt
+import functools
 import hashlib
+import inspect
+import re
+import sys
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evwin.config import FIXTURE_AS_OF
 from evwin.session import ensure_checkpoint_dir
+from evwin.sources import schemas
 from evwin.sources.testdata import RawTables, raw_tables
 
 STORE_VERSION = "raw-v3"   # bump when the derivation changes
 _MARK = "_COMPLETE-"
-_TABLES = ("ipo_events", "daily_prices", "symbol_map", "company_profiles")
+_TABLES = {"ipo_events": schemas.IPO_EVENTS,
+           "daily_prices": T.StructType([*schemas.DAILY_PRICES, T.StructField("price_month", T.StringType())]),
+           "symbol_map": schemas.SYMBOL_MAP, "company_profiles": schemas.COMPANY_PROFILES}
 
 
 def _fs(spark: SparkSession, path: str):
@@ -49,10 +57,10 @@ def write_prices(prices: DataFrame, path: str, mode: str = "errorifexists") -> N
      .write.mode(mode).partitionBy("price_month").parquet(path))
 
 
+@functools.cache
 def code_version(*modules) -> str:
     """Hash of the source of the modules that produce a stored table, so a
     code change never reuses data written by older code."""
-    import inspect
     h = hashlib.sha1()
     for m in modules:
         h.update(inspect.getsource(m).encode())
@@ -91,21 +99,28 @@ def publish(spark: SparkSession, root: str, write) -> str:
     return f"{root}/{published(spark, root)[0]}"
 
 
-def _files(fs, src) -> str:
-    """Path, length and time of change of every input file."""
-    found, files = [], fs.listFiles(src, True)
-    while files.hasNext():
-        f = files.next()
-        found.append(f"{f.getPath()} {f.getLen()} {f.getModificationTime()}")
-    return "\n".join(sorted(found))
+_STATUS = re.compile(r"path=([^;]*); isDirectory=(?:false; length=(\d+)|true).*?modification_time=(\d+)")
+
+
+def _files(fs, src, jvm) -> str:
+    """Path, length and time of change of every input file; one call to the JVM a level
+    of folders, whatever the number of files."""
+    found, level = [], f"{src}/*"
+    while True:
+        here = fs.globStatus(jvm.org.apache.hadoop.fs.Path(level))
+        entries = _STATUS.findall(jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(here).toString())
+        if not entries:
+            return "\n".join(sorted(found))
+        found += [" ".join(e) for e in entries if e[1]]
+        level += "/*"
 
 
 def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> str:
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    fs, src, _ = _fs(spark, sf_dir)
-    size = _files(fs, src)
+    fs, src, jvm = _fs(spark, sf_dir)
+    real = fs.resolvePath(src)   # behind a mount table; its own file system tells lengths and times
+    size = _files(real.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), real, jvm)
     tz = spark.conf.get("spark.sql.session.timeZone")
-    import sys
     from evwin.functions import exprs
     from evwin.operators import ingest
     from evwin.sources import testdata
@@ -114,8 +129,9 @@ def store_root(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF)
     return f"{base}/evwin/store-{key}"
 
 
-def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF) -> RawTables:
-    root = store_root(spark, sf_dir, as_of)
+def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE_AS_OF, root: str | None = None) -> RawTables:
+    """The store of a folder, written if it is not there; ``root``: its known ``store_root``."""
+    root = root or store_root(spark, sf_dir, as_of)
 
     def write(tmp):
         r = raw_tables(spark, sf_dir, as_of)
@@ -126,6 +142,7 @@ def stored_raw_tables(spark: SparkSession, sf_dir: str, as_of: dt.date = FIXTURE
             else:
                 df.write.parquet(f"{tmp}/{name}")
     data = publish(spark, root, write)
-    tables = RawTables(**{name: spark.read.parquet(f"{data}/{name}") for name in _TABLES})
+    # schemas are given, so that opening a table reads no file
+    tables = RawTables(**{name: spark.read.schema(schema).parquet(f"{data}/{name}") for name, schema in _TABLES.items()})
     tables.root = root
     return tables

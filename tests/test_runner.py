@@ -42,6 +42,37 @@ def test_changed_input_of_equal_length_is_read_anew(spark, tmp_path):
     assert E.queries()["view_ipos"](spark, str(tmp_path)).count() < before
 
 
+def test_a_query_takes_one_view_of_the_store(spark, monkeypatch):
+    """However many helpers a query is made of, inputs are listed once and no table is opened again."""
+    from evwin.plans import catalog
+    calls = {"root": 0, "open": 0}
+    root, opened = catalog.store_root, catalog.stored_raw_tables
+
+    def counted(name, fn):
+        def run(*args):
+            calls[name] += 1
+            return fn(*args)
+        return run
+    monkeypatch.setattr(catalog, "store_root", counted("root", root))
+    monkeypatch.setattr(catalog, "stored_raw_tables", counted("open", opened))
+    catalog.QUERIES["kpis"](spark, SF0001)
+    for key in ("kpis", "load_windows", "price_run_summary", "dq_keys", "run_audit", "prices_upsert"):
+        calls.update(root=0, open=0)
+        catalog.QUERIES[key](spark, SF0001)
+        assert calls == {"root": 1, "open": 0}, key
+
+
+def test_input_listing_sees_lengths_and_times_behind_a_mount_table(spark, tmp_path):
+    from evwin.sources.raw import store_root
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.evwin.link./in", f"file://{tmp_path}")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "a.txt").write_text("abc")
+    seen = {store_root(spark, d) for d in (f"viewfs://evwin/in", f"viewfs://evwin/in/", str(tmp_path))}
+    assert len(seen) <= 2
+    (tmp_path / "sub" / "a.txt").write_text("abcd")
+    assert store_root(spark, "viewfs://evwin/in") not in seen and store_root(spark, str(tmp_path)) not in seen
+
+
 def test_cluster_without_shared_folder_is_refused():
     import pytest
 
