@@ -3,23 +3,22 @@
 Parquet has no MERGE, so an upsert is ``target LEFT ANTI batch ∪ batch`` on
 the key, with the batch first reduced to one row per key (last wins).
 ``upsert_within`` leaves out of the join what lies outside the batch's
-dates; ``upsert_partitioned`` commits to a partitioned table and reads and
-rewrites only the partitions the batch touches.  Upserting twice equals
+dates; ``upsert_partitioned`` commits to a versioned table, of which it reads
+and rewrites only the partitions the batch touches.  Upserting twice equals
 upserting once."""
 
 from __future__ import annotations
 
 import datetime as dt
-import hashlib
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from evwin.functions.exprs import lit_date, price_date_range
-from evwin.session import ensure_checkpoint_dir
-from evwin.sources.raw import mark, published, remove, unmark
+from evwin.sources import versioned
+from evwin.sources.raw import remove
+from evwin.sources.versioned import Snapshot
 
 
 def last_wins(batch: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -62,46 +61,34 @@ def upsert_within(target: DataFrame, batch: DataFrame, keys: list[str], date_col
     return outside.unionByName(upsert(inside, checked, keys, order))
 
 
-# What Spark says of a path without a table, or without any file in it.
-NO_TABLE = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+def key_bucket(keys: list[str], buckets: int = 16) -> Column:
+    """A partition for tables without a date: the same for all rows of a key."""
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("string")
 
 
-def upsert_partitioned(spark: SparkSession, table_path: str, batch: DataFrame, keys: list[str],
-                       partition_col: str, layout: tuple[str, ...] | None = None) -> None:
-    """Merge ``batch`` into the parquet table at ``table_path`` (partitioned
-    by ``partition_col``), rewriting only the partitions the batch touches,
-    range-partitioned and sorted by ``layout`` (default: partition, keys).
-
-    The batch and the merged partitions are written to the shared folder
-    first, and a marker is set before the table is touched.  A run that dies
-    while partitions are replaced leaves the marker; the next run replaces
-    them again from the staged copy before it reads the table, so no row is
-    lost.  One writer a table at a time."""
+def upsert_partitioned(spark: SparkSession, table: str, batch: DataFrame, keys: list[str], partition_col: str,
+                       layout: tuple[str, ...] | None = None, keep: int = 2) -> Snapshot:
+    """Merge ``batch`` into the versioned table at ``table`` (see
+    ``sources.versioned``) and return the table's new state.  Only the
+    partitions the batch touches are read and rewritten, range-partitioned and
+    sorted by ``layout`` (default: partition, keys); the partition has to follow
+    from the key.  The batch is written first, so it is computed once and its
+    partitions can be named; the merge is visible when its pointer is, and a run
+    that dies before that changes nothing."""
     layout = layout or (partition_col, *keys)
-    stage = f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin/upserts/{hashlib.sha1(table_path.encode()).hexdigest()[:16]}"
-    for name in published(spark, stage):      # left by a run that died
-        _replace(spark, stage, name, table_path, partition_col, layout)
-    name = uuid.uuid4().hex[:12]
-    batch.write.parquet(f"{stage}/{name}-batch")
-    new = spark.read.schema(batch.schema).parquet(f"{stage}/{name}-batch")
-    try:
-        target = spark.read.parquet(table_path)
-    except AnalysisException as e:   # no table yet: the batch is the table
-        if e.getCondition() not in NO_TABLE:
-            raise
+    before = versioned.snapshot(spark, table)
+    staged = f"{table}/_batches/{uuid.uuid4().hex[:12]}"
+    batch.write.parquet(staged)
+    new = spark.read.schema(batch.schema).parquet(staged)
+    # one value a partition of the table, so as many as its folders
+    touched = [versioned.partition_name(r[0]) for r in new.select(partition_col).distinct().collect()]
+    if before.schema is None:
         target = spark.createDataFrame([], batch.schema)
-    touched = target.join(new.select(partition_col).distinct(), partition_col, "left_semi").select(*target.columns)
-    upsert(touched, new.select(*target.columns), keys).write.parquet(f"{stage}/{name}")
-    mark(spark, stage, name)
-    _replace(spark, stage, name, table_path, partition_col, layout)
-
-
-def _replace(spark: SparkSession, stage: str, name: str, table_path: str, partition_col: str,
-             layout: tuple[str, ...]) -> None:
-    merged = spark.read.parquet(f"{stage}/{name}")
-    (merged.repartitionByRange(*layout).sortWithinPartitions(*layout)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(partition_col).parquet(table_path))
-    unmark(spark, stage, name)
-    remove(spark, f"{stage}/{name}")
-    remove(spark, f"{stage}/{name}-batch")
+    else:
+        target = versioned.read(spark, table, before, touched)
+    merged = upsert(target, new.select(*[c for c in target.columns if c in new.columns]), keys)
+    version, holds = versioned.write(spark, table, merged, partition_col, layout)
+    after = versioned.commit(spark, table, before, version, holds, touched, target.schema, partition_col)
+    remove(spark, staged)
+    versioned.vacuum(spark, table, keep)
+    return after

@@ -84,10 +84,6 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def unmark(spark: SparkSession, root: str, name: str) -> None:
-    remove(spark, f"{root}/{_MARK}{name}")
-
-
 def publish(spark: SparkSession, root: str, write) -> str:
     """Write a folder once and return it: ``write(folder)`` fills a new folder
     under ``root``, whose marker follows.  A complete one is reused; of two

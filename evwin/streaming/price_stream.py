@@ -2,8 +2,8 @@
 
 Landed bar files (parquet, one row per vendor bar) arrive in a folder; each
 micro-batch keeps the bars inside the load windows (optional), conforms them
-to price rows (I12) and upserts them into the month-partitioned price store,
-rewriting only the months the batch touches.  ``foreachBatch`` is
+to price rows (I12) and upserts them into the versioned, month-partitioned price
+table, rewriting only the months the batch touches.  ``foreachBatch`` is
 at-least-once and the upsert is idempotent (last wins per key, re-applying a
 batch changes nothing), so a restarted query after executor or driver loss
 converges to the same store.  The checkpoint lives in the shared folder.

@@ -12,6 +12,7 @@ from evwin.operators import ingest as I
 from evwin.operators import worklist as W
 from evwin.operators import upsert as U
 from evwin.operators.upsert import last_wins, upsert, upsert_partitioned, upsert_within
+from evwin.sources import versioned as V
 
 AS_OF = dt.date(2001, 6, 30)
 
@@ -138,17 +139,76 @@ def test_upsert_idempotent_and_last_wins(spark):
     assert sorted(once.collect()) == sorted(twice.collect()) == [("a", 1), ("b", 20), ("c", 31)]
 
 
+def _months(spark, *rows):
+    return spark.createDataFrame(list(rows), "k string, v int, m string")
+
+
+def _held(df):
+    return sorted((r.k, r.v, r.m) for r in df.collect())
+
+
 def test_upsert_partitioned_rewrites_touched_only(spark):
-    base = tempfile.mkdtemp(prefix="evwin-upsert-")
-    path = os.path.join(base, f"t-{uuid.uuid4().hex[:8]}")
-    t = spark.createDataFrame([("a", 1, "2001-01"), ("b", 2, "2001-02")], "k string, v int, m string")
-    t.write.partitionBy("m").parquet(path)
-    before = {f for f in os.listdir(os.path.join(path, "m=2001-01"))}
-    batch = spark.createDataFrame([("b", 20, "2001-02"), ("c", 3, "2001-03")], "k string, v int, m string")
-    upsert_partitioned(spark, path, batch, ["k"], "m")
-    got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 1, "2001-01"), ("b", 20, "2001-02"), ("c", 3, "2001-03")]
-    assert {f for f in os.listdir(os.path.join(path, "m=2001-01"))} == before   # untouched partition
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    first = V.create(spark, path, _months(spark, ("a", 1, "2001-01"), ("b", 2, "2001-02")), "m", ("m", "k"))
+    after = upsert_partitioned(spark, path, _months(spark, ("b", 20, "2001-02"), ("c", 3, "2001-03"), ("n", 4, None)), ["k"], "m")
+    assert _held(V.read(spark, path).fillna("none", ["m"])) == [("a", 1, "2001-01"), ("b", 20, "2001-02"), ("c", 3, "2001-03"), ("n", 4, "none")]
+    assert after.parts["2001-01"] == first.parts["2001-01"] and after.parts["2001-02"] != first.parts["2001-02"]   # untouched partition
+    again = upsert_partitioned(spark, path, _months(spark, ("b", 20, "2001-02")), ["k"], "m")
+    assert again.number == 3 and V.read(spark, path).count() == 4
+    assert not os.listdir(os.path.join(path, "_batches")) and len(os.listdir(os.path.join(path, "_pointers"))) == 4   # two, and their checksums
+    with pytest.raises(ValueError, match="partition value"):
+        upsert_partitioned(spark, path, _months(spark, ("z", 1, "a/b")), ["k"], "m")
+
+
+def test_a_reader_sees_the_table_before_or_after_a_merge(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    old = [("a", 1, "2001-01"), ("b", 2, "2001-02")]
+    V.create(spark, path, _months(spark, *old), "m", ("m", "k"))
+    opened, seen = V.read(spark, path), []
+    put = V._put
+
+    def looks(spark_, file, text=""):
+        seen.append(_held(V.read(spark_, path)))    # files of the merge are written, its manifest and pointer not yet
+        put(spark_, file, text)
+    monkeypatch.setattr(V, "_put", looks)
+    upsert_partitioned(spark, path, _months(spark, ("b", 20, "2001-02"), ("a", 10, "2001-01")), ["k"], "m")
+    assert seen == [old, old] and _held(V.read(spark, path)) == [("a", 10, "2001-01"), ("b", 20, "2001-02")]
+    assert _held(opened) == old     # a query begun before the merge reads on
+
+
+def test_a_writer_that_dies_changes_nothing(spark, monkeypatch):
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    V.create(spark, path, _months(spark, ("a", 1, "2001-01")), "m", ("m", "k"))
+    commit = V.commit
+    monkeypatch.setattr(V, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+    with pytest.raises(RuntimeError):
+        upsert_partitioned(spark, path, _months(spark, ("a", 9, "2001-01")), ["k"], "m")
+    assert _held(V.read(spark, path)) == [("a", 1, "2001-01")]
+    monkeypatch.setattr(V, "commit", commit)
+    upsert_partitioned(spark, path, _months(spark, ("b", 2, "2001-01")), ["k"], "m")
+    assert _held(V.read(spark, path)) == [("a", 1, "2001-01"), ("b", 2, "2001-01")]
+
+
+def test_a_second_writer_is_refused(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    before = V.create(spark, path, _months(spark, ("a", 1, "2001-01")), "m", ("m", "k"))
+    rows = _months(spark, ("a", 2, "2001-01"))
+    version, holds = V.write(spark, path, rows, "m", ("m", "k"))
+    upsert_partitioned(spark, path, _months(spark, ("a", 3, "2001-01")), ["k"], "m")
+    with pytest.raises(V.ConcurrentWrite):
+        V.commit(spark, path, before, version, holds, holds, rows.schema, "m")
+    assert _held(V.read(spark, path)) == [("a", 3, "2001-01")]
+
+
+def test_tables_without_a_date_are_bucketed_by_key(spark):
+    from evwin.operators.upsert import key_bucket
+    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
+    rows = spark.range(200).selectExpr("cast(id as string) k", "0 v")
+    V.create(spark, path, rows.withColumn("b", key_bucket(["k"])), "b", ("b", "k"))
+    new = spark.range(190, 210).selectExpr("cast(id as string) k", "1 v").withColumn("b", key_bucket(["k"]))
+    upsert_partitioned(spark, path, new, ["k"], "b")
+    got = V.read(spark, path)
+    assert got.count() == 210 and got.filter("v = 1").count() == 20
 
 
 def test_fallback_and_summary(spark):
@@ -290,28 +350,6 @@ def test_history_needs_only_a_row(spark):
     assert {r.resolved: r.has_history for r in got} == {"A": True, "B": False}
 
 
-def test_upsert_partitioned_survives_a_death_between_delete_and_write(spark, monkeypatch):
-    import shutil
-    path = os.path.join(tempfile.mkdtemp(prefix="evwin-upsert-"), "t")
-    spark.createDataFrame([("a", 1, "2001-01"), ("b", 2, "2001-02")], "k string, v int, m string") \
-        .write.partitionBy("m").parquet(path)
-    replace = U._replace
-
-    def dies(spark_, stage, name, table_path, *rest):
-        shutil.rmtree(os.path.join(table_path, "m=2001-02"))
-        raise RuntimeError("driver lost")
-
-    monkeypatch.setattr(U, "_replace", dies)
-    first = spark.createDataFrame([("c", 3, "2001-02")], "k string, v int, m string")
-    with pytest.raises(RuntimeError):
-        upsert_partitioned(spark, path, first, ["k"], "m")
-    monkeypatch.setattr(U, "_replace", replace)
-    second = spark.createDataFrame([("d", 4, "2001-02"), ("b", 20, "2001-02")], "k string, v int, m string")
-    upsert_partitioned(spark, path, second, ["k"], "m")
-    got = sorted((r.k, r.v, r.m) for r in spark.read.parquet(path).collect())
-    assert got == [("a", 1, "2001-01"), ("b", 20, "2001-02"), ("c", 3, "2001-02"), ("d", 4, "2001-02")]
-
-
 def test_upsert_within_equals_upsert_and_refuses_other_dates(spark):
     t = spark.createDataFrame([("a", dt.date(2001, 1, d), d) for d in range(1, 11)], "k string, price_date date, v int")
     b = spark.createDataFrame([("a", dt.date(2001, 1, 5), 50), ("b", dt.date(2001, 1, 6), 60)], "k string, price_date date, v int")

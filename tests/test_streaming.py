@@ -8,7 +8,8 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from evwin.sources.raw import write_prices
+from evwin.sources import versioned
+from evwin.sources.raw import PRICE_LAYOUT, with_month
 from evwin.sources.schemas import DAILY_PRICES
 from evwin.streaming import price_stream as PS
 
@@ -23,19 +24,19 @@ def test_stream_upserts_incrementally(spark):
     land, store, ckpt = (os.path.join(base, x) for x in ("landing", "store", "ckpt"))
     seed = spark.createDataFrame([("yahoo", "S1", dt.date(2001, 1, 2), Decimal(1), Decimal(1), Decimal(1),
                                    Decimal(1), 1, None, dt.datetime(2001, 1, 1))], DAILY_PRICES)
-    write_prices(seed, store)
+    versioned.create(spark, store, with_month(seed), "price_month", PRICE_LAYOUT)
     _bars(spark, [("yahoo", "S1", dt.date(2001, 1, 2), 5), ("yahoo", "S1", dt.date(2001, 2, 3), 6)]) \
         .write.parquet(os.path.join(land, f"b-{uuid.uuid4().hex[:6]}"))
     q = PS.start(spark, land + "/*", store, checkpoint=ckpt)
     q.awaitTermination(120)
-    got = sorted((r.price_date, float(r.close)) for r in spark.read.parquet(store).collect())
+    got = sorted((r.price_date, float(r.close)) for r in versioned.read(spark, store).collect())
     assert got == [(dt.date(2001, 1, 2), 5.0), (dt.date(2001, 2, 3), 6.0)]
     # a second file: only it is processed; replaying the same content changes nothing
     _bars(spark, [("yahoo", "S1", dt.date(2001, 2, 3), 7), ("alphavantage", "S1", dt.date(2001, 3, 1), 8)]) \
         .write.parquet(os.path.join(land, f"b-{uuid.uuid4().hex[:6]}"))
     q = PS.start(spark, land + "/*", store, checkpoint=ckpt)
     q.awaitTermination(120)
-    got = sorted((r.source, r.price_date, float(r.close)) for r in spark.read.parquet(store).collect())
+    got = sorted((r.source, r.price_date, float(r.close)) for r in versioned.read(spark, store).collect())
     assert got == [("alphavantage", dt.date(2001, 3, 1), 8.0), ("yahoo", dt.date(2001, 1, 2), 5.0),
                    ("yahoo", dt.date(2001, 2, 3), 7.0)]
 
@@ -44,13 +45,13 @@ def test_load_batch_respects_windows(spark):
     base = tempfile.mkdtemp(prefix="evwin-stream-")
     store = os.path.join(base, "store")
     seed = spark.createDataFrame([], DAILY_PRICES)
-    write_prices(seed, store)
+    versioned.create(spark, store, with_month(seed), "price_month", PRICE_LAYOUT)
     windows = spark.createDataFrame([("yahoo", "S1", dt.date(2001, 1, 1), dt.date(2001, 1, 31), "load")],
                                     "source string, vendor_symbol string, load_from date, load_to date, load_status string")
     bars = _bars(spark, [("yahoo", "S1", dt.date(2001, 1, 5), 1), ("yahoo", "S1", dt.date(2001, 2, 5), 2),
                          ("yahoo", "S2", dt.date(2001, 1, 5), 3)])
     PS.load_batch(spark, bars, store, windows=windows, batch_ts=dt.datetime(2001, 2, 6))
-    got = [(r.symbol, r.price_date) for r in spark.read.parquet(store).collect()]
+    got = [(r.symbol, r.price_date) for r in versioned.read(spark, store).collect()]
     assert got == [("S1", dt.date(2001, 1, 5))]
 
 
@@ -71,6 +72,6 @@ def test_last_landed_file_wins_with_file_backed_windows(spark):
     seen = []
     for _ in range(2):
         PS.load_batch(spark, bars, store, windows=spark.read.parquet(win))
-        (r,) = spark.read.parquet(store).collect()
+        (r,) = versioned.read(spark, store).collect()
         seen.append((float(r.close), r.ingested_at))
     assert seen[0] == seen[1] and seen[0][0] == 13.0
