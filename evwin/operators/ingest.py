@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from evwin.functions.exprs import (CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, price_date_range, py_strip,
                                    ts_lit)
+from evwin.operators.price_days import with_history
 
 # --- fixed values ------------------------------------------------------------
 CALENDAR_KEYS = ("ipoCalendar", "ipoCalendarData", "data")
@@ -304,29 +305,40 @@ def bars_normalise(bars: DataFrame, *, symbol_col: str = "symbol", date_col: str
 
 
 # ---- I08 / I09 / I10 / I18 profiles ------------------------------------------
-def profiles_finnhub(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
-                     ) -> DataFrame:
+def _call_failed(payloads: DataFrame, payload_col: str, error_col: str) -> Column:
+    """A request that gave no document: an error was landed for it, or a text that is none."""
+    broken = F.col("body").isNull()
+    return broken if error_col not in payloads.columns else broken | F.col("_error").isNotNull()
+
+
+def profiles_finnhub(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload",
+                     error_col: str = "error") -> DataFrame:
     """Keeps non-empty object payloads with a truthy ``ticker``; adds
     source='finnhub' and symbol=ticker, to ``record`` (the payload as JSON)
-    too; ``outcome`` is upserted/empty."""
-    p = payloads.select(parse_payload(payload_col).alias("body"))
+    too; ``outcome`` is upserted, empty or failed (an error, or no JSON)."""
+    error = [F.col(error_col).alias("_error")] if error_col in payloads.columns else []
+    p = payloads.select(parse_payload(payload_col).alias("body"), *error)
+    failed = _call_failed(payloads, payload_col, error_col)
     p = _stage(p, _t=vfield(F.col("body"), "ticker"))
-    ok = vtype(F.col("body")).startswith("OBJECT") & py_truthy(F.col("body")) & py_truthy(F.col("_t"))
+    ok = F.coalesce(~failed & vtype(F.col("body")).startswith("OBJECT") & py_truthy(F.col("body")) & py_truthy(F.col("_t")), F.lit(False))
     own = F.map_filter(F.col("body").try_cast("map<string,variant>"), lambda k, _: ~k.isin("source", "symbol"))
     added = F.create_map(F.lit("source"), F.lit("finnhub").cast("variant"), F.lit("symbol"), F.col("_t"))
     return p.select(F.lit("finnhub").cast("variant").alias("source"), F.when(ok, F.col("_t")).alias("symbol"),
                     "body", F.when(ok, F.to_json(F.map_concat(own, added))).alias("record"),
-                    F.when(ok, "upserted").otherwise("empty").alias("outcome"))
+                    F.when(failed, "failed").when(ok, "upserted").otherwise("empty").alias("outcome"))
 
 
-def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload"
-                   ) -> DataFrame:
-    """Maps an info payload to the profile record; drops empty payloads and
-    those with neither industry, sector nor name."""
+def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_col: str = "payload",
+                   error_col: str = "error") -> DataFrame:
+    """Maps an info payload to the profile record; ``outcome`` is upserted,
+    failed (an error, or no JSON), or empty: an empty payload, or one with
+    neither industry, sector nor name."""
     keys = {"name": ("longName", "shortName", "displayName"), "exchange": ("exchange", "fullExchangeName"),
             "country": ("country",), "industry": ("industry",), "sector": ("sector",),
             "currency": ("currency",), "weburl": ("website",)}
-    p = payloads.select(F.col(symbol_col).alias("_sym"), parse_payload(payload_col).alias("body"))
+    error = [F.col(error_col).alias("_error")] if error_col in payloads.columns else []
+    p = payloads.select(F.col(symbol_col).alias("_sym"), parse_payload(payload_col).alias("body"), *error)
+    failed = _call_failed(payloads, payload_col, error_col)
     raw = sorted({k for ks in keys.values() for k in ks} | {"marketCap"})
     p = _stage(p, **{f"_r_{k}": vfield(F.col("body"), k) for k in raw})
     p = _stage(p, **{f"_o_{n}": py_or(*[F.col(f"_r_{k}") for k in ks]) for n, ks in keys.items()})
@@ -337,7 +349,7 @@ def profiles_yahoo(payloads: DataFrame, *, symbol_col: str = "symbol", payload_c
     cols += [F.col(n).cast("variant").alias(n) for n in keys]
     cols += [clean_number(F.col("_r_marketCap"), CLEAN_TOKENS_PROFILE).cast("variant").alias("market_cap"),
              _null_variant().alias("logo")]
-    rec = p.select(*cols, "body", F.when(useful, "upserted").otherwise("empty").alias("outcome"))
+    rec = p.select(*cols, "body", F.when(failed, "failed").when(useful, "upserted").otherwise("empty").alias("outcome"))
     fields = ["source", "symbol", *keys, "market_cap", "logo"]
     return rec.withColumn("record", F.to_json(F.struct(*fields, F.col("body").alias("raw_json")),
                                               {"ignoreNullFields": "false"}))
@@ -467,13 +479,17 @@ def resolve_ranked_exact(requests: DataFrame, *, symbol_col: str = "symbol", pay
             .select(F.col("sym").alias("ipo_symbol"), F.when(F.col("_ok"), F.col("sym")).alias("resolved")))
 
 
-def history_check(candidates: DataFrame, prices: DataFrame, *, as_of: dt.date, lookback_days: int = 30,
-                  source: str = "yahoo", symbol_col: str = "resolved") -> DataFrame:
+def history_check(candidates: DataFrame, prices: DataFrame | None, *, as_of: dt.date, lookback_days: int = 30,
+                  source: str = "yahoo", symbol_col: str = "resolved", days: DataFrame | None = None) -> DataFrame:
     """I15: ``has_history`` = the vendor has a bar for the symbol in the last
-    ``lookback_days`` (set-based semi join, not one call per symbol)."""
-    recent = (price_date_range(prices, as_of - dt.timedelta(days=lookback_days), as_of)
-              .filter(F.col("source") == source)
-              .select(F.col("symbol").alias("_hs")).distinct().withColumn("has_history", F.lit(True)))
+    ``lookback_days`` (set-based semi join, not one call per symbol), from the
+    price table or, where given, from its ``days`` (``price_days``)."""
+    if days is not None:
+        symbols = with_history(days, source, as_of, lookback_days)
+    else:
+        symbols = (price_date_range(prices, as_of - dt.timedelta(days=lookback_days), as_of)
+                   .filter(F.col("source") == source).select("symbol").distinct())
+    recent = symbols.select(F.col("symbol").alias("_hs"), F.lit(True).alias("has_history"))
     out = candidates.join(recent, candidates[symbol_col] == recent["_hs"], "left").drop("_hs")
     return out.withColumn("has_history", F.coalesce(F.col("has_history"), F.lit(False)))
 
@@ -504,20 +520,8 @@ def yahoo_map_rows(requests: DataFrame, resolved: DataFrame, *, error_col: str =
                               F.lit(YAHOO_NOTES["no_match"])).otherwise(F.col("notes")).alias("notes"))
 
 
-def map_counts(rows: DataFrame) -> DataFrame:
-    return rows.agg(F.count(F.lit(1)).alias("attempted"), F.count_if("is_priceable").alias("priceable"),
-                    F.count_if(~F.col("is_priceable")).alias("not_priceable"))
-
-
-# ---- I17 run audit -------------------------------------------------------------
-def run_audit(counters: DataFrame, *, run_id: str, source: str, started_at: dt.datetime,
-              finished_at: dt.datetime | None, status: str = "success",
-              order: list[str] | None = None) -> DataFrame:
-    """One audit row per run: notes are the counters as 'k=v, ...' in the
-    given order (counters: a one-row DataFrame)."""
-    keys = order or counters.columns
-    notes = F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys])
-    return counters.select(F.lit(run_id).alias("run_id"), F.lit(source).alias("source"),
-                           ts_lit(started_at).alias("started_at"),
-                           ts_lit(finished_at).alias("finished_at"),
-                           F.lit(status).alias("status"), notes.alias("notes"))
+def map_counters() -> dict[str, Column]:
+    """I16: attempted / priceable / not_priceable of mapping rows, for an ``agg`` or an
+    ``observe`` on what is written."""
+    return {"attempted": F.count(F.lit(1)), "priceable": F.count_if("is_priceable"),
+            "not_priceable": F.count_if(~F.col("is_priceable"))}

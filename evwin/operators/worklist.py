@@ -100,6 +100,12 @@ def backfill_candidates(coverage: DataFrame, *, as_of: dt.date, recent_days: int
     return _limit(c, limit, "_rank", F.col("ipo_date").desc(), "ipo_symbol", "event_id").drop("_rank")
 
 
+def worst_first() -> Column:
+    """A backfill candidate's turn in the load: status, newest date, then symbol and event."""
+    rank = rank_by([(F.col("coverage_status") == s, i + 1) for i, s in enumerate(BACKFILL_STATUSES)])
+    return F.struct(rank.alias("r"), (-F.unix_date("ipo_date")).alias("d"), F.col("ipo_symbol").alias("s"), F.col("event_id").alias("e"))
+
+
 # W07
 def alternate_symbol(worklist: DataFrame, symbol_map: DataFrame, *, vendor: str = "alphavantage",
                      key: str = "ipo_symbol") -> DataFrame:
@@ -121,23 +127,26 @@ def high_water_marks(prices: DataFrame, source: str | None = None, not_before: d
     return p.groupBy("source", "symbol").agg(F.max("price_date").alias("hwm"))
 
 
-def load_windows(worklist: DataFrame, prices: DataFrame, *, source: str, as_of: dt.date,
+def load_windows(worklist: DataFrame, prices: DataFrame | None, *, source: str, as_of: dt.date,
                  window_days: int = 100, symbol_col: str = "vendor_symbol",
-                 incremental: bool = True, not_before: dt.date | None = None) -> DataFrame:
+                 incremental: bool = True, not_before: dt.date | None = None, marks: DataFrame | None = None) -> DataFrame:
     """Per listing: to = min(ipo_date + N, as_of); from = max(hwm + 1, ipo_date)
     with the high-water mark of (source, vendor symbol); status says why a
     window is empty.  The hwm is one grouped aggregate over the price table
     (partial aggregation before the shuffle) instead of one MAX per symbol.
     With ``not_before`` (at most the oldest ``ipo_date``) older bars are not
-    read, and a mark older than it shows as NULL."""
+    read, and a mark older than it shows as NULL.  ``marks`` (source, symbol,
+    hwm; ``price_days.high_water_marks``) take the place of the price table."""
     to = F.least(F.date_add("ipo_date", window_days), lit_date(as_of))
     w = worklist.withColumn("load_to", to)
     if incremental:
         # only the worklist's series matter: prune before the grouped aggregate
-        syms = worklist.select(F.col(symbol_col).alias("_wsym")).distinct()
-        p = prices if not_before is None else price_date_range(prices, lo=not_before)
-        p = p.join(syms, p["symbol"] == syms["_wsym"], "left_semi")
-        h = high_water_marks(p, source).select(F.col("symbol").alias("_hsym"), "hwm")
+        if marks is None:
+            syms = worklist.select(F.col(symbol_col).alias("_wsym")).distinct()
+            p = prices if not_before is None else price_date_range(prices, lo=not_before)
+            p = p.join(syms, p["symbol"] == syms["_wsym"], "left_semi")
+            marks = high_water_marks(p, source)
+        h = marks.filter(F.col("source") == source).select(F.col("symbol").alias("_hsym"), "hwm")
         w = w.join(h, w[symbol_col] == h["_hsym"], "left").drop("_hsym")
         frm = F.greatest(F.date_add("hwm", 1), F.col("ipo_date"))  # greatest skips NULL
     else:
@@ -174,10 +183,10 @@ def newest_first() -> Column:
                     F.col("vendor_symbol").alias("v"))
 
 
-def fallback_windows(worklist: DataFrame, prices: DataFrame, symbol_map: DataFrame, *, as_of: dt.date,
+def fallback_windows(worklist: DataFrame, prices: DataFrame | None, symbol_map: DataFrame, *, as_of: dt.date,
                      window_days: int = 100, primary: str = "yahoo", secondary: str = "alphavantage",
                      turn: Column | None = None, failures: DataFrame | None = None,
-                     not_before: dt.date | None = None) -> tuple[DataFrame, DataFrame]:
+                     not_before: dt.date | None = None, marks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Load windows of the primary vendor (worklist's vendor_symbol) and of
     the secondary vendor (its priceable mapping of the same listing), one row
     per (ipo_symbol, vendor_symbol, ipo_date) of the worklist.  ``turn`` orders
@@ -190,7 +199,7 @@ def fallback_windows(worklist: DataFrame, prices: DataFrame, symbol_map: DataFra
            .filter(F.col("alt_symbol") != "").withColumnRenamed("alt_symbol", "vendor_symbol"))
     out = []
     for df, source in ((wl, primary), (alt, secondary)):
-        w = load_windows(df, prices, source=source, as_of=as_of, window_days=window_days, not_before=not_before)
+        w = load_windows(df, prices, source=source, as_of=as_of, window_days=window_days, not_before=not_before, marks=marks)
         if failures is not None:
             bad = (failures.filter(F.col("source") == source).select(F.col("symbol").alias("_bad")).distinct())
             due = (F.col("load_status") == "load") & F.col("_bad").isNotNull()
@@ -201,8 +210,9 @@ def fallback_windows(worklist: DataFrame, prices: DataFrame, symbol_map: DataFra
 
 
 def _loads(windows: DataFrame, staged: DataFrame, source: str, bucket_days: int) -> DataFrame:
-    """The bars each listing of one vendor loads when listings take turns and
-    every turn starts after what earlier turns loaded of the same series.
+    """(turn, bars): what each listing of one vendor loads when listings take turns
+    and every turn starts after what earlier turns loaded of the same series;
+    listings that load nothing have no row.
 
     With m = the newest staged bar of a listing's own window, a series' mark
     before a turn is the largest m of the earlier turns, and the turn loads the
@@ -210,65 +220,71 @@ def _loads(windows: DataFrame, staged: DataFrame, source: str, bucket_days: int)
     m, so only the first of them can load: a series is reduced to its different
     windows (no more than listing dates) before bars are joined or ordered."""
     classes = (windows.filter(F.col("load_status") == "load")
-               .groupBy("vendor_symbol", "load_from", "load_to")
-               .agg(F.min_by(F.struct(*LISTING, "turn"), "turn").alias("first")))
+               .groupBy("vendor_symbol", "load_from", "load_to").agg(F.min("turn").alias("turn")))
     bars = interval_join(classes, staged.filter(F.col("source") == source),
                          keys=[("vendor_symbol", "symbol")], start="load_from", end="load_to",
                          series_date="price_date", bucket_days=bucket_days)
     # one row a window; its bars are bounded by the window's days
-    held = bars.groupBy("vendor_symbol", "load_from", "load_to").agg(
-        F.first("first").alias("first"), F.max("price_date").alias("m"),
-        F.collect_list(F.struct(*BAR)).alias("bars"))
-    earlier = (Window.partitionBy("vendor_symbol").orderBy("first.turn")
-               .rowsBetween(Window.unboundedPreceding, -1))
+    held = bars.groupBy("vendor_symbol", "turn").agg(
+        F.max("price_date").alias("m"), F.collect_list(F.struct(F.col("source"), F.col("symbol"), *BAR)).alias("bars"))
+    earlier = Window.partitionBy("vendor_symbol").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
     new = F.filter("bars", lambda b: F.col("mark").isNull() | (b["price_date"] > F.col("mark")))
-    return (held.withColumn("mark", F.max("m").over(earlier))
-            .select("first.*", F.lit(source).alias("source"), F.col("vendor_symbol").alias("symbol"),
-                    F.inline(new)))
-
-
-def primary_with_fallback(primary_windows: DataFrame, secondary_windows: DataFrame, staged: DataFrame,
-                          *, use_fallback: bool = False, primary: str = "yahoo",
-                          secondary: str = "alphavantage", bucket_days: int = 32) -> DataFrame:
-    """Bars to load per listing, each price key once: the primary vendor's new
-    bars; the secondary vendor's only for listings whose primary window was
-    tried and loaded nothing (flag, default off as in the reference).  What a
-    listing finds already loaded by an earlier turn counts as loaded."""
+    return (held.withColumn("mark", F.max("m").over(earlier)).select("turn", new.alias("bars"))
+            .filter(F.size("bars") > 0))
+
+
+def turn_outcomes(primary_windows: DataFrame, secondary_windows: DataFrame | None, staged: DataFrame, *,
+                  use_fallback: bool = False, primary: str = "yahoo", secondary: str = "alphavantage",
+                  bucket_days: int = 32) -> DataFrame:
+    """One row a listing of the load: what it was (``LISTING``, turn), how it went
+    (``load_status``; ``alt_status`` where the secondary vendor was asked, else
+    NULL) and the bars it loads, each price key once.  The secondary vendor's
+    bars come only for listings whose primary window was tried and loaded
+    nothing (flag, default off as in the reference); what a listing finds
+    already loaded by an earlier turn counts as loaded."""
     prim = _loads(primary_windows, staged, primary, bucket_days)
+    # bars of different listings never share a row, so the joins move each bar once
+    out = primary_windows.select(*LISTING, "turn", "load_status").join(prim.withColumnRenamed("bars", "_prim"), "turn", "left")
     if not use_fallback:
-        return prim
-    got = prim.select(F.col("turn").alias("_got")).distinct()
-    sw = secondary_windows.join(got, secondary_windows["turn"] == got["_got"], "left_anti")
-    return prim.unionByName(_loads(sw, staged, secondary, bucket_days))
+        return out.select(*LISTING, "turn", "load_status", F.lit(None).cast("string").alias("alt_status"),
+                          F.coalesce("_prim", F.array().cast(dict(out.dtypes)["_prim"])).alias("bars"))
+    left = secondary_windows.join(prim.select("turn"), "turn", "left_anti")
+    second = _loads(left, staged, secondary, bucket_days)
+    out = (out.join(secondary_windows.select("turn", F.col("load_status").alias("_alt")), "turn", "left")
+           .join(second.withColumnRenamed("bars", "_second"), "turn", "left"))
+    asked = (F.col("load_status") != "not_listed_yet") & F.col("_prim").isNull()
+    return out.select(*LISTING, "turn", "load_status", F.when(asked, F.col("_alt")).alias("alt_status"),
+                      F.coalesce("_prim", "_second", F.array().cast(dict(out.dtypes)["_prim"])).alias("bars"))
+
+
+# W10
+def loaded_bars(outcomes: DataFrame) -> DataFrame:
+    """The bars of a load, one row each, with the listing that loads them."""
+    return outcomes.select(*LISTING, "turn", F.inline("bars"))
+
+
+def primary_with_fallback(primary_windows: DataFrame, secondary_windows: DataFrame | None, staged: DataFrame, **options) -> DataFrame:
+    """Bars to load per listing (``turn_outcomes``)."""
+    return loaded_bars(turn_outcomes(primary_windows, secondary_windows, staged, **options))
 
 
 # W11
-def price_run_summary(primary_windows: DataFrame, loaded: DataFrame, *, secondary_windows: DataFrame | None = None,
-                      primary: str = "yahoo") -> DataFrame:
-    """attempted / rows / with_data / no_data / failed / yahoo_used /
-    alpha_used as a loop over the listings counts them, in one aggregate.
-    Listings not yet listed count as attempted and no_data; a vendor is "used"
-    where it was asked and did not fail, the secondary being asked for tried
-    listings with a secondary mapping that loaded nothing from the primary."""
-    per = loaded.groupBy(F.col("turn").alias("_k")).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.count_if(F.col("source") == primary).alias("_prim_rows"))
-    w = primary_windows.select("turn", "load_status").join(per, primary_windows["turn"] == per["_k"], "left")
-    if secondary_windows is not None:
-        sk = secondary_windows.select(F.col("turn").alias("_s"), F.col("load_status").alias("_alt"))
-        w = w.join(sk, w["turn"] == sk["_s"], "left")
-    else:
-        w = w.withColumn("_alt", F.lit(None).cast("string"))
-    rows = F.coalesce(F.col("_rows"), F.lit(0))
-    tried = F.col("load_status") != "not_listed_yet"
-    failed = F.col("load_status") == "failed"
-    asked = tried & (F.coalesce(F.col("_prim_rows"), F.lit(0)) == 0) & F.col("_alt").isNotNull()
-    alt_failed = asked & (F.col("_alt") == "failed")
-    return w.agg(
-        F.count(F.lit(1)).alias("attempted"),
-        F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("rows"),
-        F.count_if(rows > 0).alias("with_data"),
-        F.count_if(rows == 0).alias("no_data"),
-        (F.count_if(failed) + F.count_if(alt_failed)).alias("failed"),
-        F.count_if(tried & ~failed).alias("yahoo_used"),
-        F.count_if(asked & ~alt_failed).alias("alpha_used"))
+def run_counters() -> dict[str, Column]:
+    """attempted / rows / with_data / no_data / failed / yahoo_used / alpha_used as a
+    loop over the listings counts them: aggregates over ``turn_outcomes``, for an
+    ``agg`` or an ``observe`` on what is written.  Listings not yet listed count
+    as attempted and no_data; a vendor is "used" where it was asked and did not
+    fail, the secondary being asked for tried listings with a secondary mapping
+    that loaded nothing from the primary."""
+    rows = F.size("bars")
+    tried, failed = F.col("load_status") != "not_listed_yet", F.col("load_status") == "failed"
+    alt, alt_failed = F.col("alt_status").isNotNull(), F.coalesce(F.col("alt_status") == "failed", F.lit(False))
+    return {"attempted": F.count(F.lit(1)), "rows": F.coalesce(F.sum(rows), F.lit(0)).cast("bigint"),
+            "with_data": F.count_if(rows > 0), "no_data": F.count_if(rows == 0),
+            "failed": F.count_if(failed) + F.count_if(alt_failed), "yahoo_used": F.count_if(tried & ~failed),
+            "alpha_used": F.count_if(alt & ~alt_failed)}
+
+
+def price_run_summary(outcomes: DataFrame) -> DataFrame:
+    """The counters of a load as one row."""
+    return outcomes.agg(*[c.alias(n) for n, c in run_counters().items()])

@@ -8,6 +8,7 @@ and timestamps as 'yyyy-MM-dd HH:mm:ss' strings."""
 from __future__ import annotations
 
 import datetime as dt
+import sys
 from collections.abc import Callable
 from functools import reduce
 
@@ -17,6 +18,7 @@ from pyspark.sql import types as T
 
 from evwin.config import DEFAULT_PARAMS, RETURN_FILTER_RANGE
 from evwin.functions.exprs import price_date_range
+from evwin.operators.price_days import high_water_marks
 from evwin.plans import models as M
 from evwin.plans import oracle as O
 from evwin.sources.payloads import failed_series
@@ -64,7 +66,7 @@ def graph(spark: SparkSession, sf_dir: str) -> M.ModelGraph:
         # every mart: written once, as SURVEY §4 plans; the price-side work
         # (precedence, window join, aggregation) stays in each query.
         raw = stored_raw_tables(spark, sf_dir, DEFAULT_PARAMS.as_of, root)
-        _GRAPHS[key] = M.ModelGraph(raw, DEFAULT_PARAMS, materialize=("listings",))
+        _GRAPHS[key] = M.ModelGraph(raw, DEFAULT_PARAMS, materialize=("listings", "price_days"))
     return _GRAPHS[key]
 
 
@@ -286,6 +288,11 @@ def _existing(g):
     return price_date_range(_raw(g).daily_prices, hi=O.LOAD_CUTOFF)
 
 
+def _marks(g):
+    """What the store holds up to the cutoff, from the days table: no price file is read."""
+    return high_water_marks(g.price_days, lo=_LOAD_LO, hi=O.LOAD_CUTOFF)
+
+
 def _staged(g):
     return price_date_range(_raw(g).daily_prices, lo=_LOAD_LO, hi=_P.as_of)
 
@@ -300,8 +307,8 @@ _LW_COLS = "ipo_symbol, vendor_symbol, ipo_date, load_to, hwm, load_from, load_s
 
 @register("load_windows", f"SELECT {_LW_COLS} FROM w_load_all")
 def _w08(g):
-    return W.load_windows(_yahoo_pairs_all(g), _existing(g), source="yahoo", as_of=_P.as_of,
-                          window_days=_P.long_window, not_before=_LOAD_LO)
+    return W.load_windows(_yahoo_pairs_all(g), None, source="yahoo", as_of=_P.as_of,
+                          window_days=_P.long_window, marks=_marks(g))
 
 
 @register("incremental_prices", f"""SELECT s.source, s.symbol, s.price_date, {dbl('s.open')}, {dbl('s.high')},
@@ -313,18 +320,17 @@ def _w09(g):
         "source", "symbol", "price_date", "open", "high", "low", "close", "volume")
 
 
-def _fallback_parts(g):
+def _outcomes(g):
     r = _raw(g)
-    pw, sw = W.fallback_windows(_yahoo_pairs_all(g), _existing(g), r.symbol_map, as_of=_P.as_of,
-                                window_days=_P.long_window, not_before=_LOAD_LO,
-                                failures=failed_series(r.symbol_map))
-    return pw, sw, W.primary_with_fallback(pw, sw, _staged(g), use_fallback=True)
+    pw, sw = W.fallback_windows(_yahoo_pairs_all(g), None, r.symbol_map, as_of=_P.as_of, window_days=_P.long_window,
+                                marks=_marks(g), failures=failed_series(r.symbol_map))
+    return W.turn_outcomes(pw, sw, _staged(g), use_fallback=True)
 
 
 @register("primary_with_fallback", f"""SELECT ipo_symbol, listing_symbol, ipo_date, source, symbol, price_date,
   {dbl('open')}, {dbl('high')}, {dbl('low')}, {dbl('close')}, volume FROM w_loaded""")
 def _w10(g):
-    return _fallback_parts(g)[2].drop("turn")
+    return W.loaded_bars(_outcomes(g)).drop("turn")
 
 
 _W11_SQL = """SELECT count(*) AS attempted, CAST(coalesce(sum(n), 0) AS BIGINT) AS rows,
@@ -336,8 +342,7 @@ FROM w_turns"""
 
 @register("price_run_summary", _W11_SQL)
 def _w11(g):
-    pw, sw, loaded = _fallback_parts(g)
-    return W.price_run_summary(pw, loaded, secondary_windows=sw)
+    return W.price_run_summary(_outcomes(g))
 
 
 # ---------------------------------------------------------------- serving ---
@@ -643,7 +648,7 @@ def _q03(g):
 
 
 _RAW_SRC = {"ipo_events": "raw_events", "daily_prices": "raw_prices", "symbol_map": "raw_map",
-            "company_profiles": "raw_profiles", "ingestion_runs": "(SELECT 'backfill-2001-06-30' AS run_id)"}
+            "company_profiles": "raw_profiles", "ingestion_runs": "(SELECT run_id FROM (VALUES ('main'), ('backfill'), ('lost')) v(run_id))"}
 
 
 def _keys_sql() -> str:
@@ -666,7 +671,7 @@ def _q04(g):
                          "daily_prices": (r.daily_prices, KEYS["daily_prices"]),
                          "symbol_map": (r.symbol_map, KEYS["symbol_map"]),
                          "company_profiles": (r.company_profiles, KEYS["company_profiles"]),
-                         "ingestion_runs": (_i17(g), KEYS["ingestion_runs"])})
+                         "ingestion_runs": (_run_table(g), KEYS["ingestion_runs"])}, days=g.price_days)
 
 
 @register("dq_key_violations", """SELECT 'ipo_events' AS model, ipo_symbol AS key, count(*) AS copies FROM (
@@ -686,9 +691,11 @@ def _q04b(g):
 import datetime as _dt  # noqa: E402
 
 from evwin.operators import ingest as I  # noqa: E402
-from evwin.operators.upsert import upsert, upsert_within  # noqa: E402
-from evwin.session import materialize  # noqa: E402
+from evwin.operators.upsert import upsert  # noqa: E402
+from evwin.plans import load_run as R  # noqa: E402
+from evwin.sources import landing as L  # noqa: E402
 from evwin.sources import payloads as PL  # noqa: E402
+from evwin.sources.raw import code_version, publish  # noqa: E402
 
 _BT = PL.BATCH_TS
 _BT_SQL = f"'{_BT:%Y-%m-%d %H:%M:%S}'"
@@ -700,8 +707,23 @@ _CAL_SRC = f"(SELECT * FROM raw_events WHERE ipo_date BETWEEN {O._d(_CAL_LO)} AN
 _OTC_OLD, _OTC_NEW = PL.REPLAY_EXCHANGE
 
 
+def _published(g, name, write):
+    """A folder beside the store, written once by the code that is there."""
+    code = code_version(sys.modules[__name__], PL, I, L, R, W)
+    return publish(g.spark, f"{g.raw.root}/{name}-{code}", write)
+
+
+def _landing(g):
+    return g._get("landing", lambda: _published(g, "landing", lambda folder: PL.land_all(_raw(g), folder, _P.as_of)))
+
+
+def _feed(g, feed, per_line=True):
+    """What has landed in a feed, read from its files."""
+    return g._get(f"feed:{feed}", lambda: L.take(g.spark, _landing(g), feed, f"{_landing(g)}-record", per_line=per_line, run_id="query").rows)
+
+
 def _cal_rows(g):
-    return I.calendar_parse(PL.calendar_payloads(_raw(g).ipo_events, as_of=_P.as_of))
+    return I.calendar_parse(_feed(g, "calendar", per_line=False), seq_col="seq")
 
 
 @register("calendar_parse", f"""SELECT CAST(ipo_date AS VARCHAR) AS date, company_name AS name, symbol, exchange,
@@ -762,8 +784,7 @@ _FLAT_SQL = (f"SELECT {_OHLCV_SQL} FROM raw_prices WHERE source = 'alphavantage'
 
 
 def _flat(g):
-    pl = PL.series_payloads(_raw(g).daily_prices).select(
-        "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
+    pl = _feed(g, "series").select("symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
     return I.daily_series_flatten(pl)
 
 
@@ -775,8 +796,7 @@ def _i05(g):
 @register("series_faults", """SELECT s.symbol, r.reason FROM (SELECT DISTINCT symbol FROM raw_prices WHERE source = 'alphavantage') s
 CROSS JOIN (VALUES ('unreadable payload'), ('bad date'), ('bad number')) r(reason)""")
 def _i05b(g):
-    pl = PL.faulty_series(_raw(g).daily_prices).select(
-        "symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
+    pl = _feed(g, "series").filter("error is null").select("symbol", "payload", F.lit(_CAL_LO).alias("date_from"), F.lit(_P.as_of).alias("date_to"))
     return I.series_faults(pl).select("symbol", "reason")
 
 
@@ -792,22 +812,21 @@ def _i06(g):
 UNION ALL SELECT s, n FROM (SELECT count(DISTINCT symbol) AS n FROM raw_prices WHERE source = 'alphavantage')
   CROSS JOIN (VALUES ('rate_limited'), ('error'), ('info'), ('unexpected')) v(s)""")
 def _i07(g):
-    t = I.payload_triage(PL.triage_payloads(_raw(g).daily_prices))
+    t = I.payload_triage(_feed(g, "triage"))
     return t.groupBy("status").agg(F.count(F.lit(1)).alias("payloads"))
 
 
 def _fh_records(g):
-    r = _raw(g)
-    return I.profiles_finnhub(PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map))
+    return I.profiles_finnhub(_feed(g, "finnhub_profile"))
 
 
 def _yh_records(g):
-    return I.profiles_yahoo(PL.yahoo_profile_payloads(_raw(g).company_profiles))
+    return I.profiles_yahoo(_feed(g, "yahoo_profile"))
 
 
-@register("profiles_finnhub", """SELECT 'upserted' AS outcome, count(*) AS payloads FROM raw_profiles WHERE source = 'finnhub'
-UNION ALL SELECT 'empty', count(*) FROM (SELECT DISTINCT ipo_symbol FROM raw_map
-  WHERE ipo_symbol NOT IN (SELECT symbol FROM raw_profiles WHERE source = 'finnhub'))""")
+@register("profiles_finnhub", f"""SELECT 'upserted' AS outcome, count(*) AS payloads FROM raw_profiles WHERE source = 'finnhub'
+UNION ALL SELECT CASE WHEN ipo_symbol LIKE '%{PL.FAILED_SUFFIX}' THEN 'failed' ELSE 'empty' END, count(*) FROM (SELECT DISTINCT ipo_symbol FROM raw_map
+  WHERE ipo_symbol NOT IN (SELECT symbol FROM raw_profiles WHERE source = 'finnhub')) GROUP BY 1""")
 def _i08(g):
     return _fh_records(g).groupBy("outcome").agg(F.count(F.lit(1)).alias("payloads"))
 
@@ -846,7 +865,7 @@ def _i10(g):
 
 
 def _alpha_resolved(g):
-    return I.resolve_first_or_exact(PL.alpha_search_payloads(_raw(g).symbol_map))
+    return I.resolve_first_or_exact(_feed(g, "alpha_search"))
 
 
 _ALPHA_SQL = f"""SELECT ipo_symbol,
@@ -888,10 +907,11 @@ WHERE price_date <= {O._d(O.LOAD_CUTOFF)} AND (source, symbol, price_date) NOT I
 UNION ALL SELECT {_OHLCV_SQL}, {_RAW_ROW_SQL}, {_BT_SQL} FROM raw_prices WHERE source = 'alphavantage'
   AND price_date BETWEEN {O._d(_CAL_LO)} AND {O._d(_P.as_of)}""")
 def _i12(g):
-    # the conformed batch is written once: payloads are parsed once, not per use
-    batch = materialize(I.price_rows(_flat(g), batch_ts=_BT), "price-batch")
-    return upsert_within(_existing(g), batch, ["source", "symbol", "price_date"], "price_date",
-                         _CAL_LO, _P.as_of).select(*_PX_OUT, "raw_row", "ingested_at")
+    """A table of what was loaded before, merged with the landed series and read again.  The
+    table is there once a store; a merge commits a new state of it, the same each time."""
+    t = R.Tables(g.spark, _published(g, "prices-before", lambda folder: R.Tables(g.spark, folder).create("daily_prices", _existing(g).drop("price_month"))))
+    t.upsert("daily_prices", I.price_rows(_flat(g), batch_ts=_BT).drop("price_month"))
+    return t.read("daily_prices").select(*_PX_OUT, "raw_row", "ingested_at")
 
 
 _YREQ = "(SELECT DISTINCT vendor_symbol AS v FROM raw_map WHERE vendor = 'yahoo')"
@@ -903,11 +923,11 @@ _HIST = f"""SELECT r.*, EXISTS (SELECT 1 FROM raw_prices p WHERE p.source = 'yah
 
 
 def _yreq(g):
-    return PL.yahoo_search_requests(_raw(g).symbol_map)
+    return _feed(g, "vendor_search")
 
 
 def _yhist(g):
-    return I.history_check(I.resolve_ranked_exact(_yreq(g)), _raw(g).daily_prices, as_of=_P.as_of)
+    return I.history_check(I.resolve_ranked_exact(_yreq(g)), None, as_of=_P.as_of, days=g.price_days)
 
 
 @register("resolve_ranked_exact", _RESOLVED)
@@ -929,17 +949,135 @@ def _i16(g):
     return I.yahoo_map_rows(_yreq(g), _yhist(g))
 
 
-_AUDIT_KEYS = ["attempted", "rows", "with_data", "no_data", "failed", "yahoo_used", "alpha_used"]
+# The store before the two runs, and what they leave.  I17: a row a run, with the run's
+# own counters; Q04 checks the same table.
+_RUN_END = _BT + _dt.timedelta(minutes=5)
+_MAIN_ID, _BACK_ID, _LOST_ID = (f"{k}-{_P.as_of}" for k in ("main", "backfill", "lost"))
 
 
-@register("run_audit", "SELECT 'backfill-2001-06-30' AS run_id, 'ipo_price_backfill' AS source, "
-          f"{_BT_SQL} AS started_at, '2001-06-30 09:05:00' AS finished_at, 'success' AS status, "
-          + "concat_ws(', ', " + ", ".join(f"'{k}=' || CAST({k} AS VARCHAR)" for k in _AUDIT_KEYS)
-          + ") AS notes FROM (" + _W11_SQL + ")")
+def _seed(g, t):
+    r = _raw(g)
+    known = F.when(F.col("vendor") == "yahoo", ~PL.is_new("ipo_symbol", PL.NEW_YAHOO)).otherwise(~PL.is_new("ipo_symbol", PL.NEW_ALPHA))
+    t.create("ipo_events", r.ipo_events.filter(F.col("ipo_date") < F.lit(_EVENT_CUT)))
+    t.create("company_profiles", r.company_profiles.filter(~PL.is_new("symbol", PL.NEW_PROFILE)))
+    t.create("symbol_map", r.symbol_map.filter(known))
+    t.create("daily_prices", _existing(g).drop("price_month"))
+
+
+def _runs(g):
+    """The folder of the runs: ``main`` and ``backfill`` hold each run's tables, ``main``
+    the run table of all three."""
+    def write(folder):
+        main = R.Tables(g.spark, f"{folder}/main")
+        back, lost = (R.Tables(g.spark, f"{folder}/{n}", runs=main.root) for n in ("backfill", "lost"))
+        for t in (main, back):
+            _seed(g, t)
+        options = lambda: dict(p=_P, use_fallback=True, clock=iter((_BT, _BT, _RUN_END)).__next__)
+        R.load_run(main, _landing(g), _MAIN_ID, **options())
+        R.backfill_run(back, _landing(g), _BACK_ID, g.mart("coverage"), **options())
+        try:
+            R.load_run(lost, f"{folder}/nothing-landed", _LOST_ID, **options())
+        except R.MissingFeed:
+            pass   # as a scheduler would see it; the run table has the row
+    return g._get("runs", lambda: _published(g, "runs", write))
+
+
+def _run_table(g):
+    return R.Tables(g.spark, f"{_runs(g)}/main").read("ingestion_runs")
+
+
+def _letters(c, letters):
+    return f"substr({c}, 4, 1) BETWEEN '{letters[0]}' AND '{letters[1]}'"
+
+
+_RUN_EVENTS = FINAL_SQL["upsert_events"]
+_RUN_STATE = f"""
+run_events AS MATERIALIZED ({_RUN_EVENTS}),
+run_map0 AS (SELECT * FROM raw_map WHERE NOT (CASE vendor WHEN 'yahoo' THEN {_letters('ipo_symbol', PL.NEW_YAHOO)} ELSE {_letters('ipo_symbol', PL.NEW_ALPHA)} END)),
+run_profiles0 AS (SELECT source, symbol, industry, sector FROM raw_profiles WHERE NOT {_letters('symbol', PL.NEW_PROFILE)}),
+run_recent AS (SELECT DISTINCT upper(symbol) AS symbol FROM run_events
+  WHERE symbol IS NOT NULL AND symbol <> '' AND {O._EQ.format(s='symbol')} AND ipo_date >= {_RECENT_SQL}),
+run_fh AS (SELECT symbol, nullif(trim(industry), '') AS industry, nullif(trim(sector), '') AS sector FROM raw_profiles
+  WHERE source = 'finnhub' AND symbol IN (SELECT s.symbol FROM run_recent s LEFT JOIN
+    (SELECT symbol, max(nullif(industry, '')) AS i, max(nullif(sector, '')) AS c FROM run_profiles0 GROUP BY symbol) p ON p.symbol = s.symbol
+    WHERE p.i IS NULL AND p.c IS NULL)),
+run_profiles1 AS (SELECT * FROM run_profiles0 WHERE source <> 'finnhub' OR symbol NOT IN (SELECT symbol FROM run_fh)
+  UNION ALL SELECT 'finnhub', * FROM run_fh),
+run_yh AS (SELECT symbol FROM raw_profiles WHERE source = 'yahoo' AND symbol IN (SELECT s.symbol FROM run_recent s LEFT JOIN
+    (SELECT symbol, max(nullif(industry, '')) AS i, max(nullif(sector, '')) AS c FROM run_profiles1 GROUP BY symbol) p ON p.symbol = s.symbol
+    WHERE p.i IS NULL AND p.c IS NULL)),
+run_alpha AS (SELECT * FROM ({_ALPHA_SQL}) WHERE ipo_symbol IN (SELECT symbol FROM run_recent)
+  AND ipo_symbol NOT IN (SELECT ipo_symbol FROM run_map0 WHERE vendor = 'alphavantage')),
+run_yahoo AS (SELECT DISTINCT ipo_symbol, EXISTS (SELECT 1 FROM raw_prices p WHERE p.source = 'yahoo' AND p.symbol = m.ipo_symbol
+    AND p.price_date BETWEEN {O._d(_P.as_of - _dt.timedelta(days=30))} AND {O._d(_P.as_of)}) AND ipo_symbol NOT LIKE '%{PL.FAILED_SUFFIX}' AND ipo_symbol NOT LIKE '%Z' AS is_priceable
+  FROM raw_map m WHERE vendor = 'yahoo' AND ipo_symbol IN (SELECT symbol FROM run_recent)
+  AND ipo_symbol NOT IN (SELECT ipo_symbol FROM run_map0 WHERE vendor = 'yahoo')),
+run_map AS (SELECT vendor, ipo_symbol, vendor_symbol, is_priceable FROM run_map0
+  UNION ALL SELECT 'alphavantage', ipo_symbol, vendor_symbol, is_priceable FROM run_alpha
+  UNION ALL SELECT 'yahoo', ipo_symbol, ipo_symbol, is_priceable FROM run_yahoo)"""
+_BACK_TURNS = f"""SELECT ipo_symbol, price_symbol AS vendor_symbol, ipo_date, row_number() OVER (ORDER BY CASE coverage_status
+  WHEN 'mapped_but_no_prices' THEN 1 WHEN 'very_low_coverage' THEN 2 ELSE 3 END, ipo_date DESC, ipo_symbol, event_id) AS pos FROM ({_BACKFILL_SQL})"""
+
+
+def _loop_sql(turns: str, map_name: str, final: str) -> str:
+    return f"(WITH RECURSIVE {O.load_ctes(_P, turns).strip().replace('raw_map', map_name)} {final})"
+
+
+_MAIN_TURNS = f"""SELECT ipo_symbol, vendor_symbol, ipo_date, row_number() OVER (ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol) AS pos FROM (
+  SELECT DISTINCT upper(e.symbol) AS ipo_symbol, m.vendor_symbol, e.ipo_date FROM run_events e JOIN run_map m ON m.vendor = 'yahoo' AND m.ipo_symbol = upper(e.symbol)
+  WHERE m.is_priceable AND m.vendor_symbol IS NOT NULL AND e.ipo_date IS NOT NULL AND e.ipo_date <= {O._d(_P.as_of)}
+    AND {O._EQ.format(s='e.symbol')} AND e.ipo_date >= {_RECENT_SQL})"""
+_MAP_COUNTS = "count(*) AS attempted, count(*) FILTER (WHERE is_priceable) AS priceable, count(*) FILTER (WHERE NOT is_priceable) AS not_priceable"
+_RUN_ROWS = f"""SELECT '{_MAIN_ID}' AS run_id, '{R.MAIN_RUN}' AS source, 'success' AS status, 'ipos=' || (SELECT count(*) FROM ({FINAL_SQL["calendar_parse"]}))
+    || ', fh_profiles=' || (SELECT count(*) FROM run_fh) || ', yh_profiles=' || (SELECT count(*) FROM run_yh)
+    || ', alpha_map_attempted=' || a.attempted || ', alpha_map_priceable=' || a.priceable || ', alpha_map_not_priceable=' || a.not_priceable
+    || ', yahoo_map_attempted=' || y.attempted || ', yahoo_map_priceable=' || y.priceable || ', yahoo_map_not_priceable=' || y.not_priceable
+    || ', prices_tickers=' || l.attempted || ', prices_rows=' || l.rows || ', with_data=' || l.with_data || ', no_data=' || l.no_data
+    || ', failed=' || l.failed || ', yahoo_used=' || l.yahoo_used || ', alpha_used=' || l.alpha_used AS notes
+  FROM (SELECT {_MAP_COUNTS} FROM run_alpha) a, (SELECT {_MAP_COUNTS} FROM run_yahoo) y, {_loop_sql(_MAIN_TURNS, "run_map", _W11_SQL)} l
+UNION ALL SELECT '{_BACK_ID}', '{R.BACKFILL_RUN}', 'success', 'attempted=' || attempted || ', rows=' || rows || ', with_data=' || with_data || ', no_data=' || no_data
+    || ', failed=' || failed || ', yahoo_used=' || yahoo_used || ', alpha_used=' || alpha_used FROM {_loop_sql(_BACK_TURNS, "run_map0", _W11_SQL)}
+UNION ALL SELECT '{_LOST_ID}', '{R.MAIN_RUN}', 'failed', 'feed ''calendar'' has not landed'"""
+
+
+def _run_ctes(final: str) -> str:
+    """``final`` after the state that the runs work on; its own CTEs come first."""
+    return f"SELECT * FROM (WITH {_RUN_STATE.strip()}\n{final})"
+
+
+@register("run_audit", _run_ctes(f"""SELECT run_id, source, {_BT_SQL} AS started_at, '{_RUN_END:%Y-%m-%d %H:%M:%S}' AS finished_at, status, notes FROM ({_RUN_ROWS})"""))
 def _i17(g):
-    counters = _w11(g)
-    return I.run_audit(counters, run_id="backfill-2001-06-30", source="ipo_price_backfill", started_at=_BT,
-                       finished_at=_BT + _dt.timedelta(minutes=5), order=_AUDIT_KEYS)
+    return _run_table(g)
+
+
+def _after_sql(turns, map_name):
+    return f"""SELECT {_OHLCV_SQL} FROM raw_prices WHERE price_date <= {O._d(O.LOAD_CUTOFF)}
+UNION SELECT * FROM {_loop_sql(turns, map_name, f"SELECT DISTINCT {_OHLCV_SQL} FROM w_loaded")}"""
+
+
+@register("load_run_prices", _run_ctes(_after_sql(_MAIN_TURNS, "run_map")))
+def _i12b(g):
+    """The price table as the load run leaves it."""
+    return R.Tables(g.spark, f"{_runs(g)}/main").read("daily_prices").select(*_PX_OUT)
+
+
+@register("backfill_run_prices", _run_ctes(_after_sql(_BACK_TURNS, "run_map0")))
+def _i12c(g):
+    return R.Tables(g.spark, f"{_runs(g)}/backfill").read("daily_prices").select(*_PX_OUT)
+
+
+@register("load_run_symbol_map", _run_ctes("SELECT * FROM run_map"))
+def _i11b(g):
+    """The symbol map as the load run leaves it."""
+    return R.Tables(g.spark, f"{_runs(g)}/main").read("symbol_map").select("vendor", "ipo_symbol", "vendor_symbol", "is_priceable")
+
+
+@register("map_counters", f"""SELECT 'alphavantage' AS vendor, {_MAP_COUNTS} FROM ({_ALPHA_SQL})
+UNION ALL SELECT 'yahoo', {_MAP_COUNTS} FROM ({FINAL_SQL["symbol_map_rows"]})""")
+def _i16b(g):
+    rows = {"alphavantage": _alpha_resolved(g), "yahoo": I.yahoo_map_rows(_yreq(g), _yhist(g))}
+    return reduce(DataFrame.unionByName, [df.agg(*[c.alias(n) for n, c in I.map_counters().items()]).select(F.lit(v).alias("vendor"), "*")
+                                          for v, df in rows.items()])
 
 
 @register("profile_source_default", """SELECT source, symbol, name, industry, sector FROM raw_profiles""")
@@ -967,7 +1105,7 @@ WHERE p.symbol IS NULL OR (p.ia IS NULL AND p.sa IS NULL)
 def _w02b(g):
     r = _raw(g)
     first = _w02(g)
-    pl = PL.finnhub_profile_payloads(r.company_profiles, r.symbol_map).join(first, "symbol", "left_semi")
+    pl = _feed(g, "finnhub_profile").join(first, "symbol", "left_semi")
     rec = I.profiles_finnhub(pl).filter("outcome = 'upserted'")
     profiles2 = upsert(r.company_profiles, I.profiles_conform(rec, r.company_profiles.columns, _BT),
                        ["source", "symbol"])

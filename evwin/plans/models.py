@@ -13,7 +13,9 @@ from evwin.functions.exprs import (coverage_class_long, coverage_class_short, di
                                    guarded_ratio, is_us_listing, label_or, letters_shape, lit_date, price_date_range,
                                    pct_return_2dp, rank_by, round_avg)
 from evwin.operators.precedence import top1
+from evwin.operators.price_days import days_of
 from evwin.operators.window_join import window_join
+from evwin.sources.raw import code_version, publish, with_month
 
 # --- fixed values ------------------------------------------------------------
 VENDOR_RANK = ("alphavantage", "yahoo")          # symbol map, priceable first
@@ -338,9 +340,8 @@ class ModelGraph:
             return materialize(df, name)
         import sys
         from evwin.functions import exprs
-        from evwin.operators import precedence, window_join
-        from evwin.sources.raw import code_version, publish
-        code = code_version(sys.modules[__name__], precedence, window_join, exprs)
+        from evwin.operators import precedence, price_days, window_join
+        code = code_version(sys.modules[__name__], precedence, price_days, window_join, exprs)
         key = hashlib.sha1(repr((name, code, self.p.as_of, self.p.model_recent_days, self.p.long_window,
                                  self.p.short_window, self.p.long_limits, self.p.short_limits,
                                  self.p.bucket_days)).encode()).hexdigest()[:12]
@@ -354,6 +355,12 @@ class ModelGraph:
             r.ipo_events, r.symbol_map, r.company_profiles,
             as_of=p.as_of, recent_days=p.model_recent_days))
 
+    @property
+    def price_days(self):
+        """Which days each series has (``operators.price_days``)."""
+        p = self.raw.daily_prices
+        return self._get("price_days", lambda: days_of(p if "price_month" in p.columns else with_month(p)))
+
     @property
     def window_long(self):
         p = self.p

@@ -279,9 +279,13 @@ w_hwm AS (SELECT source, symbol, max(price_date) AS hwm FROM w_existing WHERE pr
         windows("w_load_all", "yahoo", "w_pairs_yahoo")
 
 
-def load_ctes(p: Params = DEFAULT_PARAMS) -> str:
+MAIN_TURNS = "SELECT ipo_symbol, vendor_symbol, ipo_date, row_number() OVER (ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol) AS pos FROM w_pairs_yahoo"
+
+
+def load_ctes(p: Params = DEFAULT_PARAMS, turns: str = MAIN_TURNS) -> str:
     """The price load as a loop, one listing of a series after the other: each
-    turn reads the mark the turn before left and moves it to its newest bar."""
+    turn reads the mark the turn before left and moves it to its newest bar.
+    ``turns``: ipo_symbol, vendor_symbol, ipo_date and pos of the listings."""
     a = p.as_of
     lo = a - dt.timedelta(days=p.worklist_recent_days)
 
@@ -312,9 +316,8 @@ w_staged AS MATERIALIZED (
   SELECT source, symbol, price_date, open, high, low, close, volume FROM raw_prices
   WHERE price_date BETWEEN {_d(lo)} AND {_d(a)}),
 w_pos AS (
-  SELECT ipo_symbol, vendor_symbol AS listing_symbol, ipo_date, least(ipo_date + {p.long_window}, {_d(a)}) AS load_to,
-         row_number() OVER (ORDER BY ipo_date DESC, ipo_symbol, vendor_symbol) AS pos
-  FROM w_pairs_yahoo),
+  SELECT ipo_symbol, vendor_symbol AS listing_symbol, ipo_date, least(ipo_date + {p.long_window}, {_d(a)}) AS load_to, pos
+  FROM ({turns})),
 w_y AS (
   SELECT *, listing_symbol AS vendor_symbol, listing_symbol LIKE '%{FAILED_SUFFIX}' AS down,
          row_number() OVER (PARTITION BY listing_symbol ORDER BY pos) AS n

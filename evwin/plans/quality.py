@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from evwin.operators.price_days import doubtful
+
 # --- fixed values: the tests the reference declares ---------------------------
 NOT_NULL_TESTS = {
     "listings_recent": [("event_id", "error"), ("ipo_date", "error"), ("ipo_symbol", "error"),
@@ -69,26 +71,45 @@ def verdict(checks: DataFrame) -> DataFrame:
         .alias("verdict"))
 
 
-def key_checks(tables: dict[str, tuple[DataFrame, tuple[str, ...]]]) -> DataFrame:
+def key_checks(tables: dict[str, tuple[DataFrame, tuple[str, ...]]], days: DataFrame | None = None) -> DataFrame:
     """Q04: NOT NULL and uniqueness of each raw table's (composite) key, both
     from one grouped aggregate per table (partial aggregation map-side; NULL
-    keys group together, as in SQL GROUP BY)."""
+    keys group together, as in SQL GROUP BY).  With ``days`` (``price_days``)
+    the key of ``daily_prices`` is checked without a shuffle of all its keys."""
     parts = []
     for name, (df, keys) in tables.items():
-        key_txt = ",".join(keys)
-        any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(any_null.alias("_null"), "_n")
-        agg = g.agg(F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).cast("bigint").alias("nn"),
-                    F.count_if(F.col("_n") > 1).cast("bigint").alias("uq"))
+        counts = _series_counts(df, days) if name == "daily_prices" and days is not None else _key_counts(df, keys)
         rows = F.explode(F.array(
             F.struct(F.lit("not_null").alias("test"), F.col("nn").alias("failures")),
             F.struct(F.lit("unique").alias("test"), F.col("uq").alias("failures"))))
-        parts.append(agg.select(rows.alias("r")).select(
-            F.lit(name).alias("model"), F.lit(key_txt).alias("column"), "r.test", "r.failures",
+        parts.append(counts.select(rows.alias("r")).select(
+            F.lit(name).alias("model"), F.lit(",".join(keys)).alias("column"), "r.test", "r.failures",
             F.lit("error").alias("severity")))
     return _status(reduce(DataFrame.unionByName, parts))
 
 
+def _key_counts(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    any_null = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    g = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).select(any_null.alias("_null"), "_n")
+    return g.agg(F.coalesce(F.sum(F.when(F.col("_null"), F.col("_n"))), F.lit(0)).cast("bigint").alias("nn"),
+                 F.count_if(F.col("_n") > 1).cast("bigint").alias("uq"))
+
+
+def _series_counts(prices: DataFrame, days: DataFrame) -> DataFrame:
+    """The same counts for (source, symbol, price_date): a series has a repeated
+    key in a month only where it has more dated rows than days.  Those months
+    alone (none, in a sound table) are read and grouped by key."""
+    null_key = F.col("source").isNull() | F.col("symbol").isNull()
+    known = days.agg(F.coalesce(F.sum(F.when(null_key, F.col("n_rows")).otherwise(F.col("undated"))), F.lit(0)).cast("bigint").alias("nn"),
+                     F.count_if(F.col("undated") > 1).alias("uq"))
+    d = doubtful(days).select(F.col("source").alias("_s"), F.col("symbol").alias("_y"), F.col("price_month").alias("_m"))
+    again = prices.join(d, (F.col("price_month") == F.col("_m")) & F.col("source").eqNullSafe(F.col("_s"))
+                        & F.col("symbol").eqNullSafe(F.col("_y")), "left_semi").filter(F.col("price_date").isNotNull())
+    dup = (again.groupBy("source", "symbol", "price_date").count()
+           .agg(F.lit(0).cast("bigint").alias("nn"), F.count_if(F.col("count") > 1).alias("uq")))
+    return known.unionByName(dup).agg(F.sum("nn").alias("nn"), F.sum("uq").alias("uq"))
+
+
 def key_violations(df: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """The violating key values themselves (duplicates with their counts)."""
     return df.groupBy(*keys).count().filter(F.col("count") > 1)

@@ -119,16 +119,18 @@ def bar_frames(prices: DataFrame, *, as_of: dt.date, lookback_days: int = 365,
 
 
 def finnhub_profile_payloads(profiles: DataFrame, symbol_map: DataFrame) -> DataFrame:
-    """(symbol, payload): a profile document per finnhub profile, and an
-    empty document for mapped symbols without one."""
+    """(symbol, payload, error): a profile document per finnhub profile, and for
+    mapped symbols without one an empty document or a failed call."""
     fh = profiles.filter(F.col("source") == "finnhub")
     doc = F.to_json(F.struct(F.col("symbol").alias("ticker"), "name", "exchange", "country", "ipo", "currency",
                              F.col("market_cap").alias("marketCapitalization"),
                              F.col("industry").alias("finnhubIndustry"), "weburl", "logo"))
     full = fh.select("symbol", doc.alias("payload"))
     missing = (symbol_map.select(F.col("ipo_symbol").alias("symbol")).distinct()
-               .join(fh.select("symbol"), "symbol", "left_anti").select("symbol", F.lit("{}").alias("payload")))
-    return full.unionByName(missing)
+               .join(fh.select("symbol"), "symbol", "left_anti"))
+    down = F.col("symbol").endswith(FAILED_SUFFIX)
+    missing = missing.select("symbol", F.when(~down, F.lit("{}")).alias("payload"), F.when(down, F.lit(ERROR_TEXT)).alias("error"))
+    return full.withColumn("error", F.lit(None).cast("string")).unionByName(missing)
 
 
 def yahoo_profile_payloads(profiles: DataFrame) -> DataFrame:
@@ -169,3 +171,47 @@ def yahoo_search_requests(symbol_map: DataFrame) -> DataFrame:
            .when(v.startswith("N"), F.to_json(F.struct(F.array(q(v, "LSE")).alias("quotes"))))
            .otherwise(F.to_json(F.struct(F.array(q(F.concat(v, F.lit("W")), "NMS"), q(v, "NYQ")).alias("quotes")))))
     return syms.select("symbol", doc.alias("payload"), F.when(err, F.lit(ERROR_TEXT)).alias("error"))
+
+
+def symbol_search_requests(symbol_map: DataFrame) -> DataFrame:
+    """(symbol, payload, error): quote searches for the listing symbols of the second
+    vendor's mappings: found as they are, found on a foreign exchange, or failed."""
+    v = F.col("symbol")
+    quote = F.struct(v.alias("symbol"), F.when(v.endswith("Z"), "LSE").otherwise("NYQ").alias("exchange"), F.lit("EQUITY").alias("quoteType"))
+    down = v.endswith(FAILED_SUFFIX)
+    syms = symbol_map.filter(F.col("vendor") == "yahoo").select(F.col("ipo_symbol").alias("symbol")).distinct()
+    return syms.select("symbol", F.when(~down, F.to_json(F.struct(F.array(quote).alias("quotes")))).alias("payload"),
+                       F.when(down, F.lit(ERROR_TEXT)).alias("error"))
+
+
+#: What the store held before the landed files: the fourth letter of a symbol decides
+#: which mappings and profiles are still to be found.
+NEW_ALPHA, NEW_YAHOO, NEW_PROFILE = ("A", "H"), ("S", "Z"), ("J", "N")
+
+
+def is_new(symbol, letters):
+    return F.substring(symbol, 4, 1).between(*letters)
+
+
+def land_all(raw, folder: str, as_of: dt.date) -> None:
+    """Every feed of the scenario, landed in ``folder``: the calendar, later the same
+    documents again in part (files landed twice) beside re-sent events; responses as envelopes;
+    bars as Parquet."""
+    from evwin.session import materialize
+    from evwin.sources.landing import land_documents, land_envelopes
+    docs = materialize(calendar_payloads(raw.ipo_events, as_of=as_of), "calendar")  # so that both landings have the same bytes
+    again = F.col("batch_seq") >= REPLAY_FROM
+    land_documents(docs.filter(~again), f"{folder}/calendar/1")
+    land_documents(docs.filter(again | (F.col("batch_seq") % 3 == 0)), f"{folder}/calendar/2")
+    down = failed_series(raw.symbol_map)
+    errors = down.select("source", "symbol", F.lit(ERROR_TEXT).alias("error"))
+    land_envelopes(faulty_series(raw.daily_prices), f"{folder}/series")
+    land_envelopes(errors.filter("source = 'alphavantage'"), f"{folder}/series")
+    land_envelopes(triage_payloads(raw.daily_prices), f"{folder}/triage")
+    land_envelopes(errors.filter("source = 'yahoo'"), f"{folder}/bars_errors")
+    land_envelopes(finnhub_profile_payloads(raw.company_profiles, raw.symbol_map), f"{folder}/finnhub_profile")
+    land_envelopes(yahoo_profile_payloads(raw.company_profiles), f"{folder}/yahoo_profile")
+    land_envelopes(alpha_search_payloads(raw.symbol_map), f"{folder}/alpha_search")
+    land_envelopes(symbol_search_requests(raw.symbol_map), f"{folder}/yahoo_search")
+    land_envelopes(yahoo_search_requests(raw.symbol_map), f"{folder}/vendor_search")
+    bar_frames(raw.daily_prices, as_of=as_of).write.parquet(f"{folder}/bars")

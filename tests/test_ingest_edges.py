@@ -3,14 +3,12 @@
 import datetime as dt
 import os
 import tempfile
-import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from evwin.operators import ingest as I
 from evwin.operators import worklist as W
-from evwin.operators import upsert as U
 from evwin.operators.upsert import last_wins, upsert, upsert_partitioned, upsert_within
 from evwin.sources import versioned as V
 
@@ -227,7 +225,7 @@ def test_fallback_and_summary(spark):
     on = W.primary_with_fallback(pw, sw, staged, use_fallback=True)
     assert sorted((r.ipo_symbol, r.source) for r in off.collect()) == [("A", "yahoo")]
     assert sorted((r.ipo_symbol, r.source) for r in on.collect()) == [("A", "yahoo"), ("B", "alphavantage")]
-    s = W.price_run_summary(pw, on, secondary_windows=sw).collect()[0]
+    s = W.price_run_summary(W.turn_outcomes(pw, sw, staged, use_fallback=True)).collect()[0]
     assert (s.attempted, s.rows, s.with_data, s.no_data, s.yahoo_used, s.alpha_used) == (3, 2, 2, 1, 2, 1)
 
 
@@ -249,7 +247,7 @@ def test_every_listing_date_of_a_symbol_is_loaded(spark):
     out = W.primary_with_fallback(pw, sw, staged, use_fallback=True)
     # the newer listing loads 25 June; the older one's turn then starts after it, and its window ends on 9 June
     assert [(r.ipo_date, r.price_date) for r in out.collect()] == [(dt.date(2001, 6, 20), dt.date(2001, 6, 25))]
-    s = W.price_run_summary(pw, out, secondary_windows=sw).collect()[0]
+    s = W.price_run_summary(W.turn_outcomes(pw, sw, staged, use_fallback=True)).collect()[0]
     assert (s.attempted, s.rows, s.with_data, s.no_data, s.yahoo_used) == (2, 1, 1, 1, 2)
     # without a bar in the newer window, the older listing loads its own
     out = W.primary_with_fallback(pw, sw, staged.filter("price_date < '2001-06-01'"))
@@ -261,7 +259,7 @@ def test_shared_series_counts_a_bar_once(spark):
     staged = spark.createDataFrame([_bar("Y", dt.date(2001, 3, 5))], _BARS)
     empty = spark.createDataFrame([], "source string, symbol string, price_date date")
     pw, sw = W.fallback_windows(wl, empty, spark.createDataFrame([], _NO_MAP), as_of=AS_OF)
-    s = W.price_run_summary(pw, W.primary_with_fallback(pw, sw, staged), secondary_windows=sw).collect()[0]
+    s = W.price_run_summary(W.turn_outcomes(pw, sw, staged)).collect()[0]
     assert (s.rows, s.with_data, s.no_data) == (1, 1, 1)
 
 
@@ -274,7 +272,7 @@ def test_failed_series_fall_back_and_count(spark):
     pw, sw = W.fallback_windows(wl, empty, smap, as_of=AS_OF, failures=bad)
     out = W.primary_with_fallback(pw, sw, staged, use_fallback=True)
     assert [(r.ipo_symbol, r.source) for r in out.collect()] == [("A", "alphavantage")]
-    s = W.price_run_summary(pw, out, secondary_windows=sw).collect()[0]
+    s = W.price_run_summary(W.turn_outcomes(pw, sw, staged, use_fallback=True)).collect()[0]
     assert (s.failed, s.yahoo_used, s.alpha_used, s.with_data, s.no_data) == (2, 1, 1, 1, 1)
 
 
@@ -312,11 +310,7 @@ def test_calendar_windows_modes(spark):
     assert I.calendar_windows(spark, ev, as_of=AS_OF, full=True).count() == 0   # 2014 > as_of year + 1
 
 
-def test_run_audit_and_source_default(spark):
-    c = spark.createDataFrame([(3, 10)], "attempted int, rows int")
-    r = I.run_audit(c, run_id="r1", source="ipo_price_backfill", started_at=dt.datetime(2001, 6, 30, 9),
-                    finished_at=None, status="failed").collect()[0]
-    assert r.notes == "attempted=3, rows=10" and r.status == "failed" and r.finished_at is None
+def test_source_default(spark):
     p = spark.createDataFrame([(None, "A"), ("yahoo", "B")], "source string, symbol string")
     assert sorted(tuple(x) for x in I.profile_source_default(p).collect()) == [("finnhub", "A"), ("yahoo", "B")]
 
