@@ -13,6 +13,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from evwin.functions.exprs import (CLEAN_TOKENS_DB, CLEAN_TOKENS_PROFILE, lit_date, price_date_range, py_strip,
                                    ts_lit)
@@ -128,16 +129,35 @@ def parse_payload(col) -> Column:
 
 
 # ---- I01 calendar ------------------------------------------------------------
+_FALSY_JSON = ("", "[]", "{}", "false", "0", "0.0", "-0.0", "null")
+
+
+def _large_rows(payload: Column) -> Column:
+    """The events of a document that a parsed value cannot hold: the envelope's values
+    are kept as text, the first truthy one is cut into its elements, and each of those is
+    parsed by itself.  NULL for a text that is no JSON object, or a value that is no list."""
+    def first_truthy(env):
+        text = F.lit(None).cast("string")
+        for k in reversed(CALENDAR_KEYS):
+            v = env.getField(k)
+            text = F.when(v.isNull() | v.isin(*_FALSY_JSON), text).otherwise(v)
+        return text
+    env = F.from_json(payload, "struct<" + ", ".join(f"{k}: string" for k in CALENDAR_KEYS) + ">")
+    element = lambda x: F.coalesce(parse_payload(x), x.cast("variant"))
+    return _let(_let(env, first_truthy), lambda text: F.when(text.startswith("["), F.transform(F.from_json(text, "array<string>"), element)))
+
+
 def calendar_parse(payloads: DataFrame, payload_col: str = "payload", seq_col: str = "batch_seq") -> DataFrame:
     """Listing rows of calendar payloads: the first truthy of the envelope
     keys; a value that is not a list gives no rows.  Keeps the batch
-    sequence and position for last-wins deduplication."""
-    p = payloads.select(F.col(seq_col).alias("batch_seq"), parse_payload(payload_col).alias("_v"))
+    sequence and position for last-wins deduplication.  Documents beyond the
+    size of a parsed value are cut into their events first."""
+    p = payloads.select(F.col(seq_col).alias("batch_seq"), F.col(payload_col).alias("_text"), parse_payload(payload_col).alias("_v"))
     p = _stage(p, **{f"_k{i}": vfield(F.col("_v"), k) for i, k in enumerate(CALENDAR_KEYS)})
     p = _stage(p, _ev=py_or(*[F.col(f"_k{i}") for i in range(len(CALENDAR_KEYS))]))
     is_list = vtype(F.col("_ev")).startswith("ARRAY")
-    rows = p.select("batch_seq", F.posexplode(F.when(is_list, F.col("_ev").try_cast("array<variant>")))
-                    .alias("pos", "r"))
+    events = F.when(F.col("_v").isNull(), _large_rows(F.col("_text"))).otherwise(F.when(is_list, F.col("_ev").try_cast("array<variant>")))
+    rows = p.select("batch_seq", F.posexplode(events).alias("pos", "r"))
     rows = _stage(rows, **{f"_{k}": vfield(F.col("r"), k) for k in ("date", "name", "symbol", "exchange")})
 
     def g(k, t):
@@ -217,14 +237,26 @@ def payload_triage(payloads: DataFrame, payload_col: str = "payload") -> DataFra
     return p.withColumn("message", F.when(F.col("status") != "ok", msg)).drop("_v", "_keys")
 
 
+def split_load(payloads: DataFrame, folder: str, payload_col: str = "payload") -> tuple[DataFrame, DataFrame]:
+    """I07 as a load uses it: every payload parsed once and written by status;
+    (good, refused) read what is written, refused with status and message."""
+    spark = payloads.sparkSession
+    payload_triage(payloads, payload_col).write.partitionBy("status").parquet(folder)
+    fields = [f for f in payloads.schema if f.name != "status"] + [T.StructField("message", T.StringType()), T.StructField("status", T.StringType())]
+    held = spark.read.schema(T.StructType(fields)).parquet(folder)
+    return held.filter("status = 'ok'").drop("message"), held.filter("status <> 'ok'")
+
+
 UNREADABLE_PAYLOAD, BAD_DATE, BAD_NUMBER = "unreadable payload", "bad date", "bad number"
 
 
 def unreadable(payloads: DataFrame, payload_col: str = "payload") -> DataFrame:
-    """The payload rows no parser can take (broken text, or over the size a
-    parsed value may have), with ``reason`` and length: what a load sets aside
-    and counts, where the parsing operators give no rows.  NULL payloads are included."""
-    return (payloads.filter(parse_payload(payload_col).isNull())
+    """The payload rows no parser can take (text that is no JSON document),
+    with ``reason`` and length: what a load sets aside and counts, where the
+    parsing operators give no rows.  NULL payloads are included; a document that
+    is only beyond the size of a parsed value is not."""
+    as_text = F.from_json(F.col(payload_col), "map<string, string>", {"mode": "PERMISSIVE"})
+    return (payloads.filter(parse_payload(payload_col).isNull() & as_text.isNull())
             .withColumn("reason", F.lit(UNREADABLE_PAYLOAD))
             .withColumn("payload_length", F.length(F.col(payload_col))))
 

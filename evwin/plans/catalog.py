@@ -532,15 +532,24 @@ def _d20(g):
     return D.industry_scale(_mart(g, "benchmarks_short"))
 
 
-@register("sector_scan", """SELECT industry, sector, count(*) AS ipo_count,
+_SECTOR_SQL = """SELECT industry, sector, count(*) AS ipo_count,
   CAST(sum(ret_cents) AS DOUBLE) / 100 / count(*) AS avg_return_30d_pct,
   CAST(quantile_disc(CAST(ret_cents AS BIGINT), 0.5) - quantile_disc(-CAST(ret_cents AS BIGINT), 0.5) AS DOUBLE) / 200 AS median_return_30d_pct,
   CAST(sum(price_days) AS DOUBLE) / count(price_days) AS avg_price_days
-FROM d_strong GROUP BY industry, sector""")
+FROM d_strong GROUP BY industry, sector"""
+
+
+@register("sector_scan", _SECTOR_SQL)
 def _d21(g):
     return D.sector_scan(_filtered(g))
 
 
+@register("sector_scan_approx", _SECTOR_SQL)
+def _d21b(g):
+    """By quantile summaries; the same values while groups are small beside the accuracy."""
+    return D.sector_scan(_filtered(g), accuracy=10_000)
+
+
 def _detail_sql():
     parts = []
     for i, (label, c) in enumerate(D.DETAIL_FIELDS):
@@ -573,6 +582,11 @@ def _verdict_sql():
 FROM d_filtered"""
 
 
+@register("listing_symbols", "SELECT DISTINCT ipo_symbol FROM d_filtered WHERE ipo_symbol IS NOT NULL")
+def _d22b(g):
+    return D.listing_symbols(_filtered(g))
+
+
 @register("listing_verdict", _verdict_sql())
 def _d23(g):
     return D.listing_verdict(_filtered(g))
@@ -693,8 +707,11 @@ import datetime as _dt  # noqa: E402
 from evwin.operators import ingest as I  # noqa: E402
 from evwin.operators.upsert import upsert  # noqa: E402
 from evwin.plans import load_run as R  # noqa: E402
+from evwin.plans import window_state as WS  # noqa: E402
+from evwin.session import new_folder  # noqa: E402
 from evwin.sources import landing as L  # noqa: E402
 from evwin.sources import payloads as PL  # noqa: E402
+from evwin.sources import versioned  # noqa: E402
 from evwin.sources.raw import code_version, publish  # noqa: E402
 
 _BT = PL.BATCH_TS
@@ -709,7 +726,7 @@ _OTC_OLD, _OTC_NEW = PL.REPLAY_EXCHANGE
 
 def _published(g, name, write):
     """A folder beside the store, written once by the code that is there."""
-    code = code_version(sys.modules[__name__], PL, I, L, R, W)
+    code = code_version(sys.modules[__name__], PL, I, L, R, W, M, WS)
     return publish(g.spark, f"{g.raw.root}/{name}-{code}", write)
 
 
@@ -812,8 +829,19 @@ def _i06(g):
 UNION ALL SELECT s, n FROM (SELECT count(DISTINCT symbol) AS n FROM raw_prices WHERE source = 'alphavantage')
   CROSS JOIN (VALUES ('rate_limited'), ('error'), ('info'), ('unexpected')) v(s)""")
 def _i07(g):
-    t = I.payload_triage(_feed(g, "triage"))
-    return t.groupBy("status").agg(F.count(F.lit(1)).alias("payloads"))
+    good, refused = _split(g)
+    return good.select("status").unionByName(refused.select("status")).groupBy("status").agg(F.count(F.lit(1)).alias("payloads"))
+
+
+def _split(g):
+    return g._get("split", lambda: I.split_load(_feed(g, "triage").select("symbol", "payload"), new_folder(g.spark, "triage")))
+
+
+@register("payload_quarantine", f"""SELECT symbol, status, message, 1 AS payloads FROM (SELECT DISTINCT symbol FROM raw_prices WHERE source = 'alphavantage')
+CROSS JOIN (VALUES ('rate_limited', 'Thank you for using the API'), ('error', 'Invalid API call'), ('info', 'premium endpoint'), ('unexpected', NULL)) v(status, message)""")
+def _i07b(g):
+    """What a load sets aside, with the vendor's message."""
+    return _split(g)[1].groupBy("symbol", "status", "message").agg(F.count(F.lit(1)).alias("payloads"))
 
 
 def _fh_records(g):
@@ -1112,5 +1140,32 @@ def _w02b(g):
     return W.symbols_missing_profile(r.ipo_events, profiles2, limit=_P.profile_limit, **_WL)
 
 
+# ---- marts kept by month: the store of before the cutoff, then a load of all after it ----
+def _states(g, days):
+    listings, prices = g.listings, _raw(g).daily_prices
+    options = dict(as_of=_P.as_of, recent_days=_P.model_recent_days, days=days, bucket_days=_P.bucket_days)
+
+    def write(folder):
+        early, late = price_date_range(prices, hi=O.LOAD_CUTOFF), prices.filter(F.col("price_month") >= f"{O.LOAD_CUTOFF:%Y-%m}")
+        WS.refresh(g.spark, folder, listings, early, early.select("price_month"), **options)
+        WS.refresh(g.spark, folder, listings, prices, late.select("price_month"), **options)
+    return versioned.read(g.spark, _published(g, f"states-{days}", write))
+
+
+@register("coverage_100d_by_month", FINAL_SQL["coverage_100d"])
+def _m08b(g):
+    return M.coverage_long(g.listings, None, _P.long_limits, _P.long_window, stats=WS.long_stats(_states(g, _P.long_window)))
+
+
+@register("metrics_100d_by_month", FINAL_SQL["metrics_100d"])
+def _m10b(g):
+    return M.metrics_long(g.listings, None, _P.long_limits, _P.long_window, stats=WS.long_stats(_states(g, _P.long_window)))
+
+
+@register("metrics_30d_by_month", FINAL_SQL["metrics_30d"])
+def _m12b(g):
+    return M.metrics_short(g.listings, None, _P.short_limits, _P.short_window, stats=WS.short_stats(_states(g, _P.short_window)))
+
+
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["metrics_30d"](spark, sf_dir)

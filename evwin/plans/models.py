@@ -14,7 +14,7 @@ from evwin.functions.exprs import (coverage_class_long, coverage_class_short, di
                                    pct_return_2dp, rank_by, round_avg)
 from evwin.operators.precedence import top1
 from evwin.operators.price_days import days_of
-from evwin.operators.window_join import window_join
+from evwin.operators.window_join import touched_months, window_join
 from evwin.sources.raw import code_version, publish, with_month
 
 # --- fixed values ------------------------------------------------------------
@@ -96,14 +96,16 @@ def listings_recent(events: DataFrame, symbol_map: DataFrame, profiles: DataFram
 # ---- M05a: one price per (symbol, day) ---------------------------------------
 def preferred_prices(prices: DataFrame, *, min_date: dt.date | None = None,
                      max_date: dt.date | Column | None = None,
-                     symbols: DataFrame | None = None) -> DataFrame:
-    """``min_date``, ``max_date`` and ``symbols`` prune before the precedence
-    shuffle; all are safe because the dedupe key (symbol, price_date) contains
-    the pruned columns.  The dates reach the parquet scan and its partitions."""
+                     wanted: DataFrame | None = None) -> DataFrame:
+    """``min_date``, ``max_date`` and ``wanted`` (symbol, month) prune before the
+    precedence shuffle; all are safe because the dedupe key (symbol, price_date)
+    contains or decides the pruned columns.  The dates reach the parquet scan
+    and its partitions; so do the wanted months, while the query runs."""
     p = price_date_range(prices, lo=min_date, hi=max_date)
-    if symbols is not None:
-        p = p.join(symbols.select(F.col(symbols.columns[0]).alias("_psym")).distinct(),
-                   F.col("symbol") == F.col("_psym"), "left_semi")
+    if wanted is not None:
+        w = wanted.select(F.col("symbol").alias("_psym"), F.col("month").alias("_pmonth")).distinct()
+        p = p if "price_month" in p.columns else with_month(p)
+        p = p.join(w, (F.col("symbol") == F.col("_psym")) & (F.col("price_month") == F.col("_pmonth")), "left_semi")
     s = F.col("source")
     rank = rank_by([(s == PRICE_SOURCE_RANK[0], 1), (s == PRICE_SOURCE_RANK[1], 2)])
     return top1(p.select("source", "symbol", "price_date", "open", "high", "low", "close", "volume"),
@@ -120,8 +122,9 @@ def window_prices(listings: DataFrame, prices: DataFrame, *, as_of: dt.date,
     # Listings are at most recent_days old, so no window starts earlier, and
     # none ends later than the newest listing's.
     last = ipos.select(F.date_add(F.max("ipo_date"), days)).scalar()
+    months = F.explode(touched_months(F.col("ipo_date"), F.date_add("ipo_date", days))).alias("month")
     pref = preferred_prices(prices, min_date=as_of - dt.timedelta(days=recent_days), max_date=last,
-                            symbols=ipos.select("price_symbol"))
+                            wanted=ipos.select(F.col("price_symbol").alias("symbol"), months))
     j = window_join(ipos, pref, anchor_key="price_symbol", series_key="symbol",
                     anchor_date="ipo_date", series_date="price_date", days=days,
                     bucket_days=bucket_days)
@@ -161,9 +164,9 @@ def _long_stats(window_rows: DataFrame, days: int = 100) -> DataFrame:
         F.max(c).alias("max_close"))
 
 
-def _coverage_wide(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
-                   ) -> DataFrame:
-    st = _long_stats(window_rows, window_days).withColumnRenamed("event_id", "_eid")
+def _coverage_wide(listings: DataFrame, window_rows: DataFrame | None, limits=(20, 60), window_days: int = 100,
+                   stats: DataFrame | None = None) -> DataFrame:
+    st = (_long_stats(window_rows, window_days) if stats is None else stats).withColumnRenamed("event_id", "_eid")
     j = listings.join(st, listings["event_id"] == st["_eid"], "left")
     days = F.coalesce(F.col("distinct_price_days"), F.lit(0))
     return j.select(
@@ -184,9 +187,10 @@ COVERAGE_COLUMNS = ["event_id", "ipo_date", "ipo_symbol", "company_name", "excha
                     "coverage_status", "is_analysis_ready"]
 
 
-def coverage_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
-                  ) -> DataFrame:
-    return _coverage_wide(listings, window_rows, limits, window_days).select(*COVERAGE_COLUMNS)
+def coverage_long(listings: DataFrame, window_rows: DataFrame | None, limits=(20, 60), window_days: int = 100,
+                  stats: DataFrame | None = None) -> DataFrame:
+    """``stats``: kept per-listing figures (``window_state.long_stats``) instead of window rows."""
+    return _coverage_wide(listings, window_rows, limits, window_days, stats).select(*COVERAGE_COLUMNS)
 
 
 def coverage_summary_long(coverage: DataFrame) -> DataFrame:
@@ -205,9 +209,9 @@ def _ratio_double(num, den):
         .otherwise((num - den).cast("double") / den.cast("double"))
 
 
-def metrics_long(listings: DataFrame, window_rows: DataFrame, limits=(20, 60), window_days: int = 100
-                 ) -> DataFrame:
-    w = _coverage_wide(listings, window_rows, limits, window_days)
+def metrics_long(listings: DataFrame, window_rows: DataFrame | None, limits=(20, 60), window_days: int = 100,
+                 stats: DataFrame | None = None) -> DataFrame:
+    w = _coverage_wide(listings, window_rows, limits, window_days, stats)
     f = F.col("first_close")
     return w.select(
         "event_id", "ipo_date", "ipo_symbol", "company_name", "exchange",
@@ -242,11 +246,9 @@ def benchmarks_long(metrics: DataFrame) -> DataFrame:
 
 
 # ---- M12-M14: short-window metrics -------------------------------------------
-def metrics_short(listings: DataFrame, window_rows: DataFrame, limits=(15, 7, 1), window_days: int = 30
-                  ) -> DataFrame:
-    """``day_num`` of the window rows runs from 0 to ``window_days``."""
+def _short_stats(window_rows: DataFrame, window_days: int = 30) -> DataFrame:
     c, d = F.col("close"), F.col("price_date")
-    st = window_rows.groupBy(F.col("event_id").alias("_eid")).agg(
+    return window_rows.groupBy("event_id").agg(
         distinct_days(F.col("day_num"), window_days).alias("price_days"),
         F.min(d).alias("first_price_date"),
         F.max(d).alias("last_price_date"),
@@ -256,6 +258,13 @@ def metrics_short(listings: DataFrame, window_rows: DataFrame, limits=(15, 7, 1)
         F.count(c).alias("_n_close"),
         F.min(c).alias("min_close_30d"),
         F.max(c).alias("max_close_30d"))
+
+
+def metrics_short(listings: DataFrame, window_rows: DataFrame | None, limits=(15, 7, 1), window_days: int = 30,
+                  stats: DataFrame | None = None) -> DataFrame:
+    """``day_num`` of the window rows runs from 0 to ``window_days``; ``stats``: kept
+    per-listing figures (``window_state.short_stats``) instead of window rows."""
+    st = (_short_stats(window_rows, window_days) if stats is None else stats).withColumnRenamed("event_id", "_eid")
     j = listings.join(st, listings["event_id"] == st["_eid"], "left")
     days = F.coalesce(F.col("price_days"), F.lit(0))
     first, last = F.col("first_close_30d"), F.col("last_close_30d")

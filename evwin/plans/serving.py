@@ -283,19 +283,25 @@ def industry_scale(bench: DataFrame) -> DataFrame:
     return bench.select("ipo_count", "avg_return_30d_pct", "avg_price_days", "industry")
 
 
-def sector_scan(filtered: DataFrame) -> DataFrame:
+def sector_scan(filtered: DataFrame, accuracy: int | None = None) -> DataFrame:
     """Mean and exact median per (industry, sector).  The median is the mean
     of the lower and upper discrete medians, taken on integer cents (Spark's
     percentile_disc returns DOUBLE, exact for integers); each is a
     percentile aggregate whose buffer holds one entry per distinct return,
-    bounded by the value domain, not by the group size."""
+    bounded by the value domain, not by the group size.  With ``accuracy`` the
+    medians come from mergeable quantile summaries of bounded size instead:
+    their rank is off by at most 1 / accuracy of the group, so by nothing where
+    a group is small beside the accuracy."""
     r = F.col("return_30d_pct")
+    if accuracy is None:
+        lo, hi = (F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY _rc{d})") for d in ("", " DESC"))
+    else:
+        lo, hi = F.percentile_approx("_rc", 0.5, accuracy), -F.percentile_approx(-F.col("_rc"), 0.5, accuracy)
     return (_strong_returns(filtered).withColumn("_rc", (r * 100).cast("bigint"))
             .groupBy("industry", "sector").agg(
                 F.count(F.lit(1)).alias("ipo_count"),
                 (F.sum(r).cast("double") / F.count(r)).alias("avg_return_30d_pct"),
-                F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _rc)").alias("_lo"),
-                F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY _rc DESC)").alias("_hi"),
+                lo.alias("_lo"), hi.alias("_hi"),
                 (F.sum("price_days").cast("double") / F.count("price_days")).alias("avg_price_days"))
             .select("industry", "sector", "ipo_count", "avg_return_30d_pct",
                     ((F.col("_lo") + F.col("_hi")) / F.lit(200.0)).alias("median_return_30d_pct"),
@@ -312,6 +318,11 @@ def _text(c: Column, dtype: str) -> Column:
     return c.cast("string")
 
 
+def listing_symbols(filtered: DataFrame) -> DataFrame:
+    """The symbols to choose a detail from, sorted, each once."""
+    return filtered.filter(F.col("ipo_symbol").isNotNull()).select("ipo_symbol").distinct().orderBy("ipo_symbol")
+
+
 def listing_detail(filtered: DataFrame, symbol: str | None = None) -> DataFrame:
     """Per symbol (or just ``symbol``), the newest listing as (field, value)
     rows.  The dashboard shows the first symbol of the sorted list."""

@@ -54,12 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """A folder under the shared checkpoint folder that nothing else uses."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and read it
     back: cuts lineage (survives executor loss) and lets several consumers
     reuse one computation.  Each call writes a fresh sub-folder."""
     spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/evwin/{name}-{uuid.uuid4().hex[:12]}"
+    path = new_folder(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
