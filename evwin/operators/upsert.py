@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -67,14 +68,16 @@ def key_bucket(keys: list[str], buckets: int = 16) -> Column:
 
 
 def upsert_partitioned(spark: SparkSession, table: str, batch: DataFrame, keys: list[str], partition_col: str,
-                       layout: tuple[str, ...] | None = None, keep: int = 2) -> Snapshot:
+                       layout: tuple[str, ...] | None = None, keep: int = 2,
+                       then: Callable[[DataFrame], object] | None = None) -> Snapshot:
     """Merge ``batch`` into the versioned table at ``table`` (see
     ``sources.versioned``) and return the table's new state.  Only the
     partitions the batch touches are read and rewritten, range-partitioned and
     sorted by ``layout`` (default: partition, keys); the partition has to follow
     from the key.  The batch is written first, so it is computed once and its
     partitions can be named; the merge is visible when its pointer is, and a run
-    that dies before that changes nothing."""
+    that dies before that changes nothing.  ``then`` gets the written batch after
+    the commit, before it is removed: for tables that follow this one."""
     layout = layout or (partition_col, *keys)
     before = versioned.snapshot(spark, table)
     staged = f"{table}/_batches/{uuid.uuid4().hex[:12]}"
@@ -89,6 +92,8 @@ def upsert_partitioned(spark: SparkSession, table: str, batch: DataFrame, keys:
     merged = upsert(target, new.select(*[c for c in target.columns if c in new.columns]), keys)
     version, holds = versioned.write(spark, table, merged, partition_col, layout)
     after = versioned.commit(spark, table, before, version, holds, touched, target.schema, partition_col)
+    if then:
+        then(new)
     remove(spark, staged)
     versioned.vacuum(spark, table, keep)
     return after

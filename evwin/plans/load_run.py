@@ -24,7 +24,7 @@ from evwin.operators import ingest as I
 from evwin.operators import price_days as PD
 from evwin.operators import worklist as W
 from evwin.operators.upsert import key_bucket, upsert_partitioned
-from evwin.session import materialize
+from evwin.session import materialize, scratch
 from evwin.sources import landing as L
 from evwin.sources import versioned
 from evwin.sources.raw import PRICE_LAYOUT
@@ -66,12 +66,10 @@ class Tables:
             versioned.create(self.spark, self.path("price_days"), PD.days_of(self.read(name)), "price_month", ("price_month", "symbol", "source"))
 
     def upsert(self, name: str, batch: DataFrame) -> None:
-        if name == "daily_prices":
-            batch = materialize(with_partition(name, batch), "price-batch")  # written once, needed twice
-            upsert_partitioned(self.spark, self.path(name), batch, list(KEYS[name]), "price_month", PRICE_LAYOUT)
-            PD.follow(self.spark, self.path("price_days"), batch)
-        else:
-            upsert_partitioned(self.spark, self.path(name), with_partition(name, batch), list(KEYS[name]), PARTITION[name])
+        prices = name == "daily_prices"
+        follow = (lambda rows: PD.follow(self.spark, self.path("price_days"), rows)) if prices else None
+        upsert_partitioned(self.spark, self.path(name), with_partition(name, batch), list(KEYS[name]), PARTITION[name],
+                           PRICE_LAYOUT if prices else None, then=follow)
 
 
 def observed(rows: DataFrame, /, **counters: Column) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
@@ -102,7 +100,8 @@ def audited(t: Tables, run_id: str, source: str, order: tuple[str, ...], work: C
     started = clock()
     _run_row(t, run_id, source, started, None, "running", None)
     try:
-        counters = work()
+        with scratch(t.spark):
+            counters = work()
     except Exception as e:
         _run_row(t, run_id, source, started, clock(), "failed", str(e))
         raise

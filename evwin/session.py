@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -54,9 +56,27 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+_SCRATCH: ContextVar[str | None] = ContextVar("scratch", default=None)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A folder under the shared checkpoint folder that nothing else uses."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin/{name}-{uuid.uuid4().hex[:12]}"
+    base = _SCRATCH.get() or f"{ensure_checkpoint_dir(spark).rstrip('/')}/evwin"
+    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def scratch(spark: SparkSession):
+    """What is materialized inside goes into one folder, removed at the end: for runs
+    that write all their results, so that nothing of them is read later."""
+    folder = new_folder(spark, "run")
+    before = _SCRATCH.set(folder)
+    try:
+        yield folder
+    finally:
+        _SCRATCH.reset(before)
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -15,6 +15,7 @@ from evwin.operators import price_days as PD
 from evwin.operators import worklist as W
 from evwin.plans import load_run as R
 from evwin.plans import quality as Q
+from evwin.session import ensure_checkpoint_dir
 from evwin.sources import schemas as S
 from evwin.sources import versioned as V
 from evwin.sources.raw import with_month
@@ -76,6 +77,8 @@ def test_a_load_run_from_landed_files_to_the_run_table(scene):
     (row,) = t.read("ingestion_runs").collect()
     assert (row.run_id, row.source, row.status) == ("r1", R.MAIN_RUN, "success") and row.finished_at > row.started_at
     assert row.notes == ", ".join(f"{k}={got[k]}" for k in R.MAIN_COUNTERS) and len(R.MAIN_COUNTERS) == 16
+    runs = os.path.join(ensure_checkpoint_dir(t.spark), "evwin")
+    assert not [n for n in os.listdir(runs) if n.startswith("run-") and os.listdir(os.path.join(runs, n))]    # what it wrote on the way is gone
     # nothing new has landed: the same files are known, and marks leave only the bar whose download failed
     again = R.load_run(t, land, "r2", P, use_fallback=True, clock=_clock())
     assert (again["ipos"], again["fh_profiles"], again["alpha_map_attempted"], again["prices_rows"]) == (0, 0, 0, 1)
