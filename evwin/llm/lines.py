@@ -29,7 +29,8 @@ BAND = 0.06
 
 def _lines(docs: DataFrame, site: str) -> DataFrame:
     """doc_id, rk, pos, site and two hashes (128 bits) of each non-blank line."""
-    cut = docs.select("doc_id", row_key().alias("rk"), F.col(site).alias("site"), F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    keyed = docs.select("doc_id", row_key().alias("rk"), F.col(site).alias("site"), "text")  # hashed once a text, not once a line
+    cut = keyed.select("doc_id", "rk", "site", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     line = F.trim("line")
     return cut.filter(line != "").select("doc_id", "rk", "site", "pos", F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2"))
 
@@ -56,8 +57,13 @@ def _removed(docs: DataFrame, site: str, min_sites: int) -> DataFrame:
 
 
 def _kept(text: Column, gone: Column) -> Column:
-    rest = F.filter(F.split(text, "\n", -1), lambda line, i: ~F.array_contains(gone, i))
-    return F.when(gone.isNull(), text).otherwise(F.array_join(rest, "\n"))
+    """The lines of a text whose places are not in ``gone``: in time that grows with its
+    lines, as places are set apart by hashing and lines taken by number."""
+    def rest(lines: Column) -> Column:
+        places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
+        return F.array_join(F.transform(places, lambda i: F.element_at(lines, i + 1)), "\n")
+    once = F.transform(F.array(F.split(text, "\n", -1)), rest)  # split once, whatever the number of lines
+    return F.when(gone.isNull(), text).otherwise(F.element_at(once, 1))
 
 
 def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITES) -> DataFrame:

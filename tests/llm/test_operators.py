@@ -122,6 +122,20 @@ def _brute_base(text):
     return len(ws), len(hits), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in hits}))
 
 
+def test_lines_of_very_long_texts_in_proportional_time(spark):
+    """Some 5 MB a text; twice the lines may take twice the time, not four times."""
+    import time
+    took = []
+    for n in (60_000, 240_000):
+        every = F.transform(F.sequence(F.lit(1), F.lit(n)), lambda i: F.concat(F.lit("a line of some words "), (i % 5000).cast("string")))
+        df = spark.range(12).select(F.col("id").alias("doc_id"), F.col("id").cast("string").alias("source"), F.array_join(every, "\n").alias("text"))
+        begun = time.perf_counter()
+        got = lines.dedup_lines(df).select("doc_id", "n_lines", "n_removed").collect()
+        took.append(time.perf_counter() - begun)
+        assert sorted((r.n_lines, r.n_removed) for r in got) == [(n, n - 5000)] + [(n, n)] * 11
+    assert took[1] < 8 * took[0] + 5
+
+
 def test_license_base_and_spans(spark, odd):
     texts = [None, "", "Under the MIT license. cc BY-nc cc by nc", "CC by  nc", "cc by ncx", "Kelvin under the mit licensE", "apache license, version 2.0 Apache License version 2", "élan under the mit license", "Permission is hereby granted, free of any charge, to any person obtaining a copy of this software and associated documentation files.", "all rights reserved", "under the mit"]
     df = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)], "doc_id long, text string, label int")
