@@ -143,16 +143,19 @@ def with_lists(rows: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 
 def _contexts(rows: DataFrame, wanted: DataFrame, kind: Tokens) -> DataFrame:
-    """key, ctx, n, kinds and payload of the wanted contexts, read from one document each;
-    rows alike in id and text give the same context again."""
+    """key, ctx, n, kinds and payload of the wanted contexts, read from one document each.
+    Rows alike in id and text stand together after the join; a task reads the first."""
     lists = wanted.groupBy("rep.doc_id", "rep.rk").agg(F.collect_list(F.struct(F.col("rep.first").alias("first"), "size", "key", "ctx", "n", "kinds")).alias("l"))
     names = ["key", "ctx", "n", "kinds"]
 
     def run(batches):
-        unpress = zstandard.ZstdDecompressor()
+        unpress, before = zstandard.ZstdDecompressor(), None
         for batch in batches:
-            for z, found in zip(batch.column("z"), batch.column("l")):
-                data = np.frombuffer(unpress.decompress(z.as_py()), np.uint8)
+            for doc_id, rk, z, found in zip(*(batch.column(c) for c in ("doc_id", "rk", "z", "l"))):
+                row = doc_id.as_py(), rk.as_py()
+                if row == before:
+                    continue
+                before, data = row, np.frombuffer(unpress.decompress(z.as_py()), np.uint8)
                 _, _, start, end = kind.read(data, np.array([0, len(data)]))
                 t = found.values
                 first, size = (t.field(c).to_numpy() for c in ("first", "size"))
@@ -226,14 +229,15 @@ def covered(docs: DataFrame, kind: Tokens, solve: Solver, at_once: int = SHARD_C
     place = F.struct("doc_id", "rk", "first")
     reps = alive.groupBy("key", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("size").alias("size"), F.min(place).alias("rep"))
     reps = materialize(reps, "contexts")
-    reps = reps.join(reps.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")), "key")
+    # counts are written, so that the join's skewed partitions can be split
+    reps = reps.join(materialize(reps.groupBy("key").agg(F.count(F.lit(1)).alias("kinds")), "kinds"), "key")
     alone = reps.filter("kinds = 1")
     contexts = materialize(_contexts(rows, reps if compare_all else reps.filter("kinds > 1"), kind), "payloads")
     covers = _solved(contexts.filter(F.col("kinds") <= HOT), solve, at_once).unionByName(_counted(contexts.filter(F.col("kinds") > HOT), kind))
     if not compare_all:
         covers = covers.unionByName(alone.select("key", "ctx", F.array(F.lit(0), "size").alias("cover")))
     hits = alive.join(covers, ["key", "ctx"]).select("doc_id", "rk", F.struct("first", "cover").alias("c"))
-    return hits.groupBy("doc_id", "rk").agg(F.collect_list("c").alias("l"))
+    return hits.groupBy("doc_id", "rk").agg(F.collect_set("c").alias("l"))  # a set: rows alike have the same
 
 
 def removed(docs: DataFrame, lists: DataFrame, kind: Tokens, schema: str, finish: Callable) -> DataFrame:

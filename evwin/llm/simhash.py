@@ -78,7 +78,7 @@ def links(fps: DataFrame, radius: int = RADIUS, hot: int = HOT_BUCKET) -> DataFr
     ``fps``: one row a fingerprint, column ``fp``."""
     first = masks(list(range(64)), radius)
     keys = fps.select("fp", F.posexplode(F.array(*[F.expr(f"fp & {_signed(m)}L") if _signed(m) != -(1 << 63) else F.expr("fp & (-9223372036854775807L - 1L)") for m in first])).alias("t", "key"))
-    sizes = keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    sizes = materialize(keys.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "buckets")  # written, so that the join's skewed partitions can be split
     shared = keys.join(sizes, ["t", "key"])
     light = shared.filter(F.col("n") <= hot).select("fp", "t", "key", F.lit(-1).alias("t2"), F.lit(0).cast("long").alias("key2"))
     again = [masks([b for b in range(64) if not m >> b & 1], radius) for m in first]
@@ -141,12 +141,14 @@ def near_duplicates(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RA
 
 def keep_one(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """The rows of ``docs``, one for each group: that with the smallest id (ties: smaller
-    fingerprint, then smaller hash of the row's text)."""
-    ids = materialize(with_fingerprints(docs.select("doc_id", "text"), size=size), "simhash")
-    # keys without nulls, the same for join and window: the rows shuffle once
-    keys = {"none": F.col("doc_id").isNull(), "id": F.coalesce(F.col("doc_id"), F.lit(0))}
-    keepers = groups(ids, radius).select("keeper.doc_id", "keeper.fp").distinct().select("fp", *[c.alias(k) for k, c in keys.items()])
-    rows = with_fingerprints(packed(docs, h=F.xxhash64("text"), text=F.col("text"), **keys), size=size)
-    kept = rows.join(keepers, ["id", "none", "fp"])
-    nth = F.row_number().over(Window.partitionBy("id", "none", "fp").orderBy("h"))
-    return unpacked(kept.withColumn("nth", nth).filter("nth = 1"), docs.columns)
+    fingerprint, then smaller hash of the row's text).  Texts are fingerprinted once; which
+    rows stay is settled by ids and hashes, and the rows shuffle once for it."""
+    none, id_ = F.col("doc_id").isNull(), F.coalesce("doc_id", F.lit(0).cast(docs.schema["doc_id"].dataType))
+    h = F.xxhash64("text")
+    ids = materialize(with_fingerprints(docs.select("doc_id", h.alias("h"), "text"), size=size), "simhash")
+    keepers = groups(ids.select("doc_id", "fp"), radius).select(F.col("keeper.doc_id").alias("k"), F.col("keeper.fp").alias("kfp")).distinct()
+    mine = ids.join(keepers, F.col("doc_id").eqNullSafe(F.col("k")) & (F.col("fp") == F.col("kfp")), "left_semi")
+    stay = mine.groupBy(id_.alias("id"), none.alias("none"), "fp").agg(F.min("h").alias("h")).select("id", "none", "h").distinct()
+    kept = packed(docs, id=id_, none=none, h=h).join(stay, ["id", "none", "h"])
+    alike = Window.partitionBy("id", "none", "h").orderBy(F.lit(0))
+    return unpacked(kept.withColumn("nth", F.row_number().over(alike)).filter("nth = 1"), docs.columns)

@@ -96,6 +96,14 @@ def test_one_of_each_group_stays(docs, odd):
     assert simhash.keep_one(odd).count() == len({v[2] or -1 for v in _components([(r.doc_id, _fingerprint(r.text)) for r in odd.collect()])})
 
 
+def test_text_ids_and_rows_alike(spark):
+    rows = [("b", "some words of one text"), ("a", "some words of one text"), ("a", "some words of one text"), (None, "some words of one text"), ("0", None), (None, None), ("c", "quite another text here")]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    assert sorted(tuple(r) for r in simhash.keep_one(df).collect()) == [("0", None), ("a", rows[0][1]), ("c", rows[-1][1])]
+    only = df.filter("doc_id is null")
+    assert Counter(map(tuple, simhash.keep_one(only).collect())) == Counter([(None, None), (None, rows[0][1])])
+
+
 # Line dedup
 
 def test_lines_by_distinct_sites(spark, odd):

@@ -81,6 +81,28 @@ def test_shared_ids_repeated_rows_and_empty_table(spark):
     assert suffixes.dedup_bytes(docs.limit(0)).count() == phrases.dedup_words(docs.limit(0)).count() == 0
 
 
+def test_a_thousand_rows_alike_are_read_once(spark, monkeypatch):
+    """Rows alike in id and text: their contexts are read from one of them, and every row's
+    list of ranges is as long as that of a single copy."""
+    text = " ".join(f"w{i % 97}x{i}" for i in range(300))
+    docs = spark.range(1000).selectExpr("7L doc_id", f"'{text}' text").unionByName(spark.createDataFrame([(8, "other " + text)], "doc_id long, text string")).repartition(5)
+    written = {}
+    keep = repeats.materialize
+
+    def kept(df, name):
+        written[name] = keep(df, name)
+        return written[name]
+    monkeypatch.setattr(repeats, "materialize", kept)
+    lists = {r.doc_id: len(r.l) for r in phrases.repeated_passages(docs).collect()}
+    assert lists[7] <= lists[8] + 1
+    assert written["payloads"].count() <= 5 * written["contexts"].count()
+    got = phrases.dedup_words(docs).groupBy("doc_id", "n_words", "n_removed").count().collect()
+    assert sorted(map(tuple, got)) == [(7, 300, 300, 1000), (8, 301, 300, 1)]
+    got = suffixes.dedup_bytes(docs).groupBy("doc_id", "n_bytes", "n_removed", "n_spans").count().collect()
+    n = len(text)
+    assert sorted(map(tuple, got)) == [(7, n, n, 1, 1000), (8, n + 6, n, 1, 1)]
+
+
 def test_merge_orders_like_one_transform():
     rng = np.random.default_rng(0)
     size = rng.integers(0, 30, 40)
