@@ -72,7 +72,9 @@ def dedup_lines(docs: DataFrame, site: str = "source", min_sites: int = MIN_SITE
     gone = materialize(_removed(docs, site, min_sites), "boilerplate")
     rows = packed(docs, doc_id=F.col("doc_id"), rk=row_key())
     text = F.col("_row").getField("text")
-    joined = rows.join(gone.select(F.col("doc_id").alias("g"), F.col("rk").alias("grk"), "gone"), F.col("doc_id").eqNullSafe(F.col("g")) & (F.col("rk") == F.col("grk")), "left")
+    # the lists of places grow with the documents: the same plan at every size
+    lists = gone.select(F.col("doc_id").alias("g"), F.col("rk").alias("grk"), "gone").hint("merge")
+    joined = rows.join(lists, F.col("doc_id").eqNullSafe(F.col("g")) & (F.col("rk") == F.col("grk")), "left")
     n = F.when(text.isNull(), 0).otherwise(F.size(F.split(text, "\n", -1)))
     return joined.select("_row", "doc_id", n.cast("long").alias("n_lines"), F.when(F.col("gone").isNull(), 0).otherwise(F.size("gone")).cast("long").alias("n_removed"), _kept(text, F.col("gone")).alias("kept"))
 
