@@ -29,11 +29,11 @@ _LOCAL_CONF = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "evwin") -> SparkSession:
+                  app: str = "evwin", conf: dict[str, str] | None = None) -> SparkSession:
     b = (SparkSession.builder.master(f"local[{cores}]").appName(app)
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("EVWIN_DRIVER_MEM", "8g")))
-    for k, v in _LOCAL_CONF.items():
+    for k, v in (_LOCAL_CONF | (conf or {})).items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
