@@ -16,28 +16,38 @@ those of the whole item have to stand there, or 0.8 or more of those of its ques
 what stands before; an item of one sentence is all question.  A part with fewer than five
 words is one shingle; the whole item decides where such a part has changed.
 
-The index goes to the executors in slices of ``SLICE_ENTRIES`` entries, each passed over
-all documents: a slice's size is bounded whatever the number of items.
-
-Null text of a document or an item: no words.  Items without words are in no document.
-Rows alike in id and text get the same result.  Repeated items are items of their own.
-Empty tables: no document is contaminated.
+The index is built in slices of some ``SLICE_ENTRIES`` entries, one a task, and written;
+the driver passes on one slice at a time, and each is held against all documents.  With
+several slices each pass writes what it found before the next begins, so that a slice
+bounds the memory of driver and tasks whatever the number of items.
+
+Null or empty text of a document or an item: no words; an item without words is in no
+document.  Null ids stay null.  Very long texts: passages are cut from whole texts, a step
+of work is ``CHUNK_BYTES`` of texts or one longer text; a long item is many entries of one
+slice.  Ties: every entry at or above the threshold is retrieved, there is no order to
+break.  Rows of documents alike in id and text each get the same result; items alike in id
+and text are one item, those alike in text only are items of their own.  No items: no
+document is contaminated; no documents: no rows.  Extra columns, of any name, are kept by
+``keep_clean`` and not read by ``contamination``.
 """
 
 from __future__ import annotations
 
 import math
+import pickle
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evwin.llm.common import ALNUM, LOWER, RangeHash, chunks, packed, row_key, runs, spans, unpacked, word_hashes
+from evwin.session import materialize, new_folder
 
 ENTRY_WORDS = 64
 SLICE_ENTRIES = 20_000
@@ -97,10 +107,10 @@ class Index:
     block_most: np.ndarray
     block_postings: np.ndarray  # where each block's postings begin
     item_of: np.ndarray  # by entry: place among items
-    items: list[tuple[int, np.ndarray, np.ndarray, np.ndarray | None]]  # id, all words, question, answer
+    items: list[tuple[int | None, np.ndarray, np.ndarray, np.ndarray | None]]  # id, all words, question, answer
 
     @classmethod
-    def build(cls, items: list[tuple[int, str]], idf: dict[int, float], mean: float) -> Index:
+    def build(cls, items: list[tuple[int | None, str]], idf: dict[int, float], mean: float) -> Index:
         rows, item_of, kept = [], [], []
         for item_id, text in items:
             question, answer = parts(text)
@@ -185,45 +195,66 @@ def _expand(owner: np.ndarray, begin: np.ndarray, term: np.ndarray, width: int,
     return np.repeat(owner, n) * width + column[j], j
 
 
-def indexes(items: DataFrame) -> list[Index]:
-    """The index in slices; weights come from all items."""
-
-    def run(batches):
-        for batch in batches:
-            for part, data, off in chunks(batch):
-                words, of = _hashes(data, off)
-                entries = [words[lo : min(lo + ENTRY_WORDS, b)] for a, b in zip(of[:-1], of[1:]) for lo in range(a, b, ENTRY_WORDS)]
-                for e in entries:
-                    terms = np.unique(e).view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(np.ones(len(terms), np.int64)), pa.array(np.r_[len(e), np.zeros(len(terms) - 1, np.int64)]), pa.array(np.r_[1, np.zeros(len(terms) - 1, np.int64)])], names=["term", "df", "words", "entries"])
-
-    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    counted = rows.select("text").mapInArrow(run, "term long, df long, words long, entries long")
-    n, words = counted.agg(F.sum("entries"), F.sum("words")).first()
-    if not n:
-        return []
+def _entry_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each different term of each entry of the texts; an entry and its words are
+    counted on its first row."""
+    for batch in batches:
+        for part, data, off in chunks(batch):
+            words, of = _hashes(data, off)
+            for row, (a, b) in enumerate(zip(of[:-1].tolist(), of[1:].tolist())):
+                for lo in range(a, b, ENTRY_WORDS):
+                    entry = words[lo : min(lo + ENTRY_WORDS, b)]
+                    terms = np.unique(entry).view(np.int64)
+                    first = (np.arange(len(terms)) == 0).astype(np.int64)
+                    slice_ = pa.array(np.full(len(terms), part.column("slice")[row].as_py()))
+                    yield pa.RecordBatch.from_arrays([slice_, pa.array(terms), pa.array(first), pa.array(first * len(entry))], names=["slice", "term", "entries", "words"])
+
+
+def indexes(items: DataFrame) -> DataFrame:
+    """slice, index: the written slices of the index, each a pickled ``Index``; weights come
+    from all items."""
+    rows = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")).distinct()
     size = F.ceil(F.length("text") / 64) + 1  # no fewer than its entries have: a word and a gap have two bytes
-    total = rows.agg(F.sum(size)).first()[0]
-    slices = -(-total // SLICE_ENTRIES)
-    out = []
-    df = counted.groupBy("term").agg(F.sum("df").alias("df"))
-    for s in range(slices):
-        mine = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)) == s)
-        table = sorted((-1 if r.item_id is None else r.item_id, r.text) for r in mine.toLocalIterator())
-        terms = df.join(mine.select("text").mapInArrow(run, "term long, df long, words long, entries long").select("term").distinct(), "term", "left_semi").toArrow().to_pandas()
-        idf = {int(t) % 2**64: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in zip(terms["term"], terms["df"])}
-        out.append(Index.build(table, idf, words / n))
-    return out
+    slices = max(1, -(-(rows.agg(F.sum(size)).first()[0] or 0) // SLICE_ENTRIES))
+    rows = rows.withColumn("slice", F.pmod(F.xxhash64("item_id", "text"), F.lit(slices)))
+    listed = rows.select("slice", "text").mapInArrow(_entry_terms, "slice long, term long, entries long, words long")
+    counted = materialize(listed.groupBy("slice", "term").agg(F.count("*").alias("n"), F.sum("entries").alias("entries"), F.sum("words").alias("words")), "terms")
+    n, words = counted.agg(F.coalesce(F.sum("entries"), F.lit(0)), F.coalesce(F.sum("words"), F.lit(0))).first()
+    everywhere = counted.groupBy("term").agg(F.sum("n").alias("df"))
+
+    def build(mine: pa.Table, terms: pa.Table) -> pa.Table:
+        table = sorted(zip(mine["item_id"].to_pylist(), mine["text"].to_pylist()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
+        idf = {t % 2**64: math.log(1 + (n - d + 0.5) / (d + 0.5)) for t, d in zip(terms["term"].to_pylist(), terms["df"].to_pylist())}
+        return pa.table({"slice": mine["slice"][:1], "index": pa.array([pickle.dumps(Index.build(table, idf, words / max(n, 1)))], pa.binary())})
+
+    terms = counted.select("slice", "term").join(everywhere, "term").select("slice", "term", "df")
+    return materialize(rows.groupBy("slice").cogroup(terms.groupBy("slice")).applyInArrow(build, "slice long, index binary"), "index")
+
+
+def _shared(stored: DataFrame) -> Iterator[Broadcast]:
+    """The slices, one at a time."""
+    for r in stored.select("slice").sort("slice").collect():
+        yield stored.sparkSession.sparkContext.broadcast(stored.filter(F.col("slice") == r["slice"]).first()["index"])
+
+
+def _passes(df: DataFrame, stored: DataFrame, kept: list[str], threshold: float, found_only: bool) -> DataFrame:
+    """What each slice finds in ``df``, written slice by slice, with a column ``pass`` from 0;
+    ``found_only``: no rows without findings, else the first pass has all rows."""
+    folder = new_folder(df.sparkSession, "found")
+    for i, shared in enumerate(_shared(stored)):
+        out = _matched(df, shared, kept, threshold)
+        (out.filter(F.size("found") > 0) if found_only or i else out).write.parquet(f"{folder}/pass={i}")
+        shared.destroy()
+    return df.sparkSession.read.parquet(folder)
 
 
-def _matched(df: DataFrame, index: Index, kept: list[str], threshold: float) -> DataFrame:
+def _matched(df: DataFrame, shared: Broadcast, kept: list[str], threshold: float) -> DataFrame:
     """The columns ``kept`` of ``df`` (which has text too), n_passages and found: item, score
     and overlaps of each verified item of this slice."""
     found = pa.list_(pa.struct([("item_id", pa.int64()), ("score", pa.float64()), ("question", pa.float64()), ("answer", pa.float64())]))
-    shared = df.sparkSession.sparkContext.broadcast(index)
 
     def run(batches):
-        index = shared.value
+        index = pickle.loads(shared.value)
         for batch in batches:
             for part, data, off in chunks(batch):
                 words, of = _hashes(data, off)
@@ -236,7 +267,7 @@ def _matched(df: DataFrame, index: Index, kept: list[str], threshold: float) ->
                     q, a = _overlap(question, region), _overlap(answer, region)
                     if q >= SIMILARITY and a >= SIMILARITY or _overlap(whole, region) >= SIMILARITY:
                         hits[text][item] = max(hits[text].get(item, (0,)), (score, q, a))
-                rows = [[{"item_id": None if index.items[i][0] == -1 else index.items[i][0], "score": min(v[0], 1.0), "question": v[1], "answer": v[2]} for i, v in sorted(h.items())] for h in hits]
+                rows = [[{"item_id": index.items[i][0], "score": min(v[0], 1.0), "question": v[1], "answer": v[2]} for i, v in sorted(h.items())] for h in hits]
                 n = np.maximum(-(-np.diff(of) // ENTRY_WORDS), 0)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], pa.array(n, pa.int64()), pa.array(rows, found)], names=[*kept, "n_passages", "found"])
 
@@ -251,21 +282,26 @@ def contamination(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 
 def _contamination(rows: DataFrame, items: DataFrame, threshold: float) -> DataFrame:
-    slices = indexes(items) or [Index.build([], {}, 1.0)]
-    passes = [_matched(rows, index, [c for c in rows.columns if c != "text"], threshold) for index in slices]
-    if len(passes) == 1:
-        out = passes[0]
+    stored, kept = indexes(items), [c for c in rows.columns if c != "text"]
+    if stored.count() <= 1:
+        nothing = rows.sparkSession.sparkContext.broadcast(pickle.dumps(Index.build([], {}, 1.0)))
+        out = _matched(rows, next(_shared(stored), nothing), kept, threshold)
     else:  # rows alike in id and text have the same findings in a slice: any one of them stands for all
-        numbered = [p.withColumn("copies", F.lit(int(i == 0))) for i, p in enumerate(passes)]
-        merged = reduce(DataFrame.unionByName, numbered).groupBy("doc_id", "rk").agg(F.max("n_passages").alias("n_passages"), F.sum("copies").cast("int").alias("copies"), F.array_distinct(F.flatten(F.collect_list("found"))).alias("found"))
+        each = _passes(rows, stored, kept, threshold, False)
+        merged = each.groupBy("doc_id", "rk").agg(F.max("n_passages").alias("n_passages"), F.sum((F.col("pass") == 0).cast("int")).cast("int").alias("copies"), F.flatten(F.collect_set("found")).alias("found"))
         out = merged.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).drop("copies", "copy")
     return out.select("doc_id", "rk", "n_passages", (F.size("found") > 0).alias("contaminated"), F.array_sort(F.col("found.item_id")).alias("item_ids"), F.coalesce(F.array_max("found.score"), F.lit(0.0)).alias("score"), "found")
 
 
 def keep_clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` without a benchmark item."""
-    rows = packed(docs, text=F.col("text"))
-    for index in indexes(items):
-        left = _matched(rows, index, ["_row"], threshold).filter(F.size("found") == 0)
-        rows = left.select("_row", F.col("_row").getField("text").alias("text"))
-    return unpacked(rows, docs.columns)
+    stored = indexes(items)
+    n = stored.count()
+    if n == 0:
+        return docs
+    if n == 1:
+        left = _matched(packed(docs, text=F.col("text")), next(_shared(stored)), ["_row"], threshold)
+        return unpacked(left.filter(F.size("found") == 0), docs.columns)
+    digest = F.sha2("text", 256)  # equal texts have equal findings
+    gone = _passes(docs.select(digest.alias("digest"), "text"), stored, ["digest"], threshold, True).select("digest").distinct()
+    return unpacked(packed(docs, digest=digest).join(gone, "digest", "left_anti"), docs.columns)

@@ -1,6 +1,7 @@
 """Operators against brute force on small inputs, with nulls, ties, repeats, odd columns."""
 
 import math
+import pickle
 import re
 from collections import Counter
 
@@ -202,7 +203,7 @@ def test_recall_whatever_the_norms(spark, norms):
 
 def test_retrieval_equals_scoring_everything(docs, spark):
     items = spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
-    index = benchmarks.indexes(items)[0]
+    index = pickle.loads(benchmarks.indexes(items).first()["index"])
     weight = {}
     for t, term in enumerate(index.terms.tolist()):
         for j in range(index.begin[t], index.begin[t + 1]):
@@ -229,8 +230,9 @@ def test_contaminated_documents(spark, odd, monkeypatch):
     rows = [(1, "intro words " * 40 + item.upper() + " tail" * 90), (2, item.rsplit("?", 1)[0]), (3, item.split(".")[0] * 3), (4, None), (5, "nothing to see"), (6, item), (6, item)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     items = spark.createDataFrame([(7, item), (8, None), (9, ""), (None, "zebra giraffe lion tiger elephant hippo rhino crocodile"), (7, item)], "item_id long, text string")
-    for most in (benchmarks.SLICE_ENTRIES, 3):
+    for most, n in ((benchmarks.SLICE_ENTRIES, 1), (3, 2), (1, 3)):
         monkeypatch.setattr(benchmarks, "SLICE_ENTRIES", most)
+        assert benchmarks.indexes(items).count() >= n
         got = Counter((r.doc_id, r.contaminated, tuple(sorted(set(r.item_ids)))) for r in benchmarks.contamination(docs, items).collect())
         assert got == Counter([(1, True, (7,)), (2, False, ()), (3, False, ()), (4, False, ()), (5, False, ()), (6, True, (7,)), (6, True, (7,))])
         assert sorted(r.doc_id for r in benchmarks.keep_clean(docs, items).collect()) == [2, 3, 4, 5]
@@ -238,6 +240,23 @@ def test_contaminated_documents(spark, odd, monkeypatch):
     assert benchmarks.keep_clean(odd, items).columns == odd.columns and benchmarks.contamination(odd.limit(0), items).count() == 0
 
 
+def test_many_slices_find_what_one_finds(spark, docs, monkeypatch):
+    """Null, negative and repeated item ids, a document of 5 MB, a thousand rows alike."""
+    items = spark.read.parquet(f"{SF0001}/benchmark.parquet").select("item_id", "text")
+    text = items.first()["text"]
+    items = items.unionByName(spark.createDataFrame([(-1, "minus one " + text), (None, "null id " + text), (None, "null id " + text), (-1, None)], items.schema))
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame([(-5, "filler words here " * 300_000 + "null id " + text)] + [(-6, "minus one " + text)] * 1000, "doc_id long, text string"))
+    whole = Counter((r.doc_id, r.n_passages, tuple(r.item_ids), round(r.score, 9)) for r in benchmarks.contamination(rows, items).collect())
+    left = Counter(r.doc_id for r in benchmarks.keep_clean(rows, items).collect())
+    assert {-5, -6} & set(left) == set() and sum(whole.values()) == rows.count()
+    of = {k[0]: k[2] for k in whole}
+    assert None in of[-5] and of[-5].count(None) == 1 and -1 in of[-6] and sum(n for k, n in whole.items() if k[0] == -6) == 1000
+    monkeypatch.setattr(benchmarks, "SLICE_ENTRIES", 60)
+    assert benchmarks.indexes(items).count() > 3
+    assert Counter((r.doc_id, r.n_passages, tuple(r.item_ids), round(r.score, 9)) for r in benchmarks.contamination(rows, items).collect()) == whole
+    assert Counter(r.doc_id for r in benchmarks.keep_clean(rows, items).collect()) == left
+
+
 def test_near_copies_of_items_with_short_answers(spark):
     question = "In which of the old harbour towns along the northern coast did the three merchants finally meet again after their long and weary voyage across the cold grey sea in winter?"
     docs, items, wanted = [], [], {}
