@@ -323,17 +323,40 @@ def test_rare_grams_of_a_large_corpus_count(spark):
         assert math.isclose(got[0, 0], want, rel_tol=1e-5), word
 
 
-def test_calibration_takes_different_texts(spark, docs, monkeypatch):
-    monkeypatch.setattr(langid, "CALIBRATION_TEXTS", 30)
+def test_calibration_takes_different_unseen_texts(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "CALIBRATION_TEXTS", 8)
     named = docs.select("text", "lang")
-    first = named.orderBy(F.xxhash64("text")).first()
-    copied = named.union(spark.createDataFrame([tuple(first)] * 100, named.schema))
+    hashed = named.select(F.xxhash64("text").alias("h"), "lang", "text").filter(F.pmod("h", F.lit(langid.SAMPLE_OF)) == 0)
+    first = hashed.orderBy("h").first()
+    copied = named.union(spark.createDataFrame([(first.text, first.lang)] * 1000 + [(first.text, "zz"), (None, "en"), ("", "en"), ("x", None)], named.schema))
     langs = {}
-    for r in named.select(F.xxhash64("text").alias("h"), "lang").collect():
+    for r in hashed.collect():
         langs[r.h] = min(r.lang, langs.get(r.h, r.lang))
-    want = set(sorted(langs.items())[:30])
-    assert {(r.h, r.lang) for r in langid.calibration(copied).collect()} == want and len(want) == 30
-    assert langid.train(copied).limit < np.inf
+    want = dict(sorted(langs.items())[:8])
+    assert langid.calibration(named) == want and len(want) == 8
+    got = langid.calibration(copied)  # "zz" would lose its only text, which is counted then
+    assert got == {h: x for h, x in want.items() if h != first.h}
+    model = langid.train(copied)
+    assert model.limit < np.inf and "zz" in model.langs
+    counted = []
+    monkeypatch.setattr(langid, "build", lambda counts: counted.append(counts))
+    langid.train(named)
+    grams = lambda df: {(r.lang, r.gram): r.n for r in df.collect()}
+    assert grams(counted[0]) == grams(langid.gram_counts(named.filter(~F.xxhash64("text").isin([*want]))))
+
+
+def test_rejection_of_unseen_and_foreign_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(docs.filter(~langid.held_out()).select("text", "lang"))
+    rows = langid.predict(docs.filter(langid.held_out()).select("doc_id", "lang", "text"), model).filter("lang_pred <> 'und'").collect()
+    share = sum(r.rejected for r in rows) / len(rows)
+    assert (1 - langid.ACCEPTED) / 2.5 <= share <= (1 - langid.ACCEPTED) * 2.5, share
+    assert sum(r.lang == r.lang_pred for r in rows) / len(rows) > 0.97
+    kept = [r for r in rows if not r.rejected]
+    assert np.mean([r.score for r in kept]) > 0.95
+    foreign = ["Съешь же ещё этих мягких французских булок, да выпей чаю", "Zażółć gęślą jaźń, wszyscy ludzie rodzą się wolni i równi", "Minden emberi lény szabadon születik és egyenlő méltósága van"]
+    for r in langid.predict(spark.createDataFrame([(x,) for x in foreign], "text string").select("text", F.lit(1).alias("h")), model).collect():
+        assert r.rejected and r.score < 0.5
 
 
 def test_pieces_of_the_model_change_nothing(docs, monkeypatch):
