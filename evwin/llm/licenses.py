@@ -9,7 +9,9 @@ share of the template's 3-grams that it holds.  A base phrase stands at a place
 diagonal has every bit.
 
 Null text: like an empty one, no words.  Rows alike in id and text each get a result of
-their own.  Empty table: empty result.
+their own.  Very long texts: every word is rolled, a row a word.  Ties: labels are sets in
+sorted order, places the smallest and largest, the score a maximum.  Empty table: empty
+result.  Extra columns, of any name, are not read.
 """
 
 from __future__ import annotations

@@ -9,6 +9,9 @@ smallest place) stays.
 
 Null text stays null, with no lines; null sites count for no site; rows alike in id and
 text are treated alike; a blank line is never removed; an empty table gives an empty one.
+Empty text: one blank line.  Very long texts: cut whole, in time that grows with their
+lines.  Ties: places that share the smallest id and number, as rows that share an id can,
+all stay.  Extra columns, of any name, are kept in ``_row`` and by ``clean``.
 """
 
 from __future__ import annotations

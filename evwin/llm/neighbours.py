@@ -14,7 +14,9 @@ precision on the original vectors, pair by pair, and merged.
 
 Vectors null, empty, zero, or holding null or non-finite components, and rows without id
 take no part; vectors are compared with those of the same length only; rows that share
-a query's id are the query's own; ties go to the smaller id.  Empty table: empty result.
+a query's id are the query's own; ties go to the smaller id.  Rows alike in id and vector
+are found as often as they stand.  Empty table: empty result.  Extra columns, of any name,
+are not read.
 """
 
 from __future__ import annotations

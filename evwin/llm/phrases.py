@@ -7,7 +7,9 @@ a phrase.  The phrases of a shard are compiled to one Aho-Corasick automaton
 and the contexts from all documents are streamed through it to locate every occurrence.
 
 Null text: no words.  Texts shorter than a window keep everything.  Rows alike in id and
-text repeat each other.  Empty table: empty result.
+text repeat each other.  Very long texts: read whole.  Ties: all occurrences go, also the
+first, so there is no order to break.  Empty table: empty result.  Extra columns, of any
+name, are not read.
 """
 
 from __future__ import annotations

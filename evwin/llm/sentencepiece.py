@@ -12,7 +12,11 @@ the merges inside both run by rank, no merge across their border ever comes firs
 
 Equal to the SentencePiece library for BPE models with identity normalisation, a dummy
 prefix and byte fallback; others are refused.  Null text: null ids.  Empty text: no ids.
-The sign U+2581 in a text is a space after decoding, as in the library.
+The sign U+2581 in a text is a space after decoding, as in the library.  Very long texts:
+encoded whole, one text a step.  Ties: pieces rank by their place in the model, so there
+are none.  Repeated rows: each gets its own result, the same one.  Empty table: empty
+result.  ``tokenize`` reads no extra columns; ``encode`` and ``decode`` return those of the
+input beside their own.
 """
 
 from __future__ import annotations

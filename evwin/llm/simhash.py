@@ -11,7 +11,11 @@ bounds it by the number of values the last bits can take.
 
 Null text: like an empty one.  No word: fingerprint zero, linked like any other.  Rows
 that share a doc_id count as documents of their own; null ids never win as the smallest
-while there is another.  Empty table: empty result.
+while there is another.  Repeated rows: each has its own result; ``keep_one`` keeps one of
+them.  Ties: a shingle bit set in just half of the hashes is 0; a group keeps its smallest
+id, of rows that share it the smaller fingerprint, then the smaller hash of the text.  Very
+long texts: read whole, shingles counted a step at a time.  Empty table: empty result.
+Extra columns, of any name, are kept by ``keep_one`` and not read by ``near_duplicates``.
 """
 
 from __future__ import annotations

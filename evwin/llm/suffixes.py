@@ -13,7 +13,9 @@ suffix of one part is ever compared with a suffix of another.
 
 Null text: like an empty one.  Texts shorter than the window keep everything.  Rows alike
 in id and text repeat each other.  A run of one letter has an anchor at each place and is
-handled like any other text.  Empty table: empty result.
+handled like any other text.  Very long texts: read whole, cut at no place.  Ties: all
+occurrences go, also the first, so there is no order to break.  Empty table: empty result.
+Extra columns, of any name, are not read.
 """
 
 from __future__ import annotations

@@ -16,7 +16,10 @@ then its shortest is.  If a class has labels, but none of a document in the tabl
 is learned: probability 0.  Scoring reads every whole text.  Null or
 empty text: no words, so the intercepts alone.  Null labels are not learned from; a doc_id
 with several labels is toxic if one says so.  No labels at all: probability 0.  Empty
-table: empty result.
+table: empty result.  Ties: at the threshold a document is toxic; ids whose hashes are
+equal go by id.  Repeated rows: each gets the same result; rows that share a labelled id
+are all fitted on, and their bytes count together.  Very long texts: scored whole, one text
+a step.  Extra columns, of any name, are kept by ``keep_clean`` and not read by ``score``.
 """
 
 from __future__ import annotations
