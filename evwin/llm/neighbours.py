@@ -1,6 +1,6 @@
 """Nearest neighbours by inner product, with a vantage-point tree in every shard.
 
-Rows are dealt to shards by a hash of their id; each shard meets the queries in blocks.
+Rows are dealt to shards by a hash of id and vector; each shard meets the queries in blocks.
 One more component, sqrt(M**2 - |x|**2) with the shard's largest norm M, turns the
 largest inner product into the smallest distance.  A tree node holds a vantage point and
 the median distance to it; a query leaves out the far side if ``factor`` times its
@@ -15,7 +15,7 @@ precision on the original vectors, pair by pair, and merged.
 Vectors null, empty, zero, or holding null or non-finite components, and rows without id
 take no part; vectors are compared with those of the same length only; rows that share
 a query's id are the query's own; ties go to the smaller id.  Rows alike in id and vector
-are found as often as they stand.  Empty table: empty result.  Extra columns, of any name,
+travel once and are found as often as they stand; as a query they ask once.  Empty table: empty result.  Extra columns, of any name,
 are not read.
 """
 
@@ -121,10 +121,10 @@ class Tree:
 
 
 def shard_nearest(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int, factor: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """query, id and score of the k best rows of a shard for each query, its own left out."""
+    """query, row and score of the k best rows of a shard for each query, its own left out."""
     x = x + 0.0  # -0.0 becomes 0.0: equal vectors have equal bytes
     order = np.argsort(ids, kind="stable")
-    ids, x = ids[order], x[order]
+    given, ids, x = order, ids[order], x[order]
     _, first, point = np.unique(x.view(f"V{x.shape[1] * 8}").ravel(), return_index=True, return_inverse=True)
     points = x[first]
     square = (points * points).sum(axis=1)
@@ -144,27 +144,29 @@ def shard_nearest(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.n
     query, row, score = query[order], row[order], score[order]
     rank = np.arange(len(query)) - np.searchsorted(query, query)
     keep = rank < k
-    return query_ids[query[keep]], ids[row[keep]], score[keep]
+    return query_ids[query[keep]], given[row[keep]], score[keep]
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, factor: float = FACTOR, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the k rows of ``vectors`` nearest to each of ``queries``."""
-    rows = materialize(_usable(vectors, vec_id, embedding), "vectors")
-    asked = materialize(_usable(queries, vec_id, embedding), "queries")
+    rows = materialize(_usable(vectors, vec_id, embedding).groupBy("vec_id", "dim", "v").agg(F.count("*").alias("copies")), "vectors")
+    asked = materialize(_usable(queries, vec_id, embedding).distinct(), "queries")
     shards, blocks = (max(1, -(-df.count() // size)) for df, size in ((rows, SHARD_ROWS), (asked, BLOCK_QUERIES)))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    posed = asked.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
+    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("vec_id", "v"), F.lit(shards))).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    posed = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = ([], [], [])
+        out = ([], [], [], [])
         if left.num_rows and right.num_rows:
             ids, query_ids = (t.column("vec_id").to_numpy() for t in (left, right))
             x, q = (np.frombuffer(b"".join(t.column("v").to_pylist()), np.float64).reshape(t.num_rows, -1) for t in (left, right))
-            out = shard_nearest(ids, x, query_ids, q, k, factor)
-        return pa.table([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.float64())], names=["query_id", "vec_id", "score"])
+            query, row, score = shard_nearest(ids, x, query_ids, q, k, factor)
+            out = (query, ids[row], score, left.column("copies").to_numpy()[row])
+        return pa.table([pa.array(c, t) for c, t in zip(out, (pa.int64(), pa.int64(), pa.float64(), pa.int64()))], names=["query_id", "vec_id", "score", "copies"])
 
     key = ["dim", "shard", "block"]
-    best = dealt.groupBy(*key).cogroup(posed.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double")
+    best = dealt.groupBy(*key).cogroup(posed.groupBy(*key)).applyInArrow(run, "query_id long, vec_id long, score double, copies long")
+    best = best.select("query_id", "vec_id", "score", F.explode(F.sequence(F.lit(1), F.least("copies", F.lit(k)))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return best.withColumn("rank", rank).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -179,6 +179,19 @@ def test_nearest_equals_brute_force(spark, monkeypatch):
     assert neighbours.search_table(df.limit(0)).count() == 0
 
 
+def test_a_thousand_vectors_alike(spark):
+    """As candidates they are found as often as they stand, as a query they ask once."""
+    x = [[float(i % 7 + 1), float(i % 5)] for i in range(60)]
+    rows = [(i, v) for i, v in enumerate(x)] + [(40, x[40])] * 1000 + [(61, [9.0, 9.0])] * 3
+    found = {}
+    for r in neighbours.search_table(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        found.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    assert sorted(found) == [0, 20, 40]
+    for q, got in found.items():
+        every = [(-(x[q][0] * v[0] + x[q][1] * v[1]), i) for i, v in rows if i != q]
+        assert sorted(got) == [(n, i) for n, (_, i) in enumerate(sorted(every)[:20], 1)]
+
+
 def test_recall_of_the_production_factor(spark):
     df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
     exact, found = ({(r.query_id, r.vec_id) for r in neighbours.search_table(df, factor=f).collect()} for f in (1.0, neighbours.FACTOR))
