@@ -100,3 +100,26 @@ def test_landed_rows_come_back(spark, place):
     L.land_envelopes(rows, f"{land}/env")
     back = L.take(spark, land, "env", record, per_line=True, run_id="r").rows.select("symbol", "payload")
     assert sorted(back.collect()) == sorted(rows.collect())
+
+
+def test_a_large_file_of_envelopes_is_read_by_several_tasks(spark, place):
+    land, record = place
+    lines = [json.dumps({"symbol": f"S{i}", "payload": "x" * (i % 700)}) for i in range(3000)]
+    swapped = [lines[1], lines[0], *lines[2:]]
+    for name, held, end, at in (("a", lines, "\n", 1000), ("b", lines, "\n", 1001), ("c", swapped, "\n", 1002), ("d", lines, "\r\n", 1003)):
+        _put(land, f"series/{name}.txt", end.join(held), at)
+    digests, before = [], spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("16k", "100k", "64m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            load = L.take(spark, land, "series", record, per_line=True, run_id="r")
+            tasks = load.rows.groupBy(F.spark_partition_id()).count().count()
+            rows = sorted(load.rows.collect(), key=lambda r: r.seq)
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert tasks > 3 or size == "64m"
+        # a file with the same lines in another order, or with other line ends, is another file
+        assert [(r.seq.path[-5:], r.symbol, len(r.payload)) for r in rows] == [
+            (f"{name}.txt", d["symbol"], len(d["payload"])) for name, held in (("a", lines), ("c", swapped), ("d", lines)) for d in map(json.loads, held)]
+        digests.append({r.path[-5:]: r.digest for r in load.files.collect()})
+    assert digests[0] == digests[1] == digests[2] and len(set(digests[0].values())) == 3
