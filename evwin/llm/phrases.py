@@ -47,8 +47,9 @@ def repeated_windows(contexts: list[bytes], n: np.ndarray, window: int = WINDOW)
     texts = _signs(contexts)
     times: Counter[str] = Counter()
     for text, many in zip(texts, n.tolist()):
-        for a in range(len(text) - window + 1):
-            times[text[a : a + window]] += many
+        windows = [text[a : a + window] for a in range(len(text) - window + 1)]
+        for _ in range(min(many, 2)):  # twice is enough to be repeated
+            times.update(windows)
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for phrase, many in times.items():
         if many > 1:
