@@ -10,16 +10,17 @@ context hashes with back-off weights, both sorted and cut by hash into pieces of
 piece of a table at a time and looks up all its words' grams there by binary search, so
 that the pieces bound memory whatever the corpus, and their number changes no result.
 A text goes to the language with the lowest cross-entropy per sign; ``rejected`` says that
-even that one lies above ``limit``, which nearly all of a calibration sample keep to.  The
-sample's texts are left out of the counts, so that both are set on unseen texts.  The score
-is a softmax of the entropies with a temperature fitted on the sample, where rejection
-stands as one more class whose entropy is the limit: far above it the score goes to 0.
+even that one lies above ``limit``, which nearly all training texts keep to.  The score
+is a softmax of the entropies with a fitted temperature, where rejection stands as one more
+class whose entropy is the limit: far above it the score goes to 0.  ``learn``, which
+``identify`` uses, counts all training texts and sets both on all of them, each as a model
+of the other half sees it; ``train`` sets them on a sample of texts left out of its counts.
 
 Null text or text without letters: ``und``, score 0.  Null language: not learned from.
 Ties: the first language by name.  Very long texts: read whole, a step of work is
 ``STEP_BYTES`` of texts or one longer text.  Repeated rows: each counts, each gets the same
-result; the sample takes a text once.  A language all of whose texts would fall into the
-sample keeps them for its counts; without a sample nothing is rejected.  No training rows:
+result; limit and temperature take a text once.  A language all of whose texts would fall
+into the sample keeps them for its counts; without a sample nothing is rejected.  No training rows:
 ``und`` throughout.  Empty table: empty result.  Extra columns, of any name, are not read
 by ``identify``; ``predict`` returns them beside its own.
 """
@@ -47,6 +48,8 @@ PIECE_BYTES = 32 << 20
 CALIBRATION_TEXTS, SAMPLE_OF = 2000, 10
 #: Share of the calibration texts that are not rejected.
 ACCEPTED = 0.995
+#: Entropies are told apart to this for the limit that ``learn`` sets.
+STEP = 1e-4
 #: Bytes of text that one step works on: equal words of a step are looked up once.
 STEP_BYTES = 4 << 20
 START, END = 0x02, 0x03  # no letters
@@ -301,8 +304,68 @@ def _entropies(texts: DataFrame, model: Model) -> DataFrame:
     return texts.mapInArrow(run, "h long, entropy array<double>")
 
 
+def _cross_entropies(texts: DataFrame, model: Model, langs: list[str]) -> DataFrame:
+    """h, lang, entropy (by ``langs``) of texts in the model's languages."""
+    place = [langs.index(x) for x in model.langs]
+
+    def run(batches):
+        for batch in batches:
+            for part, data, off in chunks(batch, limit=STEP_BYTES):
+                entropy, _ = model.entropy(data, off)
+                every = np.full((len(entropy), len(langs)), np.inf)
+                every[:, place] = entropy
+                rows = pa.ListArray.from_arrays(pa.array(np.arange(len(every) + 1) * len(langs), pa.int32()), pa.array(every.ravel()))
+                yield pa.RecordBatch.from_arrays([part.column("h"), part.column("lang"), rows], names=["h", "lang", "entropy"])
+
+    return texts.filter(F.col("lang").isin(model.langs)).mapInArrow(run, "h long, lang string, entropy array<double>")
+
+
+def learn(docs: DataFrame, lang: str = "lang") -> Model | None:
+    """Model of all rows of ``docs`` with a language; temperature and limit are set on all
+    their different texts, each half of the texts (by hash) as a model of the other half
+    sees it.  Languages whose texts are all in one half don't count for the temperature;
+    with one half only nothing is rejected."""
+    named = docs.filter(F.col(lang).isNotNull() & F.col("text").isNotNull()).select(F.xxhash64("text").alias("h"), F.col(lang).cast("string").alias("lang"), "text")
+    halves = [named.filter(F.pmod("h", F.lit(2)) == k) for k in (0, 1)]
+    counts = [materialize(gram_counts(half), "half") for half in halves]
+    model = build(counts[0].unionByName(counts[1]).groupBy("lang", "gram").agg(F.sum("n").alias("n")))
+    if model is None:
+        return None
+    seen = []
+    for half, others in zip(halves, reversed(counts)):
+        other = build(others)
+        if other is not None:
+            seen.append(_cross_entropies(half.filter(F.col("text").rlike(r"\p{L}")), other, model.langs))
+    if not seen:
+        return model
+    every = reduce(DataFrame.unionByName, seen).groupBy("h").agg(F.min("lang").alias("lang"), F.first("entropy").alias("entropy"))
+    every = materialize(every, "entropies")
+    # in steps of STEP, so that there are few different values however many texts
+    low = every.groupBy(F.ceil(F.array_min("entropy") / STEP).alias("low")).count().orderBy("low").collect()
+    if not low:
+        return model
+    upto = np.cumsum([r["count"] for r in low])
+    model.limit = low[int(np.searchsorted(upto, ACCEPTED * upto[-1]))].low * STEP
+    langs, limit = model.langs, model.limit
+
+    def losses(batches):
+        rated, place = Model(langs, [], [], 0.0, limit=limit), {x: i for i, x in enumerate(langs)}
+        for batch in batches:
+            entropy = batch.column("entropy").flatten().to_numpy(zero_copy_only=False).reshape(-1, len(langs))
+            truth, at = np.array([place[x] for x in batch.column("lang").to_pylist()], np.int64), np.arange(len(entropy))
+            sums = []
+            for rated.temperature in _TEMPERATURES:
+                sums.append(-np.log(np.maximum(rated.scores(entropy)[at, truth], 1e-9)).sum())
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(sums)), pa.int32()), pa.array(sums)], names=["i", "loss"])
+
+    rows = every.mapInArrow(losses, "i int, loss double").groupBy("i").agg(F.sum("loss").alias("loss")).collect()
+    model.temperature = _TEMPERATURES[min(rows, key=lambda r: (r.loss, r.i)).i]
+    return model
+
+
 def train(docs: DataFrame, lang: str = "lang") -> Model | None:
-    """Model of the rows of ``docs`` with a language, calibrated; None without any."""
+    """Model of the rows of ``docs`` with a language, calibrated on a sample that is left
+    out of the counts; None without any.  ``learn`` leaves nothing out."""
     chosen = calibration(docs, lang)
     sampled = F.coalesce(F.xxhash64("text").isin([*chosen]), F.lit(False))
     model = build(gram_counts(docs.filter(~sampled), lang))
@@ -352,6 +415,6 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
 
 def identify(docs: DataFrame) -> DataFrame:
     """Learn from the documents that are not held out, predict all."""
-    model = train(docs.filter(~held_out()).select("text", "lang"))
+    model = learn(docs.filter(~held_out()).select("text", "lang"))
     rows = docs.select("doc_id", held_out().alias("held_out"), "text")
     return predict(rows, model).select("doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")

@@ -372,6 +372,26 @@ def test_rejection_of_unseen_and_foreign_texts(spark):
         assert r.rejected and r.score < 0.5
 
 
+def test_all_training_texts_are_counted_and_calibrated_on(spark, docs, monkeypatch):
+    monkeypatch.setattr(langid, "calibration", lambda *a: pytest.fail("a sample"))
+    named = docs.select("text", "lang").union(spark.createDataFrame([("", "en"), (None, "en"), ("x", None)], "text string, lang string"))
+    models, grams = [], lambda df: {(r.lang, r.gram): r.n for r in df.collect()}
+    built = langid.build
+    monkeypatch.setattr(langid, "build", lambda counts: models.append((counts, built(counts))) or models[-1][1])
+    model = langid.learn(named)
+    assert grams(models[0][0]) == grams(langid.gram_counts(named)) and models[0][1] is model
+    # by hand: each different text as the model without its half of the texts sees it
+    texts = {r.h: r.text for r in named.filter("lang is not null and text rlike '[a-z]'").select(F.xxhash64("text").alias("h"), "text").collect()}
+    lows = []
+    for h, text in texts.items():
+        data = np.frombuffer(text.encode(), np.uint8)
+        lows.append(models[1 + h % 2][1].entropy(data, np.array([0, len(data)]))[0].min())
+    cut = sorted(lows)[math.ceil(langid.ACCEPTED * len(lows)) - 1]
+    assert len(lows) > 100 and cut <= model.limit + 1e-9 <= cut + 2 * langid.STEP
+    one = langid.learn(spark.createDataFrame([("hello there", "en")], "text string, lang string"))
+    assert one.langs == ["en"] and one.limit == np.inf
+
+
 def test_pieces_of_the_model_change_nothing(docs, monkeypatch):
     whole = sorted(langid.identify(docs).collect())
     monkeypatch.setattr(langid, "PIECE_BYTES", 1 << 14)
