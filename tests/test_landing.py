@@ -123,3 +123,23 @@ def test_a_large_file_of_envelopes_is_read_by_several_tasks(spark, place):
             (f"{name}.txt", d["symbol"], len(d["payload"])) for name, held in (("a", lines), ("c", swapped), ("d", lines)) for d in map(json.loads, held)]
         digests.append({r.path[-5:]: r.digest for r in load.files.collect()})
     assert digests[0] == digests[1] == digests[2] and len(set(digests[0].values())) == 3
+
+
+def test_a_series_is_parsed_once_however_its_rows_are_filtered(spark, place):
+    """Neither the filters of the parser nor those of a reader bring a second parse of a line or a payload."""
+    land, record = place
+    day = {f: "1" for f in I.SERIES_FIELDS}
+    good = json.dumps({I.SERIES_KEY: {"2001-05-02": day, "2001-07-02": day}})
+    bad = json.dumps({I.SERIES_KEY: {"2001-05-02": day, "2001-05-03": day | {"4. close": "x"}}})
+    _put(land, "series/a.txt", "\n".join(map(json.dumps, ({"symbol": "A", "payload": good}, {"symbol": "B", "payload": bad}, {"symbol": "C", "error": "timeout"}))), 1000)
+    rows = L.take(spark, land, "series", record, per_line=True, run_id="r").rows
+    window = [F.lit(d).cast("date").alias(c) for d, c in (("2001-03-02", "date_from"), ("2001-06-30", "date_to"))]
+    bars = I.daily_series_flatten(rows.select("symbol", "payload", *window)).filter("symbol <> 'Z' and close > 0")
+    plan = bars._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 2 and plan.count("parseJson(") == 1     # the envelope's and the series'; the payload's whole
+    assert [(r.symbol, str(r.price_date), r.volume) for r in bars.collect()] == [("A", "2001-05-02", 1)]
+    errors = rows.filter("error is not null").select("symbol")
+    assert errors._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1 and [r.symbol for r in errors.collect()] == ["C"]
+    read = I.series_bars(rows.select("symbol", "error", "payload", *window))    # as a run keeps it: the bars and the failed calls
+    assert [(r.symbol, r.error, r.bars and len(r.bars)) for r in read.orderBy("symbol").collect()] == [("A", None, 1), ("B", None, None), ("C", "timeout", None)]
+    assert I.daily_series_flatten(read).collect() == I.daily_series_flatten(rows.select("symbol", "payload", *window)).collect()
