@@ -191,3 +191,46 @@ def test_load_windows_read_no_price_file(spark):
     files = catalog.QUERIES["load_windows"](spark, SF0001).inputFiles()
     assert files and not any("daily_prices" in f for f in files)
     assert not any("daily_prices" in f for f in catalog.QUERIES["history_check"](spark, SF0001).inputFiles())
+
+
+def test_a_clone_reads_the_source_until_its_own_commits(spark):
+    base = tempfile.mkdtemp(prefix="evwin-clone-")
+    rows = _prices(spark, [("y", "S", dt.date(2001, m, d), d) for m in (1, 2) for d in (1, 2)])
+    V.create(spark, f"{base}/a", rows, "price_month", ("price_month", "symbol"))
+    V.clone(spark, f"{base}/a", f"{base}/b")
+    held = lambda t: sorted((r.price_date, r.v) for r in V.read(spark, f"{base}/{t}").collect())
+    before, files = held("a"), V.read(spark, f"{base}/a").inputFiles()
+    assert held("b") == before and not [n for n in os.listdir(f"{base}/b") if n.startswith("version=")]     # no row is copied
+    for v in (7, 8, 9):     # more states than a vacuum keeps
+        R.upsert_partitioned(spark, f"{base}/b", _prices(spark, [("y", "S", dt.date(2001, 2, 2), v), ("y", "S", dt.date(2001, 3, 1), v)]),
+                             ["source", "symbol", "price_date"], "price_month")
+    assert held("a") == before and sorted(V.read(spark, f"{base}/a").inputFiles()) == sorted(files)
+    assert held("b") == [*before[:3], (dt.date(2001, 2, 2), 9), (dt.date(2001, 3, 1), 9)]
+    V.clone(spark, f"{base}/b", f"{base}/c")
+    assert held("c") == held("b") and V.read(spark, f"{base}/c", parts=["2001-01"]).count() == 2
+    with pytest.raises(FileNotFoundError):
+        V.clone(spark, f"{base}/none", f"{base}/d")
+
+
+def test_a_query_of_one_run_builds_that_run_only(spark):
+    """Of the feeds those that the run takes, and no other run; the run table needs both."""
+    from evwin.plans import catalog
+    from evwin.sources.payloads import FEEDS
+    base = tempfile.mkdtemp(prefix="evwin-tables-")
+    write = lambda name, rows, schema: spark.createDataFrame(rows, schema).write.parquet(f"{base}/{name}.parquet")
+    write("part", [(k, f"p{k}", "b", "t", 1, 2.0) for k in range(1, 90)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double")
+    write("supplier", [(k, k % 3) for k in range(1, 6)], "s_suppkey long, s_nationkey long")
+    write("lineitem", [(i, i % 4 + 1, i % 5 + 1, 10.0 + i, 2.0, dt.date(2001, 3, 1) + dt.timedelta(i)) for i in range(120)],
+          "l_orderkey long, l_linenumber int, l_suppkey long, l_extendedprice double, l_quantity double, l_shipdate date")
+    root = catalog.graph(spark, base).raw.root.removeprefix("file:")
+    built = lambda: {n.rsplit("-", 1)[0] for n in os.listdir(root)} if os.path.exists(root) else set()
+    feeds = lambda: {n[len("landing-"):] for n in built() if n.startswith("landing-")} & set(FEEDS)
+    prices = catalog.QUERIES["backfill_run_prices"](spark, base)
+    assert feeds() == {"series", "bars", "bars_errors"} and "run-backfill" in built() and "run-main" not in built()
+    loaded = catalog.QUERIES["load_run_prices"](spark, base)
+    assert feeds() == set(FEEDS) - {"triage", "vendor_search"}
+    keys = lambda df: {(r.source, r.symbol, r.price_date) for r in df.collect()}
+    seed = keys(catalog.graph(spark, base).raw.daily_prices.filter(F.col("price_date") <= F.lit(catalog.O.LOAD_CUTOFF)))
+    assert seed and seed < keys(loaded) and seed <= keys(prices)
+    audit = catalog.QUERIES["run_audit"](spark, base).collect()
+    assert sorted((r.run_id.split("-")[0], r.status) for r in audit) == [("backfill", "success"), ("lost", "failed"), ("main", "success")]
