@@ -206,6 +206,8 @@ def test_a_clone_reads_the_source_until_its_own_commits(spark):
                              ["source", "symbol", "price_date"], "price_month")
     assert held("a") == before and sorted(V.read(spark, f"{base}/a").inputFiles()) == sorted(files)
     assert held("b") == [*before[:3], (dt.date(2001, 2, 2), 9), (dt.date(2001, 3, 1), 9)]
+    V.create(spark, f"{base}/e", _prices(spark, [("y", "S", dt.date(2001, 2, 1), 5)]), "price_month", ("price_month",), {"2001-01": V._folder(f"{base}/a", V.snapshot(spark, f"{base}/a").parts["2001-01"])})
+    assert held("e") == [*before[:2], (dt.date(2001, 2, 1), 5)]
     V.clone(spark, f"{base}/b", f"{base}/c")
     assert held("c") == held("b") and V.read(spark, f"{base}/c", parts=["2001-01"]).count() == 2
     with pytest.raises(FileNotFoundError):
@@ -230,6 +232,8 @@ def test_a_query_of_one_run_builds_that_run_only(spark):
     loaded = catalog.QUERIES["load_run_prices"](spark, base)
     assert feeds() == set(FEEDS) - {"triage", "vendor_search"}
     keys = lambda df: {(r.source, r.symbol, r.price_date) for r in df.collect()}
+    before = {f for f in loaded.inputFiles() if "/price_month=2001-03/" in f}
+    assert before and all("/daily_prices/v-" in f for f in before)      # months before the load are those of the store, not copies
     seed = keys(catalog.graph(spark, base).raw.daily_prices.filter(F.col("price_date") <= F.lit(catalog.O.LOAD_CUTOFF)))
     assert seed and seed < keys(loaded) and seed <= keys(prices)
     audit = catalog.QUERIES["run_audit"](spark, base).collect()
